@@ -80,7 +80,7 @@ def padded_batches(batched: DataFrame, pad_id: int = 0, rebuild_labels: bool = T
         F.sort_array(F.collect_list(cells)).alias("_rows"), F.first("width").alias("width")
     )
     matrices = [
-        F.transform("_rows", lambda r, c=name: r[c]).alias(name)
+        F.col("_rows").getField(name).alias(name)
         for name in ("input_ids", "attention_mask", "labels")
     ]
     return gathered.select(*BATCH_KEYS, "width", F.size("_rows").alias("n_rows"), *matrices)

@@ -89,14 +89,16 @@ def encode(
     slots = max(k // 2, 8)
     n_special = 1 if add_bos else 0
     cap = cap if isinstance(cap, Column) else F.lit(cap)
-    room = F.greatest(cap - n_special, F.lit(0))
-    prepared = df.withColumn("_lookup", lookup_value(vocabulary, k)).withColumn("_tokens", tokens)
+    prepared = df.withColumns({
+        "_lookup": lookup_value(vocabulary, k), "_tokens": tokens,
+        "_room": F.greatest(cap - n_special, F.lit(0)),
+    })
 
     def one(token: Column) -> Column:
         entry = F.get(F.col("_lookup"), F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))
         return F.coalesce(F.try_element_at(entry, token), F.lit(UNK).cast("bigint"))
 
-    body = F.transform(F.slice("_tokens", F.lit(1), room), one)
+    body = F.transform(F.slice("_tokens", F.lit(1), F.col("_room")), one)
     ids = F.concat(F.array(F.lit(BOS).cast("bigint")), body) if add_bos else body
     coded = prepared.select(
         *df.columns, ids.cast(IDS).alias("input_ids"),
