@@ -7,26 +7,68 @@ records) comes together for a whole group.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import reset_chain as rc
+from corpusloom.session import ship_package
 
 FAN = 1024
 KEYS = "run_id bigint, block bigint"
+SUMMARY_COLUMNS = [*rc.FIELDS, "tail_end"]
 
 
-def summary_rows(keys: dict, summaries: list[dict]) -> pd.DataFrame:
-    """Summaries as table rows after their key columns."""
-    columns = {**{k: [v] * len(summaries) for k, v in keys.items()}}
-    for name in (*rc.FIELDS, "tail_end"):
-        columns[name] = pd.Series([s[name] for s in summaries], dtype=object)
-    return pd.DataFrame(columns)
-
+def map_groups(
+    df: DataFrame, keys: Sequence[str], order: str, work: Callable[[dict], dict], schema: str
+) -> DataFrame:
+    """Run ``work`` on every group: columns as arrays in, columns out.
 
-def _records(rows: pd.DataFrame) -> list[dict]:
-    found = rows[[*rc.FIELDS, "tail_end"]].to_dict("records")
+    The window brings the rows of a group together in order, and costs no
+    shuffle where they are partitioned that way already.  Python then gets
+    Arrow batches that hold many groups, so small groups cost little; a group
+    that a batch cuts off waits for the next batch.
+    """
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) == 1
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def run(frames):
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            starts = np.flatnonzero(frame["_first"].to_numpy(bool))
+            held = frame.iloc[starts[-1]:]
+            if len(starts) > 1:
+                yield each(frame, starts)
+        if held is not None:
+            yield each(held, np.array([0, len(held)]))
+
+    def each(frame, edges):
+        arrays = {name: frame[name].to_numpy() for name in frame.columns}
+        out = {name: [] for name in names}
+        for low, high in zip(edges, edges[1:]):
+            made = work({name: values[low:high] for name, values in arrays.items()})
+            for name in names:
+                out[name].extend(made[name])
+        return pd.DataFrame({
+            name: pd.Series(values, dtype=object if name in SUMMARY_COLUMNS else None)
+            for name, values in out.items()
+        })
+
+    ship_package(df.sparkSession)
+    return df.withColumn("_first", first).mapInPandas(run, schema)
+
+
+def summary_row(summary: dict, **keys) -> dict:
+    """A summary as one output row after its key columns."""
+    return {k: [v] for k, v in {**keys, **summary}.items()}
+
+
+def _summaries(rows: dict) -> list[dict]:
+    found = [dict(zip(SUMMARY_COLUMNS, values)) for values in zip(*(rows[c] for c in SUMMARY_COLUMNS))]
     for summary in found:
         end = summary["tail_end"]
         summary["tail_end"] = None if pd.isna(end) else int(end)
@@ -35,16 +77,15 @@ def _records(rows: pd.DataFrame) -> list[dict]:
 
 def joined_by_fan(summaries: DataFrame) -> DataFrame:
     """One summary per group and run of ``FAN`` blocks."""
-    def join_all(key, rows):
-        parts = _records(rows.sort_values("block"))
-        whole = parts[0]
-        for part in parts[1:]:
+    def join_all(rows):
+        whole, *others = _summaries(rows)
+        for part in others:
             whole = rc.join(whole, part)
-        return summary_rows({"run_id": key[0], "fan": key[1]}, [whole])
+        return summary_row(whole, run_id=rows["run_id"][0], fan=rows["fan"][0])
 
-    fan = F.floor(F.col("block") / FAN).alias("fan")
-    return summaries.groupBy("run_id", fan).applyInPandas(
-        join_all, f"run_id bigint, fan bigint, {rc.SUMMARY}"
+    keyed = summaries.withColumn("fan", F.floor(F.col("block") / FAN))
+    return map_groups(
+        keyed, ["run_id", "fan"], "block", join_all, f"run_id bigint, fan bigint, {rc.SUMMARY}"
     )
 
 
@@ -55,41 +96,36 @@ def incoming_values(summaries: DataFrame, start: float) -> DataFrame:
     """
     def walk(rows, order, x, mark):
         begun = []
-        for summary in _records(rows):
+        for summary in _summaries(rows):
             begun.append((x, mark))
             x, fired, _ = rc.apply(summary, x)
             mark = mark if fired is None else fired
-        return rows[["run_id", order]].assign(
-            value_in=[b[0] for b in begun], mark_in=[b[1] for b in begun]
-        )
+        values, marks = zip(*begun)
+        return {"run_id": rows["run_id"], order: rows[order], "value_in": values, "mark_in": marks}
 
-    def per_run(key, rows):
-        return walk(rows.sort_values("fan"), "fan", start, 0)
-
-    def per_fan(key, blocks, begun):
-        first = begun.iloc[0]
-        walked = walk(blocks.sort_values("block"), "block", first["value_in"], int(first["mark_in"]))
-        return walked
-
-    fans = joined_by_fan(summaries).groupBy("run_id").applyInPandas(
-        per_run, "run_id bigint, fan bigint, value_in double, mark_in bigint"
+    carried = "value_in double, mark_in bigint"
+    fans = map_groups(
+        joined_by_fan(summaries), ["run_id"], "fan", lambda rows: walk(rows, "fan", start, 0),
+        f"run_id bigint, fan bigint, {carried}",
     )
-    keyed = summaries.withColumn("fan", F.floor(F.col("block") / FAN))
-    return keyed.groupBy("run_id", "fan").cogroup(fans.groupBy("run_id", "fan")).applyInPandas(
-        per_fan, f"{KEYS}, value_in double, mark_in bigint"
+    keyed = summaries.withColumn("fan", F.floor(F.col("block") / FAN)).join(fans, ["run_id", "fan"])
+    return map_groups(
+        keyed, ["run_id", "fan"], "block",
+        lambda rows: walk(rows, "block", rows["value_in"][0], int(rows["mark_in"][0])),
+        f"{KEYS}, {carried}",
     )
 
 
 def chain_ends(summaries: DataFrame, start: float) -> DataFrame:
     """The mark at which each group's chain ends; groups that never end are left out."""
-    def per_run(key, rows):
+    def last(rows):
         x = start
-        for summary in _records(rows.sort_values("fan")):
+        for summary in _summaries(rows):
             x, mark, ended = rc.apply(summary, x)
             if ended:
-                return pd.DataFrame({"run_id": [key[0]], "end_mark": [mark]})
-        return pd.DataFrame({"run_id": [], "end_mark": []}, dtype="int64")
+                return {"run_id": rows["run_id"][:1], "end_mark": [mark]}
+        return {"run_id": [], "end_mark": []}
 
-    return joined_by_fan(summaries).groupBy("run_id").applyInPandas(
-        per_run, "run_id bigint, end_mark bigint"
+    return map_groups(
+        joined_by_fan(summaries), ["run_id"], "fan", last, "run_id bigint, end_mark bigint"
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from corpusloom import fixed_values as fv
 from corpusloom.functions import reset_chain as rc
 from corpusloom.functions.arrays import robust_sigma
-from corpusloom.operators.chains import KEYS, chain_ends, incoming_values, summary_rows
+from corpusloom.operators.chains import KEYS, chain_ends, incoming_values, map_groups, summary_row
 from corpusloom.operators.series import number_in_group
 
 NO_RESULT = 290.0  # powers of ten that a double can hold, with a margin
@@ -242,14 +242,14 @@ def best_levels(ema: np.ndarray) -> np.ndarray:
 
 def best_incoming(trace: DataFrame) -> DataFrame:
     """The best, and the record that set it, with which each block begins."""
-    def block_summary(key, rows):
-        rows = rows.sort_values("n")
-        ema, n = rows["ema"].to_numpy(float), rows["n"].to_numpy()
-        summary = rc.summarise(best_levels(ema), ema, np.zeros(len(ema), bool), n)
-        return summary_rows({"run_id": key[0], "block": key[1]}, [summary])
-
-    per_block = trace.select("run_id", "block", "n", "ema").groupBy("run_id", "block").applyInPandas(
-        block_summary, f"{KEYS}, {rc.SUMMARY}"
+    def block_summary(rows):
+        ema = rows["ema"].astype(float)
+        summary = rc.summarise(best_levels(ema), ema, np.zeros(len(ema), bool), rows["n"])
+        return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
+
+    per_block = map_groups(
+        trace.select("run_id", "block", "n", "ema"), ["run_id", "block"], "n", block_summary,
+        f"{KEYS}, {rc.SUMMARY}",
     )
     return incoming_values(per_block, float("inf"))
 
@@ -267,22 +267,19 @@ def best_in_block(ema: np.ndarray, n: np.ndarray, best: float, best_n: int):
 
 def since_best(trace: DataFrame, settings: MonitorSettings) -> DataFrame:
     """Add ``best_ema``, ``since_best`` and the ``cooldown`` that follows a best."""
-    begun = best_incoming(trace)
-
-    def fill(key, rows, start):
-        rows = rows.sort_values("n").reset_index(drop=True)
-        first = start.iloc[0]
+    def fill(rows):
         best, since = best_in_block(
-            rows["ema"].to_numpy(float), rows["n"].to_numpy(), first["value_in"], int(first["mark_in"])
+            rows["ema"].astype(float), rows["n"], rows["value_in"][0], int(rows["mark_in"][0])
         )
-        return rows.assign(best_ema=best, since_best=since)
+        return {**rows, "best_ema": best, "since_best": since}
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trace.schema.fields)
-    filled = trace.groupBy("run_id", "block").cogroup(begun.groupBy("run_id", "block")).applyInPandas(
-        fill, f"{schema}, best_ema double, since_best bigint"
+    filled = map_groups(
+        trace.join(best_incoming(trace), ["run_id", "block"]), ["run_id", "block"], "n", fill,
+        f"{schema}, best_ema double, since_best bigint",
     )
-    left = F.lit(settings.cooldown) - F.col("since_best")
-    return filled.withColumn("cooldown", F.when(F.col("best_ema") == float("inf"), 0).otherwise(F.greatest(left, F.lit(0))))
+    left = F.greatest(F.lit(settings.cooldown) - F.col("since_best"), F.lit(0))
+    return filled.withColumn("cooldown", F.when(F.col("best_ema") == float("inf"), 0).otherwise(left))
 
 
 def trend_flags(followed: DataFrame, settings: MonitorSettings) -> DataFrame:
@@ -330,23 +327,19 @@ def stop_decisions(logs: DataFrame, settings: MonitorSettings, dense: bool = Fal
     before = logs if s.hard_cap_step is None else logs.filter(F.col("step") < s.hard_cap_step)
     records = before.filter(F.col("loss").isNotNull()) if dense else accepted_records(before)
     trace = monitor_trace(numbered_records(records, dense), s)
-    begun = best_incoming(trace)
-
-    def block_summary(key, rows, start):
-        rows = rows.sort_values("n")
-        first = start.iloc[0]
-        ema, n = rows["ema"].to_numpy(float), rows["n"].to_numpy()
-        _, since = best_in_block(ema, n, first["value_in"], int(first["mark_in"]))
-        gates = [rows[g].to_numpy(bool) for g in ("warm", "exposed", "lr_ok", "enough")]
-        level, flagged = decision_items(
-            s, n, ema, rows["sigma"].to_numpy(float), rows["slope"].to_numpy(float), since, *gates
-        )
-        summary = rc.summarise(level, ema, flagged, n, rows["step"].to_numpy())
-        return summary_rows({"run_id": key[0], "block": key[1]}, [summary])
 
-    summaries = trace.drop("loss", "lr").groupBy("run_id", "block").cogroup(
-        begun.groupBy("run_id", "block")
-    ).applyInPandas(block_summary, f"{KEYS}, {rc.SUMMARY}")
+    def block_summary(rows):
+        ema, n = rows["ema"].astype(float), rows["n"]
+        _, since = best_in_block(ema, n, rows["value_in"][0], int(rows["mark_in"][0]))
+        gates = [rows[gate].astype(bool) for gate in ("warm", "exposed", "lr_ok", "enough")]
+        level, flagged = decision_items(s, n, ema, rows["sigma"], rows["slope"], since, *gates)
+        summary = rc.summarise(level, ema, flagged, n, rows["step"])
+        return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
+
+    followed = trace.drop("loss", "lr").join(best_incoming(trace), ["run_id", "block"])
+    summaries = map_groups(
+        followed, ["run_id", "block"], "n", block_summary, f"{KEYS}, {rc.SUMMARY}"
+    )
     stopped = chain_ends(summaries, float("inf")).select(
         "run_id", F.col("end_mark").alias("stop_step"), F.lit("trend").alias("reason")
     )

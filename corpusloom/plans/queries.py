@@ -352,7 +352,8 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.event_log(table(spark, sf, "events"))
+    """The event log, numbered once; the monitor reads it more than once."""
+    return stage_table(monitor.event_log(table(spark, sf, "events")), "log")
 
 
 def _numbered(spark: SparkSession, sf: str, scale: float = 1.0) -> DataFrame:
@@ -429,7 +430,7 @@ def stop_decision_calm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hard_cap_stop(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.hard_cap_stops(_log(spark, sf), TREND)
+    return monitor.hard_cap_stops(monitor.event_log(table(spark, sf, "events")), TREND)
 
 
 def stream_convergence(spark: SparkSession, sf: str) -> DataFrame:
@@ -437,7 +438,7 @@ def stream_convergence(spark: SparkSession, sf: str) -> DataFrame:
 
     Every slice is handled by a new start of the stream from its checkpoint.
     """
-    log = stage_table(_log(spark, sf), "log")
+    log = _log(spark, sf)
     source, sink, checkpoint = (new_scratch(spark, f"stops-{p}") for p in ("in", "out", "state"))
     edges = [0, 20, 40, 60, None]
     for low, high in zip(edges, edges[1:]):

@@ -6,10 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_shipped: set[str] = set()
 
 
 def local_session(cores: int | str = 8, memory: str = "12g", app: str = "corpusloom") -> SparkSession:
@@ -73,3 +75,19 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor.
+
+    Called by the operators that run Python inside tasks; sends a small zip
+    once per Spark application.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="corpusloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/corpusloom", "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)

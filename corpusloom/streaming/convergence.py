@@ -10,6 +10,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from corpusloom.functions import reset_chain as rc
 from corpusloom.functions.windows import sigma_of_last, slope_of_last
 from corpusloom.operators.monitor import MonitorSettings, best_in_block, decision_items
+from corpusloom.session import ship_package
 
 LOG = "run_id bigint, step bigint, loss double, lr double"
 STOP = "run_id bigint, stop_step bigint, reason string"
@@ -82,6 +83,7 @@ def stop_stream(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
     marked = logs.selectExpr(
         "run_id", "step", "loss", "lr", "loss is not null as loss_seen", "lr is not null as lr_seen"
     )
+    ship_package(logs.sparkSession)
     return marked.groupBy("run_id").applyInPandasWithState(
         update, STOP, STATE, "append", GroupStateTimeout.NoTimeout
     )
