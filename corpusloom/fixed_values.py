@@ -87,6 +87,8 @@ EMOJI_CLASS = (
     r"\x{1f6f3}-\x{1f6fc}\x{1f7e0}-\x{1f7eb}\x{1f7f0}\x{1f90c}-\x{1f93a}"
     r"\x{1f93c}-\x{1f945}\x{1f947}-\x{1f9ff}\x{1fa70}-\x{1faff}]"
 )
+# Covers the class above and the keycap mark.
+EMOJI_REACH = r"[\xa9\xae\u203c-\u3299\x{1f004}-\x{1faff}]"
 EMOJI_KEYCAP = r"[0-9#*]\ufe0f?\u20e3"
 
 # --- cleaner patterns ---------------------------------------------------------
@@ -95,6 +97,7 @@ BOXED_WHOLE = (
     rf'\A[(\[{{"]?{SPACE}*\$*\\boxed\{{([^}}]*)\}}\$*{SPACE}*[)\]}}"]?\.?{SPACE}*\z'
 )
 BOXED_INNER = r"\\(?:text|mathrm)\{([^}]*)\}"
+PLAIN_BREAKS = r"[\n\r\t]+"
 LINE_BREAKS = r"(?:[\n\r\t]++|\\\\[ntr])++"
 MARKUP_NOISE = r"[#*_`]+|[!?]{2,}|&[a-z]+;"
 MATH_WRAPPERS = r"\\(?:mathrm|text|operatorname)\{([^}]*)\}"

@@ -61,6 +61,15 @@ def has_non_ascii(text: Column) -> Column:
     return F.octet_length(text) > F.length(text)
 
 
+def has_any_case(*literals: str) -> Callable[[Column], Column]:
+    """True where the value may contain a literal in some letter case.
+
+    Letters that fold to ASCII ones only occur in texts that are not ASCII.
+    """
+    found = has(*[literal.lower() for literal in literals])
+    return lambda text: has_non_ascii(text) | bind(F.lower(text), found)
+
+
 # --- the steps ----------------------------------------------------------------
 
 def to_text(value: Column) -> Column:
@@ -94,12 +103,19 @@ def unbox_whole(text: Column) -> Column:
     return gate(has("\\boxed{"), body)(text)
 
 
-flatten_breaks = rewrite(fv.LINE_BREAKS, " ")
-drop_markup_noise = rewrite(fv.MARKUP_NOISE)
+def flatten_breaks(text: Column) -> Column:
+    """Runs of line breaks, tabs and their escaped forms become one space."""
+    plain, escaped = rewrite(fv.PLAIN_BREAKS, " "), rewrite(fv.LINE_BREAKS, " ")
+    return bind(text, lambda t: F.when(t.contains("\\\\"), escaped(t)).otherwise(plain(t)))
+
+
+drop_markup_noise = gate(has("#", "*", "_", "`", "&", "!!", "!?", "?!", "??"), rewrite(fv.MARKUP_NOISE))
 unwrap_math_text = rewrite(fv.MATH_WRAPPERS, "$1")
 unwrap_inline_math = rewrite(fv.DOLLAR_INLINE, "$1")
 space_out_tex = rewrite(fv.TEX_SPACING, " ")
-collapse_spaces = rewrite(fv.SPACE_RUN, " ")
+collapse_spaces = gate(
+    lambda t: has_non_ascii(t) | has("  ", *fv.SPACE_CHARS[:9])(t), rewrite(fv.SPACE_RUN, " ")
+)
 drop_inline_math = rewrite(fv.PRICE_OR_MATH, "$1")
 drop_delimited_tex = rewrite(fv.TEX_DELIMITED)
 drop_roman_spans = rewrite(fv.ROMAN_SPAN)
@@ -111,12 +127,17 @@ drop_answer_marker = rewrite(fv.ANSWER_MARKER)
 drop_brace_templates = rewrite(fv.BRACE_TEMPLATE)
 drop_pipe_tokens = rewrite(fv.PIPE_TOKEN)
 drop_header_lines = rewrite(fv.HEADER_LINE)
-drop_shop_tags = rewrite(f"(?iu){fv.WORD_EDGE}(?:{fv.SHOP_TAGS}){fv.WORD_EDGE}")
+drop_shop_tags = gate(
+    has_any_case("sku", "asin", "msrp", "price"),
+    rewrite(f"(?iu){fv.WORD_EDGE}(?:{fv.SHOP_TAGS}){fv.WORD_EDGE}"),
+)
 drop_starred_spans = rewrite(fv.DOUBLE_STAR)
 drop_invisible = rewrite(fv.INVISIBLE)
 drop_media_placeholders = rewrite(fv.MEDIA_PLACEHOLDER)
 drop_trash_placeholder = rewrite(fv.TRASH_PLACEHOLDER)
-drop_emoji = rewrite(rf"{fv.EMOJI_KEYCAP}|{fv.EMOJI_CLASS}\ufe0f?")
+drop_emoji = gate(
+    lambda t: t.rlike(fv.EMOJI_REACH), rewrite(rf"{fv.EMOJI_KEYCAP}|{fv.EMOJI_CLASS}\ufe0f?")
+)
 drop_emoji_keycaps = rewrite(fv.EMOJI_KEYCAP)
 drop_non_ascii = rewrite(fv.NON_ASCII)
 
@@ -124,7 +145,7 @@ drop_non_ascii = rewrite(fv.NON_ASCII)
 def drop_phrases(phrases: Sequence[str] = tuple(fv.WEB_PHRASES)) -> Step:
     """Delete whole-word phrases in any letter case."""
     words = "|".join(_quote(p) for p in phrases)
-    return rewrite(f"(?iu){fv.WORD_EDGE}(?:{words}){fv.WORD_EDGE}")
+    return gate(has_any_case(*phrases), rewrite(f"(?iu){fv.WORD_EDGE}(?:{words}){fv.WORD_EDGE}"))
 
 
 def ascii_operators(text: Column) -> Column:

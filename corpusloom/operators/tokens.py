@@ -89,10 +89,11 @@ def encode(
     slots = max(k // 2, 8)
     n_special = 1 if add_bos else 0
     cap = cap if isinstance(cap, Column) else F.lit(cap)
+    # The lookup stays a column of its own, used once: the optimizer then puts
+    # the subquery's value straight into the expression, and no row carries it.
     prepared = df.withColumns({
-        "_lookup": lookup_value(vocabulary, k), "_tokens": tokens,
-        "_room": F.greatest(cap - n_special, F.lit(0)),
-    })
+        "_tokens": tokens, "_room": F.greatest(cap - n_special, F.lit(0)),
+    }).withColumn("_lookup", lookup_value(vocabulary, k))
 
     def one(token: Column) -> Column:
         entry = F.get(F.col("_lookup"), F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))

@@ -236,7 +236,7 @@ def nonempty_ids(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
     cleaned = clean_text(F.col("text"), "math", denylist=fv.DENYLIST + EXTRA_DENIED)
     prepared = add_once(docs, text=cleaned)
-    vocabulary = tokens.top_vocabulary(table(spark, sf, "documents"), F.col("text"), VOCABULARY)
+    vocabulary = tokens.top_vocabulary(docs, F.col("text"), VOCABULARY)
     coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, TOKEN_CAP, add_bos=False)
     return tokens.encoding_report(coded, "source")
 
@@ -281,7 +281,8 @@ def training_batches(docs: DataFrame, key: str, k: int = VOCABULARY, mode: str =
     """Raw texts to padded, length-grouped batches, one row per batch.
 
     The cleaned text is staged once; the cap then reads only the lengths, the
-    vocabulary and the encoder only the text.
+    vocabulary and the encoder only the text.  The encoded rows are staged
+    too, because batching counts lengths before it places rows.
     """
     prepared = prompts.prompt_table(docs, mode, keys=[key])
     measured = prepared.withColumn("length", lengths.token_length(F.col("text")))
@@ -289,10 +290,8 @@ def training_batches(docs: DataFrame, key: str, k: int = VOCABULARY, mode: str =
     cap = lengths.cap_value(staged)
     vocabulary = tokens.top_vocabulary(staged, F.col("text"), k)
     coded = tokens.encode(staged.drop("length"), words(F.col("text")), vocabulary, k, cap)
-    grouped = batches.length_batches(
-        tokens.keep_encoded(coded.drop("text")), key, BATCH, part_rows=65536
-    )
-    return batches.padded_batches(grouped)
+    encoded = stage_table(tokens.keep_encoded(coded.drop("text")), "encoded")
+    return batches.padded_batches(batches.length_batches(encoded, key, BATCH))
 
 
 def flagship_batches(spark: SparkSession, sf: str) -> DataFrame:
