@@ -30,19 +30,17 @@ def length_batches(
     task.  With ``bucket_width=None`` lengths are ignored and the order is
     random, which is the baseline that grouping is measured against.
     """
+    needed = F.ceil(F.count("*") / part_rows).cast("bigint").alias("_parts")
     if bucket_width is None:
-        bucket, order = F.lit(0), [F.md5(F.col(key).cast("string"))]
+        order = [F.md5(F.col(key).cast("string"))]
+        parted = df.withColumns({"bucket": F.lit(0), "_parts": df.agg(needed).scalar()})
     else:
-        bucket = F.least(F.floor(F.col(length) / bucket_width), F.lit(LAST_BUCKET)).cast("int")
         order = [F.desc(length)]
-    rows = df.withColumn("bucket", bucket)
-    # At most LAST_BUCKET + 1 rows, so safe to broadcast.
-    parts = rows.groupBy("bucket").agg(
-        F.ceil(F.count("*") / part_rows).cast("bigint").alias("_parts")
-    )
-    placed = rows.join(F.broadcast(parts), "bucket").withColumn(
-        "part", F.pmod(row_hash(key), F.col("_parts")).cast("int")
-    )
+        bucket = F.least(F.floor(F.col(length) / bucket_width), F.lit(LAST_BUCKET)).cast("int")
+        rows = df.withColumn("bucket", bucket)
+        # At most LAST_BUCKET + 1 rows, so safe to broadcast.
+        parted = rows.join(F.broadcast(rows.groupBy("bucket").agg(needed)), "bucket")
+    placed = parted.withColumn("part", F.pmod(row_hash(key), F.col("_parts")).cast("int"))
     within = F.row_number().over(Window.partitionBy("bucket", "part").orderBy(*order, key))
     return placed.withColumns({
         "batch": F.floor((within - 1) / batch_size).cast("int"),

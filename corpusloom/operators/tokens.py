@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
 from corpusloom.functions.labels import IDS, ones_mask
-from corpusloom.functions.text import words
+from corpusloom.functions.text import add_once, words
 
 # Reserved tokens take the first ids, in this order.
 PAD, BOS, EOS, UNK = 0, 1, 2, 3
@@ -89,11 +89,10 @@ def encode(
     slots = max(k // 2, 8)
     n_special = 1 if add_bos else 0
     cap = cap if isinstance(cap, Column) else F.lit(cap)
-    # The lookup stays a column of its own, used once: the optimizer then puts
-    # the subquery's value straight into the expression, and no row carries it.
-    prepared = df.withColumns({
-        "_tokens": tokens, "_room": F.greatest(cap - n_special, F.lit(0)),
-    }).withColumn("_lookup", lookup_value(vocabulary, k))
+    # The lookup is a column of its own, used once and above a generator, so the
+    # optimizer puts the subquery's value into the expression: no row carries it.
+    split = add_once(df, _tokens=tokens, _room=F.greatest(cap - n_special, F.lit(0)))
+    prepared = split.withColumn("_lookup", lookup_value(vocabulary, k))
 
     def one(token: Column) -> Column:
         entry = F.get(F.col("_lookup"), F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))
