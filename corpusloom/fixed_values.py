@@ -55,6 +55,9 @@ SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 WORD = r"[\p{L}\p{N}_]"
 WORD_EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
+# Other letters that match an ASCII letter when case is ignored.
+FOLDS_TO_ASCII = "ſ\u212aıİ"
+
 TYPOGRAPHIC_FROM = "“”‘’–—"
 TYPOGRAPHIC_TO = "\"\"''--"
 ARROWS = [("→", "->"), ("←", "<-")]
@@ -137,6 +140,7 @@ BRACE_TEMPLATE = r"\{\{[^\n]*?\}\}"
 PIPE_TOKEN = r"<\|[^\n]*?\|>"
 HEADER_LINE = rf"(?<![^\n]){SPACE}*#{{1,6}}{SPACE}[^\n]*"
 WEB_PHRASES = ["Click here", "Subscribe", "Follow us", "Advertisement"]
+SHOP_WORDS = ["SKU", "ASIN", "MSRP", "Price"]
 SHOP_TAGS = rf"SKU|ASIN|MSRP|Price:?{SPACE}*\$?\p{{Nd}}[\p{{Nd}},.]*"
 DOUBLE_STAR = r"\*\*[^\n]*?\*\*"
 INVISIBLE = r"[\u200b-\u200f\u202a-\u202e\u2060\ufeff]"

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +51,7 @@ def gate(needed: Callable[[Column], Column], *steps: Step) -> Step:
 
 def has(*literals: str) -> Callable[[Column], Column]:
     """True where the value contains one of the literals."""
-    def test(text: Column) -> Column:
-        found = text.contains(literals[0])
-        for literal in literals[1:]:
-            found = found | text.contains(literal)
-        return found
-    return test
+    return lambda text: reduce(or_, [text.contains(literal) for literal in literals])
 
 
 def has_non_ascii(text: Column) -> Column:
@@ -62,12 +59,9 @@ def has_non_ascii(text: Column) -> Column:
 
 
 def has_any_case(*literals: str) -> Callable[[Column], Column]:
-    """True where the value may contain a literal in some letter case.
-
-    Letters that fold to ASCII ones only occur in texts that are not ASCII.
-    """
-    found = has(*[literal.lower() for literal in literals])
-    return lambda text: has_non_ascii(text) | bind(F.lower(text), found)
+    """True where the value may contain one of the ASCII literals in some case."""
+    found, folding = has(*[literal.lower() for literal in literals]), has(*fv.FOLDS_TO_ASCII)
+    return lambda text: bind(F.lower(text), found) | folding(text)
 
 
 # --- the steps ----------------------------------------------------------------
@@ -114,7 +108,7 @@ unwrap_math_text = rewrite(fv.MATH_WRAPPERS, "$1")
 unwrap_inline_math = rewrite(fv.DOLLAR_INLINE, "$1")
 space_out_tex = rewrite(fv.TEX_SPACING, " ")
 collapse_spaces = gate(
-    lambda t: has_non_ascii(t) | has("  ", *fv.SPACE_CHARS[:9])(t), rewrite(fv.SPACE_RUN, " ")
+    has("  ", *[c for c in fv.SPACE_CHARS if c != " "]), rewrite(fv.SPACE_RUN, " ")
 )
 drop_inline_math = rewrite(fv.PRICE_OR_MATH, "$1")
 drop_delimited_tex = rewrite(fv.TEX_DELIMITED)
@@ -127,10 +121,7 @@ drop_answer_marker = rewrite(fv.ANSWER_MARKER)
 drop_brace_templates = rewrite(fv.BRACE_TEMPLATE)
 drop_pipe_tokens = rewrite(fv.PIPE_TOKEN)
 drop_header_lines = rewrite(fv.HEADER_LINE)
-drop_shop_tags = gate(
-    has_any_case("sku", "asin", "msrp", "price"),
-    rewrite(f"(?iu){fv.WORD_EDGE}(?:{fv.SHOP_TAGS}){fv.WORD_EDGE}"),
-)
+drop_shop_tags = rewrite(f"(?iu){fv.WORD_EDGE}(?:{fv.SHOP_TAGS}){fv.WORD_EDGE}")
 drop_starred_spans = rewrite(fv.DOUBLE_STAR)
 drop_invisible = rewrite(fv.INVISIBLE)
 drop_media_placeholders = rewrite(fv.MEDIA_PLACEHOLDER)
@@ -145,7 +136,7 @@ drop_non_ascii = rewrite(fv.NON_ASCII)
 def drop_phrases(phrases: Sequence[str] = tuple(fv.WEB_PHRASES)) -> Step:
     """Delete whole-word phrases in any letter case."""
     words = "|".join(_quote(p) for p in phrases)
-    return gate(has_any_case(*phrases), rewrite(f"(?iu){fv.WORD_EDGE}(?:{words}){fv.WORD_EDGE}"))
+    return rewrite(f"(?iu){fv.WORD_EDGE}(?:{words}){fv.WORD_EDGE}")
 
 
 def ascii_operators(text: Column) -> Column:
@@ -229,6 +220,10 @@ def cleaning_steps(
             gate(has("\\"), ascii_operators, space_out_tex),
             collapse_spaces, strip,
         ]
+    listed_words = [drop_phrases(phrases)] if phrases else []
+    listed_words.append(drop_shop_tags)
+    if all(phrase.isascii() for phrase in phrases):
+        listed_words = [gate(has_any_case(*phrases, *fv.SHOP_WORDS), *listed_words)]
     formulas = [] if tex else [drop_inline_math, drop_delimited_tex, drop_roman_spans]
     signs = ["\\", "<", "[", "{{", "#"] + ([] if tex else ["$"])
     steps += [
@@ -237,7 +232,7 @@ def cleaning_steps(
             drop_role_markers, drop_answer_marker, drop_brace_templates,
             drop_pipe_tokens, drop_header_lines,
         ),
-        drop_phrases(phrases), drop_shop_tags,
+        *listed_words,
         gate(has("**"), drop_starred_spans),
         gate(has_non_ascii, drop_invisible),
         gate(
@@ -261,7 +256,7 @@ def clean_text(text: Column, mode: str = "math", **options) -> Column:
 
 def words(text: Column) -> Column:
     """White-space tokens of a text, in order."""
-    return F.filter(F.split(text, fv.SPACE + "+"), lambda w: w != "")
+    return F.filter(F.split(F.coalesce(text, F.lit("")), fv.SPACE + "+"), lambda w: w != "")
 
 
 def keep_nonblank(df: DataFrame, text: Column, name: str = "text") -> DataFrame:

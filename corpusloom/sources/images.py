@@ -42,14 +42,14 @@ def resolve_paths(df: DataFrame, files: DataFrame, column: str = "image") -> Dat
     """Fill missing bytes of a (bytes, path) column from a table of files.
 
     ``files`` has ``path`` and ``content``, as ``spark.read.format("binaryFile")``
-    gives them; the join is an ordinary equi-join on the path.
+    gives them.  Only rows that need a file take part in the join; the others
+    would all meet in one task with their missing path.
     """
+    missing = F.col(f"{column}.bytes").isNull() & F.col(f"{column}.path").isNotNull()
     found = files.select(F.col("path").alias("_path"), F.col("content").alias("_content"))
-    joined = df.withColumn("_path", F.col(f"{column}.path")).join(found, "_path", "left")
-    content = F.coalesce(F.col(f"{column}.bytes"), F.col("_content"))
-    return joined.withColumn(
-        column, F.struct(content.alias("bytes"), F.col("_path").alias("path"))
-    ).select(*df.columns)
+    filled = df.filter(missing).withColumn("_path", F.col(f"{column}.path")).join(found, "_path", "left")
+    image = F.struct(F.col("_content").alias("bytes"), F.col("_path").alias("path"))
+    return filled.withColumn(column, image).select(*df.columns).unionByName(df.filter(~missing))
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
