@@ -5,26 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom import fixed_values as fv
 from corpusloom.functions.text import bind
 
 
-def median(values: Column) -> Column:
-    """The median of a non-empty array of doubles."""
-    def middle(ordered: Column) -> Column:
-        low = F.get(ordered, F.floor((F.size(ordered) - 1) / 2).cast("int"))
-        high = F.get(ordered, F.floor(F.size(ordered) / 2).cast("int"))
-        return (low + high) / 2
-    return bind(F.array_sort(values), middle)
-
-
-def robust_sigma(values: Column) -> Column:
-    """Scaled median absolute deviation; 0 below three values."""
-    def spread(v: Column) -> Column:
-        return bind(median(v), lambda m: F.lit(fv.MAD_SCALE) * median(F.transform(v, lambda x: F.abs(x - m))))
-    return bind(values, lambda v: F.when(F.size(v) < 3, F.lit(0.0)).otherwise(spread(v)))
-
-
 def cross_entropy(logits: Column, label: Column) -> Column:
     """Loss of one position: log of the summed exponents minus the label's logit."""
     def loss(x: Column) -> Column:

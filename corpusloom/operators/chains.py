@@ -59,7 +59,10 @@ def map_groups(
         })
 
     ship_package(df.sparkSession)
-    return df.withColumn("_first", first).mapInPandas(run, schema)
+    made = df.withColumn("_first", first).mapInPandas(run, schema)
+    # Pandas takes undefined numbers for missing ones; no number here is missing.
+    numbers = [name for name, kind in made.dtypes if kind == "double"]
+    return made.withColumns({name: F.coalesce(name, F.lit(float("nan"))) for name in numbers})
 
 
 def summary_row(summary: dict, **keys) -> dict:
@@ -70,6 +73,7 @@ def summary_row(summary: dict, **keys) -> dict:
 def _summaries(rows: dict) -> list[dict]:
     found = [dict(zip(SUMMARY_COLUMNS, values)) for values in zip(*(rows[c] for c in SUMMARY_COLUMNS))]
     for summary in found:
+        summary["values"] = np.asarray(summary["values"], dtype=float)  # None becomes NaN
         end = summary["tail_end"]
         summary["tail_end"] = None if pd.isna(end) else int(end)
     return found

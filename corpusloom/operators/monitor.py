@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
 from corpusloom.functions import reset_chain as rc
-from corpusloom.functions.arrays import robust_sigma
+from corpusloom.functions.windows import sigma_of_last, slope_of_last
 from corpusloom.operators.chains import KEYS, chain_ends, incoming_values, map_groups, summary_row
 from corpusloom.operators.series import number_in_group
+from corpusloom.session import stage_table
 
 NO_RESULT = 290.0  # powers of ten that a double can hold, with a margin
 
@@ -206,30 +207,49 @@ def ema_final(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     )
 
 
-def monitor_trace(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Everything about a record but its best and its decision.
-
-    Adds ``ema``, ``sigma``, ``slope`` and the gates ``warm``, ``exposed``,
-    ``lr_ok`` and ``enough``; ``block`` stays for the operators that follow.
-    """
-    s = settings.with_block()
-    ordered = Window.partitionBy("run_id", "block").orderBy("n")
-
-    def last(count: int):
-        return ordered.rowsBetween(1 - count, 0)
-
-    spread = robust_sigma(F.collect_list("ema").over(last(s.window)))
-    slope = F.regr_slope("ema", "n").over(last(s.slope_window))
-    few = F.least(F.col("n"), F.lit(s.slope_window)) < 8
+def gate_flags(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Add the gates ``warm``, ``exposed``, ``lr_ok`` and ``enough``."""
+    s = settings
     lr_ok = F.lit(True)
     if s.lr_fraction < 1.0:
         lr_ok = F.coalesce(F.col("lr") <= F.col("_top_lr") * s.lr_fraction + 1e-12, F.lit(True))
-    traced = smoothed(numbered, s).withColumns({
-        "sigma": F.greatest(spread, F.lit(s.sigma_floor)),
-        "slope": F.when(few, F.lit(0.0)).otherwise(slope),
+    return smooth.withColumns({
         "warm": _warm(s), "exposed": _exposed(s), "lr_ok": lr_ok, "enough": F.col("n") >= s.history,
     })
-    return traced.filter(~F.col("_borrowed")).drop("_borrowed", "_top_lr")
+
+
+def window_stats(rows: dict, s: MonitorSettings):
+    """Which rows are the block's own, and their spread and slope."""
+    own = ~rows["_borrowed"].astype(bool)
+    known, fresh = rows["ema"].astype(float), int(own.sum())
+    with np.errstate(invalid="ignore"):
+        sigma = np.maximum(sigma_of_last(known, fresh, s.window), s.sigma_floor)
+        return own, sigma, slope_of_last(known, fresh, s.slope_window)
+
+
+def monitor_trace(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Everything about a record but its best and its decision.
+
+    Adds ``ema``, the robust ``sigma`` and the ``slope`` over the last values,
+    and the gates; ``block`` stays for the operators that follow.  A median
+    per window is far cheaper over numpy windows of a whole block than over an
+    array per row, so spread and slope are computed on Arrow batches.
+    """
+    s = settings.with_block()
+    kept = [c for c in numbered.columns if c != "lr"] + [
+        "block", "ema", "warm", "exposed", "lr_ok", "enough",
+    ]
+
+    def spread(rows):
+        own, sigma, slope = window_stats(rows, s)
+        return {**{c: rows[c][own] for c in kept}, "sigma": sigma, "slope": slope}
+
+    gated = gate_flags(smoothed(numbered, s), s).select(*kept, "_borrowed")
+    kinds = dict(gated.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in kept)
+    return map_groups(
+        gated, ["run_id", "block"], "n", spread, f"{schema}, sigma double, slope double"
+    )
 
 
 # --- best so far --------------------------------------------------------------
@@ -240,15 +260,17 @@ def best_levels(ema: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(ema), level, rc.NEVER)
 
 
-def best_incoming(trace: DataFrame) -> DataFrame:
+def best_incoming(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     """The best, and the record that set it, with which each block begins."""
+    smooth = smoothed(numbered, settings, lookback=0)
+
     def block_summary(rows):
         ema = rows["ema"].astype(float)
         summary = rc.summarise(best_levels(ema), ema, np.zeros(len(ema), bool), rows["n"])
         return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
 
     per_block = map_groups(
-        trace.select("run_id", "block", "n", "ema"), ["run_id", "block"], "n", block_summary,
+        smooth.select("run_id", "block", "n", "ema"), ["run_id", "block"], "n", block_summary,
         f"{KEYS}, {rc.SUMMARY}",
     )
     return incoming_values(per_block, float("inf"))
@@ -265,17 +287,22 @@ def best_in_block(ema: np.ndarray, n: np.ndarray, best: float, best_n: int):
     return values, n - marks
 
 
-def since_best(trace: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Add ``best_ema``, ``since_best`` and the ``cooldown`` that follows a best."""
-    def fill(rows):
+def since_best(rows: DataFrame, numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Add ``best_ema``, ``since_best`` and the ``cooldown`` that follows a best.
+
+    ``rows`` is the trace of the ``numbered`` records, or any other table with
+    their ``block``, ``n`` and ``ema``.
+    """
+    def fill(block):
         best, since = best_in_block(
-            rows["ema"].astype(float), rows["n"], rows["value_in"][0], int(rows["mark_in"][0])
+            block["ema"].astype(float), block["n"], block["value_in"][0], int(block["mark_in"][0])
         )
-        return {**rows, "best_ema": best, "since_best": since}
+        return {**block, "best_ema": best, "since_best": since}
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trace.schema.fields)
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    begun = best_incoming(numbered, settings)
     filled = map_groups(
-        trace.join(best_incoming(trace), ["run_id", "block"]), ["run_id", "block"], "n", fill,
+        rows.join(begun, ["run_id", "block"]), ["run_id", "block"], "n", fill,
         f"{schema}, best_ema double, since_best bigint",
     )
     left = F.greatest(F.lit(settings.cooldown) - F.col("since_best"), F.lit(0))
@@ -326,17 +353,23 @@ def stop_decisions(logs: DataFrame, settings: MonitorSettings, dense: bool = Fal
     capped = hard_cap_stops(logs, s)
     before = logs if s.hard_cap_step is None else logs.filter(F.col("step") < s.hard_cap_step)
     records = before.filter(F.col("loss").isNotNull()) if dense else accepted_records(before)
-    trace = monitor_trace(numbered_records(records, dense), s)
+    numbered = numbered_records(records, dense)
+    if not dense:
+        # Read several times below; numbering it again each time costs more.
+        numbered = stage_table(numbered, "numbered")
 
     def block_summary(rows):
+        own, sigma, slope = window_stats(rows, s)
+        rows = {name: values[own] for name, values in rows.items()}
         ema, n = rows["ema"].astype(float), rows["n"]
         _, since = best_in_block(ema, n, rows["value_in"][0], int(rows["mark_in"][0]))
         gates = [rows[gate].astype(bool) for gate in ("warm", "exposed", "lr_ok", "enough")]
-        level, flagged = decision_items(s, n, ema, rows["sigma"], rows["slope"], since, *gates)
+        level, flagged = decision_items(s, n, ema, sigma, slope, since, *gates)
         summary = rc.summarise(level, ema, flagged, n, rows["step"])
         return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
 
-    followed = trace.drop("loss", "lr").join(best_incoming(trace), ["run_id", "block"])
+    gated = gate_flags(smoothed(numbered, s), s).drop("loss", "lr", "_top_lr")
+    followed = gated.join(best_incoming(numbered, s), ["run_id", "block"])
     summaries = map_groups(
         followed, ["run_id", "block"], "n", block_summary, f"{KEYS}, {rc.SUMMARY}"
     )

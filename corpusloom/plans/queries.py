@@ -381,8 +381,9 @@ def ema_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def since_best(spark: SparkSession, sf: str) -> DataFrame:
-    trace = monitor.smoothed(_numbered(spark, sf), TREND, lookback=0).drop("_borrowed", "_top_lr")
-    followed = monitor.since_best(trace, TREND)
+    numbered = _numbered(spark, sf)
+    smooth = monitor.smoothed(numbered, TREND, lookback=0).select("run_id", "block", "n", "ema")
+    followed = monitor.since_best(smooth, numbered, TREND)
     return _rounded(followed.select("run_id", "n", "best_ema", "since_best", "cooldown"), "best_ema")
 
 
@@ -399,13 +400,14 @@ def ema_slope(spark: SparkSession, sf: str) -> DataFrame:
 def gate_flags(spark: SparkSession, sf: str) -> DataFrame:
     rising, falling = F.col("step") / 10.0, (70 - F.col("step")) / 60.0
     lr = F.least(rising, F.greatest(falling, F.lit(0.0))) * 0.001
-    trace = monitor.monitor_trace(_numbered(spark, sf).withColumn("lr", lr), TREND)
-    return trace.select("run_id", "n", "warm", "exposed", "lr_ok", "enough")
+    smooth = monitor.smoothed(_numbered(spark, sf).withColumn("lr", lr), TREND, lookback=0)
+    return monitor.gate_flags(smooth, TREND).select("run_id", "n", "warm", "exposed", "lr_ok", "enough")
 
 
 def _flagged(spark: SparkSession, sf: str) -> DataFrame:
-    trace = monitor.monitor_trace(_numbered(spark, sf, CALM_SCALE), CALM)
-    return monitor.trend_flags(monitor.since_best(trace, CALM), CALM)
+    numbered = _numbered(spark, sf, CALM_SCALE)
+    trace = monitor.monitor_trace(numbered, CALM)
+    return monitor.trend_flags(monitor.since_best(trace, numbered, CALM), CALM)
 
 
 def plateau_worsening(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,6 @@ from corpusloom.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, memory="6g", app="tests")
+    session = local_session(8, memory="8g", app="tests")
     yield session
     session.stop()

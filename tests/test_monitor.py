@@ -124,7 +124,7 @@ def test_trace_equals_the_model(log):
     open_ended = MonitorSettings(**COMMON, sigma_floor=0.01, min_drop=-1e9)  # always improved: walk to the end
     numbered = monitor.numbered_records(monitor.accepted_records(log))
     got = {}
-    for r in monitor.since_best(monitor.monitor_trace(numbered, s), s).collect():
+    for r in monitor.since_best(monitor.monitor_trace(numbered, s), numbered, s).collect():
         got.setdefault(r.run_id, {})[r.n] = r
     for run, records in RUNS.items():
         trace, _ = model(records, open_ended)
@@ -180,7 +180,7 @@ def test_small_declines_add_up_to_a_new_best(spark):
     rows = [(1, i + 1, 1.0 if i == 0 else 1.0 - 4e-12 * i, None) for i in range(120)]
     s = MonitorSettings(window=4, slope_window=4, block_rows=16, cooldown=2)
     numbered = monitor.numbered_records(spark.createDataFrame(rows, LOG_SCHEMA), dense=True)
-    got = {r.n: r.since_best for r in monitor.since_best(monitor.monitor_trace(numbered, s), s).collect()}
+    got = {r.n: r.since_best for r in monitor.since_best(monitor.monitor_trace(numbered, s), numbered, s).collect()}
     trace, _ = model(rows and [r[1:] for r in rows], MonitorSettings(**COMMON, min_drop=-1e9))
     far = [t for t in trace if got[t["n"]] != t["since"]]
     assert len(far) <= 2  # sums in another order may move a tie by one record

@@ -11,7 +11,7 @@ from corpusloom.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {
-    "since_best", "plateau_worsening", "monitor_trace", "stop_decision", "stop_decision_calm", "stream_convergence",
+    "mad_sigma", "ema_slope", "since_best", "plateau_worsening", "monitor_trace", "stop_decision", "stop_decision_calm", "stream_convergence",
 }
 
 
