@@ -8,33 +8,41 @@ from numpy.lib.stride_tricks import sliding_window_view
 from corpusloom import fixed_values as fv
 
 
-def _per_window(series, fresh: int, size: int, measure):
-    """``measure`` of the window that ends at each of the last ``fresh`` values."""
-    ends = np.arange(len(series) - fresh, len(series))
-    out = np.empty(fresh)
-    full = ends >= size - 1
-    if full.any():
-        first = ends[full][0] - size + 1
-        out[full] = measure(sliding_window_view(series[first:], size))
-    for at in np.flatnonzero(~full):
-        out[at] = measure(series[None, : ends[at] + 1])[0]
-    return out
+def _windows(series: np.ndarray, fresh: int, size: int):
+    """The window that ends at each of the last ``fresh`` values, and its count.
+
+    Windows that reach before the series are filled up with NaN on the left.
+    """
+    earlier = len(series) - fresh
+    padded = np.concatenate((np.full(max(0, size - 1 - earlier), np.nan), series))
+    counts = np.minimum(size, np.arange(earlier + 1, len(series) + 1))
+    return sliding_window_view(padded, size)[len(padded) - size + 1 - fresh:], counts
+
+
+def _middle(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Median of the ``counts`` numbers of each row; NaN sorts behind them."""
+    ordered = np.sort(values, axis=1)
+    low, high = (np.take_along_axis(ordered, at[:, None], 1)[:, 0] for at in ((counts - 1) // 2, counts // 2))
+    return (low + high) / 2
 
 
 def sigma_of_last(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
-    def measure(windows):
-        if windows.shape[1] < 3:
-            return np.zeros(len(windows))
-        middle = np.median(windows, axis=1, keepdims=True)
-        return fv.MAD_SCALE * np.median(np.abs(windows - middle), axis=1)
-    return _per_window(series, fresh, size, measure)
+    """Scaled median absolute deviation; 0 below three values."""
+    if not fresh:
+        return np.empty(0)
+    windows, counts = _windows(series, fresh, size)
+    spread = fv.MAD_SCALE * _middle(np.abs(windows - _middle(windows, counts)[:, None]), counts)
+    broken = np.isnan(windows).sum(axis=1) > size - counts
+    return np.where(counts < 3, 0.0, np.where(broken, np.nan, spread))
 
 
 def slope_of_last(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
-    def measure(windows):
-        count = windows.shape[1]
-        if count < 8:
-            return np.zeros(len(windows))
-        x = np.arange(count) - (count - 1) / 2
-        return windows @ x / (x @ x)
-    return _per_window(series, fresh, size, measure)
+    """Least-squares slope against the index; 0 below eight values."""
+    if not fresh:
+        return np.empty(0)
+    windows, counts = _windows(series, fresh, size)
+    place = np.arange(size) - (size - counts)[:, None]
+    centred = np.where(place >= 0, place - (counts[:, None] - 1) / 2, 0.0)
+    products = np.where(place >= 0, windows, 0.0) * centred
+    squares = np.maximum(counts * (counts ** 2.0 - 1) / 12, 1.0)
+    return np.where(counts < 8, 0.0, products.sum(axis=1) / squares)
