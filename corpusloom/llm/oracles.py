@@ -1,3 +1,128 @@
-"""DuckDB twins of the registered queries that SQL can express."""
+"""DuckDB twins of the registered queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+They compare all windows, pairs and intervals outright; the queries reach the
+same rows by their methods.  Training (3, 5), the suffix sort (4), packing (7),
+XXH64 (8) and page text (10) have no SQL form and are tested against
+brute-force versions.
+"""
+
+# Every window of an item's length that shares a shingle with it, compared in full.
+DECONTAMINATION = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(regexp_replace(
+        lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, list_filter(string_split_regex(regexp_replace(
+        lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM benchmark
+), ds AS (
+    SELECT doc_id, greatest(len(w) - 4, 1) AS n_doc, i AS pos, array_to_string(w[i + 1:i + 5], ' ') AS s
+    FROM (SELECT *, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+), bs AS (
+    SELECT item_id, greatest(len(w) - 4, 1) AS n, array_to_string(w[i + 1:i + 5], ' ') AS s
+    FROM (SELECT *, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM b WHERE len(w) > 0)
+), bt AS (
+    SELECT item_id, n, s, count(*) AS tf FROM bs GROUP BY ALL
+), seeds AS (
+    SELECT doc_id, n_doc, item_id, n, pos FROM ds JOIN bt USING (s)
+), starts AS (
+    SELECT DISTINCT doc_id, item_id, n, least(n, n_doc) AS width, start FROM (
+        SELECT *, unnest(range(greatest(pos - least(n, n_doc) + 1, 0),
+                               least(pos, n_doc - least(n, n_doc)) + 1)) AS start FROM seeds)
+), counted AS (
+    SELECT st.doc_id, st.item_id, n, width, start, s, count(*) AS tf
+    FROM starts st JOIN ds ON ds.doc_id = st.doc_id AND ds.pos >= start AND ds.pos < start + width GROUP BY ALL
+), scored AS (
+    SELECT doc_id, c.item_id, start, any_value(width) + any_value(c.n) AS total, sum(least(c.tf, bt.tf)) AS common
+    FROM counted c JOIN bt ON bt.item_id = c.item_id AND bt.s = c.s GROUP BY doc_id, c.item_id, start
+)
+SELECT doc_id, item_id, arg_min(start, (-similarity, start)) AS start, max(similarity) AS similarity
+FROM (SELECT *, common::DOUBLE / (total - common)::DOUBLE AS similarity FROM scored)
+WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+"""
+
+CHAT = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), sized AS (
+    SELECT *, 12 + length(replace(replace(replace(role, '\', '\0'), '<|', '<\1|'), chr(10), '\2')) + 1
+        + length(replace(replace(text, '\', '\0'), '<|', '<\1|')) + 11 AS chars
+    FROM said
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+        sum(chars)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+    formatted_chars
+FROM joined
+"""
+
+LM_SCORING = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(
+        coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), p AS (
+    SELECT doc_id, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), single AS (SELECT word, count(*)::DOUBLE AS n FROM p GROUP BY word
+), pairs AS (SELECT before, word, count(*)::DOUBLE AS n FROM p WHERE before IS NOT NULL GROUP BY ALL
+), total AS (SELECT count(*)::DOUBLE AS n FROM p
+), logs AS (
+    SELECT doc_id, coalesce(b.n >= 2, false) AS seen, CASE
+        WHEN b.n >= 2 THEN log10(b.n / v.n)
+        WHEN p.before IS NULL THEN log10(w.n / total.n) ELSE log10(w.n / total.n) + log10(0.4) END AS s
+    FROM p JOIN single w ON w.word = p.word LEFT JOIN single v ON v.word = p.before
+    LEFT JOIN pairs b ON b.before = p.before AND b.word = p.word, total
+), summed AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (seen) AS n_seen, sum(s) AS log10_sum FROM logs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_seen, 0) AS n_seen,
+    round(coalesce(log10_sum, 0), 4) AS log10_sum, round(log10_sum / n_words, 6) AS mean_log10
+FROM d LEFT JOIN summed USING (doc_id)
+"""
+
+URL_FILTERS = r"""
+WITH asked AS (
+    SELECT DISTINCT page_id, url, (page_id * 7919) % 525600 AS minute,
+        regexp_replace(lower(regexp_extract(coalesce(url, ''),
+            '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)', 1)), '\.+$', '') AS host,
+        regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS part
+    FROM pages
+), labelled AS (SELECT *, string_split(host, '.') AS labels FROM asked WHERE host <> ''
+), keys AS (
+    SELECT DISTINCT page_id, minute, key FROM (
+        SELECT page_id, minute, array_to_string(labels[i:], '.') AS key
+        FROM (SELECT *, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) AS i FROM labelled)
+        UNION ALL SELECT page_id, minute, host || '/' || part FROM labelled WHERE part <> '')
+), drawn AS (
+    SELECT key, ('0x' || substr(md5(key), 5, 4))::INT % 200 AS day, ('0x' || substr(md5(key), 9, 4))::INT AS n
+    FROM (SELECT DISTINCT key FROM keys) WHERE ('0x' || substr(md5(key), 1, 4))::INT % 4 = 0
+), entries AS (
+    SELECT key, 'block' AS action, day AS since FROM drawn
+    UNION ALL SELECT key, CASE WHEN n % 3 = 0 THEN 'remove' ELSE 'block' END, day + 20 + n % 60 FROM drawn
+    UNION ALL SELECT key, CASE WHEN n % 5 = 0 THEN 'allow' ELSE 'block' END, day + 100 + n % 50 FROM drawn
+), valid AS (
+    SELECT key, action, since * 1440 AS since, lead(since) OVER (PARTITION BY key ORDER BY since) * 1440 AS until
+    FROM (SELECT key, since, max(action) AS action FROM entries GROUP BY key, since)
+), active AS (
+    SELECT k.page_id, k.key, action, row_number() OVER (
+        PARTITION BY k.page_id ORDER BY length(k.key) DESC, (action = 'allow')::INT DESC, k.key DESC, action DESC) AS place
+    FROM keys k JOIN valid v ON v.key = k.key AND v.since <= k.minute AND (v.until IS NULL OR k.minute < v.until)
+    WHERE action <> 'remove'
+)
+SELECT p.page_id, count(a.key) AS n_active, max(a.key) FILTER (place = 1) AS decided_by,
+    max(a.action) FILTER (place = 1) AS verdict
+FROM pages p LEFT JOIN active a ON a.page_id = p.page_id GROUP BY p.page_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": DECONTAMINATION,
+    "op2_chat_format": CHAT,
+    "op6_lm_scoring": LM_SCORING,
+    "op9_url_filters": URL_FILTERS,
+}

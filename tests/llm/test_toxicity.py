@@ -1,0 +1,52 @@
+import numpy as np
+
+from corpusloom.llm import toxicity as tx
+from corpusloom.llm.registry import op3_toxicity
+
+DOCS = "doc_id bigint, text string"
+
+
+def test_slots_hold_words_pairs_and_skips():
+    words = tx.gram_slots("a b c d")
+    assert len(words) == 4 + 3 + 2
+    assert len(tx.gram_slots("one")) == 1 and len(tx.gram_slots(None)) == len(tx.gram_slots(" \n")) == 0
+    assert (tx.gram_slots("Idiot, you!") == tx.gram_slots("idiot you")).all()
+    assert set(tx.gram_slots("x y")) <= set(tx.gram_slots("x y z"))
+
+
+def test_learning_is_sparse_and_right():
+    rng = np.random.default_rng(0)
+    rows, labels = [], []
+    for _ in range(1500):
+        bad = rng.random() < 0.2
+        row = np.unique(np.append(rng.integers(100, 5000, 60), 7 if bad else 8))
+        rows.append(row)
+        labels.append(float(bad))
+    model = tx.fit_ftrl(rows, np.array(labels), bits=13)
+    assert 7 in model.slots and len(model.slots) < 400
+    table = model.dense()
+    raw = np.array([model.bias + table[r].sum() for r in rows])
+    assert ((raw > 0) == (np.array(labels) == 1)).mean() > 0.98
+
+
+def test_rows_of_every_kind(spark):
+    rows = [(1, "you idiot", 9), (2, "fine day", 9), (3, None, 9), (4, "", 9), (2, "fine day", 9), (None, "idiot", 9),
+            (5, "fine " * 30000, 9)]
+    docs = spark.createDataFrame(rows, DOCS + ", toxic int")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, None), (None, 1)], "doc_id bigint, toxic int")
+    got = tx.toxicity(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] in (3, 4)}) == 1
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert {r["score"] for r in tx.toxicity(docs, none).collect()} == {0.5}
+    assert tx.toxicity(spark.createDataFrame([], DOCS), labels).count() == 0
+
+
+def test_held_out_rows(spark):
+    folder = "/root/testdata/sf0.1"
+    scored = op3_toxicity(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    held = scored.filter("held_out").join(labels, "doc_id").toPandas()
+    hit = (held["predicted"] == 1) & (held["toxic"] == 1)
+    assert hit.sum() / held["toxic"].sum() > 0.9
+    assert hit.sum() / max(held["predicted"].sum(), 1) > 0.9
