@@ -166,6 +166,7 @@ PAD_MULTIPLE = 8
 
 MIN_CAP, MAX_CAP = 128, 1024
 FLOOR_SMALL, FLOOR_LARGE, FLOOR_SWITCH = 0.22, 0.18, 4000
+RESTART_PRESSURE, LINEAR_PRESSURE = 0.18, 0.36
 MIN_STOP_STEPS = 50
 HARD_CAP_HIGH, HARD_CAP_LOW = 0.95, 0.65
 MIN_WARMUP, WARMUP_FRACTION = 75, 0.01

@@ -49,11 +49,11 @@ def schedule_name(rows: Column, epochs: Column, stop_step: Column) -> Column:
     pressure = stop_step / exposure
     restarts = (
         exposure.between(1500, 40000) & (epochs >= 2)
-        & (pressure <= fv.FLOOR_LARGE) & (exposure / 3 < stop_step)
+        & (pressure <= fv.RESTART_PRESSURE) & (exposure / 3 < stop_step)
     )
     return (
         F.when((exposure < 1500) | (epochs <= 1), "linear")
-        .when(pressure >= 2 * fv.FLOOR_LARGE, "linear")
+        .when(pressure >= fv.LINEAR_PRESSURE, "linear")
         .when(restarts, "cosine_with_restarts")
         .otherwise("cosine")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def row_hash(*keys: str) -> Column:
 
 
 def length_batches(
-    df: DataFrame, key: str, batch_size: int, length: str = "length", bucket_width: int | None = 64,
+    df: DataFrame, key: str | Sequence[str], batch_size: int, length: str = "length", bucket_width: int | None = 64,
     part_rows: int = 65536,
 ) -> DataFrame:
     """Put every row into one batch of up to ``batch_size`` similar rows.
@@ -28,11 +30,13 @@ def length_batches(
     open), and a bucket with more than ``part_rows`` rows is split by a hash
     of the key into parts of about that size, so no bucket is sorted in one
     task.  With ``bucket_width=None`` lengths are ignored and the order is
-    random, which is the baseline that grouping is measured against.
+    random, which is the baseline that grouping is measured against.  ``key``
+    is one column or several that together are unique.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     needed = F.ceil(F.count("*") / part_rows).cast("bigint").alias("_parts")
     if bucket_width is None:
-        order = [F.md5(F.col(key).cast("string"))]
+        order = [F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))]
         parted = df.withColumns({"bucket": F.lit(0), "_parts": df.agg(needed).scalar()})
     else:
         order = [F.desc(length)]
@@ -40,8 +44,8 @@ def length_batches(
         rows = df.withColumn("bucket", bucket)
         # At most LAST_BUCKET + 1 rows, so safe to broadcast.
         parted = rows.join(F.broadcast(rows.groupBy("bucket").agg(needed)), "bucket")
-    placed = parted.withColumn("part", F.pmod(row_hash(key), F.col("_parts")).cast("int"))
-    within = F.row_number().over(Window.partitionBy("bucket", "part").orderBy(*order, key))
+    placed = parted.withColumn("part", F.pmod(row_hash(*keys), F.col("_parts")).cast("int"))
+    within = F.row_number().over(Window.partitionBy("bucket", "part").orderBy(*order, *keys))
     return placed.withColumns({
         "batch": F.floor((within - 1) / batch_size).cast("int"),
         "slot": ((within - 1) % batch_size).cast("int"),

@@ -1,8 +1,10 @@
 """Reset chains over whole tables: summaries per block, joined per group.
 
-The pieces handed to Python are bounded: a block of records, or up to
-``FAN`` block summaries.  Only one summary per ``FAN`` blocks (about a million
-records) comes together for a whole group.
+The pieces handed to Python are a block of records, or up to ``FAN`` block
+summaries; one summary per ``FAN`` blocks (about a million records) comes
+together for a whole group.  A summary holds the levels that an incoming value
+can meet, which a series passes in the time it takes to move by the smallest
+counted drop; two summaries are joined by one sorted lookup.
 """
 
 from __future__ import annotations
@@ -93,33 +95,6 @@ def joined_by_fan(summaries: DataFrame) -> DataFrame:
     )
 
 
-def incoming_values(summaries: DataFrame, start: float) -> DataFrame:
-    """Value and mark with which each block of each group begins.
-
-    The mark is 0 where nothing has fired yet.
-    """
-    def walk(rows, order, x, mark):
-        begun = []
-        for summary in _summaries(rows):
-            begun.append((x, mark))
-            x, fired, _ = rc.apply(summary, x)
-            mark = mark if fired is None else fired
-        values, marks = zip(*begun)
-        return {"run_id": rows["run_id"], order: rows[order], "value_in": values, "mark_in": marks}
-
-    carried = "value_in double, mark_in bigint"
-    fans = map_groups(
-        joined_by_fan(summaries), ["run_id"], "fan", lambda rows: walk(rows, "fan", start, 0),
-        f"run_id bigint, fan bigint, {carried}",
-    )
-    keyed = summaries.withColumn("fan", F.floor(F.col("block") / FAN)).join(fans, ["run_id", "fan"])
-    return map_groups(
-        keyed, ["run_id", "fan"], "block",
-        lambda rows: walk(rows, "block", rows["value_in"][0], int(rows["mark_in"][0])),
-        f"{KEYS}, {carried}",
-    )
-
-
 def chain_ends(summaries: DataFrame, start: float) -> DataFrame:
     """The mark at which each group's chain ends; groups that never end are left out."""
     def last(rows):

@@ -18,14 +18,17 @@ def token_length(text: Column, n_special: int = 1) -> Column:
     return (F.size(words(text)) + F.lit(n_special)).cast("int")
 
 
-def length_percentiles(lengths: DataFrame, by: Sequence[str] = (), length: str = "length") -> DataFrame:
+def length_percentiles(
+    lengths: DataFrame, by: Sequence[str] = (), length: str = "length", weight: Column | None = None
+) -> DataFrame:
     """p50, p95 and p99 of ``length``, interpolated and cut to whole numbers.
 
     Rows are first counted per distinct length, so what reaches the last
-    stage of a group is one row per length and not one per text.  No rows at
-    all is an error.
+    stage of a group is one row per length and not one per text.  ``weight``
+    is the number of texts that a row stands for.  No rows at all is an error.
     """
-    counted = lengths.groupBy(*by, length).agg(F.count("*").alias("_rows"))
+    rows = F.count("*") if weight is None else F.sum(weight)
+    counted = lengths.groupBy(*by, length).agg(rows.alias("_rows"))
     points = F.percentile(length, list(POINTS.values()), F.col("_rows"))
     total = F.coalesce(F.sum("_rows"), F.lit(0))
     checked = counted.groupBy(*by).agg(points.alias("_points"), total.alias("n_rows"))
@@ -41,9 +44,17 @@ def length_percentiles(lengths: DataFrame, by: Sequence[str] = (), length: str =
     return checked.select(*by, "n_rows", *named)
 
 
-def length_cap(lengths: DataFrame, by: Sequence[str] = (), length: str = "length") -> DataFrame:
+def counted_lengths(lengths: DataFrame, by: str, total: str, length: str = "length") -> DataFrame:
+    """Rows per group and length, and once more under the group ``total``: one scan serves both."""
+    counted = lengths.groupBy(by, length).agg(F.count("*").alias("_rows"))
+    return counted.withColumn(by, F.explode(F.array(F.col(by), F.lit(total))))
+
+
+def length_cap(
+    lengths: DataFrame, by: Sequence[str] = (), length: str = "length", weight: Column | None = None
+) -> DataFrame:
     """The percentiles with ``max_length``: p95 held between the fixed bounds."""
-    measured = length_percentiles(lengths, by, length)
+    measured = length_percentiles(lengths, by, length, weight)
     cap = F.greatest(F.lit(fv.MIN_CAP), F.least(F.lit(fv.MAX_CAP), F.col("p95")))
     return measured.withColumn("max_length", cap.cast("int"))
 

@@ -33,6 +33,15 @@ def shifted_positions(df: DataFrame, logits: str, labels: str) -> DataFrame:
     return df.select(*others, F.inline(pairs))
 
 
+def perplexity_with_total(losses: DataFrame, by: str, total: str, loss: str = "loss") -> DataFrame:
+    """Perplexity per value of ``by`` and over all, from one pass over the losses."""
+    sums = losses.groupBy(by).agg(F.count("*").alias("n_positions"), F.sum(loss).alias("_sum"))
+    both = sums.withColumn(by, F.explode(F.array(F.col(by), F.lit(total))))
+    means = both.groupBy(by).agg(
+        F.sum("n_positions").alias("n_positions"), (F.sum("_sum") / F.sum("n_positions")).alias("eval_loss"))
+    return means.withColumn("perplexity", F.exp("eval_loss"))
+
+
 def perplexity(losses: DataFrame, by: Sequence[str | Column] = (), loss: str = "loss") -> DataFrame:
     """Mean loss and its exponent, which is infinite when it overflows."""
     means = losses.groupBy(*by).agg(F.count("*").alias("n_positions"), F.avg(loss).alias("eval_loss"))

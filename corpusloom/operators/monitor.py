@@ -16,18 +16,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
+from corpusloom.functions import plan_math as pm
 from corpusloom.functions import reset_chain as rc
 from corpusloom.functions.windows import sigma_of_last, slope_of_last
-from corpusloom.operators.chains import KEYS, chain_ends, incoming_values, map_groups, summary_row
+from corpusloom.operators.chains import KEYS, chain_ends, map_groups, summary_row
 from corpusloom.operators.series import number_in_group
-from corpusloom.session import stage_table
 
 NO_RESULT = 290.0  # powers of ten that a double can hold, with a margin
+PER_RUN = ["steps_total", "warmup", "hard_cap_step", "window", "slope_window", "history"]
 
 
 @dataclass(frozen=True)
 class MonitorSettings:
-    """Settings of the monitor; the defaults are the values used at call time."""
+    """Settings of the monitor; the defaults are the values used at call time.
+
+    The fields in ``PER_RUN`` may differ from run to run: ``runs``, a table
+    ``run_id`` and those fields, then takes their place.
+    """
 
     steps_total: int = 1
     warmup: int = 0
@@ -45,6 +50,7 @@ class MonitorSettings:
     slope_window: int = 96
     history: int = 42
     block_rows: int = 1024
+    runs: DataFrame | None = None
 
     @classmethod
     def for_run(cls, steps_total: int, window: int = fv.MONITOR["window"], **options) -> MonitorSettings:
@@ -53,28 +59,56 @@ class MonitorSettings:
         sizes = {"window": window, "slope_window": max(48, int(0.75 * window)), "history": max(24, window // 3)}
         return cls(steps_total=max(1, steps_total), **{**sizes, **options})
 
+    @classmethod
+    def for_runs(cls, plan: DataFrame, **options) -> MonitorSettings:
+        """Settings of many runs from their plan.
+
+        ``plan`` has ``run_id, total_steps, warmup_steps, hard_cap_step``, as
+        the run plan makes them; windows follow from the steps.
+        """
+        steps = F.greatest(F.col("total_steps"), F.lit(1))
+        window = pm.monitor_window(steps)
+        runs = plan.select(
+            "run_id", steps.alias("steps_total"), F.col("warmup_steps").alias("warmup"), "hard_cap_step",
+            window.alias("window"), pm.slope_window(window).alias("slope_window"),
+            pm.history_needed(window).alias("history"))
+        # One number for all runs: the longest window, a hundredth and a half of the longest run.
+        longest = runs.agg(F.max(F.greatest("window", "slope_window"))).first()[0] or 128
+        return cls(runs=runs, window=int(longest), **options)
+
     @property
     def lookback(self) -> int:
         """Earlier records that the windows of one record reach back to."""
         return max(self.window, self.slope_window) - 1
 
-    def with_block(self) -> MonitorSettings:
-        """Blocks long enough for the windows and within floating-point range."""
-        rows = max(self.block_rows, self.lookback)
+    @property
+    def window_rows(self) -> int:
+        """Rows of a block of windows; never below the lookback."""
+        return max(self.block_rows, self.lookback)
+
+    @property
+    def smooth_rows(self) -> int:
+        """Rows of a block of the moving average, short enough for powers of ``beta`` in a double."""
         if not 0 < self.beta < 1:
             raise ValueError("beta must lie between 0 and 1")
-        room = int(NO_RESULT / -math.log10(self.beta)) - self.lookback
-        if room < max(self.lookback, 1):
-            raise ValueError("beta is too small for windows of this length")
-        return replace(self, block_rows=min(rows, room))
+        return max(1, min(self.block_rows, int(NO_RESULT / -math.log10(self.beta))))
+
+    def on(self, records: DataFrame) -> DataFrame:
+        """Records with the settings of their run in columns that begin with ``_``."""
+        if self.runs is None:
+            return records.withColumns({
+                f"_{name}": F.lit(getattr(self, name)).cast("bigint") for name in PER_RUN})
+        own = self.runs.select("run_id", *[F.col(name).cast("bigint").alias(f"_{name}") for name in PER_RUN])
+        return records.join(own, "run_id")
 
 
 # --- records ------------------------------------------------------------------
 
-def accepted_records(logs: DataFrame, order: str = "loss") -> DataFrame:
-    """Records with a loss, one per step: the first in ``order``.
+def accepted_records(logs: DataFrame, order: str = "arrival") -> DataFrame:
+    """Records with a loss, one per step: the first to arrive.
 
-    Grouping by run and step combines on the map side and spreads a long run.
+    ``order`` is the column that tells arrival.  Grouping by run and step
+    combines on the map side and spreads a long run.
     """
     kept = [c for c in logs.columns if c not in ("run_id", "step")]
     first = F.min_by(F.struct(*kept), order).alias("_first")
@@ -83,22 +117,22 @@ def accepted_records(logs: DataFrame, order: str = "loss") -> DataFrame:
     )
 
 
-def numbered_records(records: DataFrame, dense: bool = False) -> DataFrame:
-    """Add ``n``, the number of the record in its run, by step.
-
-    ``dense`` says that the steps of every run are 1, 2, 3 … already.
-    """
-    if dense:
-        return records.withColumn("n", F.col("step").cast("bigint"))
-    return number_in_group(records, "run_id", ["step"], F.floor(F.col("step") / 1024))
+def numbered_records(records: DataFrame) -> DataFrame:
+    """Add ``n``, the number of the record in its run, by step."""
+    return number_in_group(records, "run_id", ["step"], [F.floor(F.col("step") / 1024)])
 
 
 def event_log(events: DataFrame) -> DataFrame:
-    """An event table as a training log: a run per user, events as its steps."""
-    log = events.select(F.col("user_id").alias("run_id"), "ts", "event_id", F.col("value").alias("loss"))
-    hour = F.date_trunc("hour", "ts")
-    return number_in_group(log, "run_id", ["ts", "event_id"], hour, "step").select(
-        "run_id", "step", "loss", F.lit(None).cast("double").alias("lr")
+    """An event table as a training log: a run per user, events as its steps.
+
+    Blocks are seconds within hours, so the events of a busy hour are numbered
+    in many tasks.
+    """
+    log = events.select(
+        F.col("user_id").alias("run_id"), "ts", F.col("event_id").alias("arrival"), F.col("value").alias("loss"))
+    blocks = [F.date_trunc("hour", "ts"), F.date_trunc("second", "ts")]
+    return number_in_group(log, "run_id", ["ts", "arrival"], blocks, "step").select(
+        "run_id", "step", "arrival", "loss", F.lit(None).cast("double").alias("lr")
     )
 
 
@@ -108,96 +142,59 @@ def _is_wild(value: Column) -> Column:
     return F.isnan(value) | (F.abs(value) == float("inf"))
 
 
-def _lr_counts(s: MonitorSettings) -> Column:
+def _lr_counts() -> Column:
     """The learning rate where it counts towards the highest one seen."""
-    open_gates = _warm(s) & _exposed(s)
-    return F.when(open_gates & ~F.isnan("lr"), F.col("lr"))
-
-
-def _warm(s: MonitorSettings) -> Column:
-    return F.col("step") >= s.warmup
-
+    return F.when(F.col("_warm") & F.col("_exposed") & ~F.isnan("lr"), F.col("lr"))
 
-def _exposed(s: MonitorSettings) -> Column:
-    return F.greatest(F.col("step"), F.lit(0)) / s.steps_total >= s.exposure_floor
 
+def smoothed(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Add ``ema``, the gates and the settings of the run.
 
-def smoothed(numbered: DataFrame, settings: MonitorSettings, lookback: int | None = None) -> DataFrame:
-    """Add ``ema`` and the highest learning rate so far, block by block.
-
-    The moving average is linear, so a block's values are its own weighted
-    sums plus a share of one carried value.  ``_borrowed`` marks copies of the
-    last ``lookback`` records of the block before, which windows may need.
+    The moving average is linear, so the values of a block are its own
+    weighted sums plus a share of one carried value.
     """
-    s = settings.with_block()
-    borrow = s.lookback if lookback is None else lookback
-    size, beta = s.block_rows, s.beta
-    own = F.floor((F.col("n") - 1) / size)
-    at = (F.col("n") - 1) % size
+    s = settings
+    size, beta = s.smooth_rows, s.beta
+    block, at = F.floor((F.col("n") - 1) / size), (F.col("n") - 1) % size
     share = F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.lit(1.0 - beta))
-    rows = numbered.withColumns({
-        "_own": own, "_at": at,
+    exposed = F.greatest(F.col("step"), F.lit(0)) / F.greatest("_steps_total", F.lit(1)) >= s.exposure_floor
+    rows = s.on(numbered).withColumns({
+        "_block": block, "_at": at, "_warm": F.col("step") >= F.col("_warmup"), "_exposed": exposed,
         "_x": F.when(_is_wild(F.col("loss")), F.lit(0.0)).otherwise(share * F.col("loss")),
         "_wild": F.when(_is_wild(F.col("loss")), F.col("loss")),
-        "_lr": _lr_counts(s),
-    })
-    cut = size - borrow
-    before_cut = F.col("_at") < cut
-
-    def decayed(length: int) -> Column:
-        return F.col("_x") * F.pow(F.lit(beta), F.lit(length - 1) - F.col("_at"))
-
-    sums = rows.groupBy("run_id", "_own").agg(
-        F.sum(decayed(size)).alias("_end"),
-        F.sum(F.when(before_cut, decayed(cut))).alias("_mid"),
-        F.sum("_wild").alias("_wild_all"),
-        F.sum(F.when(before_cut, F.col("_wild"))).alias("_wild_mid"),
-        F.max("_lr").alias("_top"),
+    }).withColumn("_lr", _lr_counts())
+    sums = rows.groupBy("run_id", "_block").agg(
+        F.sum(F.col("_x") * F.pow(F.lit(beta), F.lit(size - 1) - F.col("_at"))).alias("_end"),
+        F.sum("_wild").alias("_wild_all"), F.max("_lr").alias("_top"),
     )
     # Ends further back than this have no weight left in a double.
     reach = max(1, math.ceil(320 / (size * -math.log10(beta))))
-    by_block = Window.partitionBy("run_id").orderBy("_own")
-    near = by_block.rowsBetween(-reach, -1)
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    by_block = Window.partitionBy("run_id").orderBy("_block")
+    near, earlier = by_block.rowsBetween(-reach, -1), by_block.rowsBetween(Window.unboundedPreceding, -1)
     ended = F.aggregate(
         F.collect_list("_end").over(near), F.lit(0.0), lambda acc, x: acc * F.lit(beta ** size) + x
     )
     carry = sums.select(
-        "run_id", (F.col("_own") + 1).alias("block"),
-        (ended * beta ** cut + F.coalesce("_mid", F.lit(0.0))).alias("_carry"),
-        F.when(
-            F.sum("_wild_all").over(earlier).isNotNull() | F.col("_wild_mid").isNotNull(),
-            F.coalesce(F.sum("_wild_all").over(earlier), F.lit(0.0)) + F.coalesce("_wild_mid", F.lit(0.0)),
-        ).alias("_carry_wild"),
-        F.greatest(F.max("_top").over(earlier), F.col("_top")).alias("_carry_top"),
-    )
-    copies = F.when(F.col("_at") >= cut, F.array(own, own + 1)).otherwise(F.array(own))
-    # Every block but the first begins `borrow` records early.
-    place = (
-        F.col("n") - 1 - F.col("block") * size + F.when(F.col("block") > 0, F.lit(borrow)).otherwise(0)
-    ).cast("int")
-    blocks = rows.withColumn("block", F.explode(copies)).join(carry, ["run_id", "block"], "left").withColumns({
-        "_place": place, "_borrowed": F.col("block") != F.col("_own"),
-    })
-    so_far = Window.partitionBy("run_id", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    local = F.sum(F.col("_x") * F.pow(F.lit(beta), -F.col("_place"))).over(so_far)
-    settled = F.coalesce("_carry", F.lit(0.0)) * F.pow(F.lit(beta), F.col("_place") + 1) + local * F.pow(
-        F.lit(beta), F.col("_place")
-    )
-    wild = F.sum("_wild").over(so_far)
-    broken = F.when(
-        wild.isNotNull() | F.col("_carry_wild").isNotNull(),
-        F.coalesce(wild, F.lit(0.0)) + F.coalesce("_carry_wild", F.lit(0.0)),
-    )
+        "run_id", "_block", ended.alias("_carry"), F.sum("_wild_all").over(earlier).alias("_carry_wild"),
+        F.max("_top").over(earlier).alias("_carry_top"))
+    so_far = Window.partitionBy("run_id", "_block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    local = F.sum(F.col("_x") * F.pow(F.lit(beta), -F.col("_at"))).over(so_far)
+    settled = F.col("_carry") * F.pow(F.lit(beta), F.col("_at") + 1) + local * F.pow(F.lit(beta), F.col("_at"))
+    broken = F.coalesce(F.sum("_wild").over(so_far) + F.col("_carry_wild"), F.sum("_wild").over(so_far), "_carry_wild")
     top = F.greatest(F.max("_lr").over(so_far), F.col("_carry_top"), F.lit(0.0))
-    return blocks.withColumns({
+    lr_ok = F.lit(True)
+    if s.lr_fraction < 1.0:
+        lr_ok = F.coalesce(F.col("lr") <= F.col("_top_lr") * s.lr_fraction + 1e-12, F.lit(True))
+    return rows.join(carry, ["run_id", "_block"]).withColumns({
         "ema": F.coalesce(settled + broken, settled), "_top_lr": top,
-    }).select(*numbered.columns, "block", "_borrowed", "ema", "_top_lr")
+    }).select(
+        *numbered.columns, "ema", F.col("_warm").alias("warm"), F.col("_exposed").alias("exposed"),
+        lr_ok.alias("lr_ok"), (F.col("n") >= F.col("_history")).alias("enough"), "_window", "_slope_window")
 
 
 def ema_series(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     """The smoothed loss of every record."""
-    return smoothed(numbered, settings, lookback=0).drop("block", "_borrowed", "_top_lr")
+    return smoothed(numbered, settings).select(*numbered.columns, "ema")
 
 
 def ema_final(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
@@ -207,106 +204,94 @@ def ema_final(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     )
 
 
-def gate_flags(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Add the gates ``warm``, ``exposed``, ``lr_ok`` and ``enough``."""
-    s = settings
-    lr_ok = F.lit(True)
-    if s.lr_fraction < 1.0:
-        lr_ok = F.coalesce(F.col("lr") <= F.col("_top_lr") * s.lr_fraction + 1e-12, F.lit(True))
-    return smooth.withColumns({
-        "warm": _warm(s), "exposed": _exposed(s), "lr_ok": lr_ok, "enough": F.col("n") >= s.history,
-    })
-
-
-def window_stats(rows: dict, s: MonitorSettings):
-    """Which rows are the block's own, and their spread and slope."""
-    own = ~rows["_borrowed"].astype(bool)
-    known, fresh = rows["ema"].astype(float), int(own.sum())
-    with np.errstate(invalid="ignore"):
-        sigma = np.maximum(sigma_of_last(known, fresh, s.window), s.sigma_floor)
-        return own, sigma, slope_of_last(known, fresh, s.slope_window)
+def gate_flags(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """The gates ``warm``, ``exposed``, ``lr_ok`` and ``enough`` of every record."""
+    return smoothed(numbered, settings).select("run_id", "n", "warm", "exposed", "lr_ok", "enough")
 
 
-def monitor_trace(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Everything about a record but its best and its decision.
+def window_blocks(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Records in blocks of a run, with the last ``lookback`` records of the block before.
 
-    Adds ``ema``, the robust ``sigma`` and the ``slope`` over the last values,
-    and the gates; ``block`` stays for the operators that follow.  A median
-    per window is far cheaper over numpy windows of a whole block than over an
-    array per row, so spread and slope are computed on Arrow batches.
+    ``_borrowed`` marks those copies, which the windows of a block look back at.
     """
-    s = settings.with_block()
-    kept = [c for c in numbered.columns if c != "lr"] + [
-        "block", "ema", "warm", "exposed", "lr_ok", "enough",
-    ]
-
-    def spread(rows):
-        own, sigma, slope = window_stats(rows, s)
-        return {**{c: rows[c][own] for c in kept}, "sigma": sigma, "slope": slope}
-
-    gated = gate_flags(smoothed(numbered, s), s).select(*kept, "_borrowed")
-    kinds = dict(gated.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in kept)
-    return map_groups(
-        gated, ["run_id", "block"], "n", spread, f"{schema}, sigma double, slope double"
-    )
+    size = settings.window_rows
+    own, at = F.floor((F.col("n") - 1) / size), (F.col("n") - 1) % size
+    copies = F.when(at >= size - settings.lookback, F.array(own, own + 1)).otherwise(F.array(own))
+    return smooth.withColumn("block", F.explode(copies)).withColumn("_borrowed", F.col("block") != own)
 
 
-# --- best so far --------------------------------------------------------------
+def window_stats(rows: dict, s: MonitorSettings, sigma: bool = True, slope: bool = True) -> dict:
+    """Spread and slope of a block's own rows; those that are not asked for are left out."""
+    fresh = int((~rows["_borrowed"].astype(bool)).sum())
+    known, made = rows["ema"].astype(float), {}
+    with np.errstate(invalid="ignore"):
+        if sigma:
+            made["sigma"] = np.maximum(sigma_of_last(known, fresh, int(rows["_window"][0])), s.sigma_floor)
+        if slope:
+            made["slope"] = slope_of_last(known, fresh, int(rows["_slope_window"][0]))
+    return made
 
-def best_levels(ema: np.ndarray) -> np.ndarray:
-    """Levels of the best-so-far chain: a new best must be lower by a margin."""
-    level = np.nextafter(ema + fv.BEST_MARGIN, np.inf)
-    return np.where(np.isfinite(ema), level, rc.NEVER)
 
+def with_windows(smooth: DataFrame, settings: MonitorSettings, sigma: bool = True, slope: bool = True) -> DataFrame:
+    """Add the robust ``sigma`` and the ``slope`` over the last values to smoothed records.
 
-def best_incoming(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """The best, and the record that set it, with which each block begins."""
-    smooth = smoothed(numbered, settings, lookback=0)
+    A median per window is far cheaper over numpy windows of a whole block
+    than over an array per row, so both are computed on Arrow batches.
+    """
+    s = replace(settings, runs=None)  # goes to the tasks
+    kept = [c for c in smooth.columns if c not in ("lr", "_window", "_slope_window")]
+    kinds = dict(smooth.dtypes)
+    schema = ", ".join([f"{c} {kinds[c]}" for c in kept] + [
+        f"{name} double" for name, wanted in (("sigma", sigma), ("slope", slope)) if wanted])
 
-    def block_summary(rows):
-        ema = rows["ema"].astype(float)
-        summary = rc.summarise(best_levels(ema), ema, np.zeros(len(ema), bool), rows["n"])
-        return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
+    def work(rows):
+        own = ~rows["_borrowed"].astype(bool)
+        return {**{c: rows[c][own] for c in kept}, **window_stats(rows, s, sigma, slope)}
+    blocks = window_blocks(smooth.drop("lr"), s)
+    return map_groups(blocks, ["run_id", "block"], "n", work, schema)
 
-    per_block = map_groups(
-        smooth.select("run_id", "block", "n", "ema"), ["run_id", "block"], "n", block_summary,
-        f"{KEYS}, {rc.SUMMARY}",
-    )
-    return incoming_values(per_block, float("inf"))
 
+def monitor_trace(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Everything about a record but its decision: average, best, spread, slope and gates."""
+    return with_windows(best_so_far(smoothed(numbered, settings), settings), settings)
 
-def best_in_block(ema: np.ndarray, n: np.ndarray, best: float, best_n: int):
-    """Best value and records since it, for every record of a block."""
-    fired, _ = rc.follow(best_levels(ema), ema, np.zeros(len(ema), bool), best)
-    changes = np.zeros(len(ema), int)
-    changes[fired] = 1
-    which = changes.cumsum()
-    values = np.concatenate(([best], ema[fired]))[which]
-    marks = np.concatenate(([best_n], n[fired]))[which]
-    return values, n - marks
 
+# --- best so far --------------------------------------------------------------
 
-def since_best(rows: DataFrame, numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
+def best_so_far(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
     """Add ``best_ema``, ``since_best`` and the ``cooldown`` that follows a best.
 
-    ``rows`` is the trace of the ``numbered`` records, or any other table with
-    their ``block``, ``n`` and ``ema``.
+    A record is a new best when it is lower than all before it by a margin.
+    Blocks pass on their lowest value, and then their last best.
     """
-    def fill(block):
-        best, since = best_in_block(
-            block["ema"].astype(float), block["n"], block["value_in"][0], int(block["mark_in"][0])
-        )
-        return {**block, "best_ema": best, "since_best": since}
-
-    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-    begun = best_incoming(numbered, settings)
-    filled = map_groups(
-        rows.join(begun, ["run_id", "block"]), ["run_id", "block"], "n", fill,
-        f"{schema}, best_ema double, since_best bigint",
-    )
-    left = F.greatest(F.lit(settings.cooldown) - F.col("since_best"), F.lit(0))
-    return filled.withColumn("cooldown", F.when(F.col("best_ema") == float("inf"), 0).otherwise(left))
+    size = settings.block_rows
+    finite = F.when(~_is_wild(F.col("ema")), F.col("ema"))
+    blocks = smooth.withColumn("_block", F.floor((F.col("n") - 1) / size))
+    earlier = Window.partitionBy("run_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("run_id", "_block").orderBy("n")
+    lows = blocks.groupBy("run_id", "_block").agg(F.min(finite).alias("_low")).select(
+        "run_id", "_block", F.min("_low").over(earlier).alias("_low"))
+    low = F.least("_low", F.min(finite).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    fresh = finite.isNotNull() & F.coalesce(finite < low - fv.BEST_MARGIN, F.lit(True))
+    marked = blocks.join(lows, ["run_id", "_block"]).withColumn("_best", F.when(fresh, F.struct("n", "ema")))
+    carried = marked.groupBy("run_id", "_block").agg(F.max("_best").alias("_carried")).select(
+        "run_id", "_block", F.max("_carried").over(earlier).alias("_carried"))
+    best = F.greatest("_carried", F.max("_best").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    since = F.col("n") - F.coalesce(F.col("_held.n"), F.lit(0))
+    return marked.join(carried, ["run_id", "_block"]).withColumn("_held", best).select(
+        *smooth.columns, F.coalesce("_held.ema", F.lit(float("inf"))).alias("best_ema"), since.alias("since_best"),
+        F.when(F.col("_held").isNull(), 0).otherwise(
+            F.greatest(F.lit(settings.cooldown) - since, F.lit(0))).alias("cooldown"))
+
+
+def best_in_block(ema: np.ndarray, n: np.ndarray, best: float, best_n: int):
+    """Best value and records since it, for consecutive records after a best."""
+    values = np.where(np.isfinite(ema), ema, np.inf)
+    low = np.minimum.accumulate(np.concatenate(([best], values)))[:-1]
+    with np.errstate(invalid="ignore"):
+        fresh = np.isfinite(values) & ((values < low - fv.BEST_MARGIN) | np.isinf(low))
+    which = np.maximum.accumulate(np.where(fresh, np.arange(1, len(ema) + 1), 0))
+    return np.concatenate(([best], ema))[which], n - np.concatenate(([best_n], n))[which]
 
 
 def trend_flags(followed: DataFrame, settings: MonitorSettings) -> DataFrame:
@@ -343,36 +328,58 @@ def decision_items(s: MonitorSettings, n, ema, sigma, slope, since, warm, expose
     return level, flagged
 
 
-def stop_decisions(logs: DataFrame, settings: MonitorSettings, dense: bool = False) -> DataFrame:
+def incoming_range(rows: dict, s: MonitorSettings) -> tuple[float, float]:
+    """Bounds of the reference value with which a block begins.
+
+    It is an earlier average, so not below their lowest.  If the record before
+    could move it, it either did or failed to, and then the reference is less
+    than the largest drop above that record.
+    """
+    before = np.flatnonzero(rows["_borrowed"].astype(bool))
+    if not len(before):
+        return -np.inf, np.inf
+    last = before[-1]
+    ema, best = float(rows["ema"][last]), float(rows["best_ema"][last])
+    slack = 1e-9 * (1 + abs(ema))
+    known = np.isfinite(ema) and bool(rows["lr_ok"][last])
+    return best - slack, ema + s.min_drop + slack if known else np.inf
+
+
+def stop_decisions(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
     """The first stop of every run that stops: ``run_id, stop_step, reason``.
 
-    The hard cap needs no loss and comes first, so records from the cap on
-    are never looked at.
+    ``logs`` has ``run_id, step, arrival, loss, lr``.  Of the records of a step
+    the first to arrive counts, null losses are no records.  The hard cap
+    needs no loss and comes first, so records from the cap on are never looked
+    at.  Without a table of runs, every run has the same settings; with one,
+    runs that are not in it are left out.
     """
-    s = settings.with_block()
+    s = settings
     capped = hard_cap_stops(logs, s)
-    before = logs if s.hard_cap_step is None else logs.filter(F.col("step") < s.hard_cap_step)
-    records = before.filter(F.col("loss").isNotNull()) if dense else accepted_records(before)
-    numbered = numbered_records(records, dense)
-    if not dense:
-        # Read several times below; numbering it again each time costs more.
-        numbered = stage_table(numbered, "numbered")
+    if s.runs is None:
+        before = logs if s.hard_cap_step is None else logs.filter(F.col("step") < s.hard_cap_step)
+    else:
+        caps = s.runs.select("run_id", F.col("hard_cap_step").alias("_cap"))
+        before = logs.join(caps, "run_id").filter(F.coalesce(F.col("step") < F.col("_cap"), F.lit(True))).drop("_cap")
+
+    s = replace(settings, runs=None)  # goes to the tasks
 
     def block_summary(rows):
-        own, sigma, slope = window_stats(rows, s)
+        own = ~rows["_borrowed"].astype(bool)
+        if not own.any():
+            return {name: [] for name in ("run_id", "block", *rc.FIELDS, "tail_end")}
+        low, high = incoming_range(rows, s)
+        stats = window_stats(rows, s)
         rows = {name: values[own] for name, values in rows.items()}
-        ema, n = rows["ema"].astype(float), rows["n"]
-        _, since = best_in_block(ema, n, rows["value_in"][0], int(rows["mark_in"][0]))
         gates = [rows[gate].astype(bool) for gate in ("warm", "exposed", "lr_ok", "enough")]
-        level, flagged = decision_items(s, n, ema, sigma, slope, since, *gates)
-        summary = rc.summarise(level, ema, flagged, n, rows["step"])
+        ema, n = rows["ema"].astype(float), rows["n"]
+        level, flagged = decision_items(s, n, ema, stats["sigma"], stats["slope"], rows["since_best"], *gates)
+        summary = rc.summarise(level, ema, flagged, n, rows["step"], low, high)
         return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
 
-    gated = gate_flags(smoothed(numbered, s), s).drop("loss", "lr", "_top_lr")
-    followed = gated.join(best_incoming(numbered, s), ["run_id", "block"])
-    summaries = map_groups(
-        followed, ["run_id", "block"], "n", block_summary, f"{KEYS}, {rc.SUMMARY}"
-    )
+    numbered = numbered_records(accepted_records(before))
+    followed = window_blocks(best_so_far(smoothed(numbered, settings), s).drop("loss", "lr", "arrival", "cooldown"), s)
+    summaries = map_groups(followed, ["run_id", "block"], "n", block_summary, f"{KEYS}, {rc.SUMMARY}")
     stopped = chain_ends(summaries, float("inf")).select(
         "run_id", F.col("end_mark").alias("stop_step"), F.lit("trend").alias("reason")
     )
@@ -382,9 +389,14 @@ def stop_decisions(logs: DataFrame, settings: MonitorSettings, dense: bool = Fal
 
 
 def hard_cap_stops(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """The first record of each run at or past the hard cap, loss or not."""
-    cap = F.lit(False) if settings.hard_cap_step is None else F.col("step") >= settings.hard_cap_step
-    return logs.filter(cap).groupBy("run_id").agg(
+    """The first record of each run at or past its hard cap, loss or not."""
+    if settings.runs is None:
+        cap = F.lit(False) if settings.hard_cap_step is None else F.col("step") >= settings.hard_cap_step
+        reached = logs.filter(cap)
+    else:
+        caps = settings.runs.select("run_id", F.col("hard_cap_step").alias("_cap"))
+        reached = logs.join(caps, "run_id").filter(F.col("step") >= F.col("_cap"))
+    return reached.groupBy("run_id").agg(
         F.min("step").cast("bigint").alias("stop_step"), F.lit("hard_cap").alias("reason")
     )
 

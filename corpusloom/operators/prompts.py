@@ -75,8 +75,8 @@ def render_conversations(turns: DataFrame, mode: str = "math", part_turns: int =
     """A turn table as texts, turns in order.
 
     A conversation is rendered in parts of ``part_turns`` turn numbers, so a
-    huge one is never gathered in one task.  Usual ones have the single part
-    0; the parts of the others, joined by line in order, are the whole text.
+    huge one is rendered in many tasks.  :func:`whole_conversations` joins the
+    parts; a consumer that streams texts can take them as they are.
     """
     part = F.floor(F.col("turn") / part_turns).alias("part")
     lines = turns.select(
@@ -91,6 +91,15 @@ def render_conversations(turns: DataFrame, mode: str = "math", part_turns: int =
     )
 
 
+def whole_conversations(parts: DataFrame) -> DataFrame:
+    """One row per conversation: its rendered parts joined by line, in order."""
+    gathered = parts.groupBy("conv_id").agg(
+        F.sum("n_turns").cast("int").alias("n_turns"),
+        F.sort_array(F.collect_list(F.struct("part", "text"))).alias("parts"))
+    return gathered.select(
+        "conv_id", "n_turns", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
+
+
 def question_answer_pairs(turns: DataFrame, block_size: int = 1024) -> DataFrame:
     """User turns with the assistant turn that directly follows."""
     paired = next_in_group(

@@ -131,9 +131,3 @@ def role_coverage(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.count_if(filled).alias("n_answered"),
         )
     return reduce(DataFrame.unionByName, [count(n, d) for n, d in tables.items()])
-
-
-def columns_missing(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """The given names that the table does not have, compared in lower case."""
-    present = {c.lower() for c in df.columns}
-    return [n for n in names if n.lower() not in present]

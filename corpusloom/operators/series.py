@@ -44,23 +44,34 @@ def next_in_group(
 
 
 def number_in_group(
-    df: DataFrame, group: str, order: Sequence[str], block: Column, name: str = "n"
+    df: DataFrame, group: str, order: Sequence[str], blocks: Sequence[Column], name: str = "n"
 ) -> DataFrame:
     """Number the rows of each group from 1 in the given order.
 
-    ``block`` must never fall as the order rises.  Rows are numbered inside
-    their block; the rows of earlier blocks are added from a count per block.
+    ``blocks`` go from coarse to fine, and none may fall as the order rises.
+    Rows are numbered inside their finest block; the rows of earlier blocks
+    are added from counts, level by level, so that each sum runs over the
+    blocks of one coarser block only.
     """
-    rows = df.withColumn(BLOCK, block)
-    sizes = rows.groupBy(group, BLOCK).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        group, BLOCK, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
-    )
-    inside = F.row_number().over(Window.partitionBy(group, BLOCK).orderBy(*order))
+    levels = [f"{BLOCK}{i}" for i in range(len(blocks))]
+    rows = df.withColumns(dict(zip(levels, blocks)))
+    finest = rows.groupBy(group, *levels).agg(F.count("*").alias("_size"))
+
+    def offsets(sizes: DataFrame, keys: list[str]) -> DataFrame:
+        """Rows before each block, from the sizes of blocks under ``keys``."""
+        before = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        placed = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        if len(keys) == 2:
+            return placed
+        coarse = sizes.groupBy(*keys[:-1]).agg(F.sum("_size").alias("_size"))
+        above = offsets(coarse, keys[:-1]).select(*keys[:-1], F.col("_before").alias("_above"))
+        return placed.join(above, keys[:-1]).withColumn("_before", F.col("_before") + F.col("_above")).drop("_above")
+
+    keys = [group, *levels]
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
         rows.withColumn("_inside", inside)
-        .join(offsets, [group, BLOCK])
+        .join(offsets(finest, keys).drop("_size"), keys)
         .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop(BLOCK, "_before", "_inside")
+        .drop(*levels, "_before", "_inside")
     )

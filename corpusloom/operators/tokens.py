@@ -17,6 +17,7 @@ RESERVED = [
     "<pad>", "<bos>", "<eos>", "<unk>",
     fv.USER_MARK, fv.IMAGE_MARK, fv.END_MARK, fv.ASSISTANT_MARK,
 ]
+MOST_TOKENS = 1_000_000
 ASSISTANT_ID = RESERVED.index(fv.ASSISTANT_MARK)
 
 
@@ -54,7 +55,11 @@ def lookup_value(vocabulary: DataFrame, k: int) -> Column:
     bounded by the parameter and not by the data.  Looking a token up scans
     the few entries of one map, inside the row's own task: encoding needs
     neither a join per token nor a shuffle to gather a text's tokens again.
+    The value passes through one row and the driver, about 40 bytes an entry,
+    so ``k`` may be ``MOST_TOKENS`` at most.
     """
+    if not 0 <= k <= MOST_TOKENS:
+        raise ValueError(f"k must lie between 0 and {MOST_TOKENS}")
     slots = max(k // 2, 8)
     slot = F.pmod(F.xxhash64("token"), F.lit(slots))
     filled = with_reserved(vocabulary).groupBy(slot.alias("slot")).agg(
@@ -119,35 +124,3 @@ def encoding_report(df: DataFrame, by: str) -> DataFrame:
     return df.groupBy(by).agg(
         F.count("*").alias("n_rows"), F.count_if(F.size("input_ids") == 0).alias("n_dropped")
     )
-
-
-def encode_with_file(
-    df: DataFrame, text: str, tokenizer_file: str, cap: int, add_special: bool = True
-) -> DataFrame:
-    """Encode with a ``tokenizer.json`` that every executor can read.
-
-    The tokenizer is loaded once per Python worker task and fed whole Arrow
-    batches; only the key columns and the text travel to Python.
-    """
-    schema = (
-        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text)
-    )
-    added = "input_ids array<bigint>, attention_mask array<bigint>, labels array<bigint>, length int"
-    schema = f"{schema}, {added}" if schema else added
-
-    def encode_batches(batches):
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        for batch in batches:
-            coded = tokenizer.encode_batch(
-                batch[text].fillna("").tolist(), add_special_tokens=add_special
-            )
-            batch = batch.drop(columns=[text])
-            batch["input_ids"] = [c.ids[:cap] for c in coded]
-            batch["attention_mask"] = [[1] * len(ids) for ids in batch["input_ids"]]
-            batch["labels"] = batch["input_ids"]
-            batch["length"] = [len(c.ids) for c in coded]
-            yield batch
-
-    return df.mapInPandas(encode_batches, schema)

@@ -7,6 +7,7 @@ patterns are written again here in its dialect.
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 from corpusloom import fixed_values as fv
 from corpusloom.operators.tokens import RESERVED, UNK
@@ -200,9 +201,9 @@ SELECT p.conv_id, p.turn, concat_ws(chr(10) || chr(10), CASE WHEN {strip('questi
        CASE WHEN {strip('answer')} <> '' THEN ca END) AS text
 FROM pairs p JOIN both_parts b ON p.conv_id = b.conv_id AND p.turn = b.turn"""
 CHAT = f"""WITH raw AS (SELECT conv_id, turn, role, text AS t FROM conversations), {cleaned('raw', 'c', 'math')}
-SELECT conv_id, turn // 4 AS part, count(*)::INTEGER AS n_turns,
+SELECT conv_id, count(*)::INTEGER AS n_turns,
        string_agg('<|' || role || '|>' || chr(10) || t || '{fv.END_MARK}', chr(10) ORDER BY turn) AS text
-FROM c GROUP BY conv_id, turn // 4"""
+FROM c GROUP BY conv_id"""
 INSTRUCTION = f"""WITH {PAIRS},
 sys AS (SELECT conv_id, arg_min(text, turn) AS instruction FROM conversations WHERE role = 'system' GROUP BY conv_id),
 raw AS (SELECT p.conv_id, p.turn,
@@ -245,7 +246,7 @@ vocab AS (SELECT token, n, row_number() OVER (ORDER BY n DESC, token) + {len(RES
 known AS (SELECT token, id FROM vocab UNION ALL SELECT * FROM (VALUES {listed}) AS r(token, id))"""
 
 
-def encoded(source: str, key: str, column: str = "t", cap: str = str(q.TOKEN_CAP), bos: int = 1) -> str:
+def encoded(source: str, key: str, column: str = "t", cap: str = "(SELECT v FROM cap)", bos: int = 1) -> str:
     """CTE ``coded``: key, ids and the length before the cut."""
     return f"""
 toks AS (SELECT {key} AS key, {words(column)} AS w FROM {source}),
@@ -255,6 +256,12 @@ coded AS (SELECT key, {'list_concat([1::BIGINT], coalesce(ids, []))' if bos else
           (len(w) + {bos})::INTEGER AS length FROM toks LEFT JOIN looked USING (key))"""
 
 
+def cap(source: str, column: str = "t", bos: int = 1) -> str:
+    """CTE ``cap``: the derived length cap over ``source``."""
+    return (f"cap AS (SELECT greatest({fv.MIN_CAP}, least({fv.MAX_CAP}, "
+            f"floor(quantile_cont(len({words(column)}) + {bos}, 0.95))))::BIGINT AS v FROM {source})")
+
+
 def ones(x: str) -> str:
     return f"list_transform({x}, lambda v: 1)"
 
@@ -263,13 +270,13 @@ def csv(x: str) -> str:
     return f"array_to_string({x}, ',')"
 
 
-DOC_CODES = f"raw AS (SELECT doc_id, text AS t FROM documents), {vocabulary('documents')}, {encoded('raw', 'doc_id')}"
+DOC_CODES = f"raw AS (SELECT doc_id, text AS t FROM documents), {vocabulary('documents')}, {cap('raw')}, {encoded('raw', 'doc_id')}"
 PAIR_CODES = f"""{PAIRS},
-raw AS (SELECT conv_id * 1000 + turn AS pair_id, {VISION_TEXT % ('question', 'answer')} AS t0 FROM pairs),
-marked AS (SELECT pair_id, replace(replace(replace(replace(t0, '{fv.USER_MARK}', ' {fv.USER_MARK} '),
+raw AS (SELECT struct_pack(conv_id := conv_id, turn := turn) AS pair, {VISION_TEXT % ('question', 'answer')} AS t0 FROM pairs),
+marked AS (SELECT pair, replace(replace(replace(replace(t0, '{fv.USER_MARK}', ' {fv.USER_MARK} '),
   '{fv.IMAGE_MARK}', ' {fv.IMAGE_MARK} '), '{fv.END_MARK}', ' {fv.END_MARK} '),
   '{fv.ASSISTANT_MARK}', ' {fv.ASSISTANT_MARK} ') AS t FROM raw),
-{vocabulary('conversations')}, {encoded('marked', 'pair_id')},
+{vocabulary('conversations')}, {cap('marked')}, {encoded('marked', 'pair')},
 answered AS (SELECT key, ids, length,
   CASE WHEN list_contains(ids, 7) THEN list_transform(ids, lambda x, i:
     CASE WHEN i <= len(ids) - list_position(list_reverse(ids), 7) + 1 THEN -100 ELSE x END)
@@ -278,18 +285,18 @@ VOCAB = f"WITH {vocabulary('documents')} SELECT token, n, id FROM vocab"
 TOKENIZE = f"WITH {DOC_CODES} SELECT key AS doc_id, {csv('ids')} AS ids, length FROM coded"
 LABELS = f"WITH {DOC_CODES} SELECT key AS doc_id, {csv(ones('ids'))} AS mask, {csv('ids')} AS labels FROM coded"
 EXPORT = f"WITH {DOC_CODES} SELECT key AS doc_id, {csv('ids')} AS ids, {csv('ids')} AS labels, length FROM coded"
-ANSWER_ONLY = f"WITH {PAIR_CODES} SELECT key AS pair_id, {csv('ids')} AS ids, {csv('labels')} AS labels FROM answered"
-NONEMPTY_IDS = f"""WITH {DOCS}, {cleaned('raw', 'c', 'math', DENIED)}, {vocabulary('documents')}, {encoded('c', 'doc_id', bos=0)}
+ANSWER_ONLY = f"WITH {PAIR_CODES} SELECT key.conv_id AS conv_id, key.turn AS turn, {csv('ids')} AS ids, {csv('labels')} AS labels FROM answered"
+NONEMPTY_IDS = f"""WITH {DOCS}, {cleaned('raw', 'c', 'math', DENIED)}, {vocabulary('documents')}, {cap('c', bos=0)}, {encoded('c', 'doc_id', bos=0)}
 SELECT source, count(*) AS n_rows, count(*) FILTER (len(ids) = 0) AS n_dropped
 FROM coded JOIN c ON key = doc_id GROUP BY source"""
 
 
-def batched(source: str, part_rows: int = q.PART_ROWS, bucket: str = "least(length // 64, 4095)",
-            order: str = "length DESC, key", name: str = "batched") -> str:
+def batched(source: str, part_rows: int = 65536, bucket: str = "least(length // 64, 4095)",
+            order: str = "length DESC, key", name: str = "batched", key: str = "key::VARCHAR") -> str:
     return f"""
 {name}_b AS (SELECT *, ({bucket})::INTEGER AS bucket FROM {source}),
 {name}_n AS (SELECT bucket, ceil(count(*) / {part_rows})::BIGINT AS parts FROM {name}_b GROUP BY bucket),
-{name}_p AS (SELECT b.*, (('0x' || substr(md5(key::VARCHAR), 1, 8))::BIGINT % parts)::INTEGER AS part
+{name}_p AS (SELECT b.*, (('0x' || substr(md5({key}), 1, 8))::BIGINT % parts)::INTEGER AS part
              FROM {name}_b b JOIN {name}_n USING (bucket)),
 {name}_r AS (SELECT *, row_number() OVER (PARTITION BY bucket, part ORDER BY {order}) - 1 AS rn FROM {name}_p),
 {name} AS (SELECT * EXCLUDE (rn), (rn // {q.BATCH})::INTEGER AS batch, (rn % {q.BATCH})::INTEGER AS slot FROM {name}_r)"""
@@ -305,9 +312,9 @@ def filled(x: str, filler: int) -> str:
 WIDE = """wide AS (SELECT *, (ceil(max(len(ids)) OVER (PARTITION BY bucket, part, batch) / 8) * 8)::INTEGER AS width FROM batched)"""
 
 
-def padded(codes: str, source: str, key: str, labels: str) -> str:
-    return f"""WITH {codes}, {batched(source)}, {WIDE}
-SELECT key AS {key}, bucket, part, batch, width, {csv(filled('ids', 0))} AS ids,
+def padded(codes: str, source: str, names: str, labels: str, key: str = "key::VARCHAR") -> str:
+    return f"""WITH {codes}, {batched(source, key=key)}, {WIDE}
+SELECT {names}, bucket, part, batch, width, {csv(filled('ids', 0))} AS ids,
        {csv(filled(ones('ids'), 0))} AS mask, {csv(filled(labels, -100))} AS labels FROM wide"""
 
 
@@ -323,9 +330,9 @@ EFFICIENCY = f"""WITH {DOC_CODES}, {batched('coded', name='g')},
 {efficiency('g', 'grouped')} UNION ALL {efficiency('m', 'mixed')}"""
 FLAGSHIP = f"""WITH {DOCS}, {cleaned('raw', 'c', 'math')},
 kept AS (SELECT doc_id, t FROM c WHERE {strip('t')} <> ''),
-cap AS (SELECT greatest({fv.MIN_CAP}, least({fv.MAX_CAP}, floor(quantile_cont(len({words('t')}) + 1, 0.95))))::BIGINT AS v FROM kept),
-{vocabulary('kept', 't')}, {encoded('kept', 'doc_id', cap='(SELECT v FROM cap)')},
-{batched('coded', 65536)}, {WIDE}
+{cap('kept')},
+{vocabulary('kept', 't')}, {encoded('kept', 'doc_id')},
+{batched('coded')}, {WIDE}
 SELECT bucket, part, batch, width, count(*)::INTEGER AS n_rows,
   {csv(f"flatten(list({filled('ids', 0)} ORDER BY slot))")} AS input_ids,
   {csv(f"flatten(list({filled(ones('ids'), 0)} ORDER BY slot))")} AS attention_mask,
@@ -373,27 +380,34 @@ WITH {LOSSES}, nxt AS (SELECT vec_id // 16 AS sequence, lse, x,
 m AS (SELECT sequence, count(*) AS n_positions, avg(lse - x[target + 1]) AS l FROM nxt
       WHERE target IS NOT NULL AND target <> -100 GROUP BY sequence)
 SELECT sequence, n_positions, {steady('l')} AS eval_loss, {steady('exp(l)')} AS perplexity FROM m"""
-DEDUP = """
-WITH l AS (SELECT user_id AS run_id, event_id, value AS loss,
+EVENT_LOG = """
+log AS (SELECT *, n AS step FROM (SELECT user_id AS run_id, value AS loss,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events))"""
+HOURLY_LOG = """
+hours AS (SELECT user_id AS run_id, event_id, value AS loss,
   floor((epoch_us(ts) // 1000000 - epoch(TIMESTAMP '2024-01-01')) / 3600)::BIGINT AS step FROM events WHERE event_type <> 'error'),
-f AS (SELECT run_id, step, arg_min(loss, event_id) AS loss FROM l GROUP BY run_id, step)
-SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step) AS n, loss FROM f"""
+log AS (SELECT run_id, step, arg_min(loss, event_id) AS loss,
+        row_number() OVER (PARTITION BY run_id ORDER BY step) AS n FROM hours GROUP BY run_id, step)"""
 
 
-def series(scale: float = 1.0, s=q.TREND) -> str:
+def series(scale: float = 1.0, s=q.TREND, log: str = EVENT_LOG) -> str:
     """CTE ``traced``: smoothed loss, best, spread, slope and gates per record."""
-    return f"""
-log AS (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
-        value / {scale}::DOUBLE AS loss FROM events),
-e AS (SELECT run_id, n, sum(CASE WHEN n = 1 THEN loss ELSE (1 - {s.beta}::DOUBLE) * loss END * pow({s.beta}::DOUBLE, -n))
-        OVER (PARTITION BY run_id ORDER BY n) * pow({s.beta}::DOUBLE, n) AS ema,
+    return f"""{log},
+e AS (SELECT * REPLACE (loss / {scale}::DOUBLE AS loss),
       0.001::DOUBLE * least(n / 10.0::DOUBLE, greatest((70 - n) / 60.0::DOUBLE, 0)) AS lr FROM log),
+e_at AS (SELECT *, (n - 1) // 1000 AS part, (n - 1) % 1000 AS place FROM e),
+e_own AS (SELECT *, sum(CASE WHEN n = 1 THEN loss ELSE (1 - {s.beta}::DOUBLE) * loss END * pow({s.beta}::DOUBLE, -place))
+          OVER (PARTITION BY run_id, part ORDER BY n) * pow({s.beta}::DOUBLE, place) AS own FROM e_at),
+e_ends AS (SELECT run_id, part + 1 AS part, own AS carried FROM e_own WHERE place = 999),
+ema AS (SELECT o.* EXCLUDE (part, place, own), own + coalesce(carried, 0) * pow({s.beta}::DOUBLE, place + 1) AS ema
+        FROM e_own o LEFT JOIN e_ends USING (run_id, part)),
 f AS (SELECT *, min(ema) OVER (PARTITION BY run_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low,
   greatest(CASE WHEN least(n, {s.window}) < 3 THEN 0 ELSE 1.4826 * mad(ema) OVER w END, {s.sigma_floor}) AS sigma,
   CASE WHEN least(n, {s.slope_window}) < 8 THEN 0 ELSE regr_slope(ema, n) OVER v END AS slope,
-  n >= {s.warmup} AS warm, n / {s.steps_total}::DOUBLE >= {s.exposure_floor}::DOUBLE AS exposed, n >= {s.history} AS enough
-  FROM e WINDOW w AS (PARTITION BY run_id ORDER BY n ROWS BETWEEN {s.window - 1} PRECEDING AND CURRENT ROW),
-               v AS (PARTITION BY run_id ORDER BY n ROWS BETWEEN {s.slope_window - 1} PRECEDING AND CURRENT ROW)),
+  step >= {s.warmup} AS warm, step / {s.steps_total}::DOUBLE >= {s.exposure_floor}::DOUBLE AS exposed,
+  n >= {s.history} AS enough
+  FROM ema WINDOW w AS (PARTITION BY run_id ORDER BY n ROWS BETWEEN ({s.window} - 1) PRECEDING AND CURRENT ROW),
+                  v AS (PARTITION BY run_id ORDER BY n ROWS BETWEEN ({s.slope_window} - 1) PRECEDING AND CURRENT ROW)),
 g AS (SELECT *, low IS NULL OR ema < low - 1e-12 AS fresh FROM f),
 h AS (SELECT *, min(ema) OVER u AS best_ema, n - max(CASE WHEN fresh THEN n END) OVER u AS since_best,
   lr <= max(CASE WHEN warm AND exposed THEN lr END) OVER u * {s.lr_fraction}::DOUBLE + 1e-12 AS lr_known FROM g
@@ -402,6 +416,8 @@ traced AS (SELECT *, coalesce(lr_known, lr <= 1e-12) AS lr_ok, slope >= {s.slope
   since_best >= {s.patience} AND abs(slope) <= {s.slope_threshold} AND sigma <= {max(0.5 * s.sigma_floor, 0.05)} AS plateau FROM h)"""
 
 
+DEDUP = f"WITH {HOURLY_LOG} SELECT run_id, step, n, loss FROM log"
+DEDUP_EMA = f"WITH {series(log=HOURLY_LOG)} SELECT run_id, step, n, {steady('ema')} AS ema FROM traced"
 EMA_SERIES = f"WITH {series()} SELECT run_id, n, {steady('ema')} AS ema FROM traced"
 EMA_FINAL = """
 WITH logs AS (SELECT user_id AS run_id, list(value ORDER BY ts, event_id) AS xs FROM events GROUP BY user_id)
@@ -420,24 +436,44 @@ TRACE = f"""WITH {CALM} SELECT run_id, n AS step, {steady('ema', 6)} AS ema, {st
 FROM traced WHERE warm AND exposed AND enough AND n % 5 = 0"""
 
 
-def decisions(scale: float, s) -> str:
-    cap = 10 ** 9 if s.hard_cap_step is None else s.hard_cap_step
+def decisions(scale: float, s, log: str = EVENT_LOG, cap: str | None = None) -> str:
+    if cap is None:
+        cap = 10 ** 9 if s.hard_cap_step is None else s.hard_cap_step
     passed = "r.warm AND r.exposed AND r.enough"
     improved = f"(w.ref - r.ema >= {s.min_drop} OR (w.ref - r.ema) / (r.sigma + 1e-12) >= {s.min_sigmas})"
-    return f"""WITH RECURSIVE {series(scale, s)},
-records AS MATERIALIZED (SELECT * FROM traced WHERE n < {cap}),
+    return f"""WITH RECURSIVE {series(scale, s, log)},
+records AS MATERIALIZED (SELECT * FROM traced WHERE step < {cap}),
 walk AS (
-  SELECT run_id, n, ema AS ref, false AS stopped FROM records WHERE n = 1
+  SELECT run_id, n, step, ema AS ref, false AS stopped FROM records WHERE n = 1
   UNION ALL
-  SELECT r.run_id, r.n, CASE WHEN NOT ({passed}) OR {improved} THEN r.ema ELSE w.ref END,
+  SELECT r.run_id, r.n, r.step, CASE WHEN NOT ({passed}) OR {improved} THEN r.ema ELSE w.ref END,
          {passed} AND NOT {improved} AND (r.plateau OR r.worsening)
   FROM walk w JOIN records r ON r.run_id = w.run_id AND r.n = w.n + 1 WHERE NOT w.stopped),
 stops AS (
-  SELECT run_id, n AS stop_step, 'trend' AS reason FROM walk WHERE stopped
-  UNION ALL SELECT run_id, {cap}, 'hard_cap' FROM log WHERE n = {cap})
+  SELECT run_id, step AS stop_step, 'trend' AS reason FROM walk WHERE stopped
+  UNION ALL SELECT run_id, min(step), 'hard_cap' FROM every_step WHERE step >= {cap} GROUP BY run_id)
 SELECT run_id, min(stop_step) AS stop_step, arg_min(reason, stop_step) AS reason FROM stops GROUP BY run_id"""
 
 
+EVERY_STEP = ", every_step AS (SELECT * FROM log)"
+# The hard cap also counts steps whose records have no loss.
+EVERY_HOUR = """, every_step AS (SELECT user_id AS run_id,
+  floor((epoch_us(ts) // 1000000 - epoch(TIMESTAMP '2024-01-01')) / 3600)::BIGINT AS step FROM events)"""
+PLAN_COLUMNS = SimpleNamespace(
+    **{**vars(q.monitor.MonitorSettings()), "steps_total": "steps_total", "warmup": "warmup", "window": "window_rows",
+       "slope_window": "slope_rows", "history": "history"})
+PLANNED_LOG = """
+numbered AS (SELECT ascii(event_type)::BIGINT AS run_id, value AS loss,
+  row_number() OVER (PARTITION BY ascii(event_type) ORDER BY ts, event_id) AS n FROM events),
+sizes AS (SELECT run_id, count(*) AS steps_total FROM numbered GROUP BY run_id),
+planned AS (SELECT *, greatest(75, floor(steps_total * 0.01::DOUBLE)::BIGINT) AS warmup,
+  floor(steps_total * round(0.95::DOUBLE - 0.30::DOUBLE * greatest(least((log10(greatest(steps_total, 10)) - 1) / 4, 1.0), 0.0), 4))::BIGINT AS cap,
+  greatest(128, greatest(96, floor(steps_total * 0.015::DOUBLE)::BIGINT)) AS window_rows FROM sizes),
+log AS (SELECT n.*, n AS step, steps_total, warmup, cap, window_rows,
+  greatest(48, floor(window_rows * 0.75)::BIGINT) AS slope_rows, greatest(24, window_rows // 3) AS history
+  FROM numbered n JOIN planned USING (run_id))"""
+
+
 HARD_CAP = f"""
 SELECT run_id, step AS stop_step, 'hard_cap' AS reason
 FROM (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events)
@@ -475,8 +511,9 @@ ORACLES = {
     "nonempty_ids": NONEMPTY_IDS,
     "tokenized_export": EXPORT,
     "length_grouped_batches": GROUPED,
-    "padded_batches": padded(DOC_CODES, "coded", "doc_id", "ids"),
-    "padded_answer_only": padded(PAIR_CODES, "answered", "pair_id", "labels"),
+    "padded_batches": padded(DOC_CODES, "coded", "key AS doc_id", "ids"),
+    "padded_answer_only": padded(
+        PAIR_CODES, "answered", "key.conv_id AS conv_id, key.turn AS turn", "labels", "key.conv_id || ':' || key.turn"),
     "padding_efficiency": EFFICIENCY,
     "flagship_batches": FLAGSHIP,
     "run_plan": RUN_PLAN,
@@ -484,6 +521,8 @@ ORACLES = {
     "perplexity": PERPLEXITY,
     "perplexity_shifted": PERPLEXITY_SHIFTED,
     "dedup_steps": DEDUP,
+    "dedup_ema": DEDUP_EMA,
+    "dedup_stop": decisions(1.0, q.TREND, HOURLY_LOG + EVERY_HOUR),
     "ema_final": EMA_FINAL,
     "ema_series": EMA_SERIES,
     "since_best": SINCE_BEST,
@@ -492,8 +531,9 @@ ORACLES = {
     "gate_flags": GATES,
     "plateau_worsening": PLATEAU,
     "monitor_trace": TRACE,
-    "stop_decision": decisions(1.0, q.TREND),
-    "stop_decision_calm": decisions(q.CALM_SCALE, q.CALM),
+    "stop_decision": decisions(1.0, q.TREND, EVENT_LOG + EVERY_STEP),
+    "stop_decision_calm": decisions(q.CALM_SCALE, q.CALM, EVENT_LOG + EVERY_STEP),
+    "stop_decision_planned": decisions(q.PLANNED_SCALE, PLAN_COLUMNS, PLANNED_LOG + EVERY_STEP, "cap"),
     "hard_cap_stop": HARD_CAP,
-    "stream_convergence": decisions(1.0, q.TREND),
+    "stream_convergence": decisions(1.0, q.TREND, EVENT_LOG + EVERY_STEP),
 }

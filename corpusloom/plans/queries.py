@@ -21,9 +21,7 @@ from corpusloom.streaming.convergence import follow_folder
 
 SEED = 7
 VOCABULARY = 2000
-TOKEN_CAP = 128
 BATCH = 8
-PART_ROWS = 256  # small, so that the test tables have split buckets too
 EXTRA_DENIED = ["@", "License"]
 # Decimal ties would round by floating-point noise; this moves values off them.
 OFF_TIES = 0.1372639
@@ -34,6 +32,7 @@ CALM = monitor.MonitorSettings(
     **SMALL, sigma_floor=0.004, min_drop=0.001, slope_threshold=0.0004
 )
 CALM_SCALE = 1000.0
+PLANNED_SCALE = 100.0
 
 
 def steady(value: Column, digits: int = 4) -> Column:
@@ -122,7 +121,7 @@ def nonempty_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chat_render(spark: SparkSession, sf: str) -> DataFrame:
-    return prompts.render_conversations(table(spark, sf, "conversations"), part_turns=4)
+    return prompts.whole_conversations(prompts.render_conversations(table(spark, sf, "conversations")))
 
 
 def causal_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,7 +134,11 @@ def instruction_template(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "conversations").filter(F.col("role") == "system")
         .groupBy("conv_id").agg(F.min_by("text", "turn").alias("instruction"))
     )
-    asked = pairs(spark, sf).join(system, "conv_id", "left")
+    block = F.floor(F.col("turn") / 1024)
+    asked = pairs(spark, sf).withColumn("_block", block)
+    # The instruction goes to each block of a conversation, so a long one is joined in many tasks.
+    told = asked.select("conv_id", "_block").distinct().join(system, "conv_id")
+    asked = asked.join(told, ["conv_id", "_block"], "left")
     text = prompts.instruction_text(
         F.coalesce("instruction", "question"),
         F.when(F.col("instruction").isNotNull(), F.col("question")), F.col("answer"), "code",
@@ -175,9 +178,8 @@ def length_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def auto_max_length(spark: SparkSession, sf: str) -> DataFrame:
-    measured = _lengths(spark, sf)
-    total = lengths.length_cap(measured).withColumn("lang", F.lit("all"))
-    return lengths.length_cap(measured, ["lang"]).unionByName(total)
+    counted = lengths.counted_lengths(_lengths(spark, sf), "lang", "all")
+    return lengths.length_cap(counted, ["lang"], weight=F.col("_rows"))
 
 
 # --- tokens -------------------------------------------------------------------
@@ -187,10 +189,17 @@ def vocab_topk(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.top_vocabulary(docs, F.col("text"), VOCABULARY)
 
 
+def _measured(texts: DataFrame, n_special: int = 1) -> tuple[DataFrame, Column]:
+    """Texts staged with their token counts, and the length cap that follows from them."""
+    staged = stage_table(texts.withColumn("length", lengths.token_length(F.col("text"), n_special)), "measured")
+    return staged.drop("length"), lengths.cap_value(staged)
+
+
 def _encoded(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    """Documents as ids, cut at the derived cap; staged, since batching reads them more than once."""
+    docs, cap = _measured(spread(table(spark, sf, "documents").select("doc_id", "text")))
     vocabulary = tokens.top_vocabulary(docs, F.col("text"), VOCABULARY)
-    return tokens.encode(docs, words(F.col("text")), vocabulary, VOCABULARY, TOKEN_CAP).drop("text")
+    return stage_table(tokens.encode(docs, words(F.col("text")), vocabulary, VOCABULARY, cap).drop("text"), "coded")
 
 
 def tokenize_truncate(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,48 +222,45 @@ def tokenized_export(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _encoded_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    asked = pairs(spark, sf)
     text = prompts.vision_prompt(F.col("question"), F.col("answer"))
-    prepared = asked.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), tokens.split_marks(text).alias("text")
-    )
+    prepared, cap = _measured(pairs(spark, sf).select("conv_id", "turn", tokens.split_marks(text).alias("text")))
     turns = table(spark, sf, "conversations")
     vocabulary = tokens.top_vocabulary(turns, F.col("text"), VOCABULARY)
-    coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, TOKEN_CAP)
-    return coded.drop("text").withColumn(
+    coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, cap)
+    return stage_table(coded.drop("text").withColumn(
         "labels", answer_only(F.col("input_ids"), tokens.ASSISTANT_ID)
-    )
+    ), "coded")
 
 
 def answer_only_labels(spark: SparkSession, sf: str) -> DataFrame:
     return _encoded_pairs(spark, sf).select(
-        "pair_id", joined(F.col("input_ids")).alias("ids"), joined(F.col("labels")).alias("labels")
+        "conv_id", "turn", joined(F.col("input_ids")).alias("ids"), joined(F.col("labels")).alias("labels")
     )
 
 
 def nonempty_ids(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
     cleaned = clean_text(F.col("text"), "math", denylist=fv.DENYLIST + EXTRA_DENIED)
-    prepared = add_once(docs, text=cleaned)
+    prepared, cap = _measured(add_once(docs, text=cleaned), n_special=0)
     vocabulary = tokens.top_vocabulary(docs, F.col("text"), VOCABULARY)
-    coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, TOKEN_CAP, add_bos=False)
+    coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, cap, add_bos=False)
     return tokens.encoding_report(coded, "source")
 
 
 # --- batches ------------------------------------------------------------------
 
 def _batched(spark: SparkSession, sf: str) -> DataFrame:
-    return batches.length_batches(_encoded(spark, sf), "doc_id", BATCH, part_rows=PART_ROWS)
+    return batches.length_batches(_encoded(spark, sf), "doc_id", BATCH)
 
 
 def length_grouped_batches(spark: SparkSession, sf: str) -> DataFrame:
-    measured = _lengths(spark, sf).select("doc_id", "length")
-    return batches.length_batches(measured, "doc_id", BATCH, part_rows=PART_ROWS)
+    measured = stage_table(_lengths(spark, sf).select("doc_id", "length"), "lengths")
+    return batches.length_batches(measured, "doc_id", BATCH)
 
 
-def _padded(rows: DataFrame, key: str) -> DataFrame:
+def _padded(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.select(
-        key, "bucket", "part", "batch", "width", joined(F.col("input_ids")).alias("ids"),
+        *keys, "bucket", "part", "batch", "width", joined(F.col("input_ids")).alias("ids"),
         joined(F.col("attention_mask")).alias("mask"), joined(F.col("labels")).alias("labels"),
     )
 
@@ -264,14 +270,14 @@ def padded_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def padded_answer_only(spark: SparkSession, sf: str) -> DataFrame:
-    batched = batches.length_batches(_encoded_pairs(spark, sf), "pair_id", BATCH, part_rows=PART_ROWS)
-    return _padded(batches.padded_rows(batched, rebuild_labels=False), "pair_id")
+    batched = batches.length_batches(_encoded_pairs(spark, sf), ["conv_id", "turn"], BATCH)
+    return _padded(batches.padded_rows(batched, rebuild_labels=False), "conv_id", "turn")
 
 
 def padding_efficiency(spark: SparkSession, sf: str) -> DataFrame:
-    coded = stage_table(_encoded(spark, sf).select("doc_id", "input_ids", "length"), "coded")
-    grouped = batches.length_batches(coded, "doc_id", BATCH, part_rows=PART_ROWS)
-    mixed = batches.length_batches(coded, "doc_id", BATCH, bucket_width=None, part_rows=PART_ROWS)
+    coded = _encoded(spark, sf).select("doc_id", "input_ids", "length")
+    grouped = batches.length_batches(coded, "doc_id", BATCH)
+    mixed = batches.length_batches(coded, "doc_id", BATCH, bucket_width=None)
     return batches.padding_efficiency(grouped, "grouped").unionByName(
         batches.padding_efficiency(mixed, "mixed")
     )
@@ -306,13 +312,13 @@ def flagship_batches(spark: SparkSession, sf: str) -> DataFrame:
 def run_plans(spark: SparkSession, sf: str) -> DataFrame:
     docs, lines = table(spark, sf, "documents"), table(spark, sf, "lineitem")
 
-    def counts(df: DataFrame, kind: str, column: str) -> DataFrame:
-        return df.groupBy(F.lit(kind).alias("kind"), F.col(column).alias("dataset")).agg(
-            F.count("*").alias("n_rows")
-        )
-    every = counts(docs, "lang", "lang").unionByName(counts(docs, "source", "source")).unionByName(
-        counts(lines, "returnflag", "l_returnflag")
-    ).unionByName(counts(lines, "linestatus", "l_linestatus"))
+    def counts(df: DataFrame, **columns: str) -> DataFrame:
+        """Rows per value of each column, from one scan."""
+        kinds = F.array(*[
+            F.struct(F.lit(kind).alias("kind"), F.col(c).alias("dataset")) for kind, c in columns.items()])
+        return df.select(F.inline(kinds)).groupBy("kind", "dataset").agg(F.count("*").alias("n_rows"))
+    every = counts(docs, lang="lang", source="source").unionByName(
+        counts(lines, returnflag="l_returnflag", linestatus="l_linestatus"))
     return run_plan(every, epochs=2)
 
 
@@ -330,10 +336,9 @@ def monitor_windows(spark: SparkSession, sf: str) -> DataFrame:
 # --- metrics and monitor ------------------------------------------------------
 
 def perplexity(spark: SparkSession, sf: str) -> DataFrame:
-    losses = metrics.position_losses(table(spark, sf, "embeddings"), "embedding", "label")
-    per_label = metrics.perplexity(losses, [F.col("label").cast("string").alias("label")])
-    total = metrics.perplexity(losses).withColumn("label", F.lit("all"))
-    return _rounded(per_label.unionByName(total), "eval_loss", "perplexity")
+    losses = metrics.position_losses(table(spark, sf, "embeddings"), "embedding", "label").withColumn(
+        "label", F.col("label").cast("string"))
+    return _rounded(metrics.perplexity_with_total(losses, "label", "all"), "eval_loss", "perplexity")
 
 
 def perplexity_shifted(spark: SparkSession, sf: str) -> DataFrame:
@@ -356,21 +361,48 @@ def _log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, sf: str, scale: float = 1.0) -> DataFrame:
-    scaled = _log(spark, sf).withColumn("loss", F.col("loss") / scale)
-    return monitor.numbered_records(scaled, dense=True)
+    log = monitor.event_log(table(spark, sf, "events")).withColumn("loss", F.col("loss") / scale)
+    return monitor.numbered_records(monitor.accepted_records(log))
 
 
-def dedup_steps(spark: SparkSession, sf: str) -> DataFrame:
+def _hourly_log(spark: SparkSession, sf: str) -> DataFrame:
     """Hours as steps: several events of a user fall on one step, errors have no loss."""
     hour = F.floor((F.unix_timestamp("ts") - F.unix_timestamp(F.lit("2024-01-01 00:00:00"))) / 3600)
-    logs = table(spark, sf, "events").select(
-        F.col("user_id").alias("run_id"), hour.alias("step"), "event_id",
-        F.when(F.col("event_type") != "error", F.col("value")).alias("loss"),
+    return table(spark, sf, "events").select(
+        F.col("user_id").alias("run_id"), hour.alias("step"), F.col("event_id").alias("arrival"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("loss"), F.lit(None).cast("double").alias("lr"),
     )
-    records = monitor.numbered_records(monitor.accepted_records(logs, "event_id"))
+
+
+def dedup_steps(spark: SparkSession, sf: str) -> DataFrame:
+    records = monitor.numbered_records(monitor.accepted_records(_hourly_log(spark, sf)))
     return records.select("run_id", "step", "n", "loss")
 
 
+def dedup_ema(spark: SparkSession, sf: str) -> DataFrame:
+    """The smoothed loss of a log with repeated steps and missing losses."""
+    records = monitor.numbered_records(monitor.accepted_records(_hourly_log(spark, sf)))
+    return _rounded(monitor.ema_series(records, TREND).select("run_id", "step", "n", "ema"), "ema")
+
+
+def dedup_stop(spark: SparkSession, sf: str) -> DataFrame:
+    """The stop decision on such a log."""
+    return monitor.stop_decisions(_hourly_log(spark, sf), TREND)
+
+
+def stop_decision_planned(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of different lengths, each judged with the windows, gates and cap of its own plan.
+
+    A run is the events whose type begins with the same letter; all other
+    settings are those of call time.
+    """
+    events = table(spark, sf, "events").withColumn("user_id", F.ascii("event_type").cast("bigint"))
+    log = stage_table(monitor.event_log(events).withColumn("loss", F.col("loss") / PLANNED_SCALE), "log")
+    counts = log.groupBy("run_id").agg(F.count("*").alias("n_rows"))
+    plan = stage_table(run_plan(counts, accumulate=1, epochs=1), "plan")
+    return monitor.stop_decisions(log, monitor.MonitorSettings.for_runs(plan))
+
+
 def ema_final(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(monitor.ema_final(_numbered(spark, sf), TREND), "ema")
 
@@ -381,33 +413,28 @@ def ema_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def since_best(spark: SparkSession, sf: str) -> DataFrame:
-    numbered = _numbered(spark, sf)
-    smooth = monitor.smoothed(numbered, TREND, lookback=0).select("run_id", "block", "n", "ema")
-    followed = monitor.since_best(smooth, numbered, TREND)
+    followed = monitor.best_so_far(monitor.smoothed(_numbered(spark, sf), TREND), TREND)
     return _rounded(followed.select("run_id", "n", "best_ema", "since_best", "cooldown"), "best_ema")
 
 
 def mad_sigma(spark: SparkSession, sf: str) -> DataFrame:
-    trace = monitor.monitor_trace(_numbered(spark, sf), TREND)
+    trace = monitor.with_windows(monitor.smoothed(_numbered(spark, sf), TREND), TREND, slope=False)
     return _rounded(trace.select("run_id", "n", "sigma"), "sigma")
 
 
 def ema_slope(spark: SparkSession, sf: str) -> DataFrame:
-    trace = monitor.monitor_trace(_numbered(spark, sf), TREND)
+    trace = monitor.with_windows(monitor.smoothed(_numbered(spark, sf), TREND), TREND, sigma=False)
     return _rounded(trace.select("run_id", "n", "slope"), "slope")
 
 
 def gate_flags(spark: SparkSession, sf: str) -> DataFrame:
     rising, falling = F.col("step") / 10.0, (70 - F.col("step")) / 60.0
     lr = F.least(rising, F.greatest(falling, F.lit(0.0))) * 0.001
-    smooth = monitor.smoothed(_numbered(spark, sf).withColumn("lr", lr), TREND, lookback=0)
-    return monitor.gate_flags(smooth, TREND).select("run_id", "n", "warm", "exposed", "lr_ok", "enough")
+    return monitor.gate_flags(_numbered(spark, sf).withColumn("lr", lr), TREND)
 
 
 def _flagged(spark: SparkSession, sf: str) -> DataFrame:
-    numbered = _numbered(spark, sf, CALM_SCALE)
-    trace = monitor.monitor_trace(numbered, CALM)
-    return monitor.trend_flags(monitor.since_best(trace, numbered, CALM), CALM)
+    return monitor.trend_flags(monitor.monitor_trace(_numbered(spark, sf, CALM_SCALE), CALM), CALM)
 
 
 def plateau_worsening(spark: SparkSession, sf: str) -> DataFrame:
@@ -422,12 +449,12 @@ def monitor_trace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stop_decision(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.stop_decisions(_log(spark, sf), TREND, dense=True)
+    return monitor.stop_decisions(_log(spark, sf), TREND)
 
 
 def stop_decision_calm(spark: SparkSession, sf: str) -> DataFrame:
     scaled = _log(spark, sf).withColumn("loss", F.col("loss") / CALM_SCALE)
-    return monitor.stop_decisions(scaled, CALM, dense=True)
+    return monitor.stop_decisions(scaled, CALM)
 
 
 def hard_cap_stop(spark: SparkSession, sf: str) -> DataFrame:
@@ -491,6 +518,8 @@ QUERIES = {
     "perplexity": perplexity,
     "perplexity_shifted": perplexity_shifted,
     "dedup_steps": dedup_steps,
+    "dedup_ema": dedup_ema,
+    "dedup_stop": dedup_stop,
     "ema_final": ema_final,
     "ema_series": ema_series,
     "since_best": since_best,
@@ -501,6 +530,7 @@ QUERIES = {
     "monitor_trace": monitor_trace,
     "stop_decision": stop_decision,
     "stop_decision_calm": stop_decision_calm,
+    "stop_decision_planned": stop_decision_planned,
     "hard_cap_stop": hard_cap_stop,
     "stream_convergence": stream_convergence,
 }

@@ -7,44 +7,67 @@ from pyspark.sql import functions as F
 
 # The first bytes of the common image formats, in hex.
 SIGNATURES = {
-    "png": "89504E470D0A1A0A", "jpeg": "FFD8FF", "gif": "47494638", "bmp": "424D",
-    "tiff_le": "49492A00", "tiff_be": "4D4D002A", "webp": "52494646",
+    "png": "89504E470D0A1A0A", "jpeg": "FFD8FF", "gif87": "474946383761", "gif89": "474946383961",
+    "tiff_le": "49492A00", "tiff_be": "4D4D002A",
 }
-
-
-def image_bytes(df: DataFrame, column: str) -> Column:
-    """The bytes of an image column that holds bytes or a (bytes, path) struct."""
-    kind = df.schema[column].dataType.simpleString()
-    return F.col(f"{column}.bytes") if kind.startswith("struct") else F.col(column)
+BMP_HEADERS = [12, 16, 40, 52, 56, 64, 108, 124]  # sizes of the second header
 
 
 def looks_like_image(content: Column) -> Column:
-    """Whether the bytes begin like an image file."""
-    head = F.hex(F.substring(content, 1, 8))
-    known = F.lit(False)
+    """Whether the bytes begin like an image file.
+
+    A WEBP file has its name behind the RIFF header; a bitmap has four unused
+    zero bytes and a second header of a known size.
+    """
+    def at(first: int, size: int) -> Column:
+        return F.hex(F.substring(content, first, size))
+    known = at(1, 4).eqNullSafe("52494646") & (at(9, 4) == "57454250")
     for signature in SIGNATURES.values():
-        known = known | head.startswith(signature)
-    return F.coalesce(known, F.lit(False))
+        known = known | at(1, 8).startswith(signature)
+    sizes = [f"{size:02X}000000" for size in BMP_HEADERS]
+    bitmap = (at(1, 2) == "424D") & (at(7, 4) == "00000000") & at(15, 4).isin(sizes)
+    return F.coalesce(known | bitmap, F.lit(False))
+
+
+def readable(df: DataFrame, column: str) -> Column:
+    """Whether an image column holds an image: bytes, a (bytes, path) struct, or a decoded image struct.
+
+    Paths say nothing about a file; :func:`resolve_paths` replaces them first.
+    """
+    kind = df.schema[column].dataType
+    if kind.simpleString() == "string":
+        raise ValueError(f"{column} holds paths; resolve them with a table of files")
+    names = kind.names if kind.typeName() == "struct" else []
+    if "bytes" in names:
+        return looks_like_image(F.col(f"{column}.bytes"))
+    if {"data", "width", "height"} <= set(names):
+        sound = (F.length(f"{column}.data") > 0) & (F.col(f"{column}.width") > 0) & (F.col(f"{column}.height") > 0)
+        return F.coalesce(sound, F.lit(False))
+    return looks_like_image(F.col(column))
 
 
-def keep_readable(df: DataFrame, column: str = "image") -> DataFrame:
-    """Drop rows without readable image bytes."""
-    return df.filter(looks_like_image(image_bytes(df, column)))
+def keep_readable(df: DataFrame, column: str = "image", files: DataFrame | None = None) -> DataFrame:
+    """Drop rows without a readable image; paths are looked up in ``files``."""
+    df = df if files is None else resolve_paths(df, files, column)
+    return df.filter(readable(df, column))
 
 
-def image_report(df: DataFrame, column: str = "image") -> DataFrame:
+def image_report(df: DataFrame, column: str = "image", files: DataFrame | None = None) -> DataFrame:
     """Rows and rows dropped for an unreadable image."""
-    readable = looks_like_image(image_bytes(df, column))
-    return df.agg(F.count("*").alias("n_rows"), F.count_if(~readable).alias("n_dropped"))
+    df = df if files is None else resolve_paths(df, files, column)
+    return df.agg(F.count("*").alias("n_rows"), F.count_if(~readable(df, column)).alias("n_dropped"))
 
 
 def resolve_paths(df: DataFrame, files: DataFrame, column: str = "image") -> DataFrame:
-    """Fill missing bytes of a (bytes, path) column from a table of files.
+    """Fill missing bytes of a (bytes, path) column, or of a column of paths, from a table of files.
 
     ``files`` has ``path`` and ``content``, as ``spark.read.format("binaryFile")``
     gives them.  Only rows that need a file take part in the join; the others
     would all meet in one task with their missing path.
     """
+    if df.schema[column].dataType.simpleString() == "string":
+        packed = F.struct(F.lit(None).cast("binary").alias("bytes"), F.col(column).alias("path"))
+        df = df.withColumn(column, packed)
     missing = F.col(f"{column}.bytes").isNull() & F.col(f"{column}.path").isNotNull()
     found = files.select(F.col("path").alias("_path"), F.col("content").alias("_content"))
     filled = df.filter(missing).withColumn("_path", F.col(f"{column}.path")).join(found, "_path", "left")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
+
+from corpusloom.functions.text import strip
 
 LEDGER = "name string"
 
@@ -18,15 +20,21 @@ def dataset_name(path: Column) -> Column:
 def new_names(names: DataFrame, ledger: DataFrame, column: str = "name") -> DataFrame:
     """Distinct names that are not in the ledger; whole names are compared."""
     distinct = names.select(F.col(column).alias("name")).distinct()
-    logged = ledger.select(F.trim("name").alias("name")).distinct()
+    logged = ledger.select(strip(F.col("name")).alias("name")).distinct()
     return distinct.join(logged, "name", "left_anti")
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger table, empty when nothing has been logged yet."""
+    """The ledger table, empty when nothing has been logged yet.
+
+    Only a path that is not there counts as an empty ledger; any other failure
+    is raised, since taking it for empty would log everything again.
+    """
     try:
         return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER)
 
 

@@ -12,7 +12,7 @@ from corpusloom.functions.windows import sigma_of_last, slope_of_last
 from corpusloom.operators.monitor import MonitorSettings, best_in_block, decision_items
 from corpusloom.session import ship_package
 
-LOG = "run_id bigint, step bigint, loss double, lr double"
+LOG = "run_id bigint, step bigint, arrival bigint, loss double, lr double"
 STOP = "run_id bigint, stop_step bigint, reason string"
 STATE = (
     "n bigint, last_step bigint, ema double, reference double, best double, best_n bigint, "
@@ -21,25 +21,37 @@ STATE = (
 START = (0, -1, None, float("inf"), float("inf"), 0, 0.0, False, [])
 
 
+def moving_average(losses: np.ndarray, ema: float | None, s: MonitorSettings) -> np.ndarray:
+    """The average after each loss, in stretches within floating-point range."""
+    series, size = np.empty(len(losses)), s.smooth_rows
+    with np.errstate(invalid="ignore", over="ignore"):
+        for at in range(0, len(losses), size):
+            part = (1 - s.beta) * losses[at: at + size]
+            if ema is None:
+                part[0], ema = losses[0], 0.0
+            power = s.beta ** np.arange(len(part) + 1)
+            series[at: at + size] = power[1:] * ema + power[:-1] * np.cumsum(part / power[:-1])
+            ema = series[at + len(part) - 1]
+    return series
+
+
 def advance(s: MonitorSettings, state: tuple, records: pd.DataFrame):
     """State after the records, and the stop (step, reason) they lead to or None.
 
-    Records come in any order within one call; those at or before the last
-    step seen are dropped.  The state keeps no more smoothed values than the
+    Records come in any order within one call; of one step the first to arrive
+    counts, and steps at or before the last one seen are dropped.  The state keeps no more smoothed values than the
     longest window needs.
     """
     n, last_step, ema, reference, best, best_n, top_lr, stopped, tail = state
     cap = np.inf if s.hard_cap_step is None else s.hard_cap_step
     capped = records.loc[records["step"] >= cap, "step"]
     records = records[records["loss_seen"] & (records["step"] > last_step) & (records["step"] < cap)]
-    records = records.sort_values(["step", "loss"]).drop_duplicates("step")
+    records = records.sort_values(["step", "arrival"]).drop_duplicates("step")
     stop = (int(capped.min()), "hard_cap") if len(capped) else None
     if len(records):
         step, lr = records["step"].to_numpy(), records["lr"].to_numpy(float)
-        series = np.empty(len(records))
-        for at, loss in enumerate(records["loss"].to_numpy(float)):
-            ema = loss if ema is None else s.beta * ema + (1 - s.beta) * loss
-            series[at] = ema
+        series = moving_average(records["loss"].to_numpy(float), ema, s)
+        ema = series[-1]
         number = n + 1 + np.arange(len(series))
         known = np.concatenate((np.asarray(tail, dtype=float), series))
         with np.errstate(invalid="ignore"):
@@ -66,14 +78,26 @@ def advance(s: MonitorSettings, state: tuple, records: pd.DataFrame):
     return after, stop
 
 
-def stop_stream(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """One row for each run of a streaming log when it first stops."""
+def stop_stream(logs: DataFrame, settings: MonitorSettings, keep_days: float = 7.0) -> DataFrame:
+    """One row for each run of a streaming log when it first stops.
+
+    A run that has had no record for ``keep_days`` is forgotten, stopped or
+    not; records that come later begin it anew.
+    """
+    if settings.runs is not None:
+        raise ValueError("the stream has one set of settings for all runs")
+    keep_ms = int(keep_days * 86_400_000)
+
     def update(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         held = state.get if state.exists else START
+        state.setTimeoutDuration(keep_ms)
         if held[7]:
             return
-        records = pd.concat(list(frames), ignore_index=True)
-        after, stop = advance(settings, tuple(held), records)
+        # A micro-batch is bounded in bytes, and so are a run's records in it.
+        after, stop = advance(settings, tuple(held), pd.concat(list(frames), ignore_index=True))
         # A run that has stopped is never looked at again.
         state.update(after if stop is None else (*after[:8], []))
         if stop is not None:
@@ -81,24 +105,26 @@ def stop_stream(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
 
     # Pandas has one missing value for null and NaN, which mean different things here.
     marked = logs.selectExpr(
-        "run_id", "step", "loss", "lr", "loss is not null as loss_seen", "lr is not null as lr_seen"
+        "run_id", "step", "arrival", "loss", "lr", "loss is not null as loss_seen", "lr is not null as lr_seen"
     )
     ship_package(logs.sparkSession)
     return marked.groupBy("run_id").applyInPandasWithState(
-        update, STOP, STATE, "append", GroupStateTimeout.NoTimeout
+        update, STOP, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
 def follow_folder(
     spark: SparkSession, source: str, sink: str, checkpoint: str, settings: MonitorSettings,
-    files_per_batch: int = 64,
+    bytes_per_batch: int = 128 << 20,
 ) -> None:
     """Process what is new in a folder of Parquet log files, then return.
 
     Progress and state live in the checkpoint, so the next call goes on where
     this one stopped, also after a failure.
     """
-    logs = spark.readStream.schema(LOG).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    # A batch without records would come again and again, since a state may time out in it.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    logs = spark.readStream.schema(LOG).option("maxBytesPerTrigger", bytes_per_batch).parquet(source)
     query = (
         stop_stream(logs, settings).writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink)

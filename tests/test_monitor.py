@@ -19,10 +19,15 @@ from corpusloom.streaming.convergence import LOG, START, advance, follow_folder
 LOG_SCHEMA = "run_id long, step long, loss double, lr double"
 
 
+def arriving(df):
+    """A log whose records arrive in the order of their rows."""
+    return df.withColumn("arrival", F.monotonically_increasing_id())
+
+
 def model(records, s):
     """Walk one run's (step, loss, lr) records; returns its trace and its stop."""
     ema = reference = None
-    best, best_n, top, n, last = math.inf, 0, 0.0, 0, None
+    best, best_n, low, top, n, last = math.inf, 0, math.inf, 0.0, 0, None
     emas, trace = [], []
     for step, loss, lr in records:
         if s.hard_cap_step is not None and step >= s.hard_cap_step:
@@ -33,8 +38,9 @@ def model(records, s):
         ema = loss if ema is None else s.beta * ema + (1 - s.beta) * loss
         reference = ema if reference is None else reference
         emas.append(ema)
-        if ema < best - 1e-12:
+        if ema < low - 1e-12 or (low == math.inf and math.isfinite(ema)):
             best, best_n = ema, n
+        low = min(low, ema) if math.isfinite(ema) else low
         row = dict(n=n, step=step, ema=ema, best=best, since=n - best_n)
         trace.append(row)
         near = emas[-s.window:]
@@ -101,7 +107,7 @@ VARIANTS = [
 def log(spark):
     rows = [(run, *record) for run, records in RUNS.items() for record in records]
     random.Random(1).shuffle(rows)
-    return spark.createDataFrame(rows, LOG_SCHEMA).repartition(4).cache()
+    return arriving(spark.createDataFrame(rows, LOG_SCHEMA)).repartition(4).cache()
 
 
 def stops_of(df):
@@ -124,7 +130,7 @@ def test_trace_equals_the_model(log):
     open_ended = MonitorSettings(**COMMON, sigma_floor=0.01, min_drop=-1e9)  # always improved: walk to the end
     numbered = monitor.numbered_records(monitor.accepted_records(log))
     got = {}
-    for r in monitor.since_best(monitor.monitor_trace(numbered, s), numbered, s).collect():
+    for r in monitor.monitor_trace(numbered, s).collect():
         got.setdefault(r.run_id, {})[r.n] = r
     for run, records in RUNS.items():
         trace, _ = model(records, open_ended)
@@ -140,7 +146,7 @@ def test_trace_equals_the_model(log):
 
 
 def test_blocks_of_any_size_agree(log):
-    numbered = monitor.numbered_records(log, dense=True)
+    numbered = monitor.numbered_records(log)
     want = {(r.run_id, r.n): r.ema for r in monitor.ema_series(numbered, MonitorSettings(**COMMON)).collect()}
     for rows, beta in ((31, 0.9), (7, 0.9), (2000, 0.9)):
         s = MonitorSettings(window=4, slope_window=4, block_rows=rows, beta=beta)
@@ -151,40 +157,109 @@ def test_blocks_of_any_size_agree(log):
 def test_undefined_and_endless_losses_stay(spark):
     losses = {0: math.nan, 1: math.inf}
     rows = [(run, i + 1, bad if i == 50 else 1.0, None) for run, bad in losses.items() for i in range(200)]
-    numbered = monitor.numbered_records(spark.createDataFrame(rows, LOG_SCHEMA), dense=True)
+    numbered = monitor.numbered_records(spark.createDataFrame(rows, LOG_SCHEMA))
     for r in monitor.ema_series(numbered, MonitorSettings(window=4, slope_window=4, block_rows=16)).collect():
         if r.n <= 50:
             assert r.ema == pytest.approx(1.0)
         else:
             assert math.isnan(r.ema) if r.run_id == 0 else r.ema == math.inf
     s = MonitorSettings(**COMMON)
-    assert stops_of(monitor.stop_decisions(spark.createDataFrame(rows, LOG_SCHEMA), s)) == {}
+    assert stops_of(monitor.stop_decisions(arriving(spark.createDataFrame(rows, LOG_SCHEMA)), s)) == {}
 
 
 def test_repeated_steps_and_missing_losses(spark):
     rows = [(1, 1, 5.0, None), (1, 1, 4.0, None), (1, 2, None, None), (1, 3, 3.0, 0.1), (1, 3, 9.0, None)]
-    df = spark.createDataFrame(rows, LOG_SCHEMA).withColumn("at", F.monotonically_increasing_id())
-    got = monitor.numbered_records(monitor.accepted_records(df, "at")).orderBy("n").collect()
+    df = arriving(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1))
+    got = monitor.numbered_records(monitor.accepted_records(df)).orderBy("n").collect()
     assert [(r.step, r.n, r.loss) for r in got] == [(1, 1, 5.0), (3, 2, 3.0)]
 
 
 def test_the_hard_cap_needs_no_loss(spark):
     rows = [(1, 5, 1.0, None), (1, 9, None, None), (1, 12, 1.0, None), (2, 3, 1.0, None)]
-    df = spark.createDataFrame(rows, LOG_SCHEMA)
+    df = arriving(spark.createDataFrame(rows, LOG_SCHEMA))
     s = MonitorSettings(hard_cap_step=8)
     assert stops_of(monitor.hard_cap_stops(df, s)) == stops_of(monitor.stop_decisions(df, s)) == {1: (9, "hard_cap")}
 
 
-def test_small_declines_add_up_to_a_new_best(spark):
-    """Each step is within the margin of the last, but not of the last best."""
-    rows = [(1, i + 1, 1.0 if i == 0 else 1.0 - 4e-12 * i, None) for i in range(120)]
-    s = MonitorSettings(window=4, slope_window=4, block_rows=16, cooldown=2)
-    numbered = monitor.numbered_records(spark.createDataFrame(rows, LOG_SCHEMA), dense=True)
-    got = {r.n: r.since_best for r in monitor.since_best(monitor.monitor_trace(numbered, s), numbered, s).collect()}
-    trace, _ = model(rows and [r[1:] for r in rows], MonitorSettings(**COMMON, min_drop=-1e9))
-    far = [t for t in trace if got[t["n"]] != t["since"]]
-    assert len(far) <= 2  # sums in another order may move a tie by one record
-    assert max(got.values()) >= 1
+@pytest.mark.parametrize("block_rows", [16, 1024])
+def test_null_losses_are_no_records(spark, block_rows):
+    """The average skips them, and numbering goes on without a gap."""
+    rows = [(1, i + 1, None if i == 4 else 3.0, None) for i in range(10)] + [(1, 3, 50.0, None)]
+    records = monitor.accepted_records(arriving(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)))
+    series = monitor.ema_series(monitor.numbered_records(records), MonitorSettings(block_rows=block_rows)).collect()
+    assert sorted((r.n, r.step) for r in series) == list(zip(range(1, 10), [1, 2, 3, 4, 6, 7, 8, 9, 10]))
+    assert all(r.ema == pytest.approx(3.0) for r in series)
+
+
+def test_nulls_and_repeats_in_batch_and_stream(spark):
+    s = VARIANTS[0]
+    rng, rows = random.Random(8), []
+    for run, records in RUNS.items():
+        for step, loss, lr in records:
+            rows.append((run, step, None if rng.random() < 0.1 else loss, lr))
+            if rng.random() < 0.2:
+                rows.append((run, step, loss + rng.gauss(0, 2), lr))
+    log = arriving(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)).cache()
+    want = {run: model([r[1:] for r in rows if r[0] == run], s)[1] for run in RUNS}
+    want = {run: stop for run, stop in want.items() if stop}
+    assert stops_of(monitor.stop_decisions(log, s)) == want
+    source, sink, state = (new_scratch(spark, f"n-{p}") for p in ("in", "out", "state"))
+    for low, high in ((0, 70), (70, 10_000)):
+        log.filter(f"step > {low} and step <= {high}").repartition(3).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, s)
+    assert stops_of(spark.read.schema("run_id bigint, stop_step bigint, reason string").parquet(sink)) == want
+
+
+def test_runs_with_settings_of_their_own(spark, log):
+    own = {run: VARIANTS[0].__class__(
+        steps_total=100 + 40 * run, warmup=5 + run, hard_cap_step=[150, None, 210][run % 3], window=20 + 5 * run,
+        slope_window=10 + 4 * run, history=12 + run, block_rows=40) for run in RUNS}
+    fields = monitor.PER_RUN
+    runs = spark.createDataFrame(
+        [(run, *[getattr(s, f) for f in fields]) for run, s in own.items()],
+        "run_id long, " + ", ".join(f"{f} long" for f in fields))
+    together = MonitorSettings(runs=runs, window=65, slope_window=46, block_rows=40)
+    want = {run: model(RUNS[run], s)[1] for run, s in own.items()}
+    assert stops_of(monitor.stop_decisions(log, together)) == {run: stop for run, stop in want.items() if stop}
+
+
+def test_settings_of_a_run_plan(spark):
+    plan = spark.createDataFrame([(1, 100, 75, 80), (2, 40_000, 400, 30_000)],
+                                 "run_id long, total_steps long, warmup_steps long, hard_cap_step long")
+    s = MonitorSettings.for_runs(plan)
+    got = {r.run_id: (r.window, r.slope_window, r.history, r.warmup) for r in s.runs.collect()}
+    assert got == {1: (128, 96, 42, 75), 2: (600, 450, 200, 400)} and s.lookback == 599
+
+
+def test_a_long_falling_run_stays_cheap(spark):
+    """200,000 records that fall steadily, at the default windows."""
+    import time
+    log = spark.range(200_000).select(
+        F.lit(1).cast("bigint").alias("run_id"), (F.col("id") + 1).alias("step"), F.col("id").alias("arrival"),
+        (4.0 - F.col("id") * 1e-5).alias("loss"), F.lit(None).cast("double").alias("lr"))
+    s = MonitorSettings(steps_total=200_000)
+    begun = time.time()
+    assert stops_of(monitor.stop_decisions(log, s)) == {}
+    assert time.time() - begun < 60
+    level = 4.0 - np.arange(200_000) * 1e-5 + s.min_drop
+    summary = rc.summarise(level[1024:2048], level[1024:2048] - s.min_drop, np.zeros(1024, bool), np.arange(1024), None,
+                           level[1023] - s.min_drop, level[1023])
+    assert len(summary["levels"]) <= 1024
+    steep = 4.0 - np.arange(2048) * 1e-3
+    short = rc.summarise(steep[1024:] + 0.04, steep[1024:], np.zeros(1024, bool), np.arange(1024), None,
+                         steep[1023], steep[1023] + 0.04)
+    assert len(short["levels"]) <= 42
+
+
+def test_one_user_with_most_of_an_hour(spark):
+    from datetime import datetime, timedelta
+    start = datetime(2024, 1, 1, 5)
+    rows = [(i, start + timedelta(milliseconds=300 * (i * 7919 % 3000)), 1 if i % 10 else 2, float(i)) for i in range(3000)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, value double")
+    got = {(r.run_id, r.step): r.loss for r in monitor.event_log(events).collect()}
+    for run in (1, 2):
+        ordered = sorted((r for r in rows if r[2] == run), key=lambda r: (r[1], r[0]))
+        assert [got[run, i + 1] for i in range(len(ordered))] == [r[3] for r in ordered]
 
 
 def test_settings_grow_with_the_run():
@@ -192,9 +267,15 @@ def test_settings_grow_with_the_run():
     assert (s.window, s.slope_window, s.history) == (150, 112, 50)
     assert MonitorSettings.for_run(0).window == 128 and MonitorSettings.for_run(1, window=900).window == 512
     with pytest.raises(ValueError):
-        MonitorSettings(beta=1.0).with_block()
-    with pytest.raises(ValueError):
-        MonitorSettings(beta=1e-3).with_block()
+        MonitorSettings(beta=1.0).smooth_rows
+    assert MonitorSettings(beta=1e-3).smooth_rows == 96
+
+
+@pytest.mark.parametrize("beta", [0.05, 1e-3])
+def test_a_small_beta_has_short_blocks(spark, log, beta):
+    s = MonitorSettings(**{**COMMON, "window": 128}, beta=beta)
+    want = {run: stop for run, (_, stop) in ((k, model(v, s)) for k, v in RUNS.items()) if stop}
+    assert stops_of(monitor.stop_decisions(log, s)) == want
 
 
 # --- reset chains -------------------------------------------------------------
@@ -255,6 +336,7 @@ def test_advancing_in_pieces_equals_the_model(s, size):
         state, stop = START, None
         for at in range(0, len(records), size):
             piece = pd.DataFrame(records[at:at + size], columns=["step", "loss", "lr"])
+            piece["arrival"] = range(len(piece))
             piece["loss_seen"], piece["lr_seen"] = piece["loss"].notna(), piece["lr"].notna()
             state, stop = advance(s, state, piece.sample(frac=1, random_state=at))
             if stop:

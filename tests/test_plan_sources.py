@@ -73,7 +73,7 @@ def test_monitor_windows(spark, steps, sizes):
 def test_numbers_run_through_blocks(spark):
     rows = [(g, v, v * 10) for g in range(3) for v in range(0, 100, g + 1)]
     df = spark.createDataFrame(rows, "g long, v long, x long").repartition(5)
-    got = number_in_group(df, "g", ["v"], F.floor(F.col("v") / 7)).collect()
+    got = number_in_group(df, "g", ["v"], [F.floor(F.col("v") / 49), F.floor(F.col("v") / 7)]).collect()
     for g in range(3):
         own = sorted((r.v, r.n, r.x) for r in got if r.g == g)
         assert own == [(v, i + 1, v * 10) for i, v in enumerate(range(0, 100, g + 1))]
@@ -109,6 +109,30 @@ def test_image_columns(spark):
     assert [r.i for r in images.keep_readable(packed).collect()] == [1, 2]
 
 
+@pytest.mark.parametrize("content,wanted", [
+    (b"RIFF\x10\0\0\0WEBPVP8 ", True), (b"RIFF\x10\0\0\0WAVEfmt ", False), (b"GIF89a", True), (b"GIF87a", True),
+    (b"GIF8", False), (b"BM of plain text", False), (b"BM\x46\0\0\0\0\0\0\0\x36\0\0\0\x28\0\0\0", True),
+    (b"II*\0", True), (b"MM\0*", True),
+])
+def test_image_signatures(spark, content, wanted):
+    one = spark.createDataFrame([(bytearray(content),)], "image binary")
+    assert one.select(images.looks_like_image(F.col("image"))).first()[0] is wanted
+
+
+def test_image_paths_and_decoded_images(spark):
+    files = spark.createDataFrame([("a.png", bytearray(PNG)), ("b.txt", bytearray(b"text"))], "path string, content binary")
+    paths = spark.createDataFrame([(1, "a.png"), (2, "b.txt"), (3, "gone.png"), (4, None)], "i int, image_path string")
+    assert [r.i for r in images.keep_readable(paths, "image_path", files).collect()] == [1]
+    assert images.image_report(paths, "image_path", files).collect() == [(4, 3)]
+    with pytest.raises(ValueError, match="holds paths"):
+        images.keep_readable(paths, "image_path")
+    decoded = spark.createDataFrame(
+        [(1, ("o", 2, 2, 3, 16, bytearray(b"123456789012"))), (2, ("o", -1, -1, -1, -1, bytearray(b""))), (3, None)],
+        "i int, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
+    assert [r.i for r in images.keep_readable(decoded).collect()] == [1]
+    assert images.image_report(decoded).collect() == [(3, 2)]
+
+
 def test_image_paths_are_filled_by_a_join(spark):
     rows = spark.createDataFrame([(1, (None, "a.png")), (2, (bytearray(b"xx"), None)), (3, (None, "gone"))],
                                  "i int, image struct<bytes:binary,path:string>")

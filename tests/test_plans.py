@@ -11,7 +11,7 @@ from corpusloom.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {
-    "mad_sigma", "ema_slope", "since_best", "plateau_worsening", "monitor_trace", "stop_decision", "stop_decision_calm", "stream_convergence",
+    "dedup_stop", "ema_slope", "mad_sigma", "monitor_trace", "plateau_worsening", "stop_decision", "stop_decision_calm", "stop_decision_planned", "stream_convergence",
 }
 
 
@@ -71,7 +71,7 @@ def test_borrowed_turns_come_from_a_filtered_scan(spark):
 def test_the_cap_filters_the_log_scan(spark):
     log = q._log(spark, SF)
     s = monitor.MonitorSettings(hard_cap_step=57)
-    plan = physical(monitor.stop_decisions(log, s, dense=True))
+    plan = physical(monitor.stop_decisions(log, s))
     assert "LessThan(step,57)" in plan and "GreaterThanOrEqual(step,57)" in plan
 
 

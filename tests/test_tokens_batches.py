@@ -147,19 +147,20 @@ def test_export_types_and_drops(spark, docs):
     assert kinds["input_ids"] == kinds["labels"] == "array<bigint>" and kinds["length"] == "int"
 
 
-def test_tokenizer_file(spark, docs, tmp_path):
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    tokenizer = Tokenizer(models.WordLevel({"[UNK]": 0, "the": 1, "cat": 2, "sat": 3}, "[UNK]"))
-    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
-    tokenizer.save(str(tmp_path / "tokenizer.json"))
-    out = tokens.encode_with_file(docs, "text", str(tmp_path / "tokenizer.json"), 3)
-    got = {r.doc_id: (r.input_ids, r.length) for r in out.collect()}
-    assert got[0] == ([1, 2, 3], 3) and got[2] == ([], 0) and got[4] == ([0, 0, 0], 50)
-
-
-def test_training_batches_end_to_end(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    rows = training_batches(docs.select("doc_id", "text"), "doc_id", 500).collect()
-    assert sum(r.n_rows for r in rows) == 200
-    assert all(r.width % 8 == 0 and r.width <= 1024 for r in rows)
+def test_many_part_keys_are_one_row_key(coded):
+    two = coded.select(F.floor(F.col("id") / 10).alias("a"), (F.col("id") % 10).alias("b"), "input_ids", "length")
+    rows = batches.length_batches(two, ["a", "b"], 8, part_rows=50).collect()
+    assert len({(r.bucket, r.part, r.batch, r.slot) for r in rows}) == 300
+
+
+def test_vocabulary_size_is_bounded(spark, docs):
+    vocab = tokens.top_vocabulary(docs, F.col("text"), 10)
+    with pytest.raises(ValueError, match="k must lie"):
+        tokens.encode(docs, words(F.col("text")), vocab, tokens.MOST_TOKENS + 1, 16)
+
+
+def test_total_from_the_same_counts(spark):
+    rows = spark.createDataFrame([("a", 3), ("a", 9), ("b", 400), (None, 7)], "lang string, length int")
+    got = lengths.length_cap(lengths.counted_lengths(rows, "lang", "all"), ["lang"], weight=F.col("_rows"))
+    by = {r.lang: (r.n_rows, r.p50) for r in got.collect()}
+    assert by == {"a": (2, 6), "b": (1, 400), None: (1, 7), "all": (4, 8)}
