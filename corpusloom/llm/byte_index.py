@@ -28,14 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_rows, read_columns, record, texts_as_bytes
+from corpusloom.llm.common import map_rows, read_columns, ready, record, sorted_groups, texts_as_bytes
 from corpusloom.llm.components import EDGES, components, roots_of
-from corpusloom.session import ship_package, stage_table
+from corpusloom.session import stage_table
 
 SEED = 42
 BYTES = 8
 HOT_POSTING = 256    # entries beyond which a posting is dealt by masks
 MASK_SLICES = 24
+LINK_ROWS = 20_000
 PAIR_LAG = 32        # postings up to this size are paired in one vectorised pass
 
 
@@ -160,7 +161,7 @@ def fingerprint_links(entries: DataFrame, max_bits: int = 3, key_bytes: int = 4)
     paired inside a task and verified; larger ones are dealt by masks.
     """
     spark = entries.sparkSession
-    ship_package(spark)
+    ready(spark)
     masks = [byte_mask(s) for s in position_sets(max_bits, key_bytes)]
 
     def signed(value: int) -> int:
@@ -175,23 +176,10 @@ def fingerprint_links(entries: DataFrame, max_bits: int = 3, key_bytes: int = 4)
     paired = paired.repartition("set", "kept").sortWithinPartitions("set", "kept")
 
     def in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = {n: batch.column(i).to_numpy() for i, n in enumerate(("set", "kept", "fp", "rep"))}
-            if held is not None:
-                table = {n: np.concatenate([held[n], table[n]]) for n in table}
-            last = (table["set"] == table["set"][-1]) & (table["kept"] == table["kept"][-1])
-            cut = int(np.argmax(last))  # the last posting may go on in the next batch
-            held = {n: v[cut:] for n, v in table.items()}
-            yield from links({n: v[:cut] for n, v in table.items()})
-        if held is not None:
-            yield from links(held)
-
-    def links(table) -> Iterator[pa.RecordBatch]:
-        if len(table["fp"]):
-            changed = (np.diff(table["set"]) != 0) | (np.diff(table["kept"]) != 0)
-            group = np.concatenate([[0], np.cumsum(changed)])
-            a, b = posting_links(group, table["fp"].view(np.uint64), table["rep"], max_bits)
+        for table in sorted_groups(batches, ("set", "kept"), LINK_ROWS):
+            which, kept, fps, reps = (table[c].to_numpy() for c in ("set", "kept", "fp", "rep"))
+            group = np.concatenate([[0], np.cumsum((np.diff(which) != 0) | (np.diff(kept) != 0))])
+            a, b = posting_links(group, fps.view(np.uint64), reps, max_bits)
             yield record(a=a.astype(np.int64), b=b.astype(np.int64))
 
     near = paired.select("set", "kept", "fp", "rep").mapInArrow(in_tasks, EDGES)

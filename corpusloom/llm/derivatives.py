@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.session import ship_package
+from corpusloom.llm.common import ready
 
 RECORDS = (
     "{}record_id string, record_type string, refers_to string, target_uri string, date string, content_type string, "
@@ -122,7 +122,7 @@ def build_derivatives(responses: DataFrame, *keep: str) -> DataFrame:
     Repeated responses are derived each time, nulls are handled as
     :func:`derive` says, other columns are left out.  No rows give no rows.
     """
-    ship_package(responses.sparkSession)
+    ready(responses.sparkSession)
     used = [c for c in ("record_id", "target_uri", "date", "block", "payload_digest", "warc_headers")
             if c in responses.columns]
     rows = responses.select(*keep, *used)
@@ -164,7 +164,7 @@ def parse_records(archive: bytes) -> Iterator[dict]:
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Response records of the archive files under ``path``, one file per task at a time."""
-    ship_package(spark)
+    ready(spark)
     names = ["record_id", "target_uri", "date", "payload_digest", "warc_headers", "block"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
