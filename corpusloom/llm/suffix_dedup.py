@@ -31,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_rows, read_columns, record, texts_as_bytes
-from corpusloom.session import ship_package, stage_table
+from corpusloom.llm.common import map_rows, read_columns, ready, record, sorted_groups, texts_as_bytes
+from corpusloom.session import stage_table
 
 SPAN = 400
 SEED_BYTES = 100
 HOT_RUNS = 4096
+SORT_ROWS = 4000                      # runs that are sorted together, if their groups allow
 BASE = 0x9E3779B97F4A7C15 | 1
 POSITION_BITS = 22                    # places of a minimizer inside a part
 PART_BYTES = (1 << POSITION_BITS) - SPAN
@@ -53,7 +54,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE ** i`` and ``BASE ** -i`` modulo 2**64."""
     if len(_powers.get("up", ())) < length:
-        size = max(1 << 16, 1 << int(length).bit_length())
+        size = max(1 << 16, length + length // 4)
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             factors = np.full(size, base, dtype=np.uint64)
             factors[0] = 1
@@ -314,22 +315,13 @@ def sorted_ranges(pieces: DataFrame, span: int) -> DataFrame:
     For a block of a hot minimizer, rows with ``window`` are added: every
     different window of the block once, ``several`` if the block settled it.
     """
-    ship_package(pieces.sparkSession)
+    ready(pieces.sparkSession)
     kind = pieces.schema["doc_id"].dataType.simpleString()
     dealt = pieces.repartition("minimizer", "block").sortWithinPartitions("minimizer", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            table = pa.Table.from_batches([*held, batch])
-            keys = [table[c].to_numpy() for c in ("minimizer", "block")]
-            last = (keys[0] == keys[0][-1]) & (keys[1] == keys[1][-1])
-            cut = int(np.argmax(last))  # the last block may go on in the next batch
-            if cut:
-                yield from solve(table.slice(0, cut))
-            held = table.slice(cut).to_batches()
-        if held:
-            yield from solve(pa.Table.from_batches(held))
+        for table in sorted_groups(batches, ("minimizer", "block"), SORT_ROWS):
+            yield from solve(table)
 
     def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
         minimizer, block, first, last, at, copies, hot = (
@@ -339,15 +331,16 @@ def sorted_ranges(pieces: DataFrame, span: int) -> DataFrame:
         row, low, high = repeated_starts(group, first - at, last - at, copies > 1, strings, span)
         yield out(table, row, low + at[row], high + at[row], None, None)
         if hot.any():
-            windows: dict[bytes, tuple[int, int, bool]] = {}
+            windows: dict[tuple[int, bytes], tuple[int, int, bool]] = {}  # by block
             repeated = {(r, x) for r, a, b in zip(row, low + at[row], high + at[row]) for x in range(a, b + 1)}
             for r in np.flatnonzero(hot):
                 for x in range(first[r], last[r] + 1):
-                    key = hashlib.blake2b(strings[r][x - first[r]: x - first[r] + span], digest_size=16).digest()
+                    text = strings[r][x - first[r]: x - first[r] + span]
+                    key = (int(group[r]), hashlib.blake2b(text, digest_size=16).digest())
                     windows[key] = (r, x, key in windows or copies[r] > 1 or (r, x) in repeated)
             values = list(windows.values())
             rows, starts = (np.array([v[i] for v in values], dtype=np.int64) for i in (0, 1))
-            yield out(table, rows, starts, starts, list(windows), [bool(v[2]) for v in values])
+            yield out(table, rows, starts, starts, [w for _, w in windows], [bool(v[2]) for v in values])
 
     def out(table, row, low, high, window, several) -> pa.RecordBatch:
         take = pa.array(row)
@@ -370,6 +363,7 @@ def repeated_windows(docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES,
         F.count("*").alias("n"),
         ((F.min("high") == F.max("high")) & (F.min("low") == F.max("low"))).alias("uniform"),
     ).filter("n > 1").select("minimizer", "uniform")
+    shared = stage_table(shared, "minimizers")  # so that the join can split a hot minimizer
     found = stage_table(runs.join(shared, "minimizer"), "shared")
     whole = found.filter("uniform").select(*columns)
 
@@ -380,7 +374,7 @@ def repeated_windows(docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES,
     copied = classes.filter("copies > 1").select("minimizer", "high", "low")
     whole = whole.unionByName(mixed.join(copied, ["minimizer", "high", "low"], "left_semi").select(*columns))
 
-    sizes = classes.groupBy("minimizer").agg(F.count("*").alias("n_runs"))
+    sizes = stage_table(classes.groupBy("minimizer").agg(F.count("*").alias("n_runs")), "sizes")
     wanted = classes.join(sizes, "minimizer")
     ranges = stage_table(sorted_ranges(cut_pieces(docs, wanted, span, hot_runs), span), "ranges")
     settled = ranges.filter("window IS NULL").select(*columns)

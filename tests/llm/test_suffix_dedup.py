@@ -94,7 +94,7 @@ def test_rows_of_every_kind(spark):
     assert cut.columns == docs.columns
     got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in cut.collect()), key=str)
     assert got == sorted([
-        (1, None, None), (2, "", 0), (3, "short", 5), (None, "x", 1), (4, "y", 1), (5, "", 0), (6, "", 0), (6, "", 0),
+        (1, None, None), (2, "", 0), (3, "short", 5), (None, "x", 1), (4, "y", 1), (5, "left alone " * 3, 33), (6, "", 0), (6, "", 0),
     ], key=str)
     assert sd.repeats_removed(docs, span=24, seed=7).count() == len(rows)
 
