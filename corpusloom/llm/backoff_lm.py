@@ -23,8 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.common import read_columns, record, texts_as_bytes
-from corpusloom.session import ship_package
+from corpusloom.llm.common import read_columns, ready, record, texts_as_bytes
 
 BACKOFF = 0.4
 MIN_COUNT = 2
@@ -39,6 +38,15 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(31))
 
 
+def to_planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, all lowest bytes first: the higher ones are mostly zero and compress away."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
 class Chunk:
     """Some documents as numbers of different words, with the keys they ask the count table for."""
 
@@ -55,8 +63,11 @@ class Chunk:
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         hashes = np.fromiter(
             (h for words in split for h in map(xxhash.xxh64_intdigest, words)), np.uint64, int(sizes.sum()))
-        words, at = np.unique(hashes, return_inverse=True)
-        return cls(words, at, sizes)
+        words, at, often = np.unique(hashes, return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")  # frequent words get small numbers, which pack well
+        rank = np.empty(len(words), dtype=np.int64)
+        rank[order] = np.arange(len(words))
+        return cls(words[order], rank[at], sizes)
 
     def keys(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Keys in the order of their buckets, that order, and the bounds of the buckets."""
@@ -81,21 +92,29 @@ class Chunk:
         hit = self.inner[seen]
         logs[hit] = np.log10(both[seen] / single[self.at[hit - 1]])
         n = len(self.sizes)
-        return np.bincount(self.doc, logs, n), np.bincount(self.doc[hit], minlength=n)
+        return np.bincount(self.doc, logs, n).astype(float), np.bincount(self.doc[hit], minlength=n)
 
 
-def cut_chunks(batches: Iterator[pa.RecordBatch], chunk_words: int) -> Iterator[tuple[int, pa.RecordBatch, list[bytes]]]:
+def cut_chunks(batches: Iterator[pa.RecordBatch], chunk_words: int) -> Iterator[tuple[int, pa.Array, list[bytes]]]:
     """Chunks of whole texts of about ``chunk_words`` words, told by their bytes; numbered by task and order."""
     from pyspark import TaskContext
     number = TaskContext.get().partitionId() << 32
+    keys: list[pa.Array] = []
+    texts: list[bytes] = []
+    held = 0
     for batch in batches:
-        texts = texts_as_bytes(batch.column(1))
-        begin = held = 0
-        for i, text in enumerate(texts):
+        begin = 0
+        for i, text in enumerate(texts_as_bytes(batch.column(1))):
+            texts.append(text)
             held += len(text)
-            if held > 6 * chunk_words or i == len(texts) - 1:
-                yield number, batch.slice(begin, i + 1 - begin), texts[begin: i + 1]
-                number, begin, held = number + 1, i + 1, 0
+            if held > 6 * chunk_words:
+                keys.append(batch.column(0).slice(begin, i + 1 - begin))
+                yield number, pa.concat_arrays(keys), texts
+                number, keys, texts, held, begin = number + 1, [], [], 0, i + 1
+        keys.append(batch.column(0).slice(begin))
+    if texts:
+        yield number, pa.concat_arrays(keys), texts
+    pa.default_memory_pool().release_unused()
 
 
 def exploded(docs: DataFrame, buckets: int, chunk_words: int) -> DataFrame:
@@ -109,7 +128,7 @@ def exploded(docs: DataFrame, buckets: int, chunk_words: int) -> DataFrame:
             yield record(
                 bucket=some, chunk=np.full(len(some), number),
                 keys=pa.array([keys[bounds[b]: bounds[b + 1]].tobytes() for b in some], pa.binary()),
-                counts=pa.array([counts[bounds[b]: bounds[b + 1]].tobytes() for b in some], pa.binary()))
+                counts=pa.array([to_planes(counts[bounds[b]: bounds[b + 1]]) for b in some], pa.binary()))
     return docs.mapInArrow(run, "bucket bigint, chunk bigint, keys binary, counts binary")
 
 
@@ -118,12 +137,12 @@ def numbered_documents(docs: DataFrame, chunk_words: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for number, rows, texts in cut_chunks(batches, chunk_words):
+        for number, keys, texts in cut_chunks(batches, chunk_words):
             chunk = Chunk.of(texts)
             yield record(
-                chunk=[number], doc_id=pa.array([rows.column(0).to_pylist()], pa.list_(rows.column(0).type)),
+                chunk=[number], doc_id=pa.array([keys.to_pylist()], pa.list_(keys.type)),
                 sizes=[chunk.sizes.tobytes()], words=[chunk.words.tobytes()],
-                at=[chunk.at.astype(np.uint32).tobytes()])
+                at=[to_planes(chunk.at)])
     return docs.mapInArrow(run, f"chunk bigint, doc_id array<{kind}>, sizes binary, words binary, at binary")
 
 
@@ -140,14 +159,14 @@ def backoff_scores(
     shuffled table has to be staged before.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     rows = read_columns(docs, key, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count_bucket(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-        own = [np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()]
+        own = [from_planes(c) for c in table["counts"].to_pylist()]
         different, at = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.bincount(at, np.concatenate(own), len(different))[at].astype(np.int64)
         answers = np.split(counts, np.cumsum([len(k) for k in keys])[:-1])
@@ -155,16 +174,16 @@ def backoff_scores(
         narrow = [a.astype(np.uint32) if a.max(initial=0) < 1 << 32 else a for a in answers]
         return pa.table({
             "chunk": table["chunk"], "bucket": table["bucket"], "wide": [a.dtype == np.int64 for a in narrow],
-            "corpus": pa.array([a.tobytes() for a in narrow], pa.binary())})
+            "corpus": pa.array([a.tobytes() if a.dtype == np.int64 else to_planes(a) for a in narrow], pa.binary())})
 
     def score_chunk(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = []
         for row in left.to_pylist():
-            chunk = Chunk(np.frombuffer(row["words"], np.uint64), np.frombuffer(row["at"], np.uint32).astype(np.int64),
+            chunk = Chunk(np.frombuffer(row["words"], np.uint64), from_planes(row["at"]).astype(np.int64),
                           np.frombuffer(row["sizes"], np.int64))
             _, order, _ = chunk.keys(buckets)
             answers = sorted(zip(right["bucket"].to_pylist(), right["wide"].to_pylist(), right["corpus"].to_pylist()))
-            told = np.concatenate([np.frombuffer(c, np.int64 if w else np.uint32) for _, w, c in answers])
+            told = np.concatenate([np.frombuffer(c, np.int64) if w else from_planes(c) for _, w, c in answers])
             if len(told) != len(order):
                 raise ValueError("the documents came in another order the second time; stage them first")
             corpus = np.empty(len(order), dtype=np.float64)
