@@ -157,7 +157,9 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -
     near = probes.join(index, ["n", "block", "value"]).filter(
         F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_item"))) <= RADIUS
     ).select("doc_id", "text_hash", "start", "n", "item_id").distinct()
-    pairs = near.join(known, ["item_id", "n"]).alias("x").join(
+    named = known.select(F.col("item_id").alias("_item"), F.col("n").alias("_n"), "shingles")
+    same_item = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("n") == F.col("_n"))
+    pairs = near.join(named, same_item).drop("_item", "_n").alias("x").join(
         marked.alias("y"), F.col("x.doc_id").eqNullSafe(F.col("y.doc_id"))
         & (F.col("x.text_hash") == F.col("y.text_hash")) & (F.col("x.start") == F.col("y.start"))
         & (F.col("x.n") == F.col("y.n")))
