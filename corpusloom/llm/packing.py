@@ -19,21 +19,22 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import read_columns, record
-from corpusloom.session import ship_package, stage_table
+from corpusloom.llm.common import read_columns, ready, record
+from corpusloom.session import stage_table
 
 SEQUENCE = 2048
 CLASS_WIDTH = 8
 DEPTH = 3
 END_ID = 1
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
+LAST_LATIN = 0xC8  # the highest first byte of Latin letters that stand for themselves in every normal form
 
 Plan = list[tuple[tuple[int, ...], int]]
 
@@ -165,6 +166,11 @@ class Slots:
         return sequence, slot
 
 
+def is_latin_word(word: str) -> bool:
+    """Whether a word is Latin letters only, none of which turns into two when lowered."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0240" and "\u0130" not in word))
+
+
 class _Numbered(dict):
     """Words by number; a new word gets the next one and is noted as fresh."""
 
@@ -178,13 +184,35 @@ class _Numbered(dict):
         return number
 
 
+def plain_form(text: str) -> str:
+    """A text with the same ids and fewer different words.
+
+    The vocabulary lowers letters and cuts words from the marks behind them.
+    Where all characters are Latin, both can be done beforehand: letters are
+    lowered, and a full stop or comma between a letter or digit and a blank is
+    set apart.
+    """
+    if not text or "\u0130" in text:  # the one Latin letter that becomes two when lowered
+        return text
+    data = np.frombuffer(text.encode(), np.uint8)
+    if data.max() > LAST_LATIN:
+        return text
+    data = np.frombuffer(text.lower().encode() + b" ", np.uint8)
+    at = np.flatnonzero((data == 44) | (data == 46))
+    at = at[(at > 1) & np.isin(data[np.minimum(at + 1, len(data) - 1)], (32, 10))]
+    before, lead = data[at - 1], data[at - 2]
+    ascii_ = ((before >= 97) & (before <= 122)) | ((before >= 48) & (before <= 57))
+    # Two-byte characters from C3 80 on are letters but for the signs of multiplication and division.
+    latin = (before >= 0x80) & (lead >= 0xC3) & ~((lead == 0xC3) & ((before == 0x97) | (before == 0xB7)))
+    return np.insert(data[:-1], at[ascii_ | latin], 32).tobytes().decode()
+
+
 class WordCoder:
     """Token ids of texts through the tokenizer, each different word once.
 
     The vocabulary's rules never look across white space, so a word has the
-    same ids wherever it stands.  Nor do letters look at full stops and commas
-    behind them, and ASCII letters are lowered first; so ``The,`` is looked up
-    as ``the`` and ``,``.  At most ``CACHE_WORDS`` words are remembered.
+    same ids wherever it stands.  At most ``CACHE_WORDS`` words are remembered
+    from one batch to the next.
     """
 
     END = " "  # no word has a blank
@@ -193,38 +221,44 @@ class WordCoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        ids = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(ids.values()) + 1, dtype=bool)  # ids that end a piece
+        self.closes[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.cores = _Numbered(), {"": []}
+        self.known = _Numbered()
         self.flat, self.begins = array("I", [END_ID]), array("q", [0, 1])
         self.known[self.END] = 0
 
     def _learn(self) -> None:
         """Append the ids of the fresh words."""
         fresh, self.known.fresh = self.known.fresh, []
-        parts = []
-        for word in fresh:
-            core = word.rstrip(".,")
-            tail = word[len(core):]
-            if core.isalpha():
-                parts.append((core.lower() if core.isascii() else core, tail))
-            else:
-                parts.append((word, ""))
-        new = list({p for both in parts for p in both} - self.cores.keys())
-        for at in range(0, len(new), 10_000):
-            some = new[at: at + 10_000]
-            coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.cores.update(zip(some, (e.ids for e in coded)))
-        for core, tail in parts:
-            self.flat.extend(self.cores[core] + self.cores[tail])
-            self.begins.append(len(self.flat))
+        for at in range(0, len(fresh), 5_000):
+            for raw in self._coded(fresh[at: at + 5_000]):
+                self.flat.frombytes(raw)
+                self.begins.append(len(self.flat))
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  Words of Latin letters are one piece each, told by its closing id, and coded in one call."""
+        plain = [is_latin_word(w) for w in words]
+        ids = np.array(self._ids([" ".join(compress(words, plain))])[0], dtype="<u4")
+        ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
+        if len(ends) != sum(plain):  # another vocabulary may cut them otherwise
+            return [np.array(x, dtype="<u4").tobytes() for x in self._ids(words)]
+        raw = ids.tobytes()
+        cut = iter([raw[a:b] for a, b in zip([0, *ends[:-1]], ends)])
+        others = iter(self._ids([w for w, p in zip(words, plain) if not p]))
+        return [next(cut) if p else np.array(next(others), dtype="<u4").tobytes() for p in plain]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text with the closing id, as little-endian unsigned 32-bit numbers."""
         words: list[str] = []
         for text in texts:
-            words += text.replace("\n", " ").split(" ")
+            words += plain_form(text).replace("\n", " ").split(" ")
             words.append(self.END)
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         self._learn()
@@ -237,29 +271,24 @@ class WordCoder:
         return np.split(ids, ends[at == 0][:-1]) if texts else []
 
 
-@lru_cache(maxsize=1)
-def word_coder(vocabulary: str) -> WordCoder:
-    """One coder per Python worker, so that later tasks find the words of earlier ones."""
-    return WordCoder(vocabulary)
-
-
 def cut_rows(
     docs: DataFrame, vocabulary: str, width: int, class_width: int, key: str, text: str
 ) -> DataFrame:
     """The pieces of every document with their class and their number within task and class."""
     rows = read_columns(docs, key, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    ship_package(rows.sparkSession)
+    ready(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        coder, seen = word_coder(shared.value), np.zeros(width // class_width + 2, dtype=np.int64)
+        coder, seen = WordCoder(shared.value), np.zeros(width // class_width + 2, dtype=np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 yield pieces(part, coder, seen, task)
+        pa.default_memory_pool().release_unused()
 
     def pieces(batch, coder, seen, task) -> pa.RecordBatch:
         owner, start, length, crc, total = [], [], [], [], []
