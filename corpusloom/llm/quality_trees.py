@@ -26,6 +26,7 @@ MAX_REPEAT_PERCENT = 20
 WINDOW_WORDS = 5
 SAMPLE_ROWS = 20_000
 NOT_SYMBOL = re.compile(r"[^#*$%&|<>]+")
+ASCII = re.compile(r"[\x00-\x7f]+")
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_chars", "n_lines", "n_stops", "n_unique", "n_upper", "n_digits"]
@@ -67,6 +68,12 @@ def repeat_words(words: Sequence[bytes], window: int = WINDOW_WORDS) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+def capitals(text: str) -> int:
+    """Unicode capitals, in texts of any length; A-Z are counted apart because that is quicker."""
+    count = sum(text.count(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    return count if text.isascii() else count + sum(map(str.isupper, ASCII.sub("", text)))
+
+
 def text_stats(text: str | None) -> tuple[int, ...]:
     """``STATS`` and ``EXTRA`` of one text; a null text counts as empty."""
     text = text or ""
@@ -77,8 +84,7 @@ def text_stats(text: str | None) -> tuple[int, ...]:
         len(words), len(text) - sum(text.count(c) for c in WHITE), len(NOT_SYMBOL.sub("", text)),
         len(spoken) - len(set(spoken)), repeat_words(words),
         len(text), len(lines), text.count(".") + text.count("!") + text.count("?"), len(set(words)),
-        sum(map(str.isupper, text)) if len(text) < 200 else sum(text.count(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        sum(text.count(c) for c in "0123456789"),
+        capitals(text), sum(text.count(c) for c in "0123456789"),
     )
 
 

@@ -26,6 +26,14 @@ def test_statistics(text):
     assert qt.text_stats(text)[:5] == brute(text)
 
 
+@pytest.mark.parametrize("words", ["ПРИВЕТ МИР ", "ΑΘΗΝΑ Σ ", "Été À Paris ", "LOUD AND CLEAR ", "Ⅳ Ⓐ ǅ 漢字 "])
+def test_capitals_are_the_same_in_short_and_long_texts(words):
+    at = len(qt.STATS) + qt.EXTRA.index("n_upper")
+    each = sum(c.isupper() for c in words)
+    for times in (1, 199 // len(words), 200 // len(words) + 1, 500):
+        assert qt.text_stats(words * times)[at] == each * times
+
+
 def test_many_different_words():
     words = [str(i).encode() for i in range(9000)] * 2
     assert qt.repeat_words(words) == 18000
