@@ -93,11 +93,38 @@ def needed(n_window: Column, n_item: Column, similarity: float) -> Column:
 
 
 def item_table(items: DataFrame) -> DataFrame:
-    """``item_id, shingles, n``; items without a word are left out."""
-    made = items.select(F.col("item_id"), shingle_hashes(plain_words(F.col("text"))).alias("shingles"))
+    """``item_id, n_words, shingles, n``; items without a word are left out."""
+    words = items.select(F.col("item_id"), plain_words(F.col("text")).alias("w"))
+    made = words.select("item_id", F.size("w").alias("n_words"), shingle_hashes(F.col("w")).alias("shingles"))
     return made.withColumn("n", F.size("shingles")).filter("n > 0")
 
 
+def short_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """First place of each item of under ``SHINGLE_WORDS`` words in each text that holds all its words in a row.
+
+    Such an item is one shingle of its own length, so it is similar only where it is equal.
+    """
+    short = items.select("item_id", "n_words", F.get("shingles", 0).alias("h"))
+    sizes = sorted(r["n_words"] for r in short.select("n_words").distinct().collect())  # four at most
+    none = F.array().cast("array<struct<n_words:int,h:bigint,pos:int>>")
+
+    def places(w: Column) -> Column:
+        def of(m: int) -> Column:
+            at_each = F.transform(F.sequence(F.lit(0), F.size(w) - m), lambda i: F.struct(
+                F.lit(m).alias("n_words"), F.xxhash64(F.array_join(F.slice(w, i + 1, m), " ")).alias("h"),
+                i.alias("pos")))
+            return F.when(F.size(w) >= m, at_each).otherwise(none)
+        return F.concat(none, *[of(m) for m in sizes])
+    wanted = short.select("n_words", "h").distinct()
+    if wanted.count() <= BROADCAST_SHINGLES:
+        wanted = F.broadcast(wanted)
+    placed = docs.select("doc_id", "text_hash", F.explode(bound(plain_words(F.col("text")), places)).alias("p")).select(
+        "doc_id", "text_hash", "p.*").join(wanted, ["n_words", "h"], "left_semi")
+    first = placed.groupBy("doc_id", "text_hash", "n_words", "h").agg(F.min("pos").alias("start"))
+    return first.join(short, ["n_words", "h"]).select(
+        "doc_id", "text_hash", "item_id", "start", F.lit(1.0).alias("similarity"))
+
+
 def seed_places(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Where a text has a shingle of some item: ``doc_id, text_hash, n_doc, pos, h``."""
     wanted = items.select(F.explode("shingles").alias("h")).distinct()
@@ -126,12 +153,23 @@ def seeded_windows(seeds: DataFrame, items: DataFrame, similarity: float) -> Dat
     return counted.select("doc_id", "text_hash", "n", "width", F.explode(starts).alias("start")).distinct()
 
 
-def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def matches(
+    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, short_items: bool = False
+) -> DataFrame:
     """``doc_id, text_hash, item_id, start, similarity`` of each text's best window for each item.
 
     ``docs`` has ``doc_id, text, text_hash``.
     """
     known = stage_table(item_table(items), "items")
+    if short_items:
+        short, known = (known.filter(F.col("n_words") < SHINGLE_WORDS), known.filter(F.col("n_words") >= SHINGLE_WORDS))
+        long = long_matches(docs, known, similarity)
+        return long if short.isEmpty() else long.unionByName(short_matches(docs, short))
+    return long_matches(docs, known, similarity)
+
+
+def long_matches(docs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """``matches`` by shingles of five words, for the items of an ``item_table``."""
     seeds = stage_table(seed_places(docs, known), "seeds")
     windows = stage_table(seeded_windows(seeds, known, similarity), "windows")
     owners = stage_table(
@@ -175,7 +213,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -
 
 
 def contaminated(
-    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text",
+    short_items: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, start, similarity``: the best window of each document for each item found in it.
 
@@ -183,19 +222,28 @@ def contaminated(
     is named.  Null and empty texts and items match nothing.  A text shorter
     than an item is one window.  Rows with the same key are one document; a
     null key is named as null.  Empty tables give no rows.
+
+    With ``short_items`` an item of one to four words is found wherever its
+    words stand in a row, as the registered query and the pipeline ask for.
+    Without it, such an item matches only a text of exactly those words.
     """
     own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "start"))
-    return matches(own, items, similarity).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    return matches(own, items, similarity, short_items).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", F.col("b.start").cast("bigint").alias("start"), (-F.col("b.s")).alias("similarity"))
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item; rows are told apart by key and text."""
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, short_items: bool = False
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item; rows are told apart by key and text.
+
+    ``short_items`` as in ``contaminated``.
+    """
     hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text")))
     own = hashed.select("doc_id", "text", F.col("_text_hash").alias("text_hash"))
     hit = stage_table(
-        matches(own, items, similarity).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(),
+        matches(own, items, similarity, short_items).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(),
         "hits")
     same = hashed["doc_id"].eqNullSafe(hit["_id"]) & (hashed["_text_hash"] == hit["_hash"])
     return hashed.join(hit, same, "left_anti").drop("_text_hash")

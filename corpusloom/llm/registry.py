@@ -29,7 +29,8 @@ def vocabulary_text(name: str = VOCABULARY) -> str:
 
 
 def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontamination.contaminated(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark"), short_items=True)
 
 
 def op2_chat_format(spark: SparkSession, sf: str) -> DataFrame:

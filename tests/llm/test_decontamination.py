@@ -1,7 +1,9 @@
 import random
 from collections import Counter
 
+from corpus_pipeline import benchmark_leaks
 from corpusloom.llm import decontamination as dc
+from corpusloom.llm.registry import op1_decontamination
 
 DOCS, ITEMS = "doc_id bigint, text string", "item_id bigint, text string"
 VOCABULARY = [a + b for a in "bcdfglmnprst" for b in ("a", "e", "io", "ul", "ér")]
@@ -85,3 +87,19 @@ def test_main_path_is_native(spark):
     plan = dc.contaminated(docs, spark.createDataFrame([(1, "a b c d e f g")], ITEMS))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_registered_query_and_pipeline_find_short_items_inside_longer_documents(spark, tmp_path):
+    docs = [(1, "So 3 + 4 = 7, and more words follow here."), (2, "seven"), (3, "Seven is not 3 4 8 7 in all"),
+            (4, "one two three"), (None, "x one, TWO three four one two"), (5, "one two"), (6, None), (7, "two one"),
+            (8, "a five word item is here and more")]
+    items = [(1, "3 + 4 = 7"), (2, "Seven!"), (3, "one two"), (4, "one two three four"), (5, "?"), (6, "a five word item is"),
+             (None, "one two")]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {tuple(r) for r in op1_decontamination(spark, str(tmp_path)).collect()}
+    want = {(1, 1, 1), (2, 2, 0), (3, 2, 0), (None, 4, 1), (8, 6, 0)}
+    want |= {(d, i, s) for d, s in ((4, 0), (None, 1), (5, 0)) for i in (3, None)}
+    assert got == {(*w, 1.0) for w in want}
+    kept = benchmark_leaks(spark, spark.createDataFrame(docs, DOCS), str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [6, 7]
