@@ -9,7 +9,9 @@ space, so punctuation and case don't hide a copy.
    a document has a shingle of some item are looked at.  Similarity bounds the
    number of shared shingles from below; runs of seeds too thin for it go.
    Neither step can lose a window that would pass.
-2. Every window left gets a SimHash over its shingles, as does every item.  A
+2. Every window left gets a SimHash over its shingles, each told apart by its
+   occurrence number, as does every item: so a repeated shingle does not
+   outweigh the bits, and the weighted similarity is that of two sets.  A
    multi-index finds all items within ``RADIUS`` bits: the 64 bits are cut into
    blocks, by the pigeonhole principle one block differs in at most
    ``BLOCK_RADIUS`` bits, and each item is filed under all such values of each
@@ -69,6 +71,19 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("bigint"), bit)
 
 
+def numbered(hashes: Column) -> Column:
+    """The set of shingles with their occurrence numbers, in no order; a first occurrence is the shingle's own hash.
+
+    The weighted similarity of two lists of shingles is the similarity of these sets.
+    """
+    def of(own: Column) -> Column:
+        again = bound(F.array_sort(own), lambda s: F.array_distinct(F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x))))
+        later = F.transform(again, lambda x: F.transform(
+            F.sequence(F.lit(2), F.size(F.filter(own, lambda y: y == x))), lambda k: F.xxhash64(x, k)))
+        return F.concat(F.array_distinct(own), F.flatten(later))
+    return bound(hashes, of)
+
+
 def block_values(fp: Column) -> list[Column]:
     return [F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint")) for first, bits in BLOCKS]
 
@@ -180,12 +195,12 @@ def long_matches(docs: DataFrame, known: DataFrame, similarity: float) -> DataFr
     each = texts.select("doc_id", "text_hash", "all", F.explode("w").alias("w")).select(
         "doc_id", "text_hash", F.col("w.start").alias("start"), F.col("w.n").alias("n"),
         F.slice("all", F.col("w.start") + 1, F.col("w.width")).alias("own"))
-    marked = stage_table(each.withColumn("fp", simhash(F.col("own"))), "marked")
+    marked = stage_table(each.withColumn("fp", bound(numbered(F.col("own")), simhash)), "marked")
 
     def near_keys(block: int, value: Column, bits: int) -> Column:
         return F.transform(
             near_values(bits), lambda m: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(m).alias("value")))
-    filed = known.withColumn("fp_item", simhash(F.col("shingles")))
+    filed = known.withColumn("fp_item", bound(numbered(F.col("shingles")), simhash))
     keys = [near_keys(b, v, bits) for b, (v, (_, bits)) in enumerate(zip(block_values(F.col("fp_item")), BLOCKS))]
     index = filed.select("item_id", "n", "fp_item", F.explode(F.flatten(F.array(*keys))).alias("k")).select(
         "item_id", "n", "fp_item", "k.block", "k.value")

@@ -103,3 +103,14 @@ def test_registered_query_and_pipeline_find_short_items_inside_longer_documents(
     assert got == {(*w, 1.0) for w in want}
     kept = benchmark_leaks(spark, spark.createDataFrame(docs, DOCS), str(tmp_path))
     assert sorted(r["doc_id"] for r in kept.collect()) == [6, 7]
+
+
+def test_runs_of_a_repeated_word_stay_within_the_radius(spark):
+    rng = random.Random(5)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(132)] for _ in range(40)]
+    items = [(i, " ".join(t + ["zero"] * 16)) for i, t in enumerate(texts)]  # 12 of 144 shingles are the same
+    docs = [(i, " ".join(t + [f"filler{i}"] * 16)) for i, t in enumerate(texts)]
+    assert len(brute(docs[:3], items[:3])) == 3
+    got = found(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert {(d, i) for d, i, _, _ in got} == {(i, i) for i in range(40)}
+    assert {s for _, _, _, s in got} == {0.8}
