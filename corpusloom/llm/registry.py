@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import (
     backoff_lm, byte_index, chat_parts, dated_urls, decontamination, derivatives, packing, quality_trees, suffix_dedup,
-    toxicity,
+    toxicity, whitening,
 )
 from corpusloom.llm.common import map_rows, record
 
@@ -134,6 +134,10 @@ def op10_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
     return derivatives.build_derivatives(archived_responses(table(spark, sf, "pages")), "page_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -145,4 +149,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_url_filters": op9_url_filters,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }

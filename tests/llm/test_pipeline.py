@@ -42,4 +42,4 @@ def test_each_stage_takes_no_rows(spark):
 
 
 def test_operators_have_one_query_each():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
