@@ -120,9 +120,49 @@ SELECT p.page_id, count(a.key) AS n_active, max(a.key) FILTER (place = 1) AS dec
 FROM pages p LEFT JOIN active a ON a.page_id = p.page_id GROUP BY p.page_id
 """
 
+FILTER_AUDIT = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), l AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INT AS fails
+    FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+), cells AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM f GROUP BY part, fails
+), letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(name, bit)
+), orders AS (
+    SELECT a.name || b.name || c.name || d.name || e.name AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, step, bit, coalesce((SELECT sum(x.bit)::INT FROM letters x
+        WHERE position(x.name IN filter_order) < step), 0) AS earlier
+    FROM orders, (SELECT unnest(range(1, 6))::INT AS step), letters WHERE filter_order[step] = name
+), walked AS (
+    SELECT part, filter_order, step, bit,
+        coalesce(sum(n) FILTER (fails & (earlier | bit) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (fails & earlier = 0 AND fails & bit <> 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (fails & earlier <> 0 AND fails & bit <> 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (fails & earlier = 0 AND fails & bit <> 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (fails & earlier = 0 AND fails & bit <> 0), 0)::BIGINT AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, bit, earlier
+)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM walked
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_chat_format": CHAT,
     "op6_lm_scoring": LM_SCORING,
     "op9_url_filters": URL_FILTERS,
+    "op12_filter_audit": FILTER_AUDIT,
 }

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    backoff_lm, byte_index, chat_parts, dated_urls, decontamination, derivatives, packing, quality_trees, suffix_dedup,
-    toxicity, whitening,
+    backoff_lm, byte_index, chat_parts, dated_urls, decontamination, derivatives, filter_audit, packing, quality_trees,
+    suffix_dedup, toxicity, whitening,
 )
 from corpusloom.llm.common import map_rows, record
 
@@ -138,6 +138,14 @@ def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whiten(table(spark, sf, "embeddings"))
 
 
+def quality_marks(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf, "documents"), quality_marks(table(spark, sf, "labels")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -150,4 +158,5 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_warc_derivatives": op10_warc_derivatives,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_filter_audit": op12_filter_audit,
 }
