@@ -159,10 +159,64 @@ WITH d AS (
 SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM walked
 """
 
+# A match starts behind the gaps and matches before it.
+SECRET_SCAN = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents
+), lists AS (
+    SELECT doc_id, owner, 0 AS kind,
+        regexp_extract_all(t, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[a-z0-9+/_.=-]+') AS m,
+        string_split_regex(t, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[a-z0-9+/_.=-]+') AS g
+    FROM d
+    UNION ALL SELECT doc_id, owner, 1, regexp_extract_all(t, 'AKIA[A-Z0-9]{12,}'), string_split_regex(t, 'AKIA[A-Z0-9]{12,}') FROM d
+    UNION ALL SELECT doc_id, owner, 2, regexp_extract_all(t, '[0-9a-f]{32,}'), string_split_regex(t, '[0-9a-f]{32,}') FROM d
+    UNION ALL SELECT doc_id, owner, 3, regexp_extract_all(t, '[A-Za-z0-9+/_.=-]{8,}'),
+        string_split_regex(t, '[A-Za-z0-9+/_.=-]{8,}') FROM d
+), placed AS (
+    SELECT doc_id, owner, kind, m[i] AS found,
+        (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS first
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM lists)
+), base AS (
+    SELECT doc_id, owner, kind, first, first + length(found) AS past, CASE WHEN kind > 0 THEN found ELSE regexp_extract(
+        found, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([a-z0-9+/_.=-]+)', 1) END AS value
+    FROM placed WHERE kind < 3
+), kept AS (SELECT * FROM base WHERE kind > 0 OR length(value) >= 8
+), runs AS (
+    SELECT doc_id, owner, kind, first + length(found) - length(ltrim(found, '._=+/-')) AS first, trim(found, '._=+/-') AS value
+    FROM placed WHERE kind = 3
+), every AS (
+    SELECT * FROM kept UNION ALL
+    SELECT doc_id, owner, kind, first, first + length(value) AS past, value FROM runs r
+    WHERE length(value) >= 8 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND NOT EXISTS (
+        SELECT 1 FROM kept k WHERE k.doc_id = r.doc_id AND k.first < r.first + length(r.value) AND k.past > r.first)
+), judged AS (
+    SELECT *, trim(value, '._=+/-') AS v FROM every
+), owned AS (
+    SELECT v, count(DISTINCT owner) AS n_owners, bool_or(kind < 3) AS named,
+        len(list_distinct(string_split(v, ''))) AS n_chars FROM judged GROUP BY v
+), final AS (
+    SELECT doc_id, first, past, CASE WHEN n_owners >= 3 THEN 'example'
+        WHEN n_chars >= 8 AND regexp_matches(v, '[0-9]') THEN 'live' ELSE 'plain' END AS verdict,
+        CASE WHEN kind < 3 THEN kind WHEN verdict <> 'live' THEN NULL WHEN named THEN 3
+            WHEN n_chars >= 12 AND regexp_full_match(v, '[A-Za-z0-9+_=-]{20,}') AND regexp_matches(v, '[A-Z]')
+                AND regexp_matches(v, '[a-z]') THEN 4 END AS kind
+    FROM judged JOIN owned USING (v)
+), texts AS (
+    SELECT *, ['assign', 'access', 'hex', 'reuse', 'bare'][kind + 1] || ':' || first || ':' || past AS span
+    FROM final WHERE kind IS NOT NULL
+)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY first, kind) FILTER (kind < 3), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY first, kind), '') AS spans,
+    count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+FROM d LEFT JOIN texts x ON x.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_chat_format": CHAT,
     "op6_lm_scoring": LM_SCORING,
     "op9_url_filters": URL_FILTERS,
     "op12_filter_audit": FILTER_AUDIT,
+    "op13_secret_scan": SECRET_SCAN,
 }

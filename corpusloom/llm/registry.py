@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import (
     backoff_lm, byte_index, chat_parts, dated_urls, decontamination, derivatives, filter_audit, packing, quality_trees,
-    suffix_dedup, toxicity, whitening,
+    secret_scan, suffix_dedup, toxicity, whitening,
 )
 from corpusloom.llm.common import map_rows, record
 
@@ -146,6 +146,30 @@ def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf, "documents"), quality_marks(table(spark, sf, "labels")))
 
 
+def span_digests(found: DataFrame) -> DataFrame:
+    """Counts and digests of the spans of each document."""
+    spans = F.col("spans")
+    names = F.array(*[F.lit(kind) for kind in secret_scan.KINDS])
+
+    def count(field, value):
+        return F.size(F.filter(spans, lambda s: s[field] == value)).cast("bigint")
+
+    def listed(some):
+        return F.array_join(F.transform(
+            some, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["first"], s["past"])), ",")
+    base = F.filter(spans, lambda s: s["kind"] < secret_scan.BASE_KINDS)
+    return found.select(
+        "doc_id", *[count("kind", i).alias(f"n_{kind}") for i, kind in enumerate(secret_scan.KINDS[:secret_scan.BASE_KINDS])],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(spans).alias("spans"),
+        count("verdict", "live").alias("n_live"), count("verdict", "example").alias("n_example"))
+
+
+def op13_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The table names no repositories: a source stands for an owner, its documents of one language for a repository."""
+    docs = table(spark, sf, "documents")
+    return span_digests(secret_scan.scan_secrets(docs, "source", F.concat_ws("/", "source", "lang")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -159,4 +183,5 @@ QUERIES = {
     "op10_warc_derivatives": op10_warc_derivatives,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_filter_audit": op12_filter_audit,
+    "op13_secret_scan": op13_secret_scan,
 }
