@@ -108,3 +108,22 @@ def chain_ends(summaries: DataFrame, start: float) -> DataFrame:
     return map_groups(
         joined_by_fan(summaries), ["run_id"], "fan", last, "run_id bigint, end_mark bigint"
     )
+
+
+def chain_values(summaries: DataFrame, starts: DataFrame) -> DataFrame:
+    """``run_id, value, end_mark``: the value that each group's chain leaves, and -1 or where it ended.
+
+    ``starts`` has ``run_id, value``, the value with which a group begins.
+    """
+    def walk(rows):
+        x, end_mark = float(rows["value"][0]), -1
+        for summary in _summaries(rows):
+            x, mark, ended = rc.apply(summary, x)
+            if ended:
+                end_mark = mark
+                break
+        return {"run_id": rows["run_id"][:1], "value": [x], "end_mark": [end_mark]}
+
+    # Pandas has one missing value for null and NaN; no reference is null.
+    begun = joined_by_fan(summaries).join(starts.select("run_id", "value"), "run_id")
+    return map_groups(begun, ["run_id"], "fan", walk, "run_id bigint, value double, end_mark bigint")

@@ -23,6 +23,7 @@ from corpusloom.operators.chains import KEYS, chain_ends, map_groups, summary_ro
 from corpusloom.operators.series import number_in_group
 
 NO_RESULT = 290.0  # powers of ten that a double can hold, with a margin
+EARLIER, TAIL = "_earlier", "_tail"  # marks of rows that stand for records handled before
 PER_RUN = ["steps_total", "warmup", "hard_cap_step", "window", "slope_window", "history"]
 
 
@@ -142,27 +143,33 @@ def _is_wild(value: Column) -> Column:
     return F.isnan(value) | (F.abs(value) == float("inf"))
 
 
-def _lr_counts() -> Column:
+def _marked(df: DataFrame, mark: str) -> Column:
+    return F.coalesce(F.col(mark), F.lit(False)) if mark in df.columns else F.lit(False)
+
+
+def _lr_counts(earlier: Column) -> Column:
     """The learning rate where it counts towards the highest one seen."""
-    return F.when(F.col("_warm") & F.col("_exposed") & ~F.isnan("lr"), F.col("lr"))
+    return F.when(earlier, F.col("lr")).when(F.col("_warm") & F.col("_exposed") & ~F.isnan("lr"), F.col("lr"))
 
 
 def smoothed(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     """Add ``ema``, the gates and the settings of the run.
 
     The moving average is linear, so the values of a block are its own
-    weighted sums plus a share of one carried value.
+    weighted sums plus a share of one carried value.  A row marked ``EARLIER``
+    stands for all records of its run up to its ``n``: its loss is their
+    average, its learning rate the highest one.
     """
-    s = settings
+    s, earlier = settings, _marked(numbered, EARLIER)
     size, beta = s.smooth_rows, s.beta
     block, at = F.floor((F.col("n") - 1) / size), (F.col("n") - 1) % size
-    share = F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.lit(1.0 - beta))
+    share = F.when((F.col("n") == 1) | earlier, F.lit(1.0)).otherwise(F.lit(1.0 - beta))
     exposed = F.greatest(F.col("step"), F.lit(0)) / F.greatest("_steps_total", F.lit(1)) >= s.exposure_floor
     rows = s.on(numbered).withColumns({
         "_block": block, "_at": at, "_warm": F.col("step") >= F.col("_warmup"), "_exposed": exposed,
         "_x": F.when(_is_wild(F.col("loss")), F.lit(0.0)).otherwise(share * F.col("loss")),
         "_wild": F.when(_is_wild(F.col("loss")), F.col("loss")),
-    }).withColumn("_lr", _lr_counts())
+    }).withColumn("_lr", _lr_counts(earlier))
     sums = rows.groupBy("run_id", "_block").agg(
         F.sum(F.col("_x") * F.pow(F.lit(beta), F.lit(size - 1) - F.col("_at"))).alias("_end"),
         F.sum("_wild").alias("_wild_all"), F.max("_lr").alias("_top"),
@@ -170,13 +177,13 @@ def smoothed(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     # Ends further back than this have no weight left in a double.
     reach = max(1, math.ceil(320 / (size * -math.log10(beta))))
     by_block = Window.partitionBy("run_id").orderBy("_block")
-    near, earlier = by_block.rowsBetween(-reach, -1), by_block.rowsBetween(Window.unboundedPreceding, -1)
+    near, before = by_block.rowsBetween(-reach, -1), by_block.rowsBetween(Window.unboundedPreceding, -1)
     ended = F.aggregate(
         F.collect_list("_end").over(near), F.lit(0.0), lambda acc, x: acc * F.lit(beta ** size) + x
     )
     carry = sums.select(
-        "run_id", "_block", ended.alias("_carry"), F.sum("_wild_all").over(earlier).alias("_carry_wild"),
-        F.max("_top").over(earlier).alias("_carry_top"))
+        "run_id", "_block", ended.alias("_carry"), F.sum("_wild_all").over(before).alias("_carry_wild"),
+        F.max("_top").over(before).alias("_carry_top"))
     so_far = Window.partitionBy("run_id", "_block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     local = F.sum(F.col("_x") * F.pow(F.lit(beta), -F.col("_at"))).over(so_far)
     settled = F.col("_carry") * F.pow(F.lit(beta), F.col("_at") + 1) + local * F.pow(F.lit(beta), F.col("_at"))
@@ -212,12 +219,14 @@ def gate_flags(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
 def window_blocks(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
     """Records in blocks of a run, with the last ``lookback`` records of the block before.
 
-    ``_borrowed`` marks those copies, which the windows of a block look back at.
+    ``_borrowed`` marks those copies, which the windows of a block look back at,
+    and rows marked ``TAIL``, which come from before the records at hand.
     """
     size = settings.window_rows
     own, at = F.floor((F.col("n") - 1) / size), (F.col("n") - 1) % size
     copies = F.when(at >= size - settings.lookback, F.array(own, own + 1)).otherwise(F.array(own))
-    return smooth.withColumn("block", F.explode(copies)).withColumn("_borrowed", F.col("block") != own)
+    return smooth.withColumn("block", F.explode(copies)).withColumn(
+        "_borrowed", (F.col("block") != own) | _marked(smooth, TAIL))
 
 
 def window_stats(rows: dict, s: MonitorSettings, sigma: bool = True, slope: bool = True) -> dict:
@@ -258,11 +267,13 @@ def monitor_trace(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
 
 # --- best so far --------------------------------------------------------------
 
-def best_so_far(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
+def best_so_far(smooth: DataFrame, settings: MonitorSettings, held: DataFrame | None = None) -> DataFrame:
     """Add ``best_ema``, ``since_best`` and the ``cooldown`` that follows a best.
 
     A record is a new best when it is lower than all before it by a margin.
-    Blocks pass on their lowest value, and then their last best.
+    Blocks pass on their lowest value, and then their last best.  ``held`` has
+    ``run_id, low, best, best_n`` of the records that rows marked ``EARLIER``
+    stand for.
     """
     size = settings.block_rows
     finite = F.when(~_is_wild(F.col("ema")), F.col("ema"))
@@ -271,12 +282,20 @@ def best_so_far(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
     inside = Window.partitionBy("run_id", "_block").orderBy("n")
     lows = blocks.groupBy("run_id", "_block").agg(F.min(finite).alias("_low")).select(
         "run_id", "_block", F.min("_low").over(earlier).alias("_low"))
-    low = F.least("_low", F.min(finite).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
-    fresh = finite.isNotNull() & F.coalesce(finite < low - fv.BEST_MARGIN, F.lit(True))
-    marked = blocks.join(lows, ["run_id", "_block"]).withColumn("_best", F.when(fresh, F.struct("n", "ema")))
+    low = F.least("_low", "_low_before", F.min(finite).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    fresh = finite.isNotNull() & ~_marked(smooth, EARLIER) & F.coalesce(finite < low - fv.BEST_MARGIN, F.lit(True))
+    known = blocks.join(lows, ["run_id", "_block"])
+    if held is None:
+        known = known.withColumns({
+            "_low_before": F.lit(None).cast("double"), "_best_before": F.lit(None).cast("struct<n:bigint,ema:double>")})
+    else:
+        known = known.join(held.select(
+            "run_id", F.col("low").alias("_low_before"), F.when(F.col("best_n") > 0, F.struct(
+                F.col("best_n").alias("n"), F.col("best").alias("ema"))).alias("_best_before")), "run_id", "left")
+    marked = known.withColumn("_best", F.when(fresh, F.struct("n", "ema")))
     carried = marked.groupBy("run_id", "_block").agg(F.max("_best").alias("_carried")).select(
         "run_id", "_block", F.max("_carried").over(earlier).alias("_carried"))
-    best = F.greatest("_carried", F.max("_best").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    best = F.greatest("_carried", "_best_before", F.max("_best").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     since = F.col("n") - F.coalesce(F.col("_held.n"), F.lit(0))
     return marked.join(carried, ["run_id", "_block"]).withColumn("_held", best).select(
         *smooth.columns, F.coalesce("_held.ema", F.lit(float("inf"))).alias("best_ema"), since.alias("since_best"),
@@ -284,10 +303,10 @@ def best_so_far(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
             F.greatest(F.lit(settings.cooldown) - since, F.lit(0))).alias("cooldown"))
 
 
-def best_in_block(ema: np.ndarray, n: np.ndarray, best: float, best_n: int):
-    """Best value and records since it, for consecutive records after a best."""
+def best_in_block(ema: np.ndarray, n: np.ndarray, best: float, best_n: int, lowest: float):
+    """Best value and records since it, for consecutive records after a best and a lowest value."""
     values = np.where(np.isfinite(ema), ema, np.inf)
-    low = np.minimum.accumulate(np.concatenate(([best], values)))[:-1]
+    low = np.minimum.accumulate(np.concatenate(([lowest], values)))[:-1]
     with np.errstate(invalid="ignore"):
         fresh = np.isfinite(values) & ((values < low - fv.BEST_MARGIN) | np.isinf(low))
     which = np.maximum.accumulate(np.where(fresh, np.arange(1, len(ema) + 1), 0))
@@ -345,6 +364,27 @@ def incoming_range(rows: dict, s: MonitorSettings) -> tuple[float, float]:
     return best - slack, ema + s.min_drop + slack if known else np.inf
 
 
+def block_summaries(followed: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """What each block of a run does to the reference value, by the chain of its records."""
+    s = replace(settings, runs=None)  # goes to the tasks
+
+    def block_summary(rows):
+        own = ~rows["_borrowed"].astype(bool)
+        if not own.any():
+            return {name: [] for name in ("run_id", "block", *rc.FIELDS, "tail_end")}
+        low, high = incoming_range(rows, s)
+        stats = window_stats(rows, s)
+        rows = {name: values[own] for name, values in rows.items()}
+        gates = [rows[gate].astype(bool) for gate in ("warm", "exposed", "lr_ok", "enough")]
+        ema, n = rows["ema"].astype(float), rows["n"]
+        level, flagged = decision_items(s, n, ema, stats["sigma"], stats["slope"], rows["since_best"], *gates)
+        summary = rc.summarise(level, ema, flagged, n, rows["step"], low, high)
+        return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
+
+    blocks = window_blocks(followed.drop("loss", "lr", "arrival", "cooldown", EARLIER), s).drop(TAIL)
+    return map_groups(blocks, ["run_id", "block"], "n", block_summary, f"{KEYS}, {rc.SUMMARY}")
+
+
 def stop_decisions(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
     """The first stop of every run that stops: ``run_id, stop_step, reason``.
 
@@ -362,24 +402,8 @@ def stop_decisions(logs: DataFrame, settings: MonitorSettings) -> DataFrame:
         caps = s.runs.select("run_id", F.col("hard_cap_step").alias("_cap"))
         before = logs.join(caps, "run_id").filter(F.coalesce(F.col("step") < F.col("_cap"), F.lit(True))).drop("_cap")
 
-    s = replace(settings, runs=None)  # goes to the tasks
-
-    def block_summary(rows):
-        own = ~rows["_borrowed"].astype(bool)
-        if not own.any():
-            return {name: [] for name in ("run_id", "block", *rc.FIELDS, "tail_end")}
-        low, high = incoming_range(rows, s)
-        stats = window_stats(rows, s)
-        rows = {name: values[own] for name, values in rows.items()}
-        gates = [rows[gate].astype(bool) for gate in ("warm", "exposed", "lr_ok", "enough")]
-        ema, n = rows["ema"].astype(float), rows["n"]
-        level, flagged = decision_items(s, n, ema, stats["sigma"], stats["slope"], rows["since_best"], *gates)
-        summary = rc.summarise(level, ema, flagged, n, rows["step"], low, high)
-        return summary_row(summary, run_id=rows["run_id"][0], block=rows["block"][0])
-
     numbered = numbered_records(accepted_records(before))
-    followed = window_blocks(best_so_far(smoothed(numbered, settings), s).drop("loss", "lr", "arrival", "cooldown"), s)
-    summaries = map_groups(followed, ["run_id", "block"], "n", block_summary, f"{KEYS}, {rc.SUMMARY}")
+    summaries = block_summaries(best_so_far(smoothed(numbered, settings), s), s)
     stopped = chain_ends(summaries, float("inf")).select(
         "run_id", F.col("end_mark").alias("stop_step"), F.lit("trend").alias("reason")
     )

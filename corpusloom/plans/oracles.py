@@ -536,4 +536,6 @@ ORACLES = {
     "stop_decision_planned": decisions(q.PLANNED_SCALE, PLAN_COLUMNS, PLANNED_LOG + EVERY_STEP, "cap"),
     "hard_cap_stop": HARD_CAP,
     "stream_convergence": decisions(1.0, q.TREND, EVENT_LOG + EVERY_STEP),
+    "stream_convergence_planned": decisions(q.PLANNED_SCALE, PLAN_COLUMNS, PLANNED_LOG + EVERY_STEP, "cap"),
+    "stream_out_of_order": decisions(1.0, q.TREND, EVENT_LOG + EVERY_STEP),
 }

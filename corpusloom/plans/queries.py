@@ -17,7 +17,7 @@ from corpusloom.session import new_scratch, spread, stage_table
 from corpusloom.sources.export import write_tokens
 from corpusloom.sources.ledger import new_names
 from corpusloom.sources.tables import TEST_TABLES, load_tables
-from corpusloom.streaming.convergence import follow_folder
+from corpusloom.streaming.convergence import closing_stops, follow_folder
 
 SEED = 7
 VOCABULARY = 2000
@@ -396,11 +396,15 @@ def stop_decision_planned(spark: SparkSession, sf: str) -> DataFrame:
     A run is the events whose type begins with the same letter; all other
     settings are those of call time.
     """
+    return monitor.stop_decisions(*_planned(spark, sf))
+
+
+def _planned(spark: SparkSession, sf: str) -> tuple[DataFrame, monitor.MonitorSettings]:
     events = table(spark, sf, "events").withColumn("user_id", F.ascii("event_type").cast("bigint"))
     log = stage_table(monitor.event_log(events).withColumn("loss", F.col("loss") / PLANNED_SCALE), "log")
     counts = log.groupBy("run_id").agg(F.count("*").alias("n_rows"))
     plan = stage_table(run_plan(counts, accumulate=1, epochs=1), "plan")
-    return monitor.stop_decisions(log, monitor.MonitorSettings.for_runs(plan))
+    return log, monitor.MonitorSettings.for_runs(plan)
 
 
 def ema_final(spark: SparkSession, sf: str) -> DataFrame:
@@ -466,15 +470,39 @@ def stream_convergence(spark: SparkSession, sf: str) -> DataFrame:
 
     Every slice is handled by a new start of the stream from its checkpoint.
     """
-    log = _log(spark, sf)
+    return _streamed(stage_table(_log(spark, sf), "log"), TREND, [0, 20, 40, 60, None])
+
+
+def _streamed(log: DataFrame, settings: monitor.MonitorSettings, edges: list, **options) -> DataFrame:
+    """The stops of a log that arrives in slices of steps, and of what waits at its end."""
+    spark = log.sparkSession
     source, sink, checkpoint = (new_scratch(spark, f"stops-{p}") for p in ("in", "out", "state"))
-    edges = [0, 20, 40, 60, None]
     for low, high in zip(edges, edges[1:]):
         part = log.filter(F.col("step") > low)
         part = part if high is None else part.filter(F.col("step") <= high)
         part.write.mode("append").parquet(source)
-        follow_folder(spark, source, sink, checkpoint, TREND)
-    return spark.read.schema("run_id bigint, stop_step bigint, reason string").parquet(sink)
+        follow_folder(spark, source, sink, checkpoint, settings, **options)
+    return spark.read.parquet(sink).select("run_id", "stop_step", "reason")
+
+
+def stream_convergence_planned(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of different lengths, each with the settings of its own plan, arriving in two slices; long runs go by blocks."""
+    log, settings = _planned(spark, sf)
+    return _streamed(log, settings, [0, 150, None], hot_rows=500)
+
+
+def stream_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The event log with records up to ten steps late: those that wait are handled in order, at the end too.
+
+    Records come by ``step`` plus a number below ten that follows from their arrival.
+    """
+    log = stage_table(_log(spark, sf).withColumn("due", F.col("step") + F.pmod(F.col("arrival") * 7, F.lit(10))), "log")
+    source, sink, checkpoint = (new_scratch(spark, f"late-{p}") for p in ("in", "out", "state"))
+    for low, high in ((0, 35), (35, 1 << 60)):
+        log.filter((F.col("due") > low) & (F.col("due") <= high)).drop("due").write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, checkpoint, TREND, delay=10)
+    stops = spark.read.parquet(sink).select("run_id", "stop_step", "reason")
+    return stops.unionByName(closing_stops(spark, checkpoint, TREND))
 
 
 QUERIES = {
@@ -533,4 +561,6 @@ QUERIES = {
     "stop_decision_planned": stop_decision_planned,
     "hard_cap_stop": hard_cap_stop,
     "stream_convergence": stream_convergence,
+    "stream_convergence_planned": stream_convergence_planned,
+    "stream_out_of_order": stream_out_of_order,
 }

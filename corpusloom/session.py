@@ -67,6 +67,23 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return made.getFileSystem(spark._jsc.hadoopConfiguration()), made
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, none if there is no such folder."""
+    files, at = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(at)) if files.exists(at) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all in it, if it is there."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance a scan that has fewer splits than the cluster has cores.
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions import reset_chain as rc
 from corpusloom.operators import chains, metrics, monitor
 from corpusloom.operators.monitor import MonitorSettings
-from corpusloom.session import new_scratch
+from corpusloom.session import list_folder, new_scratch, stage_table
+from corpusloom.streaming import convergence as cv
 from corpusloom.streaming.convergence import LOG, START, advance, follow_folder
 
 LOG_SCHEMA = "run_id long, step long, loss double, lr double"
@@ -357,6 +358,136 @@ def test_stream_equals_batch_over_restarts(spark, log):
     assert LOG.startswith("run_id")
 
 
+def stops_in(spark, sink):
+    return stops_of(spark.read.parquet(sink).select("run_id", "stop_step", "reason"))
+
+
+def own_settings(spark, log):
+    """Settings of their own for all runs but one, which is left out."""
+    kept = sorted(RUNS)[:-1]
+    own = {run: MonitorSettings(
+        steps_total=100 + 40 * run, warmup=5 + run, hard_cap_step=[150, None, 210][run % 3], window=20 + 5 * run,
+        slope_window=10 + 4 * run, history=12 + run, block_rows=40) for run in kept}
+    fields = monitor.PER_RUN
+    runs = spark.createDataFrame(
+        [(run, *[getattr(s, f) for f in fields]) for run, s in own.items()], "run_id long, " + ", ".join(f"{f} long" for f in fields))
+    return own, MonitorSettings(runs=runs, window=65, slope_window=46, block_rows=40)
+
+
+def test_stream_with_settings_of_each_run(spark, log, hot_rows=60):
+    own, together = own_settings(spark, log)
+    want = {run: stop for run, stop in ((r, model(RUNS[r], s)[1]) for r, s in own.items()) if stop}
+    source, sink, state = (new_scratch(spark, f"o-{p}") for p in ("in", "out", "state"))
+    for low, high in ((0, 45), (45, 10_000)):
+        log.filter(f"step > {low} and step <= {high}").coalesce(1).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, together, hot_rows=hot_rows)
+    assert stops_in(spark, sink) == want
+
+
+def test_blocks_of_hot_runs_equal_batch(spark, log, s=VARIANTS[2]):
+    source, sink, state = (new_scratch(spark, f"h-{p}") for p in ("in", "out", "state"))
+    for low, high in ((0, 41), (41, 42), (42, 10_000)):
+        log.filter(f"step > {low} and step <= {high}").coalesce(1).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, s, hot_rows=0)
+    assert stops_in(spark, sink) == stops_of(monitor.stop_decisions(log, s))
+
+
+def test_state_is_alike_by_blocks_and_by_record(spark, log, s=VARIANTS[0]):
+    """The two ways of advancing a run leave the same state, piece after piece."""
+    known = {hot: spark.createDataFrame([], cv.RUN) for hot in (0, 10_000)}
+    for low, high in ((0, 30), (30, 31), (31, 150)):
+        part = log.filter(f"step > {low} and step <= {high}")
+        for hot in known:
+            made, _ = cv.next_rows(part, known[hot], s, hot_rows=hot)
+            known[hot] = stage_table(made, "rows")
+        left, right = ({r["run_id"]: r.asDict() for r in known[hot].collect()} for hot in known)
+        assert left.keys() == right.keys()
+        for run in left:
+            for name in ("n", "last_step", "best_n", "stopped", "top_step", "late", "stop_step", "reason"):
+                if not left[run]["stopped"] or name in ("stopped", "stop_step", "reason"):
+                    assert left[run][name] == right[run][name], (run, name)
+            if not left[run]["stopped"]:
+                for name in ("ema", "reference", "best", "top_lr", "low", "tail"):
+                    assert np.allclose(left[run][name], right[run][name], rtol=1e-9, atol=1e-12, equal_nan=True), (run, name)
+
+
+def test_a_hot_run_is_dealt_to_many_tasks(spark):
+    log = spark.range(40_000).select(
+        F.lit(1).cast("bigint").alias("run_id"), (F.col("id") + 1).alias("step"), F.col("id").alias("arrival"),
+        (2.0 + F.sin(F.col("id") / 900) / 5).alias("loss"), F.lit(None).cast("double").alias("lr"))
+    s = MonitorSettings(steps_total=40_000, window=64, slope_window=48, block_rows=512)
+    known = spark.createDataFrame([], cv.RUN)
+    for low, high in ((0, 15_000), (15_000, 40_000)):
+        part = log.filter(f"step > {low} and step <= {high}")
+        made, _ = cv.next_rows(part, known, s, hot_rows=1000)
+        known = stage_table(made, "hot")
+        if known.filter("stopped").count():
+            break
+    want = monitor.stop_decisions(log, s).collect()
+    assert [(r["stop_step"], r["reason"]) for r in known.filter("stop_step is not null").collect()] == [
+        (r["stop_step"], r["reason"]) for r in want]
+    numbered = monitor.numbered_records(monitor.accepted_records(log))
+    blocks = monitor.window_blocks(monitor.smoothed(numbered, s), s).groupBy("run_id", "block").count()
+    assert blocks.count() == -(-40_000 // 512) and blocks.agg(F.max("count")).first()[0] <= 512 + s.lookback
+
+
+def test_records_out_of_order_within_the_delay(spark, log, hot_rows=70):
+    import random
+    s, delay, rng = VARIANTS[1], 12, random.Random(3)
+    rows = [r.asDict() for r in log.collect()]
+    for r in rows:  # a record comes up to ``delay`` steps late
+        r["when"] = r["step"] + rng.uniform(0, delay - 1)
+    source, sink, state = (new_scratch(spark, f"d-{p}") for p in ("in", "out", "state"))
+    edges = [-1, 30, 140, 10_000]
+    for low, high in zip(edges, edges[1:]):
+        part = [tuple(r[c] for c in ("run_id", "step", "arrival", "loss", "lr")) for r in rows if low < r["when"] <= high]
+        rng.shuffle(part)
+        spark.createDataFrame(part, LOG).repartition(2).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, s, delay=delay, hot_rows=hot_rows)
+    closing = stops_of(cv.closing_stops(spark, state, s, hot_rows=hot_rows))
+    streamed = stops_in(spark, sink)
+    assert not closing.keys() & streamed.keys()
+    assert {**streamed, **closing} == stops_of(monitor.stop_decisions(log, s))
+    assert {r["late"] for r in cv.late_records(spark, state).collect()} == {0}
+
+
+def test_late_records_are_counted(spark):
+    s = MonitorSettings(steps_total=50, window=8, slope_window=8, history=8, block_rows=16)
+    source, sink, state = (new_scratch(spark, f"l-{p}") for p in ("in", "out", "state"))
+    first = [(run, step, step, 1.0, None) for run in (1, 2) for step in range(1, 31)]
+    second = [(1, 18, 99, 9.0, None), (1, 31, 99, 1.0, None), (2, 5, 99, 9.0, None), (2, 6, 99, None, None),
+              (2, 29, 98, 7.0, None), (None, 3, 3, 1.0, None), (2, None, 3, 1.0, None)]
+    for part in (first, second):
+        spark.createDataFrame(part, LOG).coalesce(1).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, s, delay=10)
+    assert {r["run_id"]: r["late"] for r in cv.late_records(spark, state).collect()} == {1: 1, 2: 2}
+
+
+def test_versions_become_snapshots(spark, log, monkeypatch):
+    monkeypatch.setattr(cv, "SNAPSHOT_EVERY", 2)
+    s = VARIANTS[1]
+    source, sink, state = (new_scratch(spark, f"v-{p}") for p in ("in", "out", "state"))
+    edges = [0, 20, 40, 55, 120, 10_000]
+    for low, high in zip(edges, edges[1:]):
+        log.filter(f"step > {low} and step <= {high}").coalesce(1).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, s)
+    assert stops_in(spark, sink) == stops_of(monitor.stop_decisions(log, s))
+    kept = list_folder(spark, f"{state}/runs/state")
+    assert kept == ["batch=2", "batch=3", "batch=4"] and list_folder(spark, f"{state}/runs/snapshot") == ["batch=2", "batch=4"]
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark, log):
+    s, folder = VARIANTS[1], new_scratch(spark, "again")
+    tables = cv.RunTables(spark, f"{folder}/runs")
+    for batch, (low, high) in enumerate(((0, 60), (60, 120))):
+        part = log.filter(f"step > {low} and step <= {high}")
+        for _ in range(2):
+            cv.micro_batch(part, batch, tables, f"{folder}/out", s)
+    first = sorted(map(str, tables.before(2).drop("seen").collect()))
+    cv.micro_batch(part, 1, tables, f"{folder}/out", s)
+    assert sorted(map(str, tables.before(2).drop("seen").collect())) == first
+
+
 # --- metrics ------------------------------------------------------------------
 
 def test_perplexity_shift_mask_and_overflow(spark):

@@ -25,7 +25,7 @@ def physical(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: physical(query(spark, SF)) for name, query in q.QUERIES.items() if name != "stream_convergence"}
+    return {name: physical(query(spark, SF)) for name, query in q.QUERIES.items() if not name.startswith("stream_")}
 
 
 def test_python_only_where_it_must_be(plans):
