@@ -7,8 +7,10 @@ with its reference and the number of tokens that it expands to.
 
 The template writes each turn as ``<|im_start|>role``, a line feed, the
 content, ``<|im_end|>`` and a line feed.  Inside roles and texts a backslash
-becomes ``\\0``, ``<|`` becomes ``<\\1|`` and, in roles, a line feed ``\\2``; so
-no text can write a control string, and the original is read back exactly.
+becomes ``\\0``, ``<|`` becomes ``<\\1|`` and, in roles, a line feed ``\\2``; a
+text that ends with ``<`` before another part gets ``\\1`` behind it.  So no
+text can write a control string, not even over several parts, and the original
+is read back exactly.  A placeholder names one of the known kinds, or ``other``.
 
 A conversation is formatted in blocks of turns, and the blocks are joined; the
 loss mask is a list of spans (start, length in characters) of each block.
@@ -59,15 +61,19 @@ def is_text(part: Column) -> Column:
 def visit_parts(parts: Column) -> tuple[Column, Column]:
     """Content with placeholders, and the attachments in order.
 
-    Null lists and parts are left out; a null text is empty.
+    Null lists and parts are left out; a null text is empty.  The kind of an
+    attachment is recorded as it is, whatever its placeholder says.
     """
     known = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART_TYPE}>")), lambda p: p.isNotNull())
     others = F.filter(known, lambda p: ~is_text(p))
 
     def shown(part: Column, at: Column) -> Column:
         before = F.size(F.filter(F.slice(known, F.lit(1), at), lambda p: ~is_text(p)))
-        mark = F.concat(F.lit("<|"), escape(part["kind"], line=True), F.lit(":"), before.cast("string"), F.lit("|>"))
-        return F.when(is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(mark)
+        kind = F.when(part["kind"].isin(*TOKENS_PER_UNIT), part["kind"]).otherwise("other")
+        mark = F.concat(F.lit("<|"), kind, F.lit(":"), before.cast("string"), F.lit("|>"))
+        text = escape(F.coalesce(part["text"], F.lit("")))
+        cut = F.endswith(text, F.lit("<")) & (at < F.size(known) - 1)
+        return F.when(~is_text(part), mark).when(cut, F.concat(text, F.lit("\\1"))).otherwise(text)
     attached = F.transform(others, lambda p, i: F.struct(
         i.cast("bigint").alias("number"), p["kind"].alias("kind"), p["ref"].alias("ref"),
         expanded_tokens(p).alias("tokens")))
@@ -80,6 +86,7 @@ def format_blocks(messages: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFr
     ``messages`` has ``conv_id, turn, role, parts``.  Turns are in order of
     their number, ties in order of role and content.  Columns: ``n_turns``,
     ``formatted``, ``loss`` (spans of assistant contents), ``attachments``.
+    Other columns are not looked at.
     """
     content, attached = visit_parts(F.col("parts"))
     turns = messages.select(
