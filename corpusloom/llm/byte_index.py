@@ -204,21 +204,22 @@ def near_duplicates(
     """``doc_id, fp, component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest key that a chain of links reaches, the
-    row's own included.  Empty and null texts share the fingerprint 0 and are
-    linked like any other.  Repeated rows are copies.  A row with a null key
-    takes part and has the component of its fingerprint, null if nothing in it
-    has a key.  No rows give no rows.
+    row's own included.  Keys may be of any type that has an order.  Empty and
+    null texts share the fingerprint 0 and are linked like any other.  Repeated
+    rows are copies.  A row with a null key takes part and has the component of
+    its fingerprint, null if nothing in it has a key.  Other columns are not
+    looked at.  No rows give no rows.
     """
     rows = stage_table(fingerprints(docs, shingle_words, key, text), "fingerprints")
-    entries = stage_table(rows.groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("rep")), "entries")
-    # A fingerprint whose rows have no key still links others; it gets a negative stand-in.
-    stand_in = -F.lit(1 << 62) + F.pmod(F.xxhash64("fp"), F.lit(1 << 61))
-    nodes = entries.select("fp", F.coalesce("rep", -stand_in).alias("rep"), F.col("rep").isNull().alias("keyless"))
-    found = components(fingerprint_links(nodes.select("fp", "rep"), max_bits, key_bytes))
-    placed = nodes.join(found, nodes["rep"] == found["node"], "left").select(
-        "fp", F.coalesce("component", F.when(~F.col("keyless"), F.col("rep"))).alias("component_id"))
-    keyed = F.when(F.col("component_id") < (1 << 60), F.col("component_id"))
-    return rows.join(placed, "fp", "left").select("doc_id", "fp", keyed.alias("component_id"))
+    entries = stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "entries")
+    # The nodes are the fingerprints themselves; keys only name the components afterwards.
+    found = components(fingerprint_links(entries.select("fp", F.col("fp").alias("rep")), max_bits, key_bytes))
+    member = stage_table(entries.join(found, entries["fp"] == found["node"], "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), "least"), "members")
+    # Staged, so that the join can split a component with many fingerprints.
+    names = stage_table(member.groupBy("component").agg(F.min("least").alias("component_id")), "names")
+    placed = member.join(names, "component").select("fp", "component_id")
+    return rows.join(placed, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_first_of_groups(docs: DataFrame, **options) -> DataFrame:

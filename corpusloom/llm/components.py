@@ -43,8 +43,11 @@ def contract(edges: DataFrame) -> DataFrame:
 
 
 def _linked(both: DataFrame, keep) -> DataFrame:
-    """Link the kept neighbours of each node, and the node, to the smallest of them."""
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    """Link the kept neighbours of each node, and the node, to the smallest of them.
+
+    The smallest ones are staged: a join of two shuffled sides can split the centre of a large star.
+    """
+    least = stage_table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").filter(keep).select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
@@ -56,7 +59,7 @@ def large_star(edges: DataFrame) -> DataFrame:
 
 def small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage_table(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     others = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
     return others.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).filter("a <> b").distinct()
 

@@ -105,6 +105,27 @@ def test_rows_of_every_kind(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 20, 3, None, None]
 
 
+TEXTS = ["a b c d e", "A b c  d\te", "nothing like it at all", "other words here now", "a b c d e", None]
+
+
+@pytest.mark.parametrize("kind,keys", [
+    ("bigint", [2 ** 63 - 1, 2 ** 60, 2 ** 62 + 5, -2 ** 63, 2 ** 61, 7]),
+    ("bigint", [2 ** 60 + 3, None, None, 2 ** 60, 2 ** 60 + 1, -1]),
+    ("string", ["z", "b", "10", "9", "bb", None]),
+    ("int", [3, 2, 1, 0, -1, 5]),
+])
+def test_keys_of_any_kind(spark, kind, keys):
+    docs = spark.createDataFrame(list(zip(keys, TEXTS)), f"doc_id {kind}, text string")
+    got = bi.near_duplicates(docs)
+    assert got.schema["component_id"].dataType == docs.schema["doc_id"].dataType
+    fps = [brute_fingerprint(t) for t in TEXTS]
+    want = brute_components(keys, fps)
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got.collect()), key=str) == sorted(
+        ((k, want[i]) for i, k in enumerate(keys)), key=str)
+    kept = sorted((r["doc_id"] for r in bi.keep_first_of_groups(docs).collect()), key=str)
+    assert kept == sorted((k for i, k in enumerate(keys) if k is None or want[i] == k), key=str)
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], DOCS)
     assert bi.near_duplicates(empty).count() == 0
