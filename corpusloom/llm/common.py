@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,14 @@ def read_columns(docs: DataFrame, key: str = "doc_id", text: str = "text", *more
     return docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), *more)
 
 
+def fresh(name: str, columns: Iterable[str]) -> str:
+    """A column name that is not among ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null is the empty text."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

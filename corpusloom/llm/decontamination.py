@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import SHINGLE_WORDS, SIMILARITY, WORD_GAP
+from corpusloom.llm.common import SHINGLE_WORDS, SIMILARITY, WORD_GAP, fresh
 from corpusloom.session import stage_table
 
 BLOCK_RADIUS = 3
@@ -253,12 +253,11 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item; rows are told apart by key and text.
 
-    ``short_items`` as in ``contaminated``.
+    ``short_items`` as in ``contaminated``.  All columns stay, whatever their names.
     """
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text")))
-    own = hashed.select("doc_id", "text", F.col("_text_hash").alias("text_hash"))
-    hit = stage_table(
-        matches(own, items, similarity, short_items).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(),
-        "hits")
-    same = hashed["doc_id"].eqNullSafe(hit["_id"]) & (hashed["_text_hash"] == hit["_hash"])
-    return hashed.join(hit, same, "left_anti").drop("_text_hash")
+    digest = fresh("text_hash", docs.columns)
+    hashed = docs.withColumn(digest, F.xxhash64(F.col("text")))
+    own = hashed.select("doc_id", "text", F.col(digest).alias("text_hash"))
+    hit = stage_table(matches(own, items, similarity, short_items).select("doc_id", "text_hash").distinct(), "hits")
+    same = hashed["doc_id"].eqNullSafe(hit["doc_id"]) & (hashed[digest] == hit["text_hash"])
+    return hashed.join(hit, same, "left_anti").drop(digest)

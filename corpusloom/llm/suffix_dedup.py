@@ -19,11 +19,17 @@ share their minimizer, so a record holds a run of windows.
   and the blocks are sorted apart.  What a block can't know is whether a window
   stands in another block: each block puts its windows, every different one
   once, under 128-bit digests, which are counted with partial sums.
+
+Windows can be measured in words as well: every word then becomes a code of
+eight bytes, the same steps run over the codes, and only windows that begin at
+a code count.  Codes are hashes, so a word is told apart from another with
+64 bits; white space between words makes no difference.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_rows, read_columns, ready, record, sorted_groups, texts_as_bytes
+from corpusloom.llm.common import WHITE, fresh, map_rows, read_columns, ready, record, sorted_groups, texts_as_bytes
 from corpusloom.session import stage_table
 
 SPAN = 400
@@ -41,6 +47,8 @@ SORT_ROWS = 4000                      # runs that are sorted together, if their
 BASE = 0x9E3779B97F4A7C15 | 1
 POSITION_BITS = 22                    # places of a minimizer inside a part
 PART_BYTES = (1 << POSITION_BITS) - SPAN
+CODE_BYTES = 8                        # of a word, where windows are measured in words
+BYTES, WORDS = "bytes", "words"
 
 RUNS = "minimizer bigint, doc_id {}, text_hash bigint, first bigint, last bigint, at bigint, high bigint, low bigint"
 PIECES = (
@@ -106,17 +114,51 @@ def minimizer_runs(text: bytes, span: int, seed: int) -> Iterator[tuple[np.ndarr
         yield hashes[at].view(np.int64), first + offset, last + offset, at + offset
 
 
+_gap = np.zeros(256, dtype=bool)
+_gap[list(WHITE.encode())] = True
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end."""
+    inside = np.concatenate([[False], ~_gap[np.frombuffer(text, dtype=np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_codes(text: bytes) -> bytes:
+    """``CODE_BYTES`` for each word; long texts are cut between words."""
+    made, at = [], 0
+    while at < len(text):
+        gap = GAP.search(text, at + PART_BYTES) if at + PART_BYTES < len(text) else None
+        end = gap.start() if gap else len(text)
+        part = text[at:end]
+        starts, ends = word_spans(part)
+        sums = prefix_hashes(np.frombuffer(part, dtype=np.uint8))
+        _, down = powers(len(sums))
+        hashes = (sums[ends] - sums[starts]) * down[starts] + mixed((ends - starts).astype(np.uint64))
+        made.append(mixed(hashes).astype("<u8").tobytes())
+        at = end
+    return b"".join(made)
+
+
+def units_of(column: pa.Array, unit: str) -> Iterator[bytes]:
+    """The strings in which windows are looked for: the texts, or the codes of their words."""
+    for text in texts_as_bytes(column):
+        yield word_codes(text) if unit == WORDS else text
+
+
 def digest_words(text: bytes, salt: int = 0) -> tuple[int, int]:
     """A 128-bit digest as two signed longs."""
     made = hashlib.blake2b(text, digest_size=16, salt=salt.to_bytes(8, "little")).digest()
     return int.from_bytes(made[:8], "little", signed=True), int.from_bytes(made[8:], "little", signed=True)
 
 
-def document_runs(docs: DataFrame, span: int, seed: int) -> DataFrame:
+def document_runs(docs: DataFrame, span: int, seed: int, unit: str = BYTES) -> DataFrame:
     """All runs of all texts; ``high`` and ``low`` digest a run's bytes and the place of its minimizer."""
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts, digests, owner = [], [], []
-        for row, text in enumerate(texts_as_bytes(batch.column(1))):
+        for row, text in enumerate(units_of(batch.column(1), unit)):
             for minimizer, first, last, at in minimizer_runs(text, span, seed):
                 parts.append((minimizer, first, last, at))
                 digests += [digest_words(text[f: x + span], a - f)
@@ -278,7 +320,7 @@ def repeated_starts(
     return tuple(np.concatenate(side) for side in zip(*found))
 
 
-def cut_pieces(docs: DataFrame, wanted: DataFrame, span: int, hot_runs: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, wanted: DataFrame, span: int, hot_runs: int, unit: str = BYTES) -> DataFrame:
     """The bytes of the wanted runs, from the texts they lie in."""
     lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(
         F.struct("minimizer", "first", "last", "at", "copies", "n_runs")).alias("runs"))
@@ -286,7 +328,7 @@ def cut_pieces(docs: DataFrame, wanted: DataFrame, span: int, hot_runs: int) ->
     joined = docs.join(lists, same).select(docs["doc_id"], docs["text_hash"], "text", "runs")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out, texts, hashes = [], texts_as_bytes(batch.column(2)), batch.column(1).to_pylist()
+        out, texts, hashes = [], units_of(batch.column(2), unit), batch.column(1).to_pylist()
         for row, (text, runs) in enumerate(zip(texts, batch.column(3).to_pylist())):
             for r in runs:
                 blocks = -(-r["n_runs"] // hot_runs)
@@ -352,13 +394,15 @@ def sorted_ranges(pieces: DataFrame, span: int) -> DataFrame:
     return dealt.mapInArrow(run, RANGES.format(kind))
 
 
-def repeated_windows(docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS, unit: str = BYTES
+) -> DataFrame:
     """``doc_id, text_hash, first, last``: starts of windows that stand elsewhere too.
 
-    ``docs`` has ``doc_id, text, text_hash``.
+    ``docs`` has ``doc_id, text, text_hash``; ``span`` and ``seed`` are bytes of what ``unit`` makes of a text.
     """
     columns = ["doc_id", "text_hash", "first", "last"]
-    runs = stage_table(document_runs(docs, span, seed), "runs")
+    runs = stage_table(document_runs(docs, span, seed, unit), "runs")
     shared = runs.groupBy("minimizer").agg(
         F.count("*").alias("n"),
         ((F.min("high") == F.max("high")) & (F.min("low") == F.max("low"))).alias("uniform"),
@@ -376,7 +420,7 @@ def repeated_windows(docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES,
 
     sizes = stage_table(classes.groupBy("minimizer").agg(F.count("*").alias("n_runs")), "sizes")
     wanted = classes.join(sizes, "minimizer")
-    ranges = stage_table(sorted_ranges(cut_pieces(docs, wanted, span, hot_runs), span), "ranges")
+    ranges = stage_table(sorted_ranges(cut_pieces(docs, wanted, span, hot_runs, unit), span), "ranges")
     settled = ranges.filter("window IS NULL").select(*columns)
     windows = ranges.filter("window IS NOT NULL")
     several = windows.groupBy("window").agg((F.count("*") > 1).alias("again")).filter("again").select("window")
@@ -392,15 +436,18 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[opens], ends[np.append(opens[1:], True)]
 
 
-def with_repeats(docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """``docs`` with ``starts, lengths``: arrays of the byte ranges that repeated windows cover."""
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text")))
-    own = hashed.select("doc_id", "text", F.col("_text_hash").alias("text_hash"))
-    ranges = repeated_windows(own, span, seed, hot_runs)
-    lists = ranges.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_list(F.struct("first", "last")).alias("_ranges"))
-    same = hashed["doc_id"].eqNullSafe(lists["_id"]) & (hashed["_text_hash"] == lists["_hash"])
-    return hashed.join(lists, same, "left").drop("_text_hash", "_id", "_hash")
+def with_repeats(
+    docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS, unit: str = BYTES
+) -> DataFrame:
+    """``docs`` and, as the last column, the ranges of window starts that are repeated, null where none is."""
+    digest = fresh("text_hash", docs.columns)
+    hashed = docs.withColumn(digest, F.xxhash64(F.col("text")))
+    own = hashed.select("doc_id", "text", F.col(digest).alias("text_hash"))
+    ranges = repeated_windows(own, span, seed, hot_runs, unit)
+    name = fresh("ranges", hashed.columns)
+    lists = ranges.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias(name))
+    same = hashed["doc_id"].eqNullSafe(lists["doc_id"]) & (hashed[digest] == lists["text_hash"])
+    return hashed.join(lists, same, "left").select(*[hashed[f"`{c}`"] for c in docs.columns], name)
 
 
 def covered(ranges: list[dict] | None, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -440,19 +487,39 @@ def repeats_removed(
     return map_rows(rows, make, f"doc_id {kind}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
 
 
-def texts_without_repeats(docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """``docs`` with the repeated bytes cut out of ``text``; a character that is cut into goes whole.
+def covered_words(text: bytes, ranges: list[dict], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes from the first to the last word of repeated windows, from ranges over the words' codes."""
+    whole = [{"first": -(-r["first"] // CODE_BYTES), "last": r["last"] // CODE_BYTES} for r in ranges]
+    starts, ends = covered([r for r in whole if r["first"] <= r["last"]], words)
+    begins, past = word_spans(text)
+    return begins[starts], past[ends - 1]
+
+
+def texts_without_repeats(
+    docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS, unit: str = BYTES
+) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``.
+
+    With ``unit`` ``bytes`` a passage is a string of ``span`` bytes, and a
+    character that is cut into goes whole.  With ``words`` it is ``span`` words
+    in a row, whatever white space stands between them; the white space around
+    it stays, and ``seed`` are bytes of codes, eight a word.
 
     ``n_chars``, if there is such a column, is counted anew.  Texts without
-    repeats, null ones too, stay as they are.
+    repeats, null ones too, stay as they are.  Other columns stay, whatever
+    their names.
     """
-    rows = with_repeats(docs, span, seed, hot_runs)
+    size = span * CODE_BYTES if unit == WORDS else span
+    rows = with_repeats(docs, size, min(seed, size), hot_runs, unit)
     names = docs.columns
     at, counted = names.index("text"), "n_chars" in names
 
+    def ranges_of(text: bytes, ranges: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        return covered_words(text, ranges, span) if unit == WORDS else covered(ranges, span)
+
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = dict(zip(names, batch.columns))
-        cut = [t if not r else without(t.encode(), *covered(r, span)).decode(errors="ignore")
+        cut = [t if not r else without(t.encode(), *ranges_of(t.encode(), r)).decode(errors="ignore")
                for t, r in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist())]
         columns["text"] = pa.array(cut, pa.string())
         if counted:

@@ -99,5 +99,50 @@ def test_rows_of_every_kind(spark):
     assert sd.repeats_removed(docs, span=24, seed=7).count() == len(rows)
 
 
+def brute_words(texts, span):
+    """The words of each text that no repeated window of ``span`` words covers."""
+    lists, seen = [(t or "").encode().split() for t in texts], {}
+    for words in lists:
+        for i in range(len(words) - span + 1):
+            window = tuple(words[i:i + span])
+            seen[window] = seen.get(window, 0) + 1
+    kept = []
+    for words in lists:
+        gone = set()
+        for i in range(len(words) - span + 1):
+            if seen[tuple(words[i:i + span])] > 1:
+                gone.update(range(i, i + span))
+        kept.append([w for i, w in enumerate(words) if i not in gone])
+    return kept
+
+
+@pytest.mark.parametrize("span,hot_runs", [(1, 4096), (5, 4096), (5, 3)])
+def test_passages_of_words(spark, span, hot_runs):
+    rng = random.Random(span + hot_runs)
+    words = ["a", "b", "cé", "dd", "a" * 9, "日本", "x.", ",x"]
+    gaps = [" ", "  ", "\n", "\t ", "\r\n"]
+    passages = [[rng.choice(words) for _ in range(rng.randrange(3, 14))] for _ in range(6)]
+    texts = []
+    for _ in range(60):
+        chosen = [w for _ in range(rng.randrange(4)) for w in (
+            rng.choice(passages) if rng.random() < 0.5 else rng.choices(words, k=rng.randrange(9)))]
+        texts.append(rng.choice(["", " "]) + "".join(w + rng.choice(gaps) for w in chosen))
+    texts += [texts[0], None, "", "  ", "a " * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    cut = sd.texts_without_repeats(docs, span=span, seed=min(8 * span, 17), hot_runs=hot_runs, unit="words")
+    got = {r["doc_id"]: r["text"] for r in cut.collect()}
+    for i, kept in enumerate(brute_words(texts, span)):
+        assert (got[i] or "").encode().split() == kept, texts[i]
+    assert got[61] is None
+
+
+def test_codes_of_long_texts(monkeypatch):
+    text = ("word é " * 100 + "longer" * 40 + "\n" * 30 + "end").encode()
+    whole = sd.word_codes(text)
+    assert len(whole) == 8 * len(text.split()) and len({whole[i:i + 8] for i in range(0, len(whole), 8)}) == 4
+    monkeypatch.setattr(sd, "PART_BYTES", 50)
+    assert sd.word_codes(text) == whole
+
+
 def test_no_rows(spark):
     assert sd.repeats_removed(spark.createDataFrame([], DOCS)).count() == 0
