@@ -28,8 +28,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes covered by a repeated string of 400 bytes are cut out of the texts."""
-    return texts_without_repeats(docs, span=400)
+    """Passages of 50 words that occur more than once are cut out of the texts."""
+    return texts_without_repeats(docs, span=50, unit="words")
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
