@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import map_rows, read_columns, ready, record, sorted_groups, texts_as_bytes
-from corpusloom.llm.components import EDGES, components, roots_of
+from corpusloom.llm.components import EDGES, apart, components, roots_of
 from corpusloom.session import stage_table
 
 SEED = 42
@@ -216,9 +216,8 @@ def near_duplicates(
     found = components(fingerprint_links(entries.select("fp", F.col("fp").alias("rep")), max_bits, key_bytes))
     member = stage_table(entries.join(found, entries["fp"] == found["node"], "left").select(
         "fp", F.coalesce("component", "fp").alias("component"), "least"), "members")
-    # Staged, so that the join can split a component with many fingerprints.
-    names = stage_table(member.groupBy("component").agg(F.min("least").alias("component_id")), "names")
-    placed = member.join(names, "component").select("fp", "component_id")
+    names = apart(member.groupBy("component").agg(F.min("least").alias("component_id")), "component", "root")
+    placed = member.join(names, member["component"] == names["root"]).select("fp", "component_id")
     return rows.join(placed, "fp", "left").select("doc_id", "fp", "component_id")
 
 

@@ -42,13 +42,19 @@ def contract(edges: DataFrame) -> DataFrame:
     return map_rows(edges.select("a", "b"), stars, EDGES)
 
 
-def _linked(both: DataFrame, keep) -> DataFrame:
-    """Link the kept neighbours of each node, and the node, to the smallest of them.
+def apart(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` with ``key`` under another name, and dealt by it no more.
 
-    The smallest ones are staged: a join of two shuffled sides can split the centre of a large star.
+    A join on it has to shuffle both sides, and adaptive execution can then
+    split a key with many rows, as the centre of a large star.
     """
-    least = stage_table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-    return both.join(least, "u").filter(keep).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    return df.withColumn(name, F.col(key).bitwiseXOR(F.lit(0))).drop(key)
+
+
+def _linked(both: DataFrame, keep) -> DataFrame:
+    """Link the kept neighbours of each node, and the node, to the smallest of them."""
+    least = apart(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "u", "w")
+    return both.join(least, both["u"] == least["w"]).filter(keep).select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -59,9 +65,9 @@ def large_star(edges: DataFrame) -> DataFrame:
 
 def small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = stage_table(down.groupBy("u").agg(F.min("v").alias("m")), "least")
-    others = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-    return others.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).filter("a <> b").distinct()
+    least = apart(down.groupBy("u").agg(F.min("v").alias("m")), "u", "w")
+    others = down.join(least, down["u"] == least["w"]).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    return others.unionByName(least.select(F.col("m").alias("a"), F.col("w").alias("b"))).filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
