@@ -1,15 +1,17 @@
 """Packing token pieces into sequences by non-negative least squares over a length histogram.
 
 Documents are cut into windows of ``width`` tokens and a rest.  The pieces are
-counted by length class.  Shallow combinations of classes that fill a window
+counted by length.  Shallow combinations of length classes that fill a window
 exactly are enumerated, the number of times each is used is solved against the
 histogram by least squares with counts that can't be negative, and rounded
-down.  What remains of the histogram is packed greedily, best fit first.
+down.  A class stands for a few lengths; its longest pieces serve first, and
+from then on only exact lengths count.  What remains of the histogram is packed
+greedily, best fit first, also into the room that the combinations leave.
 
 The histogram has at most ``width`` entries and the plan's size follows it, so
 the driver's work does not depend on the number of documents.  A piece finds
-its place from its class and its rank within the class: ranks come from the
-counts per task, added up in order.
+its place from its length and its rank among those of that length: ranks come
+from the counts per task, added up in order.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import compress
@@ -112,32 +115,75 @@ def least_squares_plan(counts: np.ndarray, total: int, depth: int = DEPTH) -> tu
     return plan, rest
 
 
-def greedy_plan(counts: np.ndarray, total: int) -> Plan:
-    """Best fit, longest first, over whole groups of equal sequences at a time."""
+def exact_plan(plan: Plan, counts: np.ndarray, class_width: int) -> tuple[Plan, np.ndarray]:
+    """The plan of classes in lengths, and the lengths that it leaves; each class gives its longest pieces first."""
+    rest = counts.copy()
+
+    def longest(c: int) -> int:
+        """The greatest length that a class still has."""
+        lengths = range(min(c * class_width, len(rest) - 1), (c - 1) * class_width, -1)
+        return next(length for length in lengths if rest[length])
+    made: Plan = []
+    for combo, times in plan:
+        while times:
+            need: dict[int, int] = {}
+            for c in combo:
+                own = longest(c)
+                if need.get(own, 0) >= rest[own]:  # the last of this length is taken by this sequence already
+                    rest[own] -= need[own]
+                    other = longest(c)
+                    rest[own] += need[own]
+                    own = other
+                need[own] = need.get(own, 0) + 1
+            taken = min(times, *[int(rest[length]) // n for length, n in need.items()])
+            for length, n in need.items():
+                rest[length] -= n * taken
+            made.append((tuple(length for length, n in need.items() for _ in range(n)), taken))
+            times -= taken
+    return made, rest
+
+
+def greedy_plan(counts: np.ndarray, total: int, begun: Plan = ()) -> Plan:
+    """Best fit, longest first, over whole groups of equal sequences at a time; ``begun`` sequences are filled up."""
     open_: defaultdict[int, list[list]] = defaultdict(list)  # room left -> [combination, times]
+    for combo, times in begun:
+        open_[total - sum(combo)].append([combo, times])
+    rooms = sorted(open_)
+
+    def put(room: int, combo: tuple[int, ...], times: int) -> None:
+        if not open_[room]:
+            insort(rooms, room)
+        open_[room].append([combo, times])
     for c in range(len(counts) - 1, 0, -1):
         left = int(counts[c])
         while left:
-            rooms = [room for room, groups in open_.items() if room >= c and groups]
-            if rooms:
-                room = min(rooms)
+            at = bisect_left(rooms, c)
+            if at < len(rooms):
+                room = rooms[at]
                 combo, times = open_[room].pop()
-                taken = min(times, left)
+                if not open_[room]:
+                    del rooms[at]
+                each = min(room // c, left)      # as many of this length as one sequence takes
+                taken = min(times, left // each)
                 if taken < times:
-                    open_[room].append([combo, times - taken])
-                open_[room - c].append([(*combo, c), taken])
-                left -= taken
+                    put(room, combo, times - taken)
+                put(room - each * c, (*combo, *(c,) * each), taken)
+                left -= taken * each
             else:
                 each = min(total // c, left)
                 times = left // each
-                open_[total - each * c].append([(c,) * each, times])
+                put(total - each * c, (c,) * each, times)
                 left -= times * each
-    return [(tuple(combo), times) for groups in open_.values() for combo, times in groups]
+    return [(tuple(sorted(combo, reverse=True)), times) for groups in open_.values() for combo, times in groups]
 
 
-def packing_plan(counts: np.ndarray, total: int, depth: int = DEPTH) -> Plan:
-    plan, rest = least_squares_plan(counts, total, depth)
-    return plan + greedy_plan(rest, total)
+def packing_plan(counts: np.ndarray, total: int, depth: int = DEPTH, class_width: int = 1) -> Plan:
+    """How often each combination of lengths is used; ``counts[n]`` pieces have ``n`` of ``total`` units."""
+    lengths = np.arange(len(counts))
+    classes = np.bincount(-(-lengths // class_width), counts, total // class_width + 1).astype(np.int64)
+    plan, _ = least_squares_plan(classes, total // class_width, depth)
+    exact, rest = exact_plan(plan, counts.astype(np.int64), class_width)
+    return greedy_plan(rest, total, exact)
 
 
 class Slots:
@@ -271,10 +317,8 @@ class WordCoder:
         return np.split(ids, ends[at == 0][:-1]) if texts else []
 
 
-def cut_rows(
-    docs: DataFrame, vocabulary: str, width: int, class_width: int, key: str, text: str
-) -> DataFrame:
-    """The pieces of every document with their class and their number within task and class."""
+def cut_rows(docs: DataFrame, vocabulary: str, width: int, key: str, text: str) -> DataFrame:
+    """The pieces of every document with their number within task and length."""
     rows = read_columns(docs, key, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     ready(rows.sparkSession)
@@ -283,7 +327,7 @@ def cut_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        coder, seen = WordCoder(shared.value), np.zeros(width // class_width + 2, dtype=np.int64)
+        coder, seen = WordCoder(shared.value), np.zeros(width + 1, dtype=np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -299,21 +343,19 @@ def cut_rows(
                 length.append(min(width, len(ids) - s))
                 crc.append(zlib.crc32(ids[s: s + width].tobytes()))
                 total.append(len(ids))
-        classes = -(-np.array(length, dtype=np.int64) // class_width)
-        order = np.argsort(classes, kind="stable")
-        opens = np.searchsorted(classes[order], classes[order], "left")
-        number = np.empty(len(classes), dtype=np.int64)
-        number[order] = np.arange(len(classes)) - opens
-        number += seen[classes]
-        seen += np.bincount(classes, minlength=len(seen))
+        lengths = np.array(length, dtype=np.int64)
+        order = np.argsort(lengths, kind="stable")
+        opens = np.searchsorted(lengths[order], lengths[order], "left")
+        number = np.empty(len(lengths), dtype=np.int64)
+        number[order] = np.arange(len(lengths)) - opens
+        number += seen[lengths]
+        seen += np.bincount(lengths, minlength=len(seen))
         return record(
             doc_id=batch.column(0).take(pa.array(owner, pa.int64())), start=pa.array(start, pa.int64()),
-            length=pa.array(length, pa.int64()), ids_crc32=pa.array(crc, pa.int64()),
-            doc_tokens=pa.array(total, pa.int64()), class_=classes, task=np.full(len(classes), task, dtype=np.int64),
-            number=number)
+            length=lengths, ids_crc32=pa.array(crc, pa.int64()), doc_tokens=pa.array(total, pa.int64()),
+            task=np.full(len(lengths), task, dtype=np.int64), number=number)
     return rows.mapInArrow(
-        run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-             "class_ bigint, task bigint, number bigint").withColumnRenamed("class_", "class")
+        run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, task bigint, number bigint")
 
 
 def pack_documents(
@@ -329,22 +371,22 @@ def pack_documents(
     """
     if width % class_width:
         raise ValueError("class_width must divide width")
-    pieces = stage_table(cut_rows(docs, vocabulary, width, class_width, key, text), "pieces")
-    counted = stage_table(pieces.groupBy("class", "task").agg(F.count("*").alias("n")), "counts")
-    totals = counted.groupBy("class").agg(F.sum("n").alias("n")).collect()  # width / class_width rows at most
-    histogram = np.zeros(width // class_width + 1, dtype=np.int64)
+    pieces = stage_table(cut_rows(docs, vocabulary, width, key, text), "pieces")
+    counted = stage_table(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
+    totals = counted.groupBy("length").agg(F.sum("n").alias("n")).collect()  # ``width`` rows at most
+    histogram = np.zeros(width + 1, dtype=np.int64)
     for row in totals:
-        histogram[row["class"]] = row["n"]
-    slots = Slots(packing_plan(histogram, width // class_width, depth), len(histogram))
+        histogram[row["length"]] = row["n"]
+    slots = Slots(packing_plan(histogram, width, depth, class_width), len(histogram))
 
-    ahead = Window.partitionBy("class").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counted.select("class", "task", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
-    ranked = pieces.join(begins, ["class", "task"]).withColumn("rank", F.col("before") + F.col("number"))
-    ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", "rank")
+    ahead = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counted.select("length", "task", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    ranked = pieces.join(begins, ["length", "task"]).withColumn("rank", F.col("before") + F.col("number"))
+    ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequence, slot = slots.place(batch.column(5).to_numpy(), batch.column(6).to_numpy())
+            sequence, slot = slots.place(batch.column(2).to_numpy(), batch.column(5).to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:5], pa.array(sequence), pa.array(slot)],
                 [*batch.schema.names[:5], "sequence_id", "slot"])

@@ -57,6 +57,44 @@ def test_least_squares_finds_an_exact_mix():
     assert dict(plan)[(7, 3)] >= 595 and dict(plan)[(5, 5)] >= 195
 
 
+def uses(plan, total, size):
+    used = np.zeros(size, int)
+    for combo, times in plan:
+        assert sum(combo) <= total and times > 0 and list(combo) == sorted(combo, reverse=True)
+        np.add.at(used, list(combo), [times] * len(combo))
+    return used
+
+
+@pytest.mark.parametrize("class_width", [1, 8])
+@pytest.mark.parametrize("kind", ["empty", "nine", "short", "mixed", "whole", "long and empty", "none", "one"])
+def test_short_pieces_fill_exactly(class_width, kind):
+    rng = np.random.default_rng(7)
+    lengths = {
+        "empty": np.ones(20_000, int), "nine": np.full(5_000, 9), "short": rng.integers(1, 11, 30_000),
+        "mixed": np.minimum(rng.lognormal(5.0, 1.5, 20_000).astype(int) + 1, 2048), "whole": np.full(50, 2048),
+        "long and empty": np.concatenate([np.full(3_000, 1500), np.ones(1_644_000, int)]), "none": np.empty(0, int),
+        "one": np.array([3])}[kind]
+    counts = np.bincount(lengths, minlength=2049)
+    plan = pk.packing_plan(counts, 2048, class_width=class_width) if kind != "mixed" or class_width > 1 else []
+    if plan:
+        assert (uses(plan, 2048, 2049) == counts).all()
+    sequences = sum(times for _, times in plan)
+    least = -(-int(lengths.sum()) // 2048)
+    if kind in ("empty", "nine", "short", "whole", "one"):
+        assert sequences <= least + (least > 5) + 24 * (kind == "nine")  # 227 pieces of nine leave five tokens
+    elif plan:
+        assert lengths.sum() / (2048 * sequences) > 0.99
+    if kind == "empty":
+        assert sequences == 10
+
+
+def test_empty_texts_share_sequences(spark, vocabulary):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "if(id % 2 = 0, '', cast(null as string)) as text")
+    rows = pk.pack_documents(docs, vocabulary)
+    assert rows.agg({"sequence_id": "max"}).first()[0] == 9
+    assert rows.select("sequence_id", "offset").distinct().count() == 20_000
+
+
 def test_combinations():
     assert set(pk.shallow_combinations(np.array([1, 2, 3, 4, 6]), 6, 3)) == {
         (6,), (4, 2), (4, 1, 1), (3, 3), (3, 2, 1), (2, 2, 2)}
