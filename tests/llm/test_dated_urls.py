@@ -11,7 +11,10 @@ ENTRIES = "list_name string, key string, action string, since timestamp"
 
 
 @pytest.mark.parametrize("url,keys", [
-    ("http://A.b.Example.com/x/y?q", ["a.b.example.com", "b.example.com", "example.com", "a.b.example.com/x"]),
+    ("http://A.b.Example.com/x/y?q", [
+        "a.b.example.com", "b.example.com", "example.com", "a.b.example.com/x", "b.example.com/x", "example.com/x",
+        "a.b.example.com/x/y", "b.example.com/x/y", "example.com/x/y"]),
+    ("http://example.com//X///y/#z", ["example.com", "example.com/X", "example.com/X/y"]),
     ("https://user:pw@example.com:8080", ["example.com"]), ("ftp://localhost/a", ["localhost", "localhost/a"]),
     ("http://example.com./?q=/z", ["example.com"]), ("no url", []), ("", []), (None, []), ("http:///x", []),
 ])
@@ -20,6 +23,23 @@ def test_keys(spark, url, keys):
     assert frame.first()["k"] == keys
 
 
+@pytest.mark.parametrize("deepest,keys", [(0, ["x.org"]), (1, ["x.org", "x.org/a"]), (9, ["x.org", "x.org/a", "x.org/a/b"])])
+def test_depth(spark, deepest, keys):
+    frame = spark.createDataFrame([("http://x.org/a/b",)], "url string")
+    assert frame.select(du.url_keys(F.col("url"), deepest)).first()[0] == keys
+
+
+@pytest.mark.parametrize("key,wanted", [
+    ("example.com", "example.com"), ("WWW.Example.COM.", "www.example.com"), ("example.com/a/b", "example.com/a/b"),
+    ("example.com//A/", "example.com/A"), ("http://user@Example.com:8080/p/", "example.com/p"), ("*.example.com", "example.com"),
+    (".example.com", "example.com"), ("//cdn.x.org/js", "cdn.x.org/js"), (" x.org ", "x.org"), ("[2001:DB8::1]/a", "[2001:db8::1]/a"),
+    ("", None), ("/path", None), ("x.org/a?b=1", None), ("x.org#top", None), ("two words.org", None), ("a*b.org", None), (None, None),
+])
+def test_entry_keys(spark, key, wanted):
+    frame = spark.createDataFrame([(key,)], "key string").select(du.entry_key(F.col("key")).alias("k"))
+    assert frame.first()["k"] == wanted
+
+
 def at(text):
     return datetime.fromisoformat(text)
 
@@ -45,6 +65,21 @@ def test_captures_meet_the_entries_of_their_time(spark):
         (9, 0, None, None), (10, 0, None, None), (None, 1, "bad.com", "block")}
 
 
+def test_entries_on_longer_paths_and_in_other_forms(spark):
+    captures = spark.createDataFrame([(1, "http://www.example.com/a/b/c", at("2024-02-01"))], CAPTURES)
+    for key in ("example.com/a", "www.example.com/a/b", "WWW.Example.com", "http://example.com/a/b/c/", "*.example.com"):
+        entries = spark.createDataFrame([("l", key, "block", at("2024-01-01"))], ENTRIES)
+        got = du.filter_captures(captures, entries).first()
+        assert (got["n_active"], got["verdict"]) == (1, "block"), key
+        assert du.unusable_entries(entries).count() == 0
+    entries = spark.createDataFrame([
+        ("l", "example.com", "block", at("2024-01-01")), ("l", "EXAMPLE.com", "remove", at("2024-01-20")),
+        ("l", "example.com/a/b", "allow", at("2024-01-01")), ("l", "example.com/a/x", "block", at("2024-01-01")),
+        ("l", "what?", "block", at("2024-01-01")), ("l", "x.org", None, at("2024-01-01"))], ENTRIES)
+    assert tuple(du.filter_captures(captures, entries).first()) == (1, 1, "example.com/a/b", "allow")
+    assert sorted(r["key"] for r in du.unusable_entries(entries).collect()) == ["what?", "x.org"]
+
+
 def test_empty_tables(spark):
     captures = spark.createDataFrame([(1, "http://a.com", at("2024-01-01"))], CAPTURES)
     none = spark.createDataFrame([], ENTRIES)
