@@ -14,16 +14,21 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm.common import ready
+from corpusloom.llm.common import ready, record
 
 RECORDS = (
     "{}record_id string, record_type string, refers_to string, target_uri string, date string, content_type string, "
     "content_length bigint, block_digest string, source_digest string, headers string, block string")
+END = object()
+GZIP = b"\x1f\x8b\x08"
+PART_BYTES, HEADER_BYTES, OUT_BYTES = 1 << 18, 1 << 20, 16 << 20
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "warc-derivative")
 
 UNSEEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>", re.S | re.I)
@@ -147,31 +152,134 @@ def record_bytes(headers: str, block: bytes) -> bytes:
     return gzip.compress(headers.encode() + b"\r\n" + block + b"\r\n\r\n", mtime=0)
 
 
-def parse_records(archive: bytes) -> Iterator[dict]:
-    """The records of an archive file, compressed or not, with their headers and blocks."""
-    data = gzip.decompress(archive) if archive[:2] == b"\x1f\x8b" else archive
+def _pieces(archive: bytes) -> Iterator[bytes | None]:
+    """The content of an archive file in parts of bounded size; None where a compressed member is broken."""
+    if archive[:2] != GZIP[:2]:
+        yield from (archive[at: at + PART_BYTES] for at in range(0, len(archive), PART_BYTES))
+        return
     at = 0
-    while (begin := data.find(b"WARC/", at)) >= 0:
-        end = data.index(b"\r\n\r\n", begin)
-        lines = data[begin:end].decode("utf-8", errors="replace").split("\r\n")
+    while 0 <= at < len(archive):
+        member, fed = zlib.decompressobj(31), at
+        try:
+            while not member.eof and (fed < len(archive) or member.unconsumed_tail):
+                part = member.unconsumed_tail or archive[fed: fed + PART_BYTES]
+                fed += 0 if member.unconsumed_tail else len(part)
+                yield member.decompress(part, PART_BYTES)
+            ended = member.eof
+        except zlib.error:
+            ended = False
+        if ended:
+            at = fed - len(member.unused_data)
+        else:
+            yield None
+            at = archive.find(GZIP, at + 1)  # the next member that can be read
+
+
+def _damaged(problem: str) -> dict:
+    return {"type": "damaged", "problem": problem}
+
+
+def parse_records(archive: bytes) -> Iterator[dict]:
+    """The records of an archive file, compressed or not, with their headers and blocks.
+
+    One record at a time is held.  A record that is cut off, whose header has
+    no end within ``HEADER_BYTES`` or no length, or whose compressed member is
+    broken, comes as type ``damaged`` with its ``problem``; reading goes on at
+    the next record that begins behind it.
+    """
+    held, source, more = bytearray(), _pieces(archive), True
+
+    def fill(size: int) -> str | None:
+        """Bring at least so many bytes into the buffer, if there are; else what stands in the way."""
+        nonlocal more
+        while len(held) < size:
+            part = next(source, END)
+            if part is None:
+                return "compression"
+            if part is END:
+                more = False
+                return "truncated"
+            held.extend(part)
+        return None
+
+    while True:
+        begin = held.find(b"WARC/")
+        if begin < 0:
+            del held[: max(0, len(held) - 4)]
+            problem = fill(len(held) + 1)
+            if problem == "compression":
+                held.clear()
+                yield _damaged(problem)
+            elif problem:
+                return
+            continue
+        del held[:begin]
+        end, problem = -1, None
+        while end < 0 and problem is None:
+            end = held.find(b"\r\n\r\n", 0, HEADER_BYTES)
+            if end < 0:
+                problem = "header" if len(held) >= HEADER_BYTES else fill(len(held) + 1)
+        lines = bytes(held[: max(end, 0)]).decode("utf-8", errors="replace").split("\r\n")
         fields = {n.strip().lower(): v.strip() for n, _, v in (line.partition(":") for line in lines[1:])}
-        at = end + 4 + int(fields["content-length"])
+        length = fields.get("content-length", "")
+        if problem is None:
+            problem = fill(end + 4 + int(length)) if length.isascii() and length.isdigit() else "length"
+        if problem:
+            yield _damaged(problem)
+            if problem == "compression":
+                held.clear()
+            else:
+                del held[:5]
+            if not more and b"WARC/" not in held:
+                return
+            continue
+        at = end + 4 + int(length)
         yield {"type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"),
                "target_uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"),
                "payload_digest": fields.get("warc-payload-digest"), "warc_headers": "\r\n".join(lines[1:]),
-               "block": data[end + 4: at]}
+               "block": bytes(held[end + 4: at])}
+        del held[:at]
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of the archive files under ``path``, one file per task at a time."""
+    """Response records of the archive files under ``path``; damaged records are left out (``archive_report``).
+
+    A task holds one compressed file, which ``binaryFile`` limits to 2 GB, and
+    a record of it at a time.
+    """
     ready(spark)
     names = ["record_id", "target_uri", "date", "payload_digest", "warc_headers", "block"]
 
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[c] for r in rows], pa.binary() if c == "block" else pa.string()) for c in names], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive in batch.column(0):
-                rows = [r for r in parse_records(archive.as_py()) if r["type"] == "response"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[c] for r in rows], pa.binary() if c == "block" else pa.string()) for c in names], names)
+                rows, size = [], 0
+                for r in parse_records(archive.as_py()):
+                    if r["type"] == "response":
+                        rows.append(r)
+                        size += len(r["block"])
+                    if size > OUT_BYTES:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                yield batch_of(rows)
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(run, ", ".join(f"{c} {'binary' if c == 'block' else 'string'}" for c in names))
+
+
+def archive_report(spark: SparkSession, path: str) -> DataFrame:
+    """``path, n_records, n_responses, n_damaged`` of each archive file that is not empty."""
+    ready(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [Counter(r["type"] for r in parse_records(archive.as_py())) for archive in batch.column(1)]
+            yield record(
+                path=batch.column(0), n_records=pa.array([c.total() - c["damaged"] for c in counts], pa.int64()),
+                n_responses=pa.array([c["response"] for c in counts], pa.int64()),
+                n_damaged=pa.array([c["damaged"] for c in counts], pa.int64()))
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(run, "path string, n_records bigint, n_responses bigint, n_damaged bigint")
