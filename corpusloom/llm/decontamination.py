@@ -168,19 +168,15 @@ def seeded_windows(seeds: DataFrame, items: DataFrame, similarity: float) -> Dat
     return counted.select("doc_id", "text_hash", "n", "width", F.explode(starts).alias("start")).distinct()
 
 
-def matches(
-    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, short_items: bool = False
-) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, text_hash, item_id, start, similarity`` of each text's best window for each item.
 
     ``docs`` has ``doc_id, text, text_hash``.
     """
     known = stage_table(item_table(items), "items")
-    if short_items:
-        short, known = (known.filter(F.col("n_words") < SHINGLE_WORDS), known.filter(F.col("n_words") >= SHINGLE_WORDS))
-        long = long_matches(docs, known, similarity)
-        return long if short.isEmpty() else long.unionByName(short_matches(docs, short))
-    return long_matches(docs, known, similarity)
+    short, known = (known.filter(F.col("n_words") < SHINGLE_WORDS), known.filter(F.col("n_words") >= SHINGLE_WORDS))
+    long = long_matches(docs, known, similarity)
+    return long if short.isEmpty() else long.unionByName(short_matches(docs, short))
 
 
 def long_matches(docs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
@@ -229,35 +225,30 @@ def long_matches(docs: DataFrame, known: DataFrame, similarity: float) -> DataFr
 
 def contaminated(
     docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text",
-    short_items: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, start, similarity``: the best window of each document for each item found in it.
 
     ``start`` counts words of the plain text from 0; of equal windows the first
     is named.  Null and empty texts and items match nothing.  A text shorter
-    than an item is one window.  Rows with the same key are one document; a
-    null key is named as null.  Empty tables give no rows.
-
-    With ``short_items`` an item of one to four words is found wherever its
-    words stand in a row, as the registered query and the pipeline ask for.
-    Without it, such an item matches only a text of exactly those words.
+    than an item is one window.  An item of one to four words is found wherever
+    its words stand in a row.  Rows with the same key are one document; a null
+    key is named as null.  Other columns are not looked at.  Empty tables give
+    no rows.
     """
     own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "start"))
-    return matches(own, items, similarity, short_items).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    return matches(own, items, similarity).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", F.col("b.start").cast("bigint").alias("start"), (-F.col("b.s")).alias("similarity"))
 
 
-def without_contaminated(
-    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, short_items: bool = False
-) -> DataFrame:
+def without_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item; rows are told apart by key and text.
 
-    ``short_items`` as in ``contaminated``.  All columns stay, whatever their names.
+    All columns stay, whatever their names.
     """
     digest = fresh("text_hash", docs.columns)
     hashed = docs.withColumn(digest, F.xxhash64(F.col("text")))
     own = hashed.select("doc_id", "text", F.col(digest).alias("text_hash"))
-    hit = stage_table(matches(own, items, similarity, short_items).select("doc_id", "text_hash").distinct(), "hits")
+    hit = stage_table(matches(own, items, similarity).select("doc_id", "text_hash").distinct(), "hits")
     same = hashed["doc_id"].eqNullSafe(hit["doc_id"]) & (hashed[digest] == hit["text_hash"])
     return hashed.join(hit, same, "left_anti").drop(digest)

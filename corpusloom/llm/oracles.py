@@ -21,7 +21,12 @@ WITH d AS (
     FROM (SELECT *, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
 ), bs AS (
     SELECT item_id, greatest(len(w) - 4, 1) AS n, array_to_string(w[i + 1:i + 5], ' ') AS s
-    FROM (SELECT *, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM b WHERE len(w) > 0)
+    FROM (SELECT *, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM b WHERE len(w) > 4)
+), short AS (
+    SELECT doc_id, item_id, min(pos) AS start, 1.0::DOUBLE AS similarity
+    FROM (SELECT doc_id, item_id, d.w AS dw, b.w AS bw, unnest(range(0, len(d.w) - len(b.w) + 1)) AS pos
+          FROM b, d WHERE len(b.w) BETWEEN 1 AND 4 AND len(d.w) >= len(b.w))
+    WHERE dw[pos + 1:pos + len(bw)] = bw GROUP BY doc_id, item_id
 ), bt AS (
     SELECT item_id, n, s, count(*) AS tf FROM bs GROUP BY ALL
 ), seeds AS (
@@ -40,6 +45,7 @@ WITH d AS (
 SELECT doc_id, item_id, arg_min(start, (-similarity, start)) AS start, max(similarity) AS similarity
 FROM (SELECT *, common::DOUBLE / (total - common)::DOUBLE AS similarity FROM scored)
 WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+UNION ALL SELECT doc_id, item_id, start, similarity FROM short
 """
 
 CHAT = r"""
@@ -91,14 +97,15 @@ WITH asked AS (
     SELECT DISTINCT page_id, url, (page_id * 7919) % 525600 AS minute,
         regexp_replace(lower(regexp_extract(coalesce(url, ''),
             '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)', 1)), '\.+$', '') AS host,
-        regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS part
+        list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'),
+            lambda x: x <> '') AS parts
     FROM pages
 ), labelled AS (SELECT *, string_split(host, '.') AS labels FROM asked WHERE host <> ''
 ), keys AS (
-    SELECT DISTINCT page_id, minute, key FROM (
-        SELECT page_id, minute, array_to_string(labels[i:], '.') AS key
-        FROM (SELECT *, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) AS i FROM labelled)
-        UNION ALL SELECT page_id, minute, host || '/' || part FROM labelled WHERE part <> '')
+    SELECT DISTINCT page_id, minute, array_to_string(labels[i:], '.')
+        || CASE WHEN j = 0 THEN '' ELSE '/' || array_to_string(parts[1:j], '/') END AS key
+    FROM (SELECT *, unnest(range(0, len(parts) + 1)) AS j FROM (
+        SELECT *, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) AS i FROM labelled))
 ), drawn AS (
     SELECT key, ('0x' || substr(md5(key), 5, 4))::INT % 200 AS day, ('0x' || substr(md5(key), 9, 4))::INT AS n
     FROM (SELECT DISTINCT key FROM keys) WHERE ('0x' || substr(md5(key), 1, 4))::INT % 4 = 0

@@ -86,3 +86,45 @@ def test_held_out_accuracy(spark):
     judged = qt.quality_verdicts(docs, labels.filter("doc_id % 4 <> 2"))
     held = judged.join(labels.filter("doc_id % 4 = 2"), "doc_id").toPandas()
     assert ((held["kept"] == (held["quality"] == 1)).mean()) > 0.9
+
+
+def walk(forest, row):
+    """Every tree followed node by node for one row."""
+    total = forest.base
+    for node in forest.roots:
+        while forest.left[node] != node:
+            node = forest.left[node] if row[forest.feature[node]] <= forest.edge[node] else forest.right[node]
+        total += forest.value[node]
+    return total
+
+
+def test_node_arrays_equal_a_walk():
+    rng = np.random.default_rng(6)
+    x = np.round(rng.standard_normal((500, 4)), 1)
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + rng.normal(0, 0.3, 500) > 0.4).astype(float)
+    forest = qt.fit_forest(x, y, [1, 0, 0, -1], trees=12, depth=3)
+    assert np.allclose(forest.raw(x), [walk(forest, row) for row in x], rtol=1e-12)
+    for f, sign in ((0, 1), (3, -1)):
+        for row in x[:40]:
+            line = np.repeat(row[None], 60, axis=0)
+            line[:, f] = np.linspace(-4, 4, 60)
+            assert (np.diff(forest.raw(line)) * sign >= -1e-12).all()
+
+
+def test_first_split_is_the_best_of_all():
+    """The root of the first tree, against every feature and edge tried one by one."""
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 6, (300, 3)).astype(float)
+    y = ((x[:, 1] > 2) ^ (rng.random(300) < 0.1)).astype(float)
+    forest = qt.fit_forest(x, y, [0, 0, 0], trees=1, depth=1)
+    share = (y.sum() + 1) / 302
+    grad, weight = y - share, np.full(300, share * (1 - share))
+
+    def part(mask):
+        return grad[mask].sum() ** 2 / (weight[mask].sum() + 1.0)
+    tried = {(f, e): part(x[:, f] <= e) + part(x[:, f] > e) for f in range(3) for e in range(6)
+             if min(weight[x[:, f] <= e].sum(), weight[x[:, f] > e].sum()) >= 3.0}
+    best = max(tried, key=tried.get)
+    root = forest.roots[0]
+    assert forest.feature[root] == best[0]
+    assert ((x[:, best[0]] <= forest.edge[root]) == (x[:, best[0]] <= best[1])).all()

@@ -1,4 +1,8 @@
+import math
+import random
+
 import numpy as np
+import pytest
 
 from corpusloom.llm import toxicity as tx
 from corpusloom.llm.registry import op3_toxicity
@@ -51,3 +55,36 @@ def test_held_out_rows(spark):
     hit = (held["predicted"] == 1) & (held["toxic"] == 1)
     assert hit.sum() / held["toxic"].sum() > 0.85  # 3,000 labelled rows; measured .90
     assert hit.sum() / max(held["predicted"].sum(), 1) > 0.9
+
+
+def plain_ftrl(rows, labels, alpha=0.7, beta=1.0, l1=5.0, l2=1.0, epochs=4):
+    """One coordinate after another, in dictionaries."""
+    z, n = {}, {}
+
+    def weight(i):
+        edge = 0.0 if i == "bias" else l1
+        if abs(z.get(i, 0.0)) <= edge:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * edge) / ((beta + n.get(i, 0.0) ** 0.5) / alpha + l2)
+    for _ in range(epochs):
+        for slots, label in zip(rows, labels):
+            own = [*slots, "bias"]
+            w = {i: weight(i) for i in own}
+            error = 1 / (1 + math.exp(-max(-50.0, min(50.0, sum(w.values()))))) - label
+            for i in own:
+                before = n.get(i, 0.0)
+                n[i] = before + error * error
+                z[i] = z.get(i, 0.0) + error - (n[i] ** 0.5 - before ** 0.5) / alpha * w[i]
+    return {i: weight(i) for i in z}
+
+
+def test_weights_equal_a_plain_learner():
+    rng = random.Random(4)
+    rows = [sorted(rng.sample(range(64), rng.randrange(0, 20))) for _ in range(400)]
+    labels = [float(sum(i < 9 for i in r) > 1) for r in rows]
+    got = tx.fit_ftrl([np.array(r, dtype=np.int32) for r in rows], np.array(labels), bits=6)
+    want = plain_ftrl(rows, labels)
+    assert got.bias == pytest.approx(want.pop("bias"), rel=1e-9)
+    assert dict(zip(got.slots.tolist(), got.values.tolist())) == pytest.approx({i: w for i, w in want.items() if w}, rel=1e-9)
+    assert 0 < len(got.slots) < 64
