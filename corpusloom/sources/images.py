@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.containers import image_state
+from corpusloom.session import ship_package
+
 # The first bytes of the common image formats, in hex.
 SIGNATURES = {
     "png": "89504E470D0A1A0A", "jpeg": "FFD8FF", "gif87": "474946383761", "gif89": "474946383961",
@@ -58,6 +62,37 @@ def image_report(df: DataFrame, column: str = "image", files: DataFrame | None =
     return df.agg(F.count("*").alias("n_rows"), F.count_if(~readable(df, column)).alias("n_dropped"))
 
 
+def image_states(df: DataFrame, column: str = "image", files: DataFrame | None = None) -> DataFrame:
+    """Add ``format`` and ``problem`` of each image, from a walk over the whole file.
+
+    ``problem`` is null for a file that holds together, else ``empty``,
+    ``format``, ``truncated``, ``checksum``, ``pixels`` or the part that is
+    wrong.  Paths are looked up in ``files``; a path without a file is
+    ``empty``.  Files come to Python in Arrow batches of ``maxRecordsPerBatch``.
+    """
+    df = df if files is None else resolve_paths(df, files, column)
+    kind = df.schema[column].dataType
+    if kind.simpleString() == "string":
+        raise ValueError(f"{column} holds paths; resolve them with a table of files")
+    content = F.col(f"{column}.bytes") if kind.typeName() == "struct" else F.col(column)
+    ship_package(df.sparkSession)
+
+    @F.pandas_udf("format string, problem string")
+    def states(files: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([image_state(None if data is None else bytes(data)) for data in files], columns=["format", "problem"])
+    return df.withColumn("_state", states(content)).select(*df.columns, "_state.format", "_state.problem")
+
+
+def keep_sound(df: DataFrame, column: str = "image", files: DataFrame | None = None) -> DataFrame:
+    """Drop rows whose image is missing, truncated or damaged; what only begins like an image goes, too."""
+    return image_states(df, column, files).filter("problem IS NULL").drop("format", "problem")
+
+
+def damage_report(df: DataFrame, column: str = "image", files: DataFrame | None = None) -> DataFrame:
+    """Number of rows for each format and problem."""
+    return image_states(df, column, files).groupBy("format", "problem").agg(F.count("*").alias("n_rows"))
+
+
 def resolve_paths(df: DataFrame, files: DataFrame, column: str = "image") -> DataFrame:
     """Fill missing bytes of a (bytes, path) column, or of a column of paths, from a table of files.
 
