@@ -26,10 +26,84 @@ def _middle(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (low + high) / 2
 
 
+TREE_FROM = 448   # window from which the tree is cheaper than sorting every window
+
+
+class OrderStatistics:
+    """The k-th smallest of any stretch of a series, for many stretches at once.
+
+    The values' ranks are split bit by bit, from the highest on; a level knows
+    how many ranks before each place have a zero there.  A query walks down
+    the levels, so it costs the logarithm of the series' length.
+    """
+
+    def __init__(self, series: np.ndarray):
+        order = np.argsort(series, kind="stable")
+        ranks = np.empty(len(series), dtype=np.int64)
+        ranks[order] = np.arange(len(series))
+        self.ordered, self.levels = series[order], []
+        for bit in range(max(len(series) - 1, 0).bit_length() - 1, -1, -1):
+            ones = ranks >> bit & 1
+            zeros = np.concatenate(([0], np.cumsum(1 - ones)))
+            self.levels.append((bit, zeros, int(zeros[-1])))
+            ranks = np.concatenate((ranks[ones == 0], ranks[ones == 1]))
+
+    def smallest(self, start: np.ndarray, end: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """The ``k``-th smallest, from 0, of each half-open stretch."""
+        rank = np.zeros(len(start), dtype=np.int64)
+        for bit, zeros, n_zeros in self.levels:
+            low, high = zeros[start], zeros[end]
+            up = k >= high - low
+            k = np.where(up, k - (high - low), k)
+            start, end = np.where(up, n_zeros + start - low, low), np.where(up, n_zeros + end - high, high)
+            rank |= up.astype(np.int64) << bit
+        return self.ordered[rank]
+
+
+def _spread_by_order(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
+    """Median absolute deviation of finite values without looking at whole windows.
+
+    Seen from the median, the values below it and those above it are two
+    rising rows of distances.  The middle distance of both together takes some
+    number from the lower row, which is found by bisection.
+    """
+    end = np.arange(len(series) - fresh + 1, len(series) + 1)
+    start = np.maximum(end - size, 0)
+    count, tree = end - start, OrderStatistics(series)
+
+    def at(k: np.ndarray) -> np.ndarray:
+        return tree.smallest(start, end, np.clip(k, 0, count - 1))
+    middle = (at((count - 1) // 2) + at(count // 2)) / 2
+    half, place = (count + 1) // 2, (count - 1) // 2
+
+    def below(i: np.ndarray) -> np.ndarray:
+        return middle - at(half - 1 - i)
+
+    def above(i: np.ndarray) -> np.ndarray:
+        return at(half + i) - middle
+    low, high = np.maximum(0, place + 1 - (count - half)), np.minimum(place + 1, half)
+    while (open_ := low < high).any():
+        taken = (low + high) // 2
+        enough = below(taken) >= above(place - taken)
+        low, high = np.where(open_ & ~enough, taken + 1, low), np.where(open_ & enough, taken, high)
+    rest = place + 1 - low
+    first = np.maximum(np.where(low > 0, below(low - 1), -np.inf), np.where(rest > 0, above(rest - 1), -np.inf))
+    second = np.minimum(np.where(low < half, below(low), np.inf), np.where(rest < count - half, above(rest), np.inf))
+    return np.where(count % 2 == 1, first, (first + second) / 2)
+
+
 def sigma_of_last(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
-    """Scaled median absolute deviation; 0 below three values."""
+    """Scaled median absolute deviation; 0 below three values.
+
+    Both ways give the same numbers.  Short windows are sorted, each anew;
+    long ones are read off a tree over the series, which takes the logarithm
+    of its length for a record and no room for the windows.
+    """
     if not fresh:
         return np.empty(0)
+    if size >= TREE_FROM and np.isfinite(series).all():
+        counts = np.minimum(size, np.arange(len(series) - fresh + 1, len(series) + 1))
+        return np.where(counts < 3, 0.0, fv.MAD_SCALE * _spread_by_order(series, fresh, size))
     windows, counts = _windows(series, fresh, size)
     spread = fv.MAD_SCALE * _middle(np.abs(windows - _middle(windows, counts)[:, None]), counts)
     broken = np.isnan(windows).sum(axis=1) > size - counts

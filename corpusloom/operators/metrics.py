@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
 from corpusloom.functions.arrays import cross_entropy
+from corpusloom.functions.text import bind
 
 
 def position_losses(df: DataFrame, logits: str, label: str, name: str = "loss") -> DataFrame:
@@ -18,6 +19,38 @@ def position_losses(df: DataFrame, logits: str, label: str, name: str = "loss")
     )
 
 
+def chunk_losses(
+    chunks: DataFrame, position: Sequence[str], start: str, logits: str, label: str, name: str = "loss"
+) -> DataFrame:
+    """Loss of every position whose scores lie in several rows, each a chunk of the vocabulary.
+
+    A row holds the scores from ``start`` on and the label of its position.
+    Each chunk gives its greatest score and the sum of exponents scaled by it;
+    these are put together per position, of which only as many pairs meet as
+    it has chunks.  A score of minus infinity counts nothing, a position with
+    nothing else is undefined like one with a NaN, and a label without a score
+    has no loss.
+    """
+    def of(x: Column) -> Column:
+        top = F.array_max(x)
+        base = F.when(top == float("-inf"), 0.0).otherwise(top)
+        total = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + F.exp(v - base))
+        return F.struct(top.alias("top"), base.alias("base"), total.alias("total"))
+    scores = F.col(logits).cast("array<double>")
+    at = F.col(label) - F.col(start)
+    own = F.when((at >= 0) & (at < F.size(scores)), F.get(scores, at.cast("int")))
+    kept = chunks.filter((F.col(label) != fv.IGNORE_LABEL) & (F.size(scores) > 0))
+    parts = kept.select(*position, label, bind(scores, of).alias("_part"), own.alias("_own"))
+    whole = parts.groupBy(*position, label).agg(F.collect_list("_part").alias("_parts"), F.max("_own").alias("_own"))
+    top = F.array_max(F.transform("_parts", lambda p: p["top"]))
+    total = F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + F.when(p["top"] == float("-inf"), 0.0).otherwise(
+        p["total"] * F.exp(p["base"] - F.col("_top"))))
+    loss = F.ln("_total") + F.col("_top") - F.col("_own")
+    return whole.withColumn("_top", top).withColumn("_total", total).withColumn(
+        name, F.when(F.isnan("_top") | (F.col("_top") == float("-inf")), float("nan")).otherwise(loss)).drop(
+        "_parts", "_own", "_top", "_total")
+
+
 def shifted_positions(df: DataFrame, logits: str, labels: str) -> DataFrame:
     """One row per position of each sequence, its logits beside the next label.
 

@@ -245,8 +245,11 @@ def with_windows(smooth: DataFrame, settings: MonitorSettings, sigma: bool = Tru
     """Add the robust ``sigma`` and the ``slope`` over the last values to smoothed records.
 
     A median per window is far cheaper over numpy windows of a whole block
-    than over an array per row, so both are computed on Arrow batches.
+    than over an array per row, so it is computed on Arrow batches.  The slope
+    alone comes from running sums, if all runs have the same window.
     """
+    if slope and not sigma and settings.runs is None:
+        return with_slope(smooth, settings)
     s = replace(settings, runs=None)  # goes to the tasks
     kept = [c for c in smooth.columns if c not in ("lr", "_window", "_slope_window")]
     kinds = dict(smooth.dtypes)
@@ -260,6 +263,35 @@ def with_windows(smooth: DataFrame, settings: MonitorSettings, sigma: bool = Tru
     return map_groups(blocks, ["run_id", "block"], "n", work, schema)
 
 
+def with_slope(smooth: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Add the least-squares ``slope`` over the last values: 0 below eight of them.
+
+    Inside a block, sums of the values and of the values times their place run
+    along; a window is the difference of two of them.  Values are taken from
+    the first of the block and places from its middle, so a large offset does
+    not eat up the digits.
+    """
+    size, s = settings.slope_window, replace(settings, window=1)
+    kept = [c for c in smooth.columns if c not in ("lr", "_window", "_slope_window")]
+    line = Window.partitionBy("run_id", "block").orderBy("n")
+    so_far, sound = line.rowsBetween(Window.unboundedPreceding, 0), ~_is_wild(F.col("ema"))
+    rows = window_blocks(smooth.drop("lr"), s).withColumns({
+        "_place": F.row_number().over(line) - s.window_rows / 2,
+        "_centred": F.when(sound, F.col("ema") - F.coalesce(F.first("ema").over(so_far), F.lit(0.0))).otherwise(0.0)})
+    sums = rows.withColumns({
+        "_sum": F.sum("_centred").over(so_far), "_moment": F.sum(F.col("_centred") * F.col("_place")).over(so_far),
+        "_wild": F.sum(F.when(sound, 0).otherwise(1)).over(so_far)})
+    windows = sums.withColumns({
+        f"{name}_in": F.col(name) - F.coalesce(F.lag(name, size).over(line), F.lit(0)) for name in ("_sum", "_moment", "_wild")})
+    count = F.least(F.col("n"), F.lit(size)).cast("double")
+    middle = F.col("_place") - (count - 1) / 2
+    fitted = (F.col("_moment_in") - middle * F.col("_sum_in")) / (count * (count * count - 1) / 12)
+    # An average that went wild stays so: NaN, or the same infinity from some place of the window on.
+    wild = F.when((F.isnan("ema") | sound) | (count - F.col("_wild_in") <= (count - 1) / 2), float("nan")).otherwise(F.col("ema"))
+    slope = F.when(count < 8, 0.0).when(F.col("_wild_in") > 0, wild).otherwise(fitted)
+    return windows.filter(~F.col("_borrowed")).select(*kept, slope.alias("slope"))
+
+
 def monitor_trace(numbered: DataFrame, settings: MonitorSettings) -> DataFrame:
     """Everything about a record but its decision: average, best, spread, slope and gates."""
     return with_windows(best_so_far(smoothed(numbered, settings), settings), settings)

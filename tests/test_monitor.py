@@ -498,3 +498,65 @@ def test_perplexity_shift_mask_and_overflow(spark):
     assert set(got) == {1, 2}
     assert got[1].n_positions == 1 and got[1].eval_loss == pytest.approx(math.log(1 + math.exp(-2)))
     assert got[2].eval_loss == pytest.approx(2000) and got[2].perplexity == math.inf
+
+
+def test_losses_from_chunks(spark):
+    inf, nan = math.inf, math.nan
+    scores = {
+        1: ([0.5, 2.0, -1.0, 3.0, 0.0], 3), 2: ([1000.0, -1000.0, 999.0, 0.0, 1.0], 1), 3: ([-inf, -inf, 1.0, 2.0, -inf], 2),
+        4: ([-inf] * 5, 0), 5: ([0.0, nan, 1.0, 2.0, 3.0], 0), 6: ([1.0] * 5, -100), 7: ([1.0] * 5, 9), 8: ([-inf, 5.0, 1.0, 1.0, 1.0], 0)}
+    rows = [(i, s, x[s:s + size], label) for i, (x, label) in scores.items() for size in (2,) for s in range(0, 5, size)]
+    chunks = spark.createDataFrame(rows + [(1, 5, [], 3)], "i int, start int, x array<double>, label int").repartition(3)
+    got = {r.i: r.loss for r in metrics.chunk_losses(chunks, ["i"], "start", "x", "label").collect()}
+    whole = spark.createDataFrame([(i, x, label) for i, (x, label) in scores.items()], "i int, x array<double>, label int")
+    want = {r.i: r.loss for r in metrics.position_losses(whole, "x", "label").collect()}
+    assert got.keys() == want.keys() == {1, 2, 3, 4, 5, 7, 8}
+    for i in (1, 2, 3):
+        assert got[i] == pytest.approx(want[i], rel=1e-12)
+    assert got[8] == inf and math.isnan(got[4]) and math.isnan(got[5]) and got[7] is None
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e9, -1e6])
+def test_slope_from_running_sums(spark, offset):
+    rng = random.Random(2)
+    rows = [(run, i + 1, i + 1, offset + rng.gauss(0, 1) + i * 0.01 * run) for run, size in ((1, 400), (2, 7), (3, 33)) for i in range(size)]
+    rows += [(4, i + 1, i + 1, math.inf if i >= 50 else 1.0) for i in range(90)]
+    rows += [(5, i + 1, i + 1, math.nan if i >= 5 else 1.0) for i in range(60)]
+    smooth = spark.createDataFrame(rows, "run_id long, n long, step long, ema double").withColumns(
+        {"lr": F.lit(0.0), "_window": F.lit(32).cast("bigint"), "_slope_window": F.lit(24).cast("bigint")})
+    s = MonitorSettings(**COMMON)
+    got = {(r.run_id, r.n): r.slope for r in monitor.with_windows(smooth, s, sigma=False).collect()}
+    assert len(got) == len(rows)
+    from corpusloom.functions.windows import slope_of_last
+    for run in range(1, 6):
+        series = np.array([r[3] for r in rows if r[0] == run])
+        with np.errstate(invalid="ignore"):
+            want = slope_of_last(series, len(series), 24)
+            exact = slope_of_last(series - (offset if run < 4 else 0), len(series), 24)
+        for n, (w, e) in enumerate(zip(want, exact), 1):
+            assert got[run, n] == pytest.approx(e, abs=1e-9 * max(1, abs(offset) * 1e-3), nan_ok=True), (run, n)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 96, 512, 700])
+@pytest.mark.parametrize("kind", ["noise", "ties", "falling", "offset"])
+def test_spread_by_order_equals_sorted_windows(monkeypatch, size, kind):
+    from corpusloom.functions import windows
+    rng = np.random.default_rng(size)
+    series = {"noise": rng.standard_normal(900), "ties": rng.integers(0, 4, 900) / 3, "falling": 5 - np.arange(900) * 0.01,
+              "offset": 1e9 + rng.standard_normal(900)}[kind]
+    for fresh in (900, 300, 1):
+        monkeypatch.setattr(windows, "TREE_FROM", 1)
+        by_tree = windows.sigma_of_last(series, fresh, size)
+        monkeypatch.setattr(windows, "TREE_FROM", 10 ** 9)
+        assert (by_tree == windows.sigma_of_last(series, fresh, size)).all()
+
+
+def test_order_statistics_of_any_stretch():
+    from corpusloom.functions.windows import OrderStatistics
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 64, 65):
+        series = rng.integers(0, 9, n).astype(float)
+        spans = [(a, b, k) for a in range(n) for b in range(a + 1, n + 1) for k in (0, (b - a) // 2, b - a - 1)]
+        start, end, k = map(np.array, zip(*spans))
+        want = [sorted(series[a:b])[i] for a, b, i in spans]
+        assert OrderStatistics(series).smallest(start, end, k).tolist() == want
