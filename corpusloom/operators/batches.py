@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
 from corpusloom.functions.labels import pad, padded_width
+from corpusloom.operators.ordering import shuffle_key
+from corpusloom.operators.series import number_in_group
 
 LAST_BUCKET = 4095
 BATCH_KEYS = ["bucket", "part", "batch"]
@@ -52,6 +54,38 @@ def length_batches(
     }).drop("_parts")
 
 
+def trainer_order(
+    df: DataFrame, key: str | Sequence[str], batch_size: int, seed: int, length: str = "length", batches: int = 50,
+    levels: Sequence[int] = (2, 5),
+) -> DataFrame:
+    """The order in which a trainer that groups by length takes the rows: ``position`` and ``batch``, from 0.
+
+    A seeded permutation is cut into groups of ``batches`` batches (fewer for
+    a table of under four groups of that size), each group is sorted by falling
+    length, and the longest row of all changes places with the first one, so
+    that a lack of memory shows at once.  The permutation is the order of a
+    hash of seed and key; rows are numbered by ranges of the hash, ``levels``
+    hex digits from coarse to fine, so no task sorts more than a group or the
+    rows of one range.  Keys must be unique.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    hashed = df.withColumn("_key", shuffle_key(seed, *keys))
+    ranges = [F.substring("_key", 1, digits) for digits in levels]
+    numbered = number_in_group(hashed.withColumn("_all", F.lit(0)), "_all", ["_key", *keys], ranges, "_n")
+    n_rows = df.count()
+    size = max(1, min(n_rows // (batch_size * 4), batches)) * batch_size
+    grouped = numbered.withColumn("_group", F.floor((F.col("_n") - 1) / size))
+    inside = Window.partitionBy("_group").orderBy(F.desc(length), "_n")
+    placed = grouped.withColumn("position", F.col("_group") * size + F.row_number().over(inside) - 1)
+    # The first row of each group is its longest; of equal ones the first group's counts.
+    heads = placed.filter(F.col("position") % size == 0)
+    longest = heads.orderBy(F.desc(length), "position").select("position").first()
+    at = longest["position"] if longest else 0
+    position = F.when(F.col("position") == at, 0).when(F.col("position") == 0, at).otherwise(F.col("position")).cast("bigint")
+    return placed.withColumn("position", position).withColumn("batch", F.floor(F.col("position") / batch_size)).select(
+        *df.columns, "position", "batch")
+
+
 def padded_rows(batched: DataFrame, pad_id: int = 0, rebuild_labels: bool = True) -> DataFrame:
     """Pad each row to the width of its batch.
 

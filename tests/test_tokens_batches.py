@@ -164,3 +164,22 @@ def test_total_from_the_same_counts(spark):
     got = lengths.length_cap(lengths.counted_lengths(rows, "lang", "all"), ["lang"], weight=F.col("_rows"))
     by = {r.lang: (r.n_rows, r.p50) for r in got.collect()}
     assert by == {"a": (2, 6), "b": (1, 400), None: (1, 7), "all": (4, 8)}
+
+
+@pytest.mark.parametrize("n,batch,levels", [(700, 4, (2, 5)), (37, 8, (1,)), (5, 8, (2, 5)), (1, 1, (2, 5)), (400, 1, (1, 2, 3))])
+def test_trainer_order(spark, n, batch, levels):
+    import hashlib
+    rows = [(i, (i * 7919) % 23 + (50 if i in (n // 2, n // 3) else 0)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, length long")
+    got = {r.position: (r.doc_id, r.batch) for r in batches.trainer_order(df, "doc_id", batch, 7, levels=levels).collect()}
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"7:{r[0]}".encode()).hexdigest(), r[0]))
+    size = max(1, min(n // (batch * 4), 50)) * batch
+    groups = [sorted(order[at:at + size], key=lambda r: -r[1]) for at in range(0, n, size)]
+    tops = [g[0][1] for g in groups]
+    top = tops.index(max(tops))
+    groups[0][0], groups[top][0] = groups[top][0], groups[0][0]
+    assert [got[i] for i in range(n)] == [(r[0], i // batch) for i, r in enumerate(r for g in groups for r in g)]
+
+
+def test_trainer_order_of_no_rows(spark):
+    assert batches.trainer_order(spark.createDataFrame([], "doc_id long, length long"), "doc_id", 4, 7).count() == 0
