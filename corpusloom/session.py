@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _shipped: set[str] = set()
+_scratch: list[str] = []
 
 
 def local_session(cores: int | str = 8, memory: str = "12g", app: str = "corpusloom") -> SparkSession:
@@ -51,7 +52,27 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, before: int = 0) -> int:
+    """Delete what was staged since mark ``before``, and return how many paths that were.
+
+    For a caller who is done with the results: a table that was built on staged
+    ones can't be read afterwards.  ``scratch_mark`` gives the mark.
+    """
+    gone = _scratch[before:]
+    for path in gone:
+        delete_folder(spark, path)
+    del _scratch[before:]
+    return len(gone)
+
+
+def scratch_mark() -> int:
+    """How many scratch paths were given out so far."""
+    return len(_scratch)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

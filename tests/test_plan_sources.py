@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions import plan_math as pm
 from corpusloom.operators.series import number_in_group
 from corpusloom.plans.run_plan import run_plan
-from corpusloom.session import new_scratch
-from corpusloom.sources import images, ledger, tables
+from corpusloom.session import list_folder, new_scratch, release_scratch, scratch_mark, stage_table
+from corpusloom.sources import footers, images, ledger, tables
+from corpusloom.sources.commits import CommitLog
+from corpusloom.sources.export import _groups, export_tokens, read_tokens
 
 
 def planned(spark, rows, **options):
@@ -97,6 +99,109 @@ def test_ledger_appends_whole_new_names_once(spark):
     assert sorted(r.name for r in ledger.read_ledger(spark, path).collect()) == ["b", "chat", "ultrachat"]
 
 
+def test_two_writers_log_a_name_once(spark, monkeypatch):
+    path = new_scratch(spark, "ledger")
+    names = [spark.createDataFrame([(n,) for n in group], "name string") for group in (("a", "b"), ("b", "c"))]
+    take, raced = CommitLog.take, []
+
+    def slower(self, number, text):
+        if not raced:  # another writer commits between our look at the ledger and our commit
+            raced.append(1)
+            assert ledger.log_datasets(spark, names[1], path) is True
+        return take(self, number, text)
+    monkeypatch.setattr(CommitLog, "take", slower)
+    assert ledger.log_datasets(spark, names[0], path) is True
+    assert sorted(r.name for r in ledger.read_ledger(spark, path).collect()) == ["a", "b", "c"]
+    assert len([n for n in list_folder(spark, path) if n.startswith("_data")]) == 2
+
+
+def test_a_ledger_of_plain_files_goes_on(spark):
+    path = new_scratch(spark, "ledger")
+    spark.createDataFrame([("old",)], "name string").write.parquet(path)
+    assert ledger.log_datasets(spark, spark.createDataFrame([("old",), ("new",)], "name string"), path) is True
+    assert sorted(r.name for r in ledger.read_ledger(spark, path).collect()) == ["new", "old"]
+    assert ledger.log_datasets(spark, spark.createDataFrame([("old",), ("new",)], "name string"), path) is False
+
+
+def test_commits_take_each_number_once(spark):
+    log = CommitLog(spark, new_scratch(spark, "log") + "/_commits")
+    assert log.read() == []
+    assert log.take(0, "first") and not log.take(0, "second") and log.take(1, "é third")
+    assert log.read() == ["first", "é third"]
+
+
+def coded(spark, rows):
+    return spark.createDataFrame([(i, list(range(n)), [1] * n, list(range(n)), n) for i, n in rows],
+                                 "doc_id long, input_ids array<int>, attention_mask array<int>, labels array<int>, length long")
+
+
+def test_a_killed_export_goes_on(spark):
+    source, path = new_scratch(spark, "files"), new_scratch(spark, "tokens")
+    coded(spark, [(i, i % 7) for i in range(60)]).repartition(5).write.parquet(source)
+    calls = []
+
+    def make(rows):
+        calls.append(sorted(r.doc_id for r in rows.select("doc_id").collect()))
+        if len(calls) == 3:
+            raise InterruptedError
+        return rows
+    with pytest.raises(InterruptedError):
+        export_tokens(spark, source, make, path, max_length=8, group_bytes=1, file_bytes=8 * 24 * 4)
+    assert read_tokens(spark, path).count() == sum(map(len, calls[:2]))
+    assert export_tokens(spark, source, make, path, max_length=8, group_bytes=1, file_bytes=8 * 24 * 4) == 3
+    assert calls[3] == calls[2] and sorted(sum(calls[:2] + calls[3:], [])) == list(range(60))
+    coded(spark, [(99, 3)]).write.mode("append").parquet(source)
+    assert export_tokens(spark, source, make, path, max_length=8) == 1
+    assert export_tokens(spark, source, make, path, max_length=8) == 0
+    made = read_tokens(spark, path)
+    assert sorted(r.doc_id for r in made.collect()) == [*range(60), 99]
+    assert dict(made.dtypes)["input_ids"] == "array<bigint>" and dict(made.dtypes)["length"] == "int"
+    per_file = made.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert per_file <= 4
+
+
+def test_groups_of_files():
+    files = [("b", 5), ("a", 4), ("c", 20), ("d", 1), ("e", 1)]
+    assert _groups(files, 9) == [["a", "b"], ["c"], ["d", "e"]]
+    assert _groups([], 9) == [] and _groups(files, 1) == [["a"], ["b"], ["c"], ["d"], ["e"]]
+
+
+def test_scratch_is_released(spark):
+    mark = scratch_mark()
+    kept = [stage_table(spark.range(3), "kept"), stage_table(spark.range(4), "kept")]
+    paths = [t.inputFiles()[0] for t in kept]
+    assert release_scratch(spark, mark) == 2 and scratch_mark() == mark
+    assert not any(list_folder(spark, p.rsplit("/", 1)[0]) for p in paths)
+
+
+def test_rows_per_file_from_footers(spark):
+    path = new_scratch(spark, "rows")
+    spark.range(100).withColumn("text", F.lit("x" * 50)).repartition(3).write.parquet(f"{path}/a")
+    spark.range(7).coalesce(1).write.parquet(f"{path}/b/c")
+    spark.range(0).coalesce(1).write.parquet(f"{path}/empty")
+    counted = footers.file_rows(spark, path)
+    got = [(r.file.replace(path, "").split("/part")[0].split(":")[-1], r.n_rows, r.n_bytes > 0) for r in counted.collect()]
+    assert sorted(g for g in got if not g[0].endswith("/a")) == [("/b/c", 7, True), ("/empty", 0, True)]
+    assert sum(n for _, n, _ in got) == 107 and len(got) == 5
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_conflicts_of_types_over_files(spark):
+    path = new_scratch(spark, "types")
+    for i in range(9):
+        kind = "string" if i == 4 else "bigint"
+        df = spark.range(2).select(F.col("id").cast(kind).alias("a"), F.lit(1.0).alias("b"))
+        (df.withColumn("c", F.lit(True)) if i != 7 else df).coalesce(1).write.parquet(f"{path}/{i}")
+    groups = footers.file_groups(spark, sorted(r.file for r in footers.parquet_files(spark, path).collect()))
+    assert sorted(len(g.files) for g in groups) == [1, 8]
+    got = {(r.column, r.type): (r.n_files, r.example.split("/")[-2]) for r in footers.type_conflicts(spark, path).collect()}
+    assert got == {("a", "string"): (1, "4"), ("a", "bigint"): (8, "0")}
+    sound = new_scratch(spark, "types")
+    spark.range(5).repartition(2).write.parquet(sound)
+    assert footers.type_conflicts(spark, sound).count() == 0
+
+
 PNG = bytes.fromhex("89504E470D0A1A0A") + b"rest"
 
 
