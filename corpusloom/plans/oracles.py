@@ -374,6 +374,17 @@ WITH {LOSSES}, each AS (SELECT label::VARCHAR AS label, lse - x[label + 1] AS lo
 m AS (SELECT label, count(*) AS n_positions, avg(loss) AS l FROM each GROUP BY label
       UNION ALL SELECT 'all', count(*), avg(loss) FROM each)
 SELECT label, n_positions, {steady('l')} AS eval_loss, {steady('exp(l)')} AS perplexity FROM m"""
+TRAINER_ORDER = f"""WITH {LENGTHS},
+numbered AS (SELECT doc_id, length, row_number() OVER (ORDER BY md5('{q.SEED}:' || doc_id), doc_id) AS n,
+  greatest(1, least(count(*) OVER () // ({q.BATCH} * 4), 50)) * {q.BATCH} AS size FROM lens),
+placed AS (SELECT *, (n - 1) // size * size + row_number() OVER (PARTITION BY (n - 1) // size ORDER BY length DESC, n) - 1 AS spot
+  FROM numbered),
+longest AS (SELECT spot AS top FROM placed WHERE spot % size = 0 ORDER BY length DESC, spot LIMIT 1),
+moved AS (SELECT doc_id, length, CASE WHEN spot = top THEN 0 WHEN spot = 0 THEN top ELSE spot END AS place FROM placed, longest)
+SELECT doc_id, length, place AS position, place // {q.BATCH} AS batch FROM moved"""
+IMAGE_STATES = """
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'bmp' WHEN 1 THEN 'gif' ELSE 'webp' END AS format, doc_id % 5 > 1 AS sound
+FROM documents"""
 PERPLEXITY_SHIFTED = f"""
 WITH {LOSSES}, nxt AS (SELECT vec_id // 16 AS sequence, lse, x,
   lead(label) OVER (PARTITION BY vec_id // 16 ORDER BY vec_id) AS target FROM losses),
@@ -510,6 +521,7 @@ ORACLES = {
     "answer_only_labels": ANSWER_ONLY,
     "nonempty_ids": NONEMPTY_IDS,
     "tokenized_export": EXPORT,
+    "export_resumed": EXPORT,
     "length_grouped_batches": GROUPED,
     "padded_batches": padded(DOC_CODES, "coded", "key AS doc_id", "ids"),
     "padded_answer_only": padded(
@@ -517,9 +529,13 @@ ORACLES = {
     "padding_efficiency": EFFICIENCY,
     "flagship_batches": FLAGSHIP,
     "run_plan": RUN_PLAN,
+    "run_plan_footers": f"SELECT * FROM ({RUN_PLAN}) WHERE kind IN ('lang', 'source')",
     "monitor_windows": WINDOWS,
     "perplexity": PERPLEXITY,
     "perplexity_shifted": PERPLEXITY_SHIFTED,
+    "perplexity_chunked": PERPLEXITY,
+    "trainer_order": TRAINER_ORDER,
+    "image_states": IMAGE_STATES,
     "dedup_steps": DEDUP,
     "dedup_ema": DEDUP_EMA,
     "dedup_stop": decisions(1.0, q.TREND, HOURLY_LOG + EVERY_HOUR),

@@ -14,7 +14,9 @@ from corpusloom.functions.text import (
 from corpusloom.operators import batches, lengths, metrics, monitor, ordering, prompts, roles, tokens
 from corpusloom.plans.run_plan import run_plan
 from corpusloom.session import new_scratch, spread, stage_table
-from corpusloom.sources.export import write_tokens
+from corpusloom.sources import images
+from corpusloom.sources.export import export_tokens, read_tokens, write_tokens
+from corpusloom.sources.footers import file_rows
 from corpusloom.sources.ledger import new_names
 from corpusloom.sources.tables import TEST_TABLES, load_tables
 from corpusloom.streaming.convergence import closing_stops, follow_folder
@@ -221,6 +223,26 @@ def tokenized_export(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def export_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows exported in groups of files: the second group fails, and a later call goes on there."""
+    source, path = new_scratch(spark, "coded"), new_scratch(spark, "export")
+    _encoded(spark, sf).repartition(4, "doc_id").write.parquet(source)
+    seen: list[int] = []
+
+    def make(rows: DataFrame) -> DataFrame:
+        seen.append(1)
+        if len(seen) == 2:
+            raise InterruptedError("killed")
+        return rows
+    for _ in range(2):
+        try:
+            export_tokens(spark, source, make, path, max_length=1024, group_bytes=1)
+        except InterruptedError:
+            continue
+    return read_tokens(spark, path).select(
+        "doc_id", joined(F.col("input_ids")).alias("ids"), joined(F.col("labels")).alias("labels"), "length")
+
+
 def _encoded_pairs(spark: SparkSession, sf: str) -> DataFrame:
     text = prompts.vision_prompt(F.col("question"), F.col("answer"))
     prepared, cap = _measured(pairs(spark, sf).select("conv_id", "turn", tokens.split_marks(text).alias("text")))
@@ -258,6 +280,11 @@ def length_grouped_batches(spark: SparkSession, sf: str) -> DataFrame:
     return batches.length_batches(measured, "doc_id", BATCH)
 
 
+def trainer_order(spark: SparkSession, sf: str) -> DataFrame:
+    measured = stage_table(_lengths(spark, sf).select("doc_id", "length"), "lengths")
+    return batches.trainer_order(measured, "doc_id", BATCH, SEED)
+
+
 def _padded(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.select(
         *keys, "bucket", "part", "batch", "width", joined(F.col("input_ids")).alias("ids"),
@@ -322,6 +349,18 @@ def run_plans(spark: SparkSession, sf: str) -> DataFrame:
     return run_plan(every, epochs=2)
 
 
+def run_plan_footers(spark: SparkSession, sf: str) -> DataFrame:
+    """Plans per language and per source from the footers of files that lie in folders of those names."""
+    docs, every = table(spark, sf, "documents").select("doc_id", "lang", "source"), None
+    for kind in ("lang", "source"):
+        path = new_scratch(spark, f"by-{kind}")
+        docs.withColumn("folder", F.col(kind)).write.partitionBy("folder").parquet(path)
+        name = F.regexp_extract("file", "/folder=([^/]*)/", 1)
+        rows = file_rows(spark, path).groupBy(F.lit(kind).alias("kind"), name.alias("dataset")).agg(F.sum("n_rows").alias("n_rows"))
+        every = rows if every is None else every.unionByName(rows)
+    return run_plan(every, epochs=2)
+
+
 def monitor_windows(spark: SparkSession, sf: str) -> DataFrame:
     steps = table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("run_name")).agg(
         F.count("*").alias("steps_total")
@@ -341,6 +380,15 @@ def perplexity(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(metrics.perplexity_with_total(losses, "label", "all"), "eval_loss", "perplexity")
 
 
+def perplexity_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from scores in four rows of 16 each, as a vocabulary that is too wide for one row comes."""
+    chunk = F.explode(F.transform(F.sequence(F.lit(0), F.lit(48), F.lit(16)), lambda i: F.struct(
+        i.alias("start"), F.slice("embedding", i + 1, 16).alias("scores"))))
+    chunks = table(spark, sf, "embeddings").select("vec_id", "label", chunk.alias("c")).select("vec_id", "label", "c.*")
+    losses = metrics.chunk_losses(chunks, ["vec_id"], "start", "scores", "label").withColumn("label", F.col("label").cast("string"))
+    return _rounded(metrics.perplexity_with_total(losses, "label", "all"), "eval_loss", "perplexity")
+
+
 def perplexity_shifted(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     sequence = F.floor(F.col("vec_id") / 16).alias("sequence")  # 16 positions each
@@ -505,6 +553,30 @@ def stream_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     return stops.unionByName(closing_stops(spark, checkpoint, TREND))
 
 
+def _drawn_images(docs: DataFrame) -> DataFrame:
+    """A small image of each document's bytes: bitmap, GIF or WEBP by its number; some are cut off, some claim too much."""
+    ink = F.substring(F.concat(F.encode(F.coalesce("text", F.lit("")), "utf-8"), F.lit(bytearray(96))), 1, 96)
+    more = F.when(F.col("doc_id") % 5 == 1, F.lit("04")).otherwise("02")
+
+    def raw(*parts):
+        return F.concat(*[F.unhex(F.lit(p)) if isinstance(p, str) else p for p in parts])
+    bitmap = raw("424D96000000000000003600000028000000", "10000000", F.unhex(more), "000000", "010018000000000060000000",
+                 "00" * 16, ink)
+    size = F.unhex(F.when(F.col("doc_id") % 5 == 1, F.lit("62")).otherwise("60"))
+    gif = raw("474946383961", "0200020000" "0000", "2C0000000002000200" "00" "02", size, ink, "00", "3B")
+    riff = raw("52494646", F.unhex(F.when(F.col("doc_id") % 5 == 1, F.lit("6F")).otherwise("6D")), "000000", "57454250",
+               "5650384C", "61000000", "2F", ink)
+    image = F.when(F.col("doc_id") % 3 == 0, bitmap).when(F.col("doc_id") % 3 == 1, gif).otherwise(riff)
+    cut = F.length(image) - F.when(F.col("doc_id") % 5 == 0, 1 + F.col("doc_id") % 7).otherwise(0)
+    return docs.select("doc_id", F.substring(image, F.lit(1), cut.cast("int")).alias("image"))
+
+
+def image_states(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = _drawn_images(table(spark, sf, "documents").select("doc_id", "text"))
+    found = images.image_states(drawn)
+    return found.select("doc_id", "format", F.col("problem").isNull().alias("sound"))
+
+
 QUERIES = {
     "sft_pairs": pairs,
     "sft_prompt": sft_prompt,
@@ -536,15 +608,20 @@ QUERIES = {
     "answer_only_labels": answer_only_labels,
     "nonempty_ids": nonempty_ids,
     "tokenized_export": tokenized_export,
+    "export_resumed": export_resumed,
     "length_grouped_batches": length_grouped_batches,
     "padded_batches": padded_batches,
     "padded_answer_only": padded_answer_only,
     "padding_efficiency": padding_efficiency,
     "flagship_batches": flagship_batches,
     "run_plan": run_plans,
+    "run_plan_footers": run_plan_footers,
     "monitor_windows": monitor_windows,
     "perplexity": perplexity,
     "perplexity_shifted": perplexity_shifted,
+    "perplexity_chunked": perplexity_chunked,
+    "trainer_order": trainer_order,
+    "image_states": image_states,
     "dedup_steps": dedup_steps,
     "dedup_ema": dedup_ema,
     "dedup_stop": dedup_stop,

@@ -11,7 +11,7 @@ from corpusloom.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {
-    "dedup_stop", "ema_slope", "mad_sigma", "monitor_trace", "plateau_worsening", "stop_decision", "stop_decision_calm", "stop_decision_planned", "stream_convergence",
+    "dedup_stop", "image_states", "mad_sigma", "monitor_trace", "plateau_worsening", "stop_decision", "stop_decision_calm", "stop_decision_planned", "stream_convergence",
 }
 
 
