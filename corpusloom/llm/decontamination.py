@@ -150,11 +150,36 @@ def seed_places(docs: DataFrame, items: DataFrame) -> DataFrame:
     return placed.join(wanted, "h", "left_semi")
 
 
+def rare_shingles(seeds: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """``item, h``: the shingles of each item of which a similar text has one at least, the rarest in the texts.
+
+    A similar text lacks no more than ``n - similarity * n`` of the item's ``n``
+    shingles, so it has one of any ``n - similarity * n + 1``.
+    """
+    frequency = seeds.groupBy("h").agg(F.count("*").alias("f"))
+    every = items.select(F.struct("item_id", "n").alias("item"), "n", "shingles", F.explode("shingles").alias("h"))
+    ranked = every.join(frequency, "h", "left").groupBy("item", "n", "shingles").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "h"))).alias("s"))
+    enough = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-9)).cast("int") + 1
+    return ranked.select("item", F.explode(F.slice("s", F.lit(1), enough)).alias("p")).select("item", "p.h").distinct()
+
+
 def seeded_windows(seeds: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
-    """``doc_id, text_hash, start, n``: windows with enough seeds of an item of that length."""
-    by_shingle = items.select("item_id", "n", F.explode(F.array_distinct("shingles")).alias("h"))
-    per_item = seeds.join(by_shingle, "h").groupBy("doc_id", "text_hash", "n_doc", "item_id", "n").agg(
-        F.sort_array(F.collect_set("pos")).alias("p"))
+    """``doc_id, text_hash, start, n``: windows with enough seeds of an item of that length.
+
+    Only items of which a text has a rare shingle are looked at in it, and a
+    seed meets its items as a list; so a phrase that many items and many texts
+    share makes no pairs of them.
+    """
+    owners = items.select(F.struct("item_id", "n").alias("item"), F.explode(F.array_distinct("shingles")).alias("h")).groupBy(
+        "h").agg(F.collect_set("item").alias("owners"))
+    likely = seeds.select("doc_id", "text_hash", "h").distinct().join(rare_shingles(seeds, items, similarity), "h").groupBy(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.collect_set("item").alias("likely"))
+    own = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+    met = seeds.join(likely, own).join(owners, "h").select(
+        "doc_id", "text_hash", "n_doc", "pos", F.explode(F.array_intersect("likely", "owners")).alias("item"))
+    per_item = met.groupBy("doc_id", "text_hash", "n_doc", "item").agg(F.sort_array(F.collect_set("pos")).alias("p")).select(
+        "doc_id", "text_hash", "n_doc", "item.*", "p")
     sized = per_item.withColumn("width", F.least("n", "n_doc"))
     counted = sized.withColumn("need", needed(F.col("width"), F.col("n"), similarity)).filter(
         (F.size("p") >= F.col("need")) & (F.col("width") >= F.col("need")))

@@ -235,7 +235,9 @@ def quality_verdicts(
     The base rule fails texts of under ten words and texts of which over a
     fifth lies in repeated five-word windows; empty and null texts fail it.
     The others are kept when the forest scores ``threshold`` or more.
-    Repeated rows get equal results, a null key gets its row too.
+    Texts of any length are counted whole.  Repeated rows get equal results, a
+    null key gets its row too.  Other columns are not looked at.  Without
+    labels the forest has no trees and scores one half; no rows give no rows.
     """
     rows = read_columns(docs, key, text)
     forest = train(rows, labels.select("doc_id", "quality"), sample_rows)

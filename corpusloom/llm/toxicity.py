@@ -117,8 +117,10 @@ def toxicity(
 ) -> DataFrame:
     """``doc_id, score`` for every row: how likely its text is labelled toxic, from 0 to 1.
 
-    Only the text enters a score.  Null and empty texts get the score of the
-    bias.  Repeated rows get equal scores.
+    Only the text enters a score, the whole of it at any length.  Null and
+    empty texts get the score of the bias.  Repeated rows get equal scores.
+    Other columns are not looked at.  Without labels every score is one half;
+    no rows give no rows.
     """
     rows = read_columns(docs, key, text)
     model = train(rows, labels.select("doc_id", "toxic"), sample_rows, bits)

@@ -113,6 +113,22 @@ def test_registered_query_and_pipeline_find_short_items_inside_longer_documents(
     assert sorted(r["doc_id"] for r in kept.collect()) == [6, 7]
 
 
+def test_a_phrase_that_many_items_and_texts_share(spark):
+    """Every item begins with one long phrase, and so do texts that hold none of them."""
+    rng = random.Random(12)
+    phrase = "which of the following statements about the matter is the only true one"
+    items = [(i, phrase + " " + " ".join(rng.choices(VOCABULARY, k=rng.randrange(10, 60)))) for i in range(25)]
+    docs = [(d, phrase + " " + " ".join(rng.choices(VOCABULARY, k=30)) + " " + phrase) for d in range(60)]
+    docs += [(100 + i, "x y " + text + " z") for i, text in items[::3]] + [(200, items[4][1].rsplit(" ", 1)[0]), (201, phrase)]
+    known = dc.item_table(spark.createDataFrame(items, ITEMS)).cache()
+    own = spark.createDataFrame([(d, t, d) for d, t in docs], DOCS + ", text_hash bigint")
+    windows = dc.seeded_windows(dc.seed_places(own, known).cache(), known, 0.8)
+    assert windows.select("doc_id").distinct().filter("doc_id < 100").count() == 0
+    want = brute(docs, items)
+    assert {d for d, *_ in want} >= {100 + i for i in range(0, 25, 3)}
+    assert found(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)) == want
+
+
 def test_runs_of_a_repeated_word_stay_within_the_radius(spark):
     rng = random.Random(5)
     texts = [[f"w{rng.randrange(10**6)}" for _ in range(132)] for _ in range(40)]
