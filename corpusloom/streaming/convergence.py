@@ -312,7 +312,7 @@ def micro_batch(
     """
     tables.snapshot(batch)
     columns = [f.split()[0] for f in LOG.split(", ")]
-    rows, waited = records.select(*columns).dropna(subset=["run_id", "step"]), tables.waiting(batch) if delay else None
+    rows, waited = records.select(*columns).dropna(subset=["run_id", "step"]), tables.waiting(batch)
     rows = rows if waited is None else rows.unionByName(waited)
     made, waiting = next_rows(rows, tables.before(batch), settings, delay, hot_rows=hot_rows)
     if waiting is not None:

@@ -463,6 +463,16 @@ def test_late_records_are_counted(spark):
     assert {r["run_id"]: r["late"] for r in cv.late_records(spark, state).collect()} == {1: 1, 2: 2}
 
 
+def test_a_call_without_delay_takes_what_waits(spark):
+    s = MonitorSettings(steps_total=50, window=8, slope_window=8, history=8, block_rows=16, hard_cap_step=20)
+    source, sink, state = (new_scratch(spark, f"w-{p}") for p in ("in", "out", "state"))
+    for part, delay in (([(1, step, step, 1.0, None) for step in range(1, 26)], 30), ([(1, 26, 26, 1.0, None)], 0)):
+        spark.createDataFrame(part, LOG).coalesce(1).write.mode("append").parquet(source)
+        follow_folder(spark, source, sink, state, s, delay=delay)
+    assert stops_in(spark, sink) == {1: (20, "hard_cap")}
+    assert cv.closing_stops(spark, state, s).count() == 0
+
+
 def test_versions_become_snapshots(spark, log, monkeypatch):
     monkeypatch.setattr(cv, "SNAPSHOT_EVERY", 2)
     s = VARIANTS[1]
