@@ -71,7 +71,8 @@ def trainer_order(
     keys = [key] if isinstance(key, str) else list(key)
     hashed = df.withColumn("_key", shuffle_key(seed, *keys))
     ranges = [F.substring("_key", 1, digits) for digits in levels]
-    numbered = number_in_group(hashed.withColumn("_all", F.lit(0)), "_all", ["_key", *keys], ranges, "_n")
+    # One group of all rows: every hash is as long.
+    numbered = number_in_group(hashed.withColumn("_all", F.length("_key")), "_all", ["_key", *keys], ranges, "_n")
     n_rows = df.count()
     size = max(1, min(n_rows // (batch_size * 4), batches)) * batch_size
     grouped = numbered.withColumn("_group", F.floor((F.col("_n") - 1) / size))
