@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from numpy.lib.stride_tricks import sliding_window_view
 
@@ -61,11 +63,12 @@ class OrderStatistics:
 
 
 def _spread_by_order(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
-    """Median absolute deviation of finite values without looking at whole windows.
+    """Median absolute deviation without looking at whole windows.
 
     Seen from the median, the values below it and those above it are two
     rising rows of distances.  The middle distance of both together takes some
-    number from the lower row, which is found by bisection.
+    number from the lower row, which is found by bisection.  Around an
+    infinite median the middle distance is undefined.
     """
     end = np.arange(len(series) - fresh + 1, len(series) + 1)
     start = np.maximum(end - size, 0)
@@ -89,7 +92,17 @@ def _spread_by_order(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
     rest = place + 1 - low
     first = np.maximum(np.where(low > 0, below(low - 1), -np.inf), np.where(rest > 0, above(rest - 1), -np.inf))
     second = np.minimum(np.where(low < half, below(low), np.inf), np.where(rest < count - half, above(rest), np.inf))
-    return np.where(count % 2 == 1, first, (first + second) / 2)
+    return np.where(np.isfinite(middle), np.where(count % 2 == 1, first, (first + second) / 2), np.nan)
+
+
+SLICE = 1 << 20   # values of windows that are looked at together
+
+
+def _in_slices(work: Callable[[np.ndarray, np.ndarray], np.ndarray], series: np.ndarray, fresh: int, size: int) -> np.ndarray:
+    """``work`` on the windows of some records at a time, so no more than ``SLICE`` values stand side by side."""
+    windows, counts = _windows(series, fresh, size)
+    some = max(1, SLICE // size)
+    return np.concatenate([work(windows[at: at + some], counts[at: at + some]) for at in range(0, fresh, some)])
 
 
 def sigma_of_last(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
@@ -101,22 +114,87 @@ def sigma_of_last(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
     """
     if not fresh:
         return np.empty(0)
-    if size >= TREE_FROM and np.isfinite(series).all():
-        counts = np.minimum(size, np.arange(len(series) - fresh + 1, len(series) + 1))
-        return np.where(counts < 3, 0.0, fv.MAD_SCALE * _spread_by_order(series, fresh, size))
-    windows, counts = _windows(series, fresh, size)
+    if size < TREE_FROM:
+        return _in_slices(_sorted_sigma, series, fresh, size)
+    end = np.arange(len(series) - fresh + 1, len(series) + 1)
+    start = np.maximum(end - size, 0)
+    undefined = np.concatenate(([0], np.cumsum(np.isnan(series))))
+    # An undefined value has the last rank, so it changes only windows that hold it.
+    with np.errstate(invalid="ignore"):
+        spread = fv.MAD_SCALE * _spread_by_order(series, fresh, size)
+    return np.where(end - start < 3, 0.0, np.where(undefined[end] > undefined[start], np.nan, spread))
+
+
+def _sorted_sigma(windows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     spread = fv.MAD_SCALE * _middle(np.abs(windows - _middle(windows, counts)[:, None]), counts)
-    broken = np.isnan(windows).sum(axis=1) > size - counts
+    broken = np.isnan(windows).sum(axis=1) > windows.shape[1] - counts
     return np.where(counts < 3, 0.0, np.where(broken, np.nan, spread))
 
 
+SUMS_FROM = 448   # window from which the slope comes from running sums
+
+
 def slope_of_last(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
-    """Least-squares slope against the index; 0 below eight values."""
+    """Least-squares slope against the index; 0 below eight values.
+
+    The values of a short window are multiplied by their places, each window
+    anew; a long one is the difference of two running sums.
+    """
     if not fresh:
         return np.empty(0)
-    windows, counts = _windows(series, fresh, size)
+    if size >= SUMS_FROM:
+        return _slope_by_sums(series, fresh, size)
+    return _in_slices(_fitted_slope, series, fresh, size)
+
+
+def _fitted_slope(windows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    size = windows.shape[1]
     place = np.arange(size) - (size - counts)[:, None]
     centred = np.where(place >= 0, place - (counts[:, None] - 1) / 2, 0.0)
     products = np.where(place >= 0, windows, 0.0) * centred
     squares = np.maximum(counts * (counts ** 2.0 - 1) / 12, 1.0)
     return np.where(counts < 8, 0.0, products.sum(axis=1) / squares)
+
+
+def _slope_by_sums(series: np.ndarray, fresh: int, size: int) -> np.ndarray:
+    """The slope in a number of steps that does not grow with the window.
+
+    Borders stand every ``size`` records, so a window holds one.  Sums of the
+    values, and of the values times their place, run from each border both
+    ways; a window is one sum to the left and one to the right, and no digits
+    are lost to what lies outside it.
+    """
+    end = np.arange(len(series) - fresh + 1, len(series) + 1)
+    start = np.maximum(end - size, 0)
+    count, sound = end - start, np.isfinite(series)
+    rows = -(-len(series) // size)
+    values = np.zeros((rows, size))
+    values.flat[:len(series)] = np.where(sound, series, 0.0)
+    heads, place = values[:, :1], np.arange(size)
+    after = values - heads
+    before = values[:-1] - heads[1:]      # of a border: the records of the row above it
+    row = (end - 1) // size
+    border = row * size
+
+    def both(after: np.ndarray, before: np.ndarray) -> np.ndarray:
+        right, left = np.cumsum(after, axis=1), np.cumsum(before[:, ::-1], axis=1)[:, ::-1]
+        inside = start < border
+        made = right[row, end - 1 - border]
+        made[inside] += left[row[inside] - 1, start[inside] % size]
+        return made
+    total, moment = both(after, before), both(after * place, before * (place - size))
+    middle = (start + end - 1) / 2 - border
+    squares = np.maximum(count * (count ** 2.0 - 1) / 12, 1.0)
+    slope = (moment - middle * total) / squares
+    return np.where(count < 8, 0.0, slope if sound.all() else _with_wild(slope, series, start, end))
+
+
+def _with_wild(slope: np.ndarray, series: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Slopes of windows with infinite or undefined values, as their products would add up."""
+    lost, up, down = (np.concatenate(([0], np.cumsum(hit))) for hit in (np.isnan(series), series == np.inf, series == -np.inf))
+    low, high = (start + end) // 2, (start + end + 1) // 2     # a place in the middle, of weight 0, lies between them
+    rising = up[end] - up[high] + down[low] - down[start]
+    falling = down[end] - down[high] + up[low] - up[start]
+    undefined = lost[end] - lost[start] + up[high] - up[low] + down[high] - down[low]
+    slope = np.where(rising > 0, np.inf, np.where(falling > 0, -np.inf, slope))
+    return np.where((undefined > 0) | ((rising > 0) & (falling > 0)), np.nan, slope)

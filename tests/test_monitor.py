@@ -570,3 +570,56 @@ def test_order_statistics_of_any_stretch():
         start, end, k = map(np.array, zip(*spans))
         want = [sorted(series[a:b])[i] for a, b, i in spans]
         assert OrderStatistics(series).smallest(start, end, k).tolist() == want
+
+
+def _windows_both_ways(monkeypatch, series, fresh, size):
+    from corpusloom.functions import windows
+    found = []
+    for bound in (1, 10 ** 9):
+        monkeypatch.setattr(windows, "TREE_FROM", bound)
+        monkeypatch.setattr(windows, "SUMS_FROM", bound)
+        with np.errstate(invalid="ignore"):
+            found.append((windows.sigma_of_last(series, fresh, size), windows.slope_of_last(series, fresh, size)))
+    return found
+
+
+@pytest.mark.parametrize("size", [1, 7, 8, 33, 96, 250])
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+def test_slope_by_sums_equals_fitted_windows(monkeypatch, size, offset):
+    series = offset + np.random.default_rng(size).standard_normal(301).cumsum()
+    for fresh in (301, 100, 1):
+        (_, by_sums), (_, fitted) = _windows_both_ways(monkeypatch, series, fresh, size)
+        assert by_sums == pytest.approx(fitted, abs=1e-12 * max(1, offset))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_wild_values_in_long_windows(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    series, size = rng.standard_normal(90), int(rng.integers(8, 40))
+    if seed % 2:
+        series[rng.integers(90):] = rng.choice([np.inf, -np.inf, np.nan])
+    else:
+        series[rng.integers(0, 90, 4)] = rng.choice([np.inf, -np.inf, np.nan], 4)
+    (sigma, slope), (want_sigma, want_slope) = _windows_both_ways(monkeypatch, series, 80, size)
+    assert np.array_equal(sigma, want_sigma, equal_nan=True)
+    finite = np.isfinite(want_slope)
+    assert slope[finite] == pytest.approx(want_slope[finite], abs=1e-12)
+    assert np.array_equal(slope[~finite], want_slope[~finite], equal_nan=True)
+
+
+@pytest.mark.parametrize("size,fresh,wild", [(13500, 18000, False), (13500, 18000, True), (400, 60000, False)])
+def test_windows_take_no_room_of_their_own(size, fresh, wild):
+    import tracemalloc
+
+    from corpusloom.functions import windows
+    series = np.random.default_rng(3).standard_normal(fresh + size)
+    if wild:
+        series[-fresh // 2:] = np.nan
+    tracemalloc.start()
+    with np.errstate(invalid="ignore"):
+        windows.slope_of_last(series, fresh, size)
+        if wild:
+            windows.sigma_of_last(series, fresh, size)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6
