@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from corpusloom import fixed_values as fv
-from corpusloom.functions.text import words
+from corpusloom.functions.word_lists import token_counts
+from corpusloom.session import ship_package
 
 POINTS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 
 def token_length(text: Column, n_special: int = 1) -> Column:
-    """Untruncated token count including special tokens."""
-    return (F.size(words(text)) + F.lit(n_special)).cast("int")
+    """Untruncated token count including special tokens, counted in Python on Arrow batches."""
+    def work(texts: pa.Array) -> pa.Array:
+        return token_counts(texts, n_special)
+    ship_package(SparkSession.active())
+    return F.arrow_udf(work, IntegerType())(text)
 
 
 def length_percentiles(

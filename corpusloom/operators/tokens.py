@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from corpusloom import fixed_values as fv
 from corpusloom.functions.labels import IDS, ones_mask
-from corpusloom.functions.text import add_once, words
+from corpusloom.functions.text import add_once
+from corpusloom.functions.word_lists import coded_texts, count_tokens
+from corpusloom.session import ship_package
 
 # Reserved tokens take the first ids, in this order.
 PAD, BOS, EOS, UNK = 0, 1, 2, 3
@@ -19,6 +23,7 @@ RESERVED = [
 ]
 MOST_TOKENS = 1_000_000
 ASSISTANT_ID = RESERVED.index(fv.ASSISTANT_MARK)
+CODED = StructType([StructField("input_ids", ArrayType(LongType())), StructField("length", IntegerType())])
 
 
 def pad_token(pad: int | None, eos: int | None, unk: int | None) -> int | None:
@@ -29,12 +34,13 @@ def pad_token(pad: int | None, eos: int | None, unk: int | None) -> int | None:
 def top_vocabulary(df: DataFrame, text: Column, k: int) -> DataFrame:
     """The ``k`` most frequent tokens with their counts and ids.
 
-    Counting combines on the map side; the ids are ranks over at most ``k``
-    rows, ties in token order.
+    Tasks count in Python what their Arrow batches hold, so a token leaves a
+    task a few times; the ids are ranks over at most ``k`` rows, ties in token
+    order.
     """
-    counted = df.select(F.explode(words(text)).alias("token")).groupBy("token").agg(
-        F.count("*").alias("n")
-    )
+    ship_package(df.sparkSession)
+    counted = df.select(text.cast("string").alias("text")).mapInArrow(count_tokens, "token string, n bigint").groupBy(
+        "token").agg(F.sum("n").alias("n"))
     top = counted.filter(~F.col("token").isin(RESERVED)).orderBy(F.desc("n"), "token").limit(k)
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
     return top.select("token", "n", (rank + F.lit(len(RESERVED) - 1)).cast("bigint").alias("id"))
@@ -114,6 +120,33 @@ def encode(
     })
 
 
+def encode_text(
+    df: DataFrame, text: Column, vocabulary: DataFrame, k: int, cap: Column | int,
+    add_bos: bool = True,
+) -> DataFrame:
+    """The same as ``encode`` for the words of a text, which Python splits and looks up on Arrow batches.
+
+    The vocabulary, at most ``k`` tokens, goes through the driver to the tasks
+    while the query is built.
+    """
+    if not 0 <= k <= MOST_TOKENS:
+        raise ValueError(f"k must lie between 0 and {MOST_TOKENS}")
+    known = dict(zip(RESERVED, range(len(RESERVED)))) | {
+        r["token"]: r["id"] for r in vocabulary.select("token", "id").collect()}
+    begin = [BOS] if add_bos else []
+    cap = cap if isinstance(cap, Column) else F.lit(cap)
+    room = F.greatest(cap - len(begin), F.lit(0)).cast("int")
+
+    def work(texts: pa.Array, rooms: pa.Array) -> pa.Array:
+        return coded_texts(texts, rooms, known, UNK, begin)
+    ship_package(df.sparkSession)
+    # Not deterministic by name only: so a later filter on the ids doesn't run it once more.
+    coded = F.arrow_udf(work, CODED).asNondeterministic()
+    return df.select(*df.columns, coded(text, room).alias("_coded")).select(
+        *df.columns, F.col("_coded.input_ids").cast(IDS).alias("input_ids"), F.col("_coded.length").alias("length"),
+    ).withColumns({"attention_mask": ones_mask(F.col("input_ids")), "labels": F.col("input_ids")})
+
+
 def keep_encoded(df: DataFrame) -> DataFrame:
     """Drop rows that got no ids."""
     return df.filter(F.size("input_ids") > 0)

@@ -9,7 +9,7 @@ from corpusloom import fixed_values as fv
 from corpusloom.functions import plan_math as pm
 from corpusloom.functions.labels import answer_only
 from corpusloom.functions.text import (
-    add_once, clean_text, drop_tags, keep_nonblank, strip, words,
+    add_once, clean_text, drop_tags, keep_nonblank, strip,
 )
 from corpusloom.operators import batches, lengths, metrics, monitor, ordering, prompts, roles, tokens
 from corpusloom.plans.run_plan import run_plan
@@ -201,7 +201,7 @@ def _encoded(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as ids, cut at the derived cap; staged, since batching reads them more than once."""
     docs, cap = _measured(spread(table(spark, sf, "documents").select("doc_id", "text")))
     vocabulary = tokens.top_vocabulary(docs, F.col("text"), VOCABULARY)
-    return stage_table(tokens.encode(docs, words(F.col("text")), vocabulary, VOCABULARY, cap).drop("text"), "coded")
+    return stage_table(tokens.encode_text(docs, F.col("text"), vocabulary, VOCABULARY, cap).drop("text"), "coded")
 
 
 def tokenize_truncate(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,7 +248,7 @@ def _encoded_pairs(spark: SparkSession, sf: str) -> DataFrame:
     prepared, cap = _measured(pairs(spark, sf).select("conv_id", "turn", tokens.split_marks(text).alias("text")))
     turns = table(spark, sf, "conversations")
     vocabulary = tokens.top_vocabulary(turns, F.col("text"), VOCABULARY)
-    coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, cap)
+    coded = tokens.encode_text(prepared, F.col("text"), vocabulary, VOCABULARY, cap)
     return stage_table(coded.drop("text").withColumn(
         "labels", answer_only(F.col("input_ids"), tokens.ASSISTANT_ID)
     ), "coded")
@@ -265,7 +265,7 @@ def nonempty_ids(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = clean_text(F.col("text"), "math", denylist=fv.DENYLIST + EXTRA_DENIED)
     prepared, cap = _measured(add_once(docs, text=cleaned), n_special=0)
     vocabulary = tokens.top_vocabulary(docs, F.col("text"), VOCABULARY)
-    coded = tokens.encode(prepared, words(F.col("text")), vocabulary, VOCABULARY, cap, add_bos=False)
+    coded = tokens.encode_text(prepared, F.col("text"), vocabulary, VOCABULARY, cap, add_bos=False)
     return tokens.encoding_report(coded, "source")
 
 
@@ -322,7 +322,7 @@ def training_batches(docs: DataFrame, key: str, k: int = VOCABULARY, mode: str =
     staged = stage_table(measured, "prepared")
     cap = lengths.cap_value(staged)
     vocabulary = tokens.top_vocabulary(staged, F.col("text"), k)
-    coded = tokens.encode(staged.drop("length"), words(F.col("text")), vocabulary, k, cap)
+    coded = tokens.encode_text(staged.drop("length"), F.col("text"), vocabulary, k, cap)
     encoded = stage_table(tokens.keep_encoded(coded.drop("text")), "encoded")
     return batches.padded_batches(batches.length_batches(encoded, key, BATCH))
 

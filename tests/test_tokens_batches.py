@@ -183,3 +183,51 @@ def test_trainer_order(spark, n, batch, levels):
 
 def test_trainer_order_of_no_rows(spark):
     assert batches.trainer_order(spark.createDataFrame([], "doc_id long, length long"), "doc_id", 4, 7).count() == 0
+
+
+@pytest.mark.parametrize("k,cap,add_bos", [(3, 5, True), (100, 1000, True), (5, 1, True), (5, 0, True), (4, 3, False), (0, 9, False)])
+def test_texts_are_encoded_as_their_words(spark, k, cap, add_bos):
+    rows = spark.createDataFrame([*enumerate(TEXTS), (90, None), (91, "<|user|> the"), (92, " \u2028\x1c ")], "doc_id long, text string")
+    vocab = tokens.top_vocabulary(rows, F.col("text"), k)
+    want = tokens.encode(rows, words(F.col("text")), vocab, k, cap, add_bos)
+    made = tokens.encode_text(rows, F.col("text"), vocab, k, cap, add_bos)
+    assert made.schema.simpleString() == want.schema.simpleString()
+    assert sorted(made.collect(), key=lambda r: r.doc_id) == sorted(want.collect(), key=lambda r: r.doc_id)
+    assert tokens.keep_encoded(made).count() == tokens.keep_encoded(want).count()
+
+
+def test_bytes_that_are_no_text(spark):
+    rows = spark.createDataFrame([(bytearray(b"a \xff\xfe b \xff\xfe"),)], "raw binary").select(F.col("raw").cast("string").alias("text"))
+    vocab = tokens.top_vocabulary(rows, F.col("text"), 9)
+    assert {r.token: r.n for r in vocab.collect()} == {"a": 1, "b": 1, "\ufffd\ufffd": 2}
+    ids = tokens.encode_text(rows, F.col("text"), vocab, 9, 99).first()
+    assert ids.length == 5 == rows.select(lengths.token_length(F.col("text"))).first()[0] and tokens.UNK not in ids.input_ids
+
+
+def test_counts_that_are_passed_on_add_up(spark, docs, monkeypatch):
+    import pyarrow as pa
+
+    from corpusloom.functions import word_lists
+    monkeypatch.setattr(word_lists, "MOST_COUNTED", 2)
+    found, batch = Counter(), pa.RecordBatch.from_arrays([pa.array([*TEXTS, None])], ["text"])
+    passed = list(word_lists.count_tokens(iter([batch, batch])))
+    for part in passed:
+        for row in part.to_pylist():
+            found[row["token"]] += row["n"]
+    assert len(passed) > 2 and found == Counter({w: 2 * n for w, n in Counter(w for t in TEXTS for w in t.split()).items()})
+
+
+@pytest.mark.parametrize("name", ["causal_labels", "tokenized_export", "padded_batches", "padding_efficiency"])
+def test_no_word_is_handled_row_by_row(spark, name, monkeypatch, tmp_path):
+    """Splitting, counting and lookup in Spark's lambdas took most of the time of these queries."""
+    from corpusloom.plans import queries
+    docs = spark.createDataFrame([(i, TEXTS[i % 5], "en", "s") for i in range(40)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plans, stage = [], queries.stage_table
+
+    def staged(df, kind):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, kind)
+    monkeypatch.setattr(queries, "stage_table", staged)
+    queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert len(plans) == 2 and not any("lambdafunction" in p or "split(" in p for p in plans)
