@@ -623,3 +623,23 @@ def test_windows_take_no_room_of_their_own(size, fresh, wild):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 80e6
+
+
+def test_a_long_slice_of_a_stream_takes_no_room_for_its_windows():
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    size = 12_000
+    records = {"step": np.arange(size), "arrival": np.arange(size), "loss": 3 + rng.standard_normal(size), "lr": np.zeros(size),
+               "loss_seen": np.ones(size, dtype=bool), "lr_seen": np.zeros(size, dtype=bool)}
+    s = MonitorSettings(steps_total=size, warmup=20, window=6000, slope_window=4500, history=2000)
+    tracemalloc.start()
+    whole, stop = advance(s, START, records)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6
+    state = START
+    for at in range(0, size, 5000):
+        state, found = advance(s, state, {name: values[at: at + 5000] for name, values in records.items()})
+        if found:
+            break
+    assert found == stop and (stop or whole[:2] == state[:2])
