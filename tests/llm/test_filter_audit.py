@@ -2,6 +2,7 @@ import random
 import re
 from itertools import permutations
 
+import numpy as np
 import pytest
 
 from corpusloom.llm import filter_audit, transducer
