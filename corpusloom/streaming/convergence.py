@@ -271,6 +271,16 @@ def _by_blocks(records: DataFrame, held: DataFrame, settings: MonitorSettings) -
         F.lit(None).cast("bigint").alias("seen"), F.col("stop.stop_step").alias("stop_step"), F.col("stop.reason").alias("reason"))
 
 
+def _rest(records: DataFrame, stopped: DataFrame) -> DataFrame:
+    """New rows of runs that have stopped: their records are counted, and not looked at."""
+    placed = records.join(stopped.select("run_id", "last_step"), "run_id")
+    late = placed.filter("step <= last_step").groupBy("run_id").agg(F.count("*").alias("_late"))
+    made = {
+        "late": F.col("late") + F.coalesce("_late", F.lit(0)), "seen": F.lit(None).cast("bigint"),
+        "stop_step": F.lit(None).cast("bigint"), "reason": F.lit(None).cast("string")}
+    return stopped.join(late, "run_id", "left").withColumns(made).select(*[f.split()[0] for f in RUN.split(", ")])
+
+
 def next_rows(
     records: DataFrame, known: DataFrame, settings: MonitorSettings, delay: int = 0, close: bool = False, hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -292,14 +302,18 @@ def next_rows(
         columns = [f.split()[0] for f in LOG.split(", ")]
         waiting = placed.filter(~ready).select(*columns)
         records = placed.filter(ready).select(*columns)
-    # No more than the records of a micro-batch over ``hot_rows``.
-    over = held.filter((F.col("n_rows") > hot_rows) & ~F.col("stopped")).select("run_id")
-    hot = [r["run_id"] for r in over.collect()] if many else []
-    if not hot:
+    if not many:
         return _advanced(records, held, settings), waiting
+    live = held.filter(~F.col("stopped"))
+    # No more than the records of a micro-batch over ``hot_rows``.
+    hot = [r["run_id"] for r in live.filter(F.col("n_rows") > hot_rows).select("run_id").collect()]
     is_hot = F.coalesce(F.col("run_id").isin(hot), F.lit(False))
-    cold = _advanced(records.filter(~is_hot), held.filter(~is_hot), settings)
-    return cold.unionByName(_by_blocks(records.filter(is_hot), held.filter(is_hot), settings)), waiting
+    # Runs that have stopped or have no settings may have any number of records.
+    few = records.filter(~is_hot).join(live.select("run_id"), "run_id", "left_semi")
+    made = _advanced(few, live.filter(~is_hot), settings).unionByName(_rest(records, held.filter("stopped")))
+    if hot:
+        made = made.unionByName(_by_blocks(records.filter(is_hot), live.filter(is_hot), settings))
+    return made, waiting
 
 
 def micro_batch(

@@ -473,6 +473,33 @@ def test_a_call_without_delay_takes_what_waits(spark):
     assert cv.closing_stops(spark, state, s).count() == 0
 
 
+def test_records_of_stopped_runs_meet_in_no_task(spark, monkeypatch):
+    """Runs that have stopped, or have no settings, may send any number of records; the stopped ones' are counted."""
+    fields = monitor.PER_RUN
+    own = spark.createDataFrame([(run, 200, 5, 40, 16, 12, 8) for run in (1, 2)], "run_id long, " + ", ".join(f"{f} long" for f in fields))
+    s = MonitorSettings(runs=own, window=16, slope_window=12, history=8, block_rows=16)
+
+    def records(sizes):
+        rows = [(run, step, step, 2.0 + run / step, None) for run, (low, high) in sizes.items() for step in range(low, high)]
+        return spark.createDataFrame(rows, LOG)
+    known, _ = cv.next_rows(records({1: (1, 45), 2: (1, 20), 3: (1, 9)}), spark.createDataFrame([], cv.RUN), s)
+    known = stage_table(known, "known")
+    assert {r["run_id"]: r["stop_step"] for r in known.collect()} == {1: 40, 2: None}
+    later = records({1: (10, 400), 2: (20, 35), 3: (9, 500)})
+    want, _ = cv.next_rows(later, known, s, hot_rows=10_000)
+    want = sorted(map(str, want.collect()))
+    seen, advanced = {}, cv._advanced
+
+    def spied(rows, *rest):
+        seen.update({r["run_id"]: r["count"] for r in rows.groupBy("run_id").count().collect()})
+        return advanced(rows, *rest)
+    monkeypatch.setattr(cv, "_advanced", spied)
+    made, _ = cv.next_rows(later, known, s, hot_rows=100)
+    assert sorted(map(str, made.collect())) == want
+    assert {r["run_id"]: r["late"] for r in made.collect()} == {1: 30, 2: 0}
+    assert seen == {2: 15}
+
+
 def test_versions_become_snapshots(spark, log, monkeypatch):
     monkeypatch.setattr(cv, "SNAPSHOT_EVERY", 2)
     s = VARIANTS[1]
