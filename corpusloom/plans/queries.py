@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from corpusloom.sources.export import export_tokens, read_tokens, write_tokens
 from corpusloom.sources.footers import file_rows
 from corpusloom.sources.ledger import new_names
 from corpusloom.sources.tables import TEST_TABLES, load_tables
-from corpusloom.streaming.convergence import closing_stops, follow_folder
+from corpusloom.streaming.convergence import BYTES_PER_BATCH, closing_stops, follow_folder
 
 SEED = 7
 VOCABULARY = 2000
@@ -521,13 +523,32 @@ def stream_convergence(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(stage_table(_log(spark, sf), "log"), TREND, [0, 20, 40, 60, None])
 
 
+RECORD_BYTES = 40   # five columns of a log, at most
+
+
+def _slices(rows: DataFrame, by: str, edges: list, bytes_per_batch: int = BYTES_PER_BATCH) -> Iterator[DataFrame]:
+    """Rows from edge to edge.
+
+    The files of a slice that does not fit a micro-batch would be taken in any
+    order, and records behind those of an earlier one left out.  So such a
+    slice arrives in parts, cut at quantiles.
+    """
+    for low, high in zip(edges, edges[1:]):
+        part = rows.filter(F.col(by) > low)
+        part = part if high is None else part.filter(F.col(by) <= high)
+        n = -(-part.count() * RECORD_BYTES // bytes_per_batch)
+        cuts = part.approxQuantile(by, [i / n for i in range(1, n)], 0.001) if n > 1 else []
+        inner = [low, *sorted({int(cut) for cut in cuts}), None]
+        for after, last in zip(inner, inner[1:]):
+            piece = part.filter(F.col(by) > after)
+            yield piece if last is None else piece.filter(F.col(by) <= last)
+
+
 def _streamed(log: DataFrame, settings: monitor.MonitorSettings, edges: list, **options) -> DataFrame:
     """The stops of a log that arrives in slices of steps, and of what waits at its end."""
     spark = log.sparkSession
     source, sink, checkpoint = (new_scratch(spark, f"stops-{p}") for p in ("in", "out", "state"))
-    for low, high in zip(edges, edges[1:]):
-        part = log.filter(F.col("step") > low)
-        part = part if high is None else part.filter(F.col("step") <= high)
+    for part in _slices(log, "step", edges, options.get("bytes_per_batch", BYTES_PER_BATCH)):
         part.write.mode("append").parquet(source)
         follow_folder(spark, source, sink, checkpoint, settings, **options)
     return spark.read.parquet(sink).select("run_id", "stop_step", "reason")
@@ -546,8 +567,8 @@ def stream_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     """
     log = stage_table(_log(spark, sf).withColumn("due", F.col("step") + F.pmod(F.col("arrival") * 7, F.lit(10))), "log")
     source, sink, checkpoint = (new_scratch(spark, f"late-{p}") for p in ("in", "out", "state"))
-    for low, high in ((0, 35), (35, 1 << 60)):
-        log.filter((F.col("due") > low) & (F.col("due") <= high)).drop("due").write.mode("append").parquet(source)
+    for part in _slices(log, "due", [0, 35, 1 << 60]):
+        part.drop("due").write.mode("append").parquet(source)
         follow_folder(spark, source, sink, checkpoint, TREND, delay=10)
     stops = spark.read.parquet(sink).select("run_id", "stop_step", "reason")
     return stops.unionByName(closing_stops(spark, checkpoint, TREND))

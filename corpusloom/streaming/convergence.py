@@ -39,6 +39,7 @@ START = (0, -1, None, float("inf"), float("inf"), 0, 0.0, False, [], float("inf"
 # A run's row: its state, the highest step seen, records that came too late, and the stop of this micro-batch.
 RUN = f"run_id bigint, {STATE}, top_step bigint, late bigint, seen bigint, stop_step bigint, reason string"
 SNAPSHOT_EVERY = 16
+BYTES_PER_BATCH = 128 << 20
 HOT_ROWS = 100_000        # records of one run in a micro-batch from which it is cut into blocks
 
 
@@ -340,7 +341,7 @@ def micro_batch(
 
 def follow_folder(
     spark: SparkSession, source: str, sink: str, checkpoint: str, settings: MonitorSettings,
-    bytes_per_batch: int = 128 << 20, delay: int = 0, hot_rows: int = HOT_ROWS, keep_days: float = 7.0,
+    bytes_per_batch: int = BYTES_PER_BATCH, delay: int = 0, hot_rows: int = HOT_ROWS, keep_days: float = 7.0,
 ) -> None:
     """Process what is new in a folder of Parquet log files, then return.
 

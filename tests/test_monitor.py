@@ -500,6 +500,16 @@ def test_records_of_stopped_runs_meet_in_no_task(spark, monkeypatch):
     assert seen == {2: 15}
 
 
+def test_a_slice_longer_than_a_micro_batch_arrives_in_order(spark):
+    from corpusloom.plans.queries import _streamed
+    log = spark.range(8000).select(
+        (F.col("id") % 8).alias("run_id"), (F.floor(F.col("id") / 8) + 1).alias("step"), F.col("id").alias("arrival"),
+        (F.lit(2.0) + F.rand(4)).alias("loss"), F.lit(None).cast("double").alias("lr")).repartition(4)
+    log, s = stage_table(log, "slice"), MonitorSettings(steps_total=1000, warmup=900, window=16, slope_window=12, hard_cap_step=700)
+    found = _streamed(log, s, [0, None], bytes_per_batch=100_000)
+    assert stops_of(found) == {run: (700, "hard_cap") for run in range(8)}
+
+
 def test_versions_become_snapshots(spark, log, monkeypatch):
     monkeypatch.setattr(cv, "SNAPSHOT_EVERY", 2)
     s = VARIANTS[1]
