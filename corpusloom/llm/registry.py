@@ -50,7 +50,7 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    found = suffix_dedup.repeats_removed(table(spark, sf, "documents"), span=400)
+    found = suffix_dedup.repeats_removed(table(spark, sf, "documents"), span=400, words=50)
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         starts, ends = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -58,8 +58,10 @@ def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
             doc_id=batch.column(0), n_bytes=batch.column(1),
             n_removed=pa.array([sum(e) - sum(s) for s, e in zip(starts, ends)], pa.int64()),
             n_spans=pa.array([len(s) for s in starts], pa.int64()),
-            kept_sha256=[hashlib.sha256(kept).hexdigest() for kept in batch.column(4).to_pylist()])
-    return map_rows(found, digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+            kept_sha256=[hashlib.sha256(kept).hexdigest() for kept in batch.column(4).to_pylist()],
+            n_repeated_words=batch.column(5))
+    return map_rows(found, digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
+                    "n_repeated_words bigint")
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,8 +21,8 @@ share their minimizer, so a record holds a run of windows.
   once, under 128-bit digests, which are counted with partial sums.
 
 Windows can be measured in words as well: every word then becomes a code of
-eight bytes, the same steps run over the codes, and only windows that begin at
-a code count.  Codes are hashes, so a word is told apart from another with
+eight bytes, the same steps run over the codes, and only windows and seeds that
+begin at a code (``step`` bytes apart) are looked at.  Codes are hashes, so a word is told apart from another with
 64 bits; white space between words makes no difference.
 """
 
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import WHITE, fresh, map_rows, read_columns, ready, record, sorted_groups, texts_as_bytes
-from corpusloom.session import stage_table
+from corpusloom.session import scratch_folder, stage_table
 
 SPAN = 400
 SEED_BYTES = 100
@@ -49,6 +49,7 @@ POSITION_BITS = 22                    # places of a minimizer inside a part
 PART_BYTES = (1 << POSITION_BITS) - SPAN
 CODE_BYTES = 8                        # of a word, where windows are measured in words
 BYTES, WORDS = "bytes", "words"
+STEPS = {BYTES: 1, WORDS: CODE_BYTES}  # from one window start to the next
 
 RUNS = "minimizer bigint, doc_id {}, text_hash bigint, first bigint, last bigint, at bigint, high bigint, low bigint"
 PIECES = (
@@ -78,10 +79,11 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def window_hashes(prefix: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every window of ``length`` bytes, alike wherever it stands."""
+def window_hashes(prefix: np.ndarray, length: int, step: int = 1) -> np.ndarray:
+    """Hash of every window of ``length`` bytes, ``step`` bytes apart, alike wherever it stands."""
     _, down = powers(len(prefix))
-    return (prefix[length:] - prefix[: len(prefix) - length]) * down[: len(prefix) - length]
+    begins = slice(0, len(prefix) - length, step)
+    return (prefix[length::step] - prefix[begins]) * down[begins]
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -100,18 +102,23 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1: n])
 
 
-def minimizer_runs(text: bytes, span: int, seed: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """``minimizer, first, last, at``: runs of window starts that share the minimizer at ``at``."""
-    for offset in range(0, max(len(text) - span + 1, 0), PART_BYTES):
-        data = np.frombuffer(text[offset: offset + PART_BYTES + span - 1], dtype=np.uint8)
-        hashes = mixed(window_hashes(prefix_hashes(data), seed))
+def minimizer_runs(text: bytes, span: int, seed: int, step: int = 1) -> Iterator[tuple[np.ndarray, ...]]:
+    """``minimizer, first, last, at``: runs of window starts that share the minimizer at ``at``.
+
+    Windows and seeds start at multiples of ``step``, of which ``span`` and the
+    length of the text are multiples too.
+    """
+    size = PART_BYTES // step * step
+    for offset in range(0, max(len(text) - span + 1, 0), size):
+        data = np.frombuffer(text[offset: offset + size + span - step], dtype=np.uint8)
+        hashes = mixed(window_hashes(prefix_hashes(data), seed, step))
         low = np.uint64(POSITION_BITS)
         keyed = (hashes >> low << low) | np.arange(len(hashes), dtype=np.uint64)  # the leftmost of equals
-        place = (sliding_least(keyed, span - seed + 1) & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+        place = (sliding_least(keyed, (span - seed) // step + 1) & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
         first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
         last = np.append(first[1:] - 1, len(place) - 1)
         at = place[first]
-        yield hashes[at].view(np.int64), first + offset, last + offset, at + offset
+        yield hashes[at].view(np.int64), first * step + offset, last * step + offset, at * step + offset
 
 
 _gap = np.zeros(256, dtype=bool)
@@ -159,7 +166,7 @@ def document_runs(docs: DataFrame, span: int, seed: int, unit: str = BYTES) -> D
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts, digests, owner = [], [], []
         for row, text in enumerate(units_of(batch.column(1), unit)):
-            for minimizer, first, last, at in minimizer_runs(text, span, seed):
+            for minimizer, first, last, at in minimizer_runs(text, span, seed, STEPS[unit]):
                 parts.append((minimizer, first, last, at))
                 digests += [digest_words(text[f: x + span], a - f)
                             for f, x, a in zip(first.tolist(), last.tolist(), at.tolist())]
@@ -261,7 +268,8 @@ def longest_matches(
 
 
 def repeated_starts(
-    group: np.ndarray, first: np.ndarray, last: np.ndarray, settled: np.ndarray, strings: list[bytes], span: int
+    group: np.ndarray, first: np.ndarray, last: np.ndarray, settled: np.ndarray, strings: list[bytes], span: int,
+    step: int = 1,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``row, low, high``: window starts, relative to the minimizer, that are repeated within the group.
 
@@ -271,6 +279,7 @@ def repeated_starts(
     longest match from offset ``x``, a window is repeated when
     ``end(x) >= x + span``; ``end`` never falls, so equal ends at two offsets
     settle all between them, and an end too near settles them as unrepeated.
+    Starts lie ``step`` bytes apart; what a range holds between them says nothing.
     """
     texts = Suffixes(strings)
     begin = texts.ends - np.array([len(s) for s in strings])
@@ -306,14 +315,14 @@ def repeated_starts(
         rows = np.flatnonzero(even)
         put(rows, x[rows], np.minimum(y[rows], e_high[rows] - span))
         mine &= ~even
-        near = mine & (y - x <= 1)
+        near = mine & (y - x <= step)
         for end, at in ((e_low, x), (e_high, y)):
             rows = np.flatnonzero(near & (end >= at + span))
             put(rows, at[rows], at[rows])
         more = np.zeros(n_groups, dtype=bool)
         more[group[mine & ~near]] = True
         if more.any():
-            middle = (low + high) >> 1
+            middle = low + ((high - low) // step >> 1) * step
             e_middle = ends_at(middle, more)
             tasks.append((low, middle, more, e_low, e_middle))
             tasks.append((middle, high, more, e_middle, e_high))
@@ -351,7 +360,7 @@ def cut_pieces(docs: DataFrame, wanted: DataFrame, span: int, hot_runs: int, uni
     return map_rows(joined, make, PIECES.format(docs.schema["doc_id"].dataType.simpleString()))
 
 
-def sorted_ranges(pieces: DataFrame, span: int) -> DataFrame:
+def sorted_ranges(pieces: DataFrame, span: int, step: int = 1) -> DataFrame:
     """Repeated window starts of each piece, by suffix sort of its minimizer's block.
 
     For a block of a hot minimizer, rows with ``window`` are added: every
@@ -370,13 +379,13 @@ def sorted_ranges(pieces: DataFrame, span: int) -> DataFrame:
             table[c].to_numpy() for c in ("minimizer", "block", "first", "last", "at", "copies", "hot"))
         group = np.concatenate([[0], np.cumsum((np.diff(minimizer) != 0) | (np.diff(block) != 0))])
         strings = table["bytes"].to_pylist()
-        row, low, high = repeated_starts(group, first - at, last - at, copies > 1, strings, span)
+        row, low, high = repeated_starts(group, first - at, last - at, copies > 1, strings, span, step)
         yield out(table, row, low + at[row], high + at[row], None, None)
         if hot.any():
             windows: dict[tuple[int, bytes], tuple[int, int, bool]] = {}  # by block
             repeated = {(r, x) for r, a, b in zip(row, low + at[row], high + at[row]) for x in range(a, b + 1)}
             for r in np.flatnonzero(hot):
-                for x in range(first[r], last[r] + 1):
+                for x in range(first[r], last[r] + 1, step):
                     text = strings[r][x - first[r]: x - first[r] + span]
                     key = (int(group[r]), hashlib.blake2b(text, digest_size=16).digest())
                     windows[key] = (r, x, key in windows or copies[r] > 1 or (r, x) in repeated)
@@ -400,27 +409,35 @@ def repeated_windows(
     """``doc_id, text_hash, first, last``: starts of windows that stand elsewhere too.
 
     ``docs`` has ``doc_id, text, text_hash``; ``span`` and ``seed`` are bytes of what ``unit`` makes of a text.
+    What is staged on the way is deleted.
     """
+    with scratch_folder(docs.sparkSession, "repeats") as folder:
+        return stage_table(unstaged_windows(docs, span, seed, hot_runs, unit, folder), "windows")
+
+
+def unstaged_windows(docs: DataFrame, span: int, seed: int, hot_runs: int, unit: str, folder: str) -> DataFrame:
+    """``repeated_windows`` as a plan over tables that are staged in ``folder``."""
     columns = ["doc_id", "text_hash", "first", "last"]
-    runs = stage_table(document_runs(docs, span, seed, unit), "runs")
+    runs = stage_table(document_runs(docs, span, seed, unit), "runs", folder)
     shared = runs.groupBy("minimizer").agg(
         F.count("*").alias("n"),
         ((F.min("high") == F.max("high")) & (F.min("low") == F.max("low"))).alias("uniform"),
     ).filter("n > 1").select("minimizer", "uniform")
-    shared = stage_table(shared, "minimizers")  # so that the join can split a hot minimizer
-    found = stage_table(runs.join(shared, "minimizer"), "shared")
+    shared = stage_table(shared, "minimizers", folder)  # so that the join can split a hot minimizer
+    found = stage_table(runs.join(shared, "minimizer"), "shared", folder)
     whole = found.filter("uniform").select(*columns)
 
     mixed = found.filter("NOT uniform")
     classes = stage_table(mixed.groupBy("minimizer", "high", "low").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_hash", "first", "last", "at")).alias("one"),
-    ).select("minimizer", "high", "low", "copies", "one.*"), "classes")
+    ).select("minimizer", "high", "low", "copies", "one.*"), "classes", folder)
     copied = classes.filter("copies > 1").select("minimizer", "high", "low")
     whole = whole.unionByName(mixed.join(copied, ["minimizer", "high", "low"], "left_semi").select(*columns))
 
-    sizes = stage_table(classes.groupBy("minimizer").agg(F.count("*").alias("n_runs")), "sizes")
+    sizes = stage_table(classes.groupBy("minimizer").agg(F.count("*").alias("n_runs")), "sizes", folder)
     wanted = classes.join(sizes, "minimizer")
-    ranges = stage_table(sorted_ranges(cut_pieces(docs, wanted, span, hot_runs, unit), span), "ranges")
+    pieces = cut_pieces(docs, wanted, span, hot_runs, unit)
+    ranges = stage_table(sorted_ranges(pieces, span, STEPS[unit]), "ranges", folder)
     settled = ranges.filter("window IS NULL").select(*columns)
     windows = ranges.filter("window IS NOT NULL")
     several = windows.groupBy("window").agg((F.count("*") > 1).alias("again")).filter("again").select("window")
@@ -437,17 +454,24 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def with_repeats(
-    docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS, unit: str = BYTES
+    docs: DataFrame, measures: list[tuple[int, str]], seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS
 ) -> DataFrame:
-    """``docs`` and, as the last column, the ranges of window starts that are repeated, null where none is."""
+    """``docs`` and, as last columns, for each span and unit the ranges of window starts that are repeated.
+
+    Spans are bytes of what the unit makes of a text.  A row without repeats has null or empty lists.
+    """
     digest = fresh("text_hash", docs.columns)
     hashed = docs.withColumn(digest, F.xxhash64(F.col("text")))
     own = hashed.select("doc_id", "text", F.col(digest).alias("text_hash"))
-    ranges = repeated_windows(own, span, seed, hot_runs, unit)
-    name = fresh("ranges", hashed.columns)
-    lists = ranges.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias(name))
+    found, lists, names = None, [], []
+    for i, (span, unit) in enumerate(measures):
+        ranges = repeated_windows(own, span, min(seed, span), hot_runs, unit).withColumn("measure", F.lit(i))
+        found = ranges if found is None else found.unionByName(ranges)
+        names.append(fresh(f"ranges{i}", hashed.columns))
+        lists.append(F.collect_list(F.when(F.col("measure") == i, F.struct("first", "last"))).alias(names[-1]))
+    lists = found.groupBy("doc_id", "text_hash").agg(*lists)
     same = hashed["doc_id"].eqNullSafe(lists["doc_id"]) & (hashed[digest] == lists["text_hash"])
-    return hashed.join(lists, same, "left").select(*[hashed[f"`{c}`"] for c in docs.columns], name)
+    return hashed.join(lists, same, "left").select(*[hashed[f"`{c}`"] for c in docs.columns], *names)
 
 
 def covered(ranges: list[dict] | None, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -465,32 +489,47 @@ def without(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
 
 def repeats_removed(
     docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS,
-    key: str = "doc_id", text: str = "text",
+    key: str = "doc_id", text: str = "text", words: int = 0,
 ) -> DataFrame:
     """``doc_id, n_bytes, starts, ends, kept`` for every row: the removed byte ranges and the bytes that stay.
 
+    With ``words`` a further column, ``repeated_words``, counts the words in
+    passages of so many words that also start elsewhere, whatever white space
+    stands between them.  Such a passage may be shorter or longer than ``span``
+    bytes; it is counted, not removed.
+
     Null texts are empty; texts under ``span`` bytes have no window and stay
     whole.  A row that is repeated, key and text, is a copy of itself, so all
     its windows are repeated.  Keys may be null.  No rows give no rows.
     """
-    rows = with_repeats(read_columns(docs, key, text), span, seed, hot_runs)
+    measures = [(span, BYTES)] + [(words * CODE_BYTES, WORDS)] * bool(words)
+    rows = with_repeats(read_columns(docs, key, text), measures, seed, hot_runs)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = texts_as_bytes(batch.column(1))
         spans = [covered(r, span) for r in batch.column(2).to_pylist()]
+        more = {"repeated_words": pa.array([
+            sum(e - s for s, e in zip(*covered_words(r, words))) for r in batch.column(3).to_pylist()
+        ], pa.int64())} if words else {}
         return record(
             doc_id=batch.column(0), n_bytes=pa.array([len(t) for t in texts], pa.int64()),
             starts=pa.array([s.tolist() for s, _ in spans], pa.list_(pa.int64())),
             ends=pa.array([e.tolist() for _, e in spans], pa.list_(pa.int64())),
-            kept=pa.array([without(t, *s) for t, s in zip(texts, spans)], pa.binary()))
+            kept=pa.array([without(t, *s) for t, s in zip(texts, spans)], pa.binary()), **more)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_rows(rows, make, f"doc_id {kind}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
+    schema = f"doc_id {kind}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary"
+    return map_rows(rows, make, schema + ", repeated_words bigint" * bool(words))
+
+
+def covered_words(ranges: list[dict] | None, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words, by number, that repeated windows cover, from ranges over their codes."""
+    whole = [{"first": -(-r["first"] // CODE_BYTES), "last": r["last"] // CODE_BYTES} for r in ranges or []]
+    return covered([r for r in whole if r["first"] <= r["last"]], words)
 
 
-def covered_words(text: bytes, ranges: list[dict], words: int) -> tuple[np.ndarray, np.ndarray]:
+def covered_text(text: bytes, ranges: list[dict], words: int) -> tuple[np.ndarray, np.ndarray]:
     """The bytes from the first to the last word of repeated windows, from ranges over the words' codes."""
-    whole = [{"first": -(-r["first"] // CODE_BYTES), "last": r["last"] // CODE_BYTES} for r in ranges]
-    starts, ends = covered([r for r in whole if r["first"] <= r["last"]], words)
+    starts, ends = covered_words(ranges, words)
     begins, past = word_spans(text)
     return begins[starts], past[ends - 1]
 
@@ -510,12 +549,12 @@ def texts_without_repeats(
     their names.
     """
     size = span * CODE_BYTES if unit == WORDS else span
-    rows = with_repeats(docs, size, min(seed, size), hot_runs, unit)
+    rows = with_repeats(docs, [(size, unit)], seed, hot_runs)
     names = docs.columns
     at, counted = names.index("text"), "n_chars" in names
 
     def ranges_of(text: bytes, ranges: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        return covered_words(text, ranges, span) if unit == WORDS else covered(ranges, span)
+        return covered_text(text, ranges, span) if unit == WORDS else covered(ranges, span)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = dict(zip(names, batch.columns))

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,15 +77,25 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch folder that is deleted at the end, for tables that only lead to one that is staged elsewhere."""
+    path = new_scratch(spark, name)
+    try:
+        yield path
+    finally:
+        delete_folder(spark, path)
+
+
+def stage_table(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once, into ``folder`` if one is given, and read it back.
 
     Used where two later passes need the same costly columns: the table cuts
     the lineage, survives lost executors, and lets each pass read only the
     columns it needs.
     """
     spark = df.sparkSession
-    path = new_scratch(spark, name)
+    path = f"{folder}/{name}" if folder else new_scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

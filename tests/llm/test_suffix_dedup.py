@@ -3,7 +3,9 @@ import random
 import numpy as np
 import pytest
 
+from __spark_entry__ import queries
 from corpusloom.llm import suffix_dedup as sd
+from corpusloom.session import list_folder, scratch_root
 
 DOCS = "doc_id bigint, text string"
 
@@ -146,3 +148,48 @@ def test_codes_of_long_texts(monkeypatch):
 
 def test_no_rows(spark):
     assert sd.repeats_removed(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_short_passages_of_many_words_are_counted(spark, tmp_path):
+    rng = random.Random(9)
+    fill = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    passage, long = " ".join(f"a{i % 7}{i}" for i in range(52)), "x" * 200
+    assert len(passage) < 400
+    texts = [fill(30) + " " + passage, passage.replace(" ", "\n ") + " " + fill(9), fill(80), " ".join(passage.split()[:49]),
+             long + " " + long, long + " " + long, None, "", passage + " " + long + " " + long]
+    rows = list(enumerate(texts)) + [(None, passage), (9, "twice " * 3), (9, "twice " * 3)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["op4_suffix_dedup"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert {r["doc_id"]: (r["n_removed"], r["n_repeated_words"]) for r in got} == {
+        None: (0, 52), 0: (0, 52), 1: (0, 52), 2: (0, 0), 3: (0, 0), 4: (401, 0), 5: (401, 0), 6: (0, 0), 7: (0, 0),
+        8: (401, 52), 9: (0, 0)}
+    assert len(got) == len(rows)
+
+
+@pytest.mark.parametrize("span,hot_runs", [(1, 4096), (4, 4096), (4, 3), (9, 2)])
+def test_words_are_counted_beside_bytes(spark, span, hot_runs):
+    texts = corpus(span + hot_runs)
+    texts = [t.replace("e", " ").replace("b", " ") for t in texts] + [texts[0]]
+    kept, whole = brute_words(texts, span), [len(t.encode().split()) for t in texts]
+    got = removed(spark, texts, span=24, seed=7, hot_runs=hot_runs, words=span)
+    assert [got[i]["repeated_words"] for i in range(len(texts))] == [n - len(k) for n, k in zip(whole, kept)]
+    assert [got[i]["kept"] for i in range(len(texts))] == [k for k, _ in brute_kept([t.encode() for t in texts], 24)]
+
+
+def test_runs_at_codes_cover_all_windows(monkeypatch):
+    codes = np.random.default_rng(6).integers(0, 3, 400).astype("<u8").tobytes()
+    monkeypatch.setattr(sd, "PART_BYTES", 300)
+    seen = {}
+    for minimizer, first, last, at in sd.minimizer_runs(codes, 80, 20, 8):
+        for m, f, z, a in zip(*(side.tolist() for side in (minimizer, first, last, at))):
+            seen |= {x: (m, a - x) for x in range(f, z + 1, 8)}
+    assert sorted(seen) == list(range(0, len(codes) - 79, 8))
+    by_window = {}
+    assert all(by_window.setdefault(codes[x:x + 80], key) == key for x, key in seen.items())
+
+
+def test_what_is_staged_on_the_way_is_deleted(spark):
+    before = set(list_folder(spark, scratch_root(spark)))
+    removed(spark, ["one passage that is there twice", "one passage that is there twice"], span=24, seed=7, words=3)
+    left = set(list_folder(spark, scratch_root(spark))) - before
+    assert sorted(name.rpartition("-")[0] for name in left) == ["windows", "windows"]
