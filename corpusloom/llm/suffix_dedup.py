@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,10 +156,9 @@ def units_of(column: pa.Array, unit: str) -> Iterator[bytes]:
         yield word_codes(text) if unit == WORDS else text
 
 
-def digest_words(text: bytes, salt: int = 0) -> tuple[int, int]:
-    """A 128-bit digest as two signed longs."""
-    made = hashlib.blake2b(text, digest_size=16, salt=salt.to_bytes(8, "little")).digest()
-    return int.from_bytes(made[:8], "little", signed=True), int.from_bytes(made[8:], "little", signed=True)
+def digest(text: bytes, salt: int = 0) -> bytes:
+    """A digest of 128 bits."""
+    return hashlib.blake2b(text, digest_size=16, salt=salt.to_bytes(8, "little")).digest()
 
 
 def document_runs(docs: DataFrame, span: int, seed: int, unit: str = BYTES) -> DataFrame:
@@ -168,8 +168,8 @@ def document_runs(docs: DataFrame, span: int, seed: int, unit: str = BYTES) -> D
         for row, text in enumerate(units_of(batch.column(1), unit)):
             for minimizer, first, last, at in minimizer_runs(text, span, seed, STEPS[unit]):
                 parts.append((minimizer, first, last, at))
-                digests += [digest_words(text[f: x + span], a - f)
-                            for f, x, a in zip(first.tolist(), last.tolist(), at.tolist())]
+                digests += [digest(text[f: x], a) for f, x, a in zip(
+                    first.tolist(), (last + span).tolist(), (at - first).tolist())]
                 owner.append(np.full(len(first), row))
             if len(digests) > 50_000:
                 yield packed(batch, parts, digests, owner)
@@ -179,7 +179,7 @@ def document_runs(docs: DataFrame, span: int, seed: int, unit: str = BYTES) -> D
 
     def packed(batch, parts, digests, owner) -> pa.RecordBatch:
         minimizer, first, last, at = (np.concatenate(side) for side in zip(*parts))
-        rows, both = pa.array(np.concatenate(owner)), np.array(digests, dtype=np.int64)
+        rows, both = pa.array(np.concatenate(owner)), np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
         return record(minimizer=minimizer, doc_id=batch.column(0).take(rows), text_hash=batch.column(2).take(rows),
                       first=first, last=last, at=at, high=both[:, 0], low=both[:, 1])
     return map_rows(docs, make, RUNS.format(docs.schema["doc_id"].dataType.simpleString()))
@@ -474,11 +474,25 @@ def with_repeats(
     return hashed.join(lists, same, "left").select(*[hashed[f"`{c}`"] for c in docs.columns], *names)
 
 
-def covered(ranges: list[dict] | None, span: int) -> tuple[np.ndarray, np.ndarray]:
-    if not ranges:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    both = np.array([(r["first"], r["last"] + span) for r in ranges], dtype=np.int64)
-    return merged(both[:, 0], both[:, 1])
+def covered(column: pa.Array, span: int, step: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``offsets, starts, ends``: what the windows of a batch's ranges cover, in units of ``step`` bytes.
+
+    Row ``i`` has the entries from ``offsets[i]`` to ``offsets[i + 1]``.  All rows are merged at once, each at a
+    place of its own.
+    """
+    n = len(column)
+    rows = np.repeat(np.arange(n), pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+    flat = pc.list_flatten(column)
+    first, last = (pc.struct_field(flat, c).to_numpy(zero_copy_only=False) for c in ("first", "last"))
+    first, ends = -(-first // step), last // step + span
+    whole = ends - first >= span
+    rows, first, ends = rows[whole], first[whole], ends[whole]
+    if not len(rows):
+        return np.zeros(n + 1, np.int64), first, ends
+    width = int(ends.max()) + 1
+    starts, ends = merged(first + rows * width, ends + rows * width)
+    rows = starts // width
+    return np.searchsorted(rows, np.arange(n + 1)), starts - rows * width, ends - rows * width
 
 
 def without(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -507,33 +521,22 @@ def repeats_removed(
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = texts_as_bytes(batch.column(1))
-        spans = [covered(r, span) for r in batch.column(2).to_pylist()]
-        more = {"repeated_words": pa.array([
-            sum(e - s for s, e in zip(*covered_words(r, words))) for r in batch.column(3).to_pylist()
-        ], pa.int64())} if words else {}
-        return record(
-            doc_id=batch.column(0), n_bytes=pa.array([len(t) for t in texts], pa.int64()),
-            starts=pa.array([s.tolist() for s, _ in spans], pa.list_(pa.int64())),
-            ends=pa.array([e.tolist() for _, e in spans], pa.list_(pa.int64())),
-            kept=pa.array([without(t, *s) for t, s in zip(texts, spans)], pa.binary()), **more)
+        offsets, starts, ends = covered(batch.column(2), span)
+        lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(side, pa.int64())) for side in (starts, ends)]
+        kept = [without(t, starts[a:b], ends[a:b]) if a < b else t for t, a, b in zip(texts, offsets, offsets[1:])]
+        columns = {
+            "doc_id": batch.column(0), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+            "starts": lists[0], "ends": lists[1], "kept": pa.array(kept, pa.binary())}
+        if words:
+            offsets, starts, ends = covered(batch.column(3), words, CODE_BYTES)
+            sums = np.append(0, np.cumsum(ends - starts))[offsets]
+            columns["repeated_words"] = pa.array(np.diff(sums), pa.int64())
+        return record(**columns)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary"
     return map_rows(rows, make, schema + ", repeated_words bigint" * bool(words))
 
 
-def covered_words(ranges: list[dict] | None, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words, by number, that repeated windows cover, from ranges over their codes."""
-    whole = [{"first": -(-r["first"] // CODE_BYTES), "last": r["last"] // CODE_BYTES} for r in ranges or []]
-    return covered([r for r in whole if r["first"] <= r["last"]], words)
-
-
-def covered_text(text: bytes, ranges: list[dict], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes from the first to the last word of repeated windows, from ranges over the words' codes."""
-    starts, ends = covered_words(ranges, words)
-    begins, past = word_spans(text)
-    return begins[starts], past[ends - 1]
-
-
 def texts_without_repeats(
     docs: DataFrame, span: int = SPAN, seed: int = SEED_BYTES, hot_runs: int = HOT_RUNS, unit: str = BYTES
 ) -> DataFrame:
@@ -548,21 +551,25 @@ def texts_without_repeats(
     repeats, null ones too, stay as they are.  Other columns stay, whatever
     their names.
     """
-    size = span * CODE_BYTES if unit == WORDS else span
-    rows = with_repeats(docs, [(size, unit)], seed, hot_runs)
+    rows = with_repeats(docs, [(span * STEPS[unit], unit)], seed, hot_runs)
     names = docs.columns
     at, counted = names.index("text"), "n_chars" in names
 
-    def ranges_of(text: bytes, ranges: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        return covered_text(text, ranges, span) if unit == WORDS else covered(ranges, span)
+    def cut(text: str, starts: np.ndarray, ends: np.ndarray) -> str:
+        data = text.encode()
+        if unit == WORDS:
+            begins, past = word_spans(data)
+            starts, ends = begins[starts], past[ends - 1]
+        return without(data, starts, ends).decode(errors="ignore")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = dict(zip(names, batch.columns))
-        cut = [t if not r else without(t.encode(), *ranges_of(t.encode(), r)).decode(errors="ignore")
-               for t, r in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist())]
-        columns["text"] = pa.array(cut, pa.string())
+        offsets, starts, ends = covered(batch.column(len(names)), span, STEPS[unit])
+        texts = [cut(t, starts[a:b], ends[a:b]) if a < b else t
+                 for t, a, b in zip(batch.column(at).to_pylist(), offsets, offsets[1:])]
+        columns["text"] = pa.array(texts, pa.string())
         if counted:
-            columns["n_chars"] = pa.array([None if t is None else len(t) for t in cut]).cast(
+            columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts]).cast(
                 batch.column(names.index("n_chars")).type)
         return record(**columns)
     return map_rows(rows, make, docs.schema)

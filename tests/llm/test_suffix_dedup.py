@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from __spark_entry__ import queries
@@ -193,3 +194,14 @@ def test_what_is_staged_on_the_way_is_deleted(spark):
     removed(spark, ["one passage that is there twice", "one passage that is there twice"], span=24, seed=7, words=3)
     left = set(list_folder(spark, scratch_root(spark))) - before
     assert sorted(name.rpartition("-")[0] for name in left) == ["windows", "windows"]
+
+
+def test_ranges_of_a_batch_that_was_cut():
+    pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    rows = [[{"first": 0, "last": 5}], None, [{"first": 20, "last": 21}, {"first": 3, "last": 4}, {"first": 4, "last": 9}],
+            [], [{"first": 1, "last": 7}, {"first": 1, "last": 8}], None]
+    offsets, starts, ends = sd.covered(pa.array(rows, pair).slice(1, 4), 8)
+    assert (offsets.tolist(), starts.tolist(), ends.tolist()) == ([0, 0, 2, 2, 3], [3, 20, 1], [17, 29, 16])
+    offsets, starts, ends = sd.covered(pa.array(rows, pair).slice(1, 4), 2, 8)
+    assert (offsets.tolist(), starts.tolist(), ends.tolist()) == ([0, 0, 1, 1, 2], [1, 1], [3, 3])
+    assert sd.covered(pa.array([None, []], pair), 8)[0].tolist() == [0, 0, 0]
